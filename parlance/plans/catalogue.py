@@ -1,0 +1,11 @@
+"""The named queries of this engine and the SQL that states the same result."""
+
+from __future__ import annotations
+
+
+def queries() -> dict:
+    return {}
+
+
+def oracle_sql() -> dict:
+    return {}
