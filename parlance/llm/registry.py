@@ -2,18 +2,34 @@
 
 from __future__ import annotations
 
-from parlance.llm import bpe, sharding
-from parlance.llm.common import read
+from pyspark.sql import functions as F
+
+from parlance.llm import bpe, bytecnn, licenses, rules, sharding
+from parlance.llm.common import fold, read
 
 
 def op1_sharding(spark, sf_dir):
     return sharding.shard(read(spark, sf_dir, "documents"))
 
 
+def op2_licenses(spark, sf_dir):
+    return licenses.scan_licenses(read(spark, sf_dir, "documents")).drop("spans")
+
+
 def op3_bpe(spark, sf_dir):
     return bpe.digests(read(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark, sf_dir):
+    return rules.quality_rules(read(spark, sf_dir, "documents"))
+
+
+def op5_quality_classifier(spark, sf_dir):
+    documents = read(spark, sf_dir, "documents")
+    net = bytecnn.fit(documents, read(spark, sf_dir, "labels"))
+    return bytecnn.score(documents, net).select("doc_id", (fold() == 0).alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
