@@ -38,6 +38,18 @@ def text_bytes(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string").cast("binary"), F.lit(b""))
 
 
+def blank_spaces(text: Column) -> Column:
+    """Each white-space character a space."""
+    for c in "\t\n\x0b\x0c\r":
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return text
+
+
+def one_space(text: Column) -> Column:
+    """Each run of white space one space."""
+    return F.regexp_replace(blank_spaces(text), " {2,}", " ")
+
+
 def fold(doc_id: str = "doc_id") -> Column:
     """crc32(doc_id as text) mod 5; a null id has fold 0."""
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), F.lit(5)).cast("int")

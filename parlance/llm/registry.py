@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from parlance.llm import bpe, bytecnn, licenses, rules, sharding
+from parlance.llm import bpe, bytecnn, licenses, naming, nearness, packing, rules, sharding
 from parlance.llm.common import fold, read
 
 
@@ -30,6 +28,18 @@ def op5_quality_classifier(spark, sf_dir):
     return bytecnn.score(documents, net).select("doc_id", (fold() == 0).alias("held_out"), "score", "predicted")
 
 
+def op6_exact_dedup(spark, sf_dir):
+    return naming.exact_groups(read(spark, sf_dir, "documents"))
+
+
+def op7_packing(spark, sf_dir):
+    return packing.best_fit(read(spark, sf_dir, "documents"))
+
+
+def op9_near_dedup(spark, sf_dir):
+    return nearness.near_groups(read(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parlance.llm.common import SPACE, bind, whole_text
+from parlance.llm.common import SPACE, bind, blank_spaces, whole_text
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -32,7 +32,9 @@ MOST_SYMBOLS, MOST_LOUD, LEAST_LETTERS, MOST_BARS, MOST_FURNITURE_WORDS = 0.02,
 
 
 def _deleted(text: Column, chars: str) -> Column:
-    return F.translate(text, chars, "")
+    for c in chars:
+        text = F.replace(text, F.lit(c), F.lit(""))
+    return text
 
 
 def _count(text: Column, chars: str) -> Column:
@@ -40,7 +42,7 @@ def _count(text: Column, chars: str) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, SPACE), lambda w: w != "")
+    return F.filter(F.split(blank_spaces(text), " "), lambda w: w != "")
 
 
 def _repeated_words(words: Column) -> Column:
