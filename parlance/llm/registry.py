@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parlance.llm import bpe, bytecnn, licenses, naming, nearness, packing, rules, sharding
+from parlance.llm import bpe, bytecnn, licenses, lm, naming, nearness, packing, rules, sharding, templates
 from parlance.llm.common import fold, read
 
 
@@ -36,10 +36,18 @@ def op7_packing(spark, sf_dir):
     return packing.best_fit(read(spark, sf_dir, "documents"))
 
 
+def op8_lm_scoring(spark, sf_dir):
+    return lm.score_corpus(read(spark, sf_dir, "documents"))
+
+
 def op9_near_dedup(spark, sf_dir):
     return nearness.near_groups(read(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op10_line_dedup(spark, sf_dir):
+    return templates.recurring_lines(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
