@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parlance.llm.common import text_bytes
+from parlance.llm.common import map_arrow, text_bytes
 
 #: Pieces kept by a worker.
 PIECES = 300_000
@@ -166,7 +166,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
                 at += len(rows)
                 yield pa.RecordBatch.from_arrays(out, names=schema.names)
 
-    return df.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text")).mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return map_arrow(df.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text")), run, schema).withColumnRenamed("id", id_col)
 
 
 def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str | None = None) -> DataFrame:
@@ -179,7 +179,7 @@ def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: st
             texts = [_text(c.decode(np.array(x.as_py() or [], dtype="<u4").tobytes())) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=schema.names)
 
-    return df.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return map_arrow(df.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")), run, schema).withColumnRenamed("id", id_col)
 
 
 def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
@@ -205,4 +205,4 @@ def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
                 )
                 at += len(rows)
 
-    return df.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text")).mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return map_arrow(df.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text")), run, schema).withColumnRenamed("id", id_col)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parlance.llm.common import fold, text_bytes
+from parlance.llm.common import fold, map_arrow, text_bytes
 
 WIDTH, FILTERS, EMBED, CHUNK = 4, 12, 8, 4096
 THRESHOLD = 0.3
@@ -158,7 +158,7 @@ def score(df: DataFrame, net: Net | None, id_col: str = "doc_id", text_col: str
             scores = [net.score(x.as_py() or b"") if net else 0.5 for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= THRESHOLD) for s in scores], pa.int32())], names=schema.names)
 
-    return df.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text")).mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return map_arrow(df.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text")), run, schema).withColumnRenamed("id", id_col)
 
 
 def keep_good(df: DataFrame, net: Net | None, text_col: str = "text") -> DataFrame:
@@ -171,4 +171,4 @@ def keep_good(df: DataFrame, net: Net | None, text_col: str = "text") -> DataFra
             keep = [net is None or net.score((x.as_py() or "").encode("utf-8", "surrogatepass")) >= THRESHOLD for x in texts]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return map_arrow(df, run, df.schema)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parlance.llm.common import text_bytes
+from parlance.llm.common import map_arrow, text_bytes
 
 #: Phrase and label.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -214,4 +214,4 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             columns = [pa.array([f[n] for f in found], kind) for n, _, kind in _FIELDS]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array([f["spans"] for f in found], _SPAN_PA)], names=schema.names)
 
-    return df.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text")).mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return map_arrow(df.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text")), run, schema).withColumnRenamed("id", id_col)

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parlance.llm.common import materialize, text_bytes
+from parlance.llm.common import map_arrow, materialize, text_bytes
 
 #: A prime, so that every step width makes a permutation of the slots.
 SLOTS = 127
@@ -163,7 +163,7 @@ def signatures(df: DataFrame, id_col: str, text_col: str, k: int, rows: int) ->
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1) * bands.shape[1], pa.int32()), pa.array(bands.ravel()), mask=pa.array(sizes == 0))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sizes)), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), lists], names=schema.names)
 
-    return df.select(F.col(id_col).alias("doc"), text_bytes(text_col).alias("text")).mapInArrow(run, schema)
+    return map_arrow(df.select(F.col(id_col).alias("doc"), text_bytes(text_col).alias("text")), run, schema)
 
 
 def hash_sets(df: DataFrame, k: int) -> DataFrame:
@@ -176,7 +176,7 @@ def hash_sets(df: DataFrame, k: int) -> DataFrame:
                 s, begins = shingle_sets(data, offsets, k)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(begins) - 1), pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(s.view(np.int64)))], names=schema.names)
 
-    return df.select("doc", "text").mapInArrow(run, schema)
+    return map_arrow(df.select("doc", "text"), run, schema)
 
 
 def local_forest(edges: DataFrame) -> DataFrame:
@@ -205,7 +205,7 @@ def local_forest(edges: DataFrame) -> DataFrame:
                 parent.clear()
         yield forest()
 
-    return edges.mapInArrow(run, "hi long, lo long")
+    return map_arrow(edges, run, "hi long, lo long")
 
 
 def components(edges: DataFrame) -> DataFrame:

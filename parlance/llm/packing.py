@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parlance.llm.common import whole_text
+from parlance.llm.common import ship, whole_text
 
 CAPACITY, GROUP_ROWS = 2048, 2000
 
@@ -102,5 +102,6 @@ def best_fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
         "id", "piece", "first_token", "n_tokens", "source", "cluster", (-1 - F.monotonically_increasing_id()).alias("bin_id"), F.lit(0).alias("place"), "n_tokens"
     )
     full = full.toDF(*schema.names)
+    ship(df.sparkSession)
     rest = part.filter(F.col("n_tokens") < capacity).groupBy("group").applyInArrow(run, schema)
     return rest.unionByName(full).withColumnRenamed("id", id_col)

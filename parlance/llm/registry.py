@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from parlance.llm import bpe, bytecnn, licenses, lm, naming, nearness, packing, rules, sharding, templates
 from parlance.llm.common import fold, read
 
@@ -49,8 +50,9 @@ def op10_line_dedup(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {name: f for name, f in globals().items() if name.startswith("op")}
+    return {name: f for name, f in globals().items() if name.startswith("op")} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict:
+    """SQL of the queries that DuckDB can state over whole tables."""
     return {}
