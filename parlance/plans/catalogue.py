@@ -1,11 +1,542 @@
-"""The named queries of this engine and the SQL that states the same result."""
+"""The named queries of this engine, each beside the SQL that states the same result.
+
+``conversations`` stands for logs: a user row and the assistant row after it are a turn, tools are
+empty. Judges' texts are made from ``labels`` by a rule that both sides state.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from parlance.functions import codec, judge, logparse, prompts, temporal, text, tokens
+from parlance.operators import align, curate, distinct, mix, order, quality, report
+from parlance.operators.model_map import EchoJudge, Limits, ask_rounds
+from parlance.streaming import jobs
+
+_QUERIES: dict = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
 
 def queries() -> dict:
-    return {}
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
+
+
+def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def _pairs(spark, sf) -> DataFrame:
+    """(conv_id, turn, user, assistant): user rows that are answered."""
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    said = _t(spark, sf, "conversations").filter("role <> 'system'").withColumns({"next_role": F.lead("role").over(w), "assistant": F.lead("text").over(w)})
+    return said.filter("role = 'user' and next_role = 'assistant'").select("conv_id", "turn", F.col("text").alias("user"), "assistant")
+
+
+_PAIRS = """said AS (SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS assistant FROM conversations WHERE role <> 'system'
+    WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+  pairs AS (SELECT conv_id, turn, text AS usr, assistant FROM said WHERE role = 'user' AND next_role = 'assistant')"""
+
+
+def _messages(spark, sf) -> DataFrame:
+    """(conv_id, messages): five messages a turn."""
+    turn = codec.turn_messages(F.col("user"), None, None, None, F.col("assistant"))
+    return distinct.merge_sessions(_pairs(spark, sf).withColumn("messages", turn), "conv_id", "turn")
+
+
+def _logs(spark, sf) -> DataFrame:
+    """(conv_id, log): a conversation as a model's log."""
+    line = F.concat(F.lit("[unused0]"), F.col("role"), F.lit("\n"), F.col("text"), F.lit("[unused1]"))
+    lines = F.sort_array(F.collect_list(F.struct("turn", line.alias("s"))))
+    return _t(spark, sf, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(lines, lambda x: x["s"]), "\n").alias("log"))
+
+
+_LOGS = """logs AS (SELECT conv_id, string_agg('[unused0]' || role || chr(10) || text || '[unused1]', chr(10) ORDER BY turn) AS log FROM conversations GROUP BY conv_id)"""
+
+
+def _labelled(spark, sf, how: str = "inner") -> DataFrame:
+    return _t(spark, sf, "documents").join(_t(spark, sf, "labels"), "doc_id", how)
+
+
+# --- conversations --------------------------------------------------------------------------------
+
+
+@query(f"""WITH {_PAIRS},
+  ends AS (SELECT conv_id, max(CASE WHEN role = 'system' THEN text END) AS sys FROM conversations GROUP BY conv_id HAVING arg_max(role, turn) = 'assistant'),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM pairs JOIN ends USING (conv_id))
+  SELECT conv_id,
+    CASE WHEN coalesce(trim(max(sys)), '') <> '' THEN '<|lc_start|>system' || chr(10) || max(sys) || '<|lc_end|>' || chr(10) ELSE '' END ||
+    string_agg('<|lc_start|>user' || chr(10) || usr || '<|lc_end|>' || CASE WHEN back > 1 THEN chr(10) || '<|lc_start|>assistant' || chr(10) || assistant || '<|lc_end|>'
+      ELSE chr(10) || '<|lc_start|>thought' || chr(10) || '<None><|lc_end|>' || chr(10) || '<|lc_start|>api' || chr(10) || '<None><|eoa|><|lc_end|>' || chr(10)
+        || '<|lc_start|>observation' || chr(10) || '<None><|lc_end|>' || chr(10) || '<|lc_start|>assistant' END, chr(10) ORDER BY turn) AS instruction,
+    max(CASE WHEN back = 1 THEN assistant END) || '<|lc_end|>' AS output
+  FROM ranked GROUP BY conv_id""")
+def chatml_instruction(spark, sf):
+    ends = _t(spark, sf, "conversations").groupBy("conv_id").agg(F.max_by("role", "turn").alias("last"), F.max(F.when(F.col("role") == "system", F.col("text"))).alias("sys")).filter("last = 'assistant'")
+    made = _messages(spark, sf).join(ends, "conv_id").withColumn("r", codec.instruction(F.col("messages"), F.col("sys")))
+    return made.select("conv_id", "r.instruction", "r.output").filter("instruction is not null")
+
+
+@query(f"""WITH {_PAIRS} SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS turn_id, usr AS "user", assistant FROM pairs""")
+def messages_to_turns(spark, sf):
+    return codec.from_messages(_messages(spark, sf), "conv_id").select("conv_id", F.col("turn_id").cast("long").alias("turn_id"), F.col("`user-query`").alias("user"), "assistant")
+
+
+@query("""SELECT conv_id, count(*) AS n, string_agg(role || ':' || text, '|' ORDER BY turn) AS merged, arg_min(role, turn) AS first_role FROM conversations GROUP BY conv_id""")
+def session_merge(spark, sf):
+    rows = _t(spark, sf, "conversations").withColumn("messages", F.array(F.concat_ws(":", "role", "text"))).withColumn("first_role", F.col("role"))
+    return distinct.merge_sessions(rows, "conv_id", "turn", "messages", "first_role").select("conv_id", F.size("messages").cast("long").alias("n"), F.array_join("messages", "|").alias("merged"), "first_role")
+
+
+@query("SELECT conv_id, arg_max(text, turn) AS query FROM conversations WHERE role = 'user' GROUP BY conv_id")
+def last_user_query(spark, sf):
+    return _t(spark, sf, "conversations").filter("role = 'user'").groupBy("conv_id").agg(F.max_by("text", "turn").alias("query"))
+
+
+@query("SELECT conv_id, turn, text FROM conversations WHERE role = 'user'")
+def user_messages(spark, sf):
+    return _t(spark, sf, "conversations").filter("role = 'user'").select("conv_id", "turn", "text")
+
+
+@query(f"""WITH {_LOGS} SELECT conv_id, log, replace(replace(log, '[unused0]', '<|lc_start|>'), '[unused1]', '<|lc_end|>') AS readable,
+  coalesce(list_extract(regexp_extract_all(log, '(?s)user\\n(.*?)\\[unused1\\]', 1), -1), '') AS query,
+  len(regexp_extract_all(log, '(?s)user\\n(.*?)\\[unused1\\]', 1)) AS turns, true AS same FROM logs""")
+def log_roundtrip(spark, sf):
+    last = logparse.last_user(F.col("log"))
+    readable = tokens.readable(F.col("log"))
+    return _logs(spark, sf).select("conv_id", "log", readable.alias("readable"), last["query"].alias("query"), last["turns"].cast("long").alias("turns"), (tokens.compact(readable) == F.col("log")).alias("same"))
+
+
+@query(f"""WITH {_LOGS}, p AS (SELECT conv_id, regexp_extract_all(log, '(?s)user\\n(.*?)\\[unused1\\]', 1) AS u, regexp_extract_all(log, '(?s)assistant\\n(.*?)\\[unused1\\]', 1) AS a FROM logs)
+  SELECT conv_id, CASE WHEN len(u) - len(a) = 1 THEN array_to_string(list_transform(range(1, len(u)), lambda i: '提问：' || u[i] || chr(10) || '回答：' || a[i] || chr(10)), '') ELSE '' END AS history FROM p""")
+def history_text(spark, sf):
+    return _logs(spark, sf).select("conv_id", logparse.history_text(logparse.history(F.col("log"))).alias("history"))
+
+
+@query("""SELECT conv_id, count(*) FILTER (role = 'user') AS users, count(*) FILTER (role = 'assistant') AS replies,
+  count(*) FILTER (role = 'user') - count(*) FILTER (role = 'assistant') <> 1 AS mismatch FROM conversations GROUP BY conv_id""")
+def context_mismatch(spark, sf):
+    users, replies = F.count_if(F.col("role") == "user"), F.count_if(F.col("role") == "assistant")
+    return _t(spark, sf, "conversations").groupBy("conv_id").agg(users.alias("users"), replies.alias("replies"), (users - replies != 1).alias("mismatch"))
+
+
+@query(f"""WITH {_PAIRS} SELECT conv_id, turn, trim(usr, chr(32) || chr(10) || chr(9) || chr(13)) AS "user", 'NAME' AS api, trim(assistant, chr(32) || chr(10) || chr(9) || chr(13)) AS assistant FROM pairs
+  WHERE NOT contains(usr || assistant, '[unused') AND NOT contains(usr || assistant, '</s>')""")
+def generation_split(spark, sf):
+    said = F.concat(F.lit("[unused0] user\n"), F.col("user"), F.lit("[unused1][unused0] api\n[unused4]NAME[unused5][unused1][unused0] assistant\n"), F.col("assistant"), F.lit("[unused1]</s>tail"))
+    rows = _pairs(spark, sf).filter(~F.concat("user", "assistant").contains("[unused") & ~F.concat("user", "assistant").contains("</s>"))
+    g = rows.withColumn("g", logparse.generation(said))
+    return g.select("conv_id", "turn", "g.user", "g.api", "g.assistant")
+
+
+@query("""SELECT conv_id, turn, CASE WHEN regexp_matches(text, '今天|昨天|明天|now|today') THEN 'time' WHEN contains(text, 'you') THEN 'persona' WHEN regexp_matches(text, '^(Tell|Write|What|How)') THEN 'command' ELSE 'clean' END AS tag
+  FROM conversations WHERE role = 'user'""")
+def classify_queries(spark, sf):
+    tag = curate.query_class(F.col("text"), ("今天", "昨天", "明天", "now", "today"), "you", ("Tell", "Write", "What", "How"))
+    return _t(spark, sf, "conversations").filter("role = 'user'").select("conv_id", "turn", tag.alias("tag"))
+
+
+@query("""SELECT text, arg_max(conv_id, conv_id * 1000 + turn) AS conv_id, arg_max(turn, conv_id * 1000 + turn) AS turn FROM conversations WHERE role = 'user' GROUP BY text""")
+def last_wins_align(spark, sf):
+    rows = _t(spark, sf, "conversations").filter("role = 'user'").select("text", "conv_id", "turn")
+    return align.last_wins(rows, ["text"], ["conv_id", "turn"])
+
+
+@query(f"""WITH {_PAIRS} SELECT conv_id, turn, 'Judge.' || chr(10) || '问题：' || usr || chr(10) || '回答：' || assistant AS prompt,
+  '    请回答下面的问题。' || chr(10) || '    历史：' || chr(10) || chr(10) || '    问题：' || usr AS distil FROM pairs""")
+def prompt_concat(spark, sf):
+    rows = _pairs(spark, sf)
+    return rows.select("conv_id", "turn", prompts.judge_prompt("relevance", "Judge.", {"query": F.col("user"), "assistant": F.col("assistant")}).alias("prompt"), prompts.distil_prompt(False, False, F.col("user"), F.lit(None), F.lit(None)).alias("distil"))
+
+
+@query(f"""WITH {_PAIRS}, firsts AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM pairs)
+  SELECT conv_id AS id, usr AS prompt, CASE WHEN quality = 1 THEN assistant ELSE reverse(assistant) END AS chosen, CASE WHEN quality = 1 THEN reverse(assistant) ELSE assistant END AS rejected
+  FROM firsts JOIN labels ON conv_id = doc_id WHERE back = 1""")
+def dpo_pairs(spark, sf):
+    w = Window.partitionBy("conv_id").orderBy(F.desc("turn"))
+    last = _pairs(spark, sf).withColumn("b", F.row_number().over(w)).filter("b = 1").withColumnRenamed("conv_id", "id")
+    good = F.col("quality") == 1
+    sides = last.join(_t(spark, sf, "labels").withColumnRenamed("doc_id", "id"), "id").select("id", F.when(good, F.col("assistant")).otherwise(F.reverse("assistant")).alias("chosen"), F.when(good, F.reverse("assistant")).otherwise(F.col("assistant")).alias("rejected"))
+    record = codec.preferences(last.select("id", codec.turn_messages(F.col("user"), None, None, None, F.col("assistant")).alias("messages")), sides)
+    asked = codec.items_text(F.get(F.col("messages"), F.lit(0))["content"])
+    return record.select("id", asked.alias("prompt"), "chosen", "rejected")
+
+
+@query("""WITH single AS (SELECT conv_id AS id, string_agg(text, '|' ORDER BY turn) AS said FROM conversations GROUP BY conv_id),
+  pool AS (SELECT *, row_number() OVER (ORDER BY id) - 1 AS place, count(*) OVER () AS n FROM single),
+  draws AS (SELECT id, said, n, ('0x' || substr(md5(id || '|0|0'), 1, 7))::BIGINT % 3 + 1 AS k FROM pool),
+  drawn AS (SELECT id, said, i, ('0x' || substr(md5(id || '|0|' || i || '|0'), 1, 7))::BIGINT % n AS place FROM draws, unnest(range(1, k + 1)) AS u(i))
+  SELECT d.id, string_agg(p.said, '|' ORDER BY d.i) || '|' || max(d.said) AS mixed FROM drawn d JOIN pool p USING (place) GROUP BY d.id""")
+def multi_turn_mix(spark, sf):
+    said = F.transform(F.sort_array(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"])
+    single = _t(spark, sf, "conversations").groupBy(F.col("conv_id").alias("id")).agg(said.alias("messages"))
+    return mix.mixed(single, single, 1.0, 1, 3).select("id", F.array_join("messages", "|").alias("mixed"))
+
+
+# --- documents ------------------------------------------------------------------------------------
+
+_CLEAN_MAP = "".join(", '{}', '{}')".format(a, b.replace("'", "''")) for a, b in text.PUNCTUATION)
+_CLEAN = "regexp_replace(" + "replace(" * len(text.PUNCTUATION) + "regexp_replace(regexp_replace(text, '^[\\s\\x{0b}\\x{85}\\p{Z}]+|[\\s\\x{0b}\\x{85}\\p{Z}]+$', '', 'g'), '[\\s\\x{0b}\\x{85}\\p{Z}]+', ' ', 'g')" + _CLEAN_MAP + ", '[.,!?]+', '.', 'g')"
+
+
+@query(f"WITH d AS (SELECT DISTINCT lang, text FROM documents), c AS (SELECT lang, {_CLEAN} AS text FROM d) SELECT lang, md5(text) AS text_md5, length(text) AS n FROM c WHERE length(text) > 0")
+def clean_documents(spark, sf):
+    cleaned = curate.clean_table(_t(spark, sf, "documents").select("lang", "text"), "text")
+    return cleaned.select("lang", F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("n"))
+
+
+@query("SELECT count(*) - count(DISTINCT (text, lang)) AS duplicates FROM documents")
+def dup_rows(spark, sf):
+    return report.duplicate_rows(_t(spark, sf, "documents").select("text", "lang")).select(F.col("duplicates").cast("long").alias("duplicates"))
+
+
+@query("""WITH n AS (SELECT doc_id, lang, source, lower(regexp_replace(text, '[^A-Za-z0-9]+', '', 'g')) AS k FROM documents)
+  SELECT md5(k) AS k, min(doc_id) AS doc_id, arg_min(lang, doc_id) AS lang, arg_min(CASE WHEN source <> 'src0' THEN source END, CASE WHEN source <> 'src0' THEN doc_id END) AS source FROM n GROUP BY k""")
+def near_final_dedup(spark, sf):
+    key = F.lower(F.regexp_replace("text", "[^A-Za-z0-9]+", ""))
+    rows = _t(spark, sf, "documents").select(F.md5(key).alias("k"), "doc_id", "lang", F.when(F.col("source") != "src0", F.col("source")).alias("source"), F.col("doc_id").alias("o"))
+    return distinct.first_known(rows, "k", "o").select("k", "doc_id", "lang", "source")
+
+
+@query("""SELECT lang, round(avg(length(regexp_replace(text, '[^A-Za-z]', '', 'g')) / nullif(length(text), 0)), 6) AS latin_share,
+  sum(length(regexp_replace(text, '[^一-鿿]', '', 'g')))::BIGINT AS han FROM documents GROUP BY lang""")
+def lang_ratio(spark, sf):
+    r = text.english_ratio(F.col("text"))
+    latin = F.length(F.regexp_replace("text", "[^A-Za-z]", ""))
+    return _t(spark, sf, "documents").groupBy("lang").agg(F.round(F.avg(F.try_divide(latin, F.length("text"))), 6).alias("latin_share"), F.sum(r["chinese_count"]).cast("long").alias("han"))
+
+
+@query("""SELECT lang, count(*) FILTER (length(text) > 300) AS too_long, count(*) FILTER (regexp_matches(text, '[。，！？：；（）【】《》、～…—]')) AS full_width, count(*) AS n FROM documents GROUP BY lang""")
+def text_audit(spark, sf):
+    a = curate.audit(F.col("text"))
+    return _t(spark, sf, "documents").groupBy("lang").agg(F.count_if(a["too_long"]).alias("too_long"), F.count_if(a["full_width"]).alias("full_width"), F.count(F.lit(1)).alias("n"))
+
+
+_CASCADE = """CASE WHEN length(text) < 50 THEN 'short' WHEN regexp_matches(text, '[*#$%&|]{3}') THEN 'symbols' WHEN regexp_matches(text, '(?i)licen[sc]e') THEN 'license' WHEN toxic = 1 THEN 'toxic' ELSE 'legal' END"""
+
+
+@query(f"SELECT source, {_CASCADE} AS verdict, count(*) AS n FROM documents LEFT JOIN labels USING (doc_id) GROUP BY ALL")
+def quality_cascade(spark, sf):
+    c = F.col("text")
+    verdict = quality.cascade((F.length(c) < 50, "short"), (c.rlike("[*#$%&|]{3}"), "symbols"), (c.rlike("(?i)licen[sc]e"), "license"), (F.col("toxic") == 1, "toxic"))
+    return _labelled(spark, sf, "left").groupBy("source", verdict.alias("verdict")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT doc_id, regexp_extract(text, '(?i)(licen[sc]e|copyright|token|password)', 0) AS reason FROM documents WHERE regexp_matches(text, '(?i)(licen[sc]e|copyright|token|password)')""")
+def reason_extract(spark, sf):
+    p = "(?i)(licen[sc]e|copyright|token|password)"
+    return _t(spark, sf, "documents").filter(F.col("text").rlike(p)).select("doc_id", F.regexp_extract("text", p, 0).alias("reason"))
+
+
+@query(f"""WITH {_PAIRS}, m AS (SELECT *, count(*) OVER (PARTITION BY conv_id) AS n, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM pairs),
+  f AS (SELECT conv_id, k, 1 AS step, CASE WHEN regexp_matches(assistant, '(?i)(the|oder|mente)') THEN 'persona' END AS verdict, regexp_extract(assistant, '(?i)(the|oder|mente)', 0) AS reason FROM m)
+  SELECT conv_id, coalesce(arg_min(verdict, CASE WHEN verdict IS NOT NULL THEN k END), 'legal') AS verdict, coalesce(arg_min(CASE WHEN verdict IS NOT NULL THEN reason END, CASE WHEN verdict IS NOT NULL THEN k END), '') AS reason FROM f GROUP BY conv_id""")
+def conversation_gate(spark, sf):
+    gate = quality.Gate(banned=("the", "oder", "mente"), persona_query=())
+    rows = _messages(spark, sf).select("conv_id", "messages", F.lit("").alias("owner"), F.lit("").alias("dataset"), F.lit("").alias("source"))
+    return quality.judged(rows, gate).select("conv_id", "verdict", "reason")
+
+
+@query("""SELECT doc_id, count(*) AS n_lines, md5(string_agg(line, '|' ORDER BY i)) AS lines FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents)
+  WHERE line <> '' AND NOT contains(line, '-') AND NOT contains(line, '**') GROUP BY doc_id""")
+def explode_lines(spark, sf):
+    rows = _t(spark, sf, "documents").withColumn("q", curate.generalised(F.col("text"))).filter(F.size("q") > 0)
+    return rows.select("doc_id", F.size("q").cast("long").alias("n_lines"), F.md5(F.array_join("q", "|")).alias("lines"))
+
+
+@query("SELECT doc_id, quality, toxic, source FROM documents JOIN labels USING (doc_id) WHERE toxic IN (0, -1) AND source IN ('src1', 'src2', 'src3') AND quality IN (1)")
+def dynamic_filter(spark, sf):
+    rows = _labelled(spark, sf)
+    rules = (curate.Is("toxic", (0, -1)), curate.Is("source", ("src1", "src2", "src3")), curate.Is("not_there", (1,)))
+    flawed = (curate.Is("quality", (1,)), curate.Is("also_missing", (1,)))
+    out = rows.filter(curate._and(curate.usable(rows, rules))).filter(curate._or(curate.usable(rows, flawed)))
+    return out.select("doc_id", "quality", "toxic", "source")
+
+
+@query("SELECT doc_id, CASE WHEN quality = 0 THEN 'low' WHEN toxic = 1 THEN 'toxic' ELSE 'normal' END AS task_name FROM documents JOIN labels USING (doc_id)")
+def task_label(spark, sf):
+    tasks = (("missing", 1, "never"), ("quality", 0, "low"), ("toxic", 1, "toxic"))
+    rows = _labelled(spark, sf)
+    return rows.select("doc_id", curate.task_name(rows.columns, tasks, "normal").alias("task_name"))
+
+
+@query("""WITH p AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN '[]' ELSE url END AS a, CASE WHEN page_id % 5 = 0 THEN 'x[[]]' ELSE 'y' END AS b FROM pages) SELECT page_id, a, b FROM p WHERE NOT (regexp_matches(a, '^\\[\\]$|\\[\\[\\]\\]$') OR regexp_matches(b, '^\\[\\]$|\\[\\[\\]\\]$'))""")
+def any_empty_column(spark, sf):
+    p = F.col("page_id")
+    rows = _t(spark, sf, "pages").select("page_id", F.when(p % 3 == 0, "[]").otherwise(F.col("url")).alias("a"), F.when(p % 5 == 0, "x[[]]").otherwise("y").alias("b"))
+    return curate.without_nothing(rows)
+
+
+@query("SELECT doc_id FROM (SELECT doc_id FROM documents ORDER BY md5('0|' || doc_id), doc_id LIMIT (SELECT round_even(count(*) / 2.0, 0)::BIGINT FROM documents))")
+def exact_half_sample(spark, sf):
+    return order.half(_t(spark, sf, "documents").select("doc_id"), "doc_id")
+
+
+@query("SELECT doc_id FROM documents ORDER BY md5('0|' || doc_id), doc_id LIMIT 500")
+def cap_500(spark, sf):
+    return order.capped(_t(spark, sf, "documents").select("doc_id"), 500, "doc_id")
+
+
+@query("SELECT doc_id, ((row_number() OVER (ORDER BY doc_id) - 1) // (SELECT ceil(count(*) / 7.0)::BIGINT FROM documents))::INT AS chunk FROM documents")
+def half_split_chunks(spark, sf):
+    return order.chunks(_t(spark, sf, "documents").select("doc_id"), 7, ["doc_id"]).select("doc_id", "chunk")
+
+
+@query("""SELECT b.item_id, count(d.doc_id) AS n_docs FROM benchmark b LEFT JOIN (SELECT doc_id, lower(regexp_replace(unnest(string_split(text, chr(10))), '[\\s[:punct:]]+', '', 'g')) AS k FROM documents) d
+  ON d.k = lower(regexp_replace(b.text, '[\\s[:punct:]]+', '', 'g')) AND d.k <> '' GROUP BY b.item_id""")
+def train_overlap(spark, sf):
+    norm = lambda c: F.lower(F.regexp_replace(c, r"[\s!-/:-@\[-`{-~]+", ""))
+    lines = _t(spark, sf, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("x")).select("doc_id", norm(F.col("x")).alias("k")).filter("k <> ''")
+    return _t(spark, sf, "benchmark").withColumn("k", norm(F.col("text"))).join(lines, "k", "left").groupBy("item_id").agg(F.count("doc_id").alias("n_docs"))
+
+
+@query("SELECT doc_id FROM documents WHERE lower(regexp_replace(text, '[\\s[:punct:]]+', '', 'g')) NOT IN (SELECT lower(regexp_replace(text, '[\\s[:punct:]]+', '', 'g')) FROM benchmark) AND text IS NOT NULL")
+def unlike_training(spark, sf):
+    return align.unlike_training(_t(spark, sf, "documents").select("doc_id", "text"), _t(spark, sf, "benchmark").select("text"), "text").select("doc_id")
+
+
+@query("""SELECT doc_id, 'obs1 ' || lang || chr(10) || chr(10) || 'obs2 ' || source || chr(10) || chr(10) || 'obs3 ' || n_chars AS obs FROM documents""")
+def obs_number(spark, sf):
+    p = F.array(F.array("lang", "source"), F.array(F.col("n_chars").cast("string")))
+    return _t(spark, sf, "documents").select("doc_id", text.number_passages(p).alias("obs"))
+
+
+@query("""WITH p AS (SELECT doc_id, 4 + length(lang) AS a, 4 + length(source) + 4 + length(substr(text, 1, 20)) AS b, 4 + length(substr(text, 1, 60)) AS c FROM documents)
+  SELECT doc_id, CASE WHEN 2 + a > 60 THEN 0 WHEN 2 + a + 2 + b > 60 THEN 1 WHEN 2 + a + 2 + b + 2 + c > 60 THEN 2 ELSE 3 END AS kept FROM p""")
+def obs_cap(spark, sf):
+    c = F.col("text")
+    p = F.array(F.array("lang"), F.array(F.col("source"), F.substring(c, 1, 20)), F.array(F.substring(c, 1, 60)))
+    return _t(spark, sf, "documents").select("doc_id", F.size(order.within_length(p, 60)).alias("kept"))
+
+
+@query("""SELECT doc_id, ['reverse', 'shuffle', 'none'][('0x' || substr(md5('0|' || doc_id), 1, 4))::INT % 3 + 1] AS mode,
+  CASE ('0x' || substr(md5('0|' || doc_id), 1, 4))::INT % 3 WHEN 0 THEN source || ',' || lang || ',c' WHEN 2 THEN 'c,' || lang || ',' || source
+    ELSE array_to_string(list_transform(list_sort([{'m': md5(doc_id || 'c'), 'x': 'c'}, {'m': md5(doc_id || lang), 'x': lang}, {'m': md5(doc_id || source), 'x': source}]), lambda s: s.x), ',') END AS passages FROM documents""")
+def shuffle_modes(spark, sf):
+    rows = _t(spark, sf, "documents").withColumn("mode", order.order_mode("doc_id"))
+    p = order.reordered(F.array(F.array(F.lit("c"), F.col("lang"), F.col("source"))), F.col("mode"), F.col("doc_id"))
+    return rows.select("doc_id", "mode", F.array_join(F.get(p, F.lit(0)), ",").alias("passages"))
+
+
+@query("""SELECT lang, count(*) AS rows, floor(avg(length(text)))::BIGINT AS mean_length, floor(quantile_cont(length(text), 0.1))::BIGINT AS q10, floor(quantile_cont(length(text), 0.9))::BIGINT AS q90,
+  median(length(text)) AS median_length, max(length(text)) AS max_length, count(*) FILTER (length(text) > 2000) AS over_2000 FROM documents GROUP BY lang""")
+def length_report(spark, sf):
+    rows = _t(spark, sf, "documents")
+    daily = report.daily_report(rows, "text", F.col("text"), "lang")
+    more = rows.groupBy("lang").agg(*[c for c in report.lengths(F.col("text"))]).select("lang", F.col("median_length"), F.col("max_length").cast("long").alias("max_length"), "over_2000")
+    return daily.join(more, "lang")
+
+
+@query("""SELECT source, round(avg(regexp_matches(text, '(?m)^\\s*([-*+]|[0-9]+[.)]) ')::INT), 6) AS is_md_list, round(avg(regexp_matches(text, '\\*\\*[^*\\n]+\\*\\*')::INT), 6) AS is_md_bold FROM documents GROUP BY source""")
+def layout_ratios(spark, sf):
+    rules = text.layout(F.col("text"))
+    share = lambda k: F.round(F.avg(rules[k].cast("int")), 6).alias(k)
+    return _t(spark, sf, "documents").groupBy("source").agg(share("is_md_list"), share("is_md_bold"))
+
+
+# --- labels, judges -------------------------------------------------------------------------------
+
+
+@query("""SELECT d.doc_id AS a, l.doc_id AS b, coalesce(d.k, l.k) AS k FROM (SELECT doc_id, CASE WHEN doc_id % 70 = 0 THEN NULL ELSE 'k' || doc_id END AS k FROM documents) d
+  FULL JOIN (SELECT doc_id, CASE WHEN doc_id % 110 = 0 THEN NULL ELSE 'k' || doc_id END AS k FROM labels) l ON d.k IS NOT DISTINCT FROM l.k""")
+def null_safe_outer(spark, sf):
+    side = lambda t, n, by: _t(spark, sf, t).select(F.col("doc_id").alias(n), F.when(F.col("doc_id") % by == 0, None).otherwise(F.concat(F.lit("k"), F.col("doc_id"))).alias("k"))
+    return align.outer_by_query(side("documents", "a", 70), side("labels", "b", 110), "k").select("a", "b", "k")
+
+
+@query("SELECT doc_id, quality AS m1, 1 - toxic AS m2 FROM labels")
+def pivot_models(spark, sf):
+    l = _t(spark, sf, "labels")
+    long = l.select("doc_id", F.lit("m1").alias("model"), F.col("quality").alias("score")).union(l.select("doc_id", F.lit("m2"), 1 - F.col("toxic")))
+    return align.by_model(long, "doc_id", ["m1", "m2"])
+
+
+def _judged(spark, sf) -> DataFrame:
+    q, x, d = F.col("quality").cast("string"), F.col("toxic").cast("string"), F.col("doc_id")
+    said = F.when(d % 13 == 0, tokens.FAILED).when(d % 17 == 0, "nothing").otherwise(F.concat(F.lit("准确性：\n1【"), q, F.lit("】2「1」兜底\n是否为兜底回复：【"), x, F.lit("】")))
+    return _t(spark, sf, "labels").withColumn("said", said)
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN '-2' WHEN doc_id % 17 = 0 THEN '-3' ELSE quality::VARCHAR END AS scores,
+  CASE WHEN doc_id % 13 = 0 OR doc_id % 17 = 0 THEN 0 WHEN quality = 0 OR toxic = 1 THEN 0 ELSE 1 END AS final FROM labels""")
+def judge_authenticity(spark, sf):
+    j = judge.AUTHENTICITY
+    return _judged(spark, sf).select("doc_id", F.array_join(j.scores(F.col("said")).cast("array<string>"), ",").alias("scores"), j.final(F.col("said")).alias("final"))
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN -2 WHEN doc_id % 7 = 0 THEN -1 WHEN quality = 1 THEN 1 ELSE 0 END AS score,
+  CASE WHEN doc_id % 13 = 0 OR doc_id % 7 = 0 OR quality = 0 OR toxic = 1 THEN 0 ELSE 1 END AS final, CASE WHEN doc_id % 13 = 0 THEN -2 WHEN doc_id % 7 = 0 THEN -1 WHEN quality = 1 THEN 1 ELSE 0 END AS five FROM labels""")
+def judge_relevance(spark, sf):
+    d = F.col("doc_id")
+    score = F.when(d % 7 == 0, "").when(F.col("quality") == 1, "5").otherwise("3")
+    said = F.when(d % 13 == 0, tokens.FAILED).otherwise(F.concat(F.lit("相关性【"), score, F.lit("】\n兜底评估：{{"), F.col("toxic").cast("string"), F.lit(".0}}")))
+    rows = _t(spark, sf, "labels").withColumn("said", said)
+    return rows.select("doc_id", judge.relevance_score(F.col("said")).alias("score"), judge.relevance_final(F.col("said")).alias("final"), judge.all_five(F.col("said")).alias("five"))
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN -1 ELSE quality END AS truth, CASE WHEN doc_id % 5 = 0 THEN -1 ELSE toxic END AS flag FROM labels""")
+def judge_json(spark, sf):
+    d = F.col("doc_id")
+    said = F.when(d % 5 == 0, "{broken").otherwise(F.concat(F.lit('{"eval_results":[{"pred_truth_score":'), F.col("quality"), F.lit("}]}")))
+    flag = F.when(d % 5 == 0, "no braces").otherwise(F.concat(F.lit('Verdict {"is_correct": '), (F.col("toxic") == 1).cast("string"), F.lit("} done")))
+    return _t(spark, sf, "labels").select("doc_id", judge.service_score(said, "pred_truth_score").alias("truth"), judge.json_flag(flag, "is_correct").alias("flag"))
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN -1.0 ELSE quality / 2.0 END AS style, CASE WHEN doc_id % 4 <> 0 AND quality = 1 THEN 1 ELSE 0 END AS follow FROM labels""")
+def judge_patterns(spark, sf):
+    d = F.col("doc_id")
+    style = F.when(d % 4 == 0, "话术得分: {{x}}").otherwise(F.concat(F.lit("话术得分: {{"), F.format_string("%.1f", F.col("quality") / 2.0), F.lit("}}")))
+    follow = F.when(d % 4 == 0, "none").otherwise(F.concat(F.lit("so {{"), F.col("quality"), F.lit("}}")))
+    return _t(spark, sf, "labels").select("doc_id", judge.pattern_score(style, "speech_style").alias("style"), judge.follows(follow).alias("follow"))
+
+
+_SCORES = "SELECT doc_id, quality AS s1, 1 - toxic AS s2, CASE WHEN doc_id % 9 = 0 THEN -1 ELSE 1 END AS s3 FROM labels"
+
+
+def _scores() -> Column:
+    return F.array(F.col("quality"), 1 - F.col("toxic"), F.when(F.col("doc_id") % 9 == 0, -1).otherwise(1))
+
+
+@query(f"SELECT doc_id, CASE WHEN (s1 = 1)::INT + (s2 = 1)::INT + (s3 = 1)::INT >= 2 THEN 1 WHEN s1 = 1 AND s2 <> s3 THEN 1 ELSE 0 END AS vote, s1 AS pair_vote FROM ({_SCORES})")
+def vote_scores(spark, sf):
+    s = _scores()
+    return _t(spark, sf, "labels").select("doc_id", judge.vote(s).alias("vote"), judge.vote(F.slice(s, 1, 2)).alias("pair_vote"))
+
+
+@query(f"""WITH r AS (SELECT CASE WHEN s1 = 1 AND s2 = 1 AND s3 = 1 THEN 'keep' WHEN s1 = 0 AND s2 = 0 AND s3 = 0 THEN 'discard' ELSE 'label' END AS route FROM ({_SCORES}))
+  SELECT route, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM r GROUP BY route""")
+def consistency_route(spark, sf):
+    rows = _t(spark, sf, "labels").select(judge.route(judge.consistent(_scores())).alias("route"))
+    return report.shares(rows, "route").select("route", "n", F.round("share", 6).alias("share"))
+
+
+_RATIO = "CASE WHEN count(*) FILTER (quality IN (0, 1)) = 0 THEN 0 ELSE count(*) FILTER (quality = 1) / count(*) FILTER (quality IN (0, 1)) END"
+
+
+@query(f"SELECT source, printf('%.4f', {_RATIO}) AS ratio FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source")
+def positive_ratio(spark, sf):
+    return _labelled(spark, sf, "left").groupBy("source").agg(report.four_digits(report.positive_ratio(F.col("quality"))).alias("ratio"))
+
+
+@query(f"SELECT lang, source, round({_RATIO}, 6) AS ratio, count(*) FILTER (quality IN (0, 1)) AS n, count(*) FILTER (quality < 0) AS wrong FROM documents LEFT JOIN labels USING (doc_id) GROUP BY ROLLUP (lang, source)")
+def score_rollup(spark, sf):
+    return report.by_level(_labelled(spark, sf, "left"), "lang", "source", score="quality").withColumn("ratio", F.round("ratio", 6))
+
+
+@query("""WITH c AS (SELECT count(*) FILTER (quality = 1 AND toxic = 0) AS tp, count(*) FILTER (quality = 0 AND toxic = 0) AS fp, count(*) FILTER (quality = 1 AND toxic = 1) AS fn FROM labels)
+  SELECT round(tp / (tp + fp), 6) AS "precision", round(tp / (tp + fn), 6) AS recall, round(2 * tp / (2 * tp + fp + fn), 6) AS f1 FROM c""")
+def prf1(spark, sf):
+    cells = report.precision_recall(F.col("quality"), 1 - F.col("toxic"))
+    out = _t(spark, sf, "labels").agg(*cells)
+    return out.select(*[F.round(c, 6).alias(c) for c in out.columns])
+
+
+@query("SELECT count(*) FILTER (toxic = 1) / count(*) AS bad_ratio, count(*) FILTER (toxic = 1) / count(*) <= 0.5 AS passes FROM labels")
+def wrong_data_gate(spark, sf):
+    return report.gate_ratio(_t(spark, sf, "labels"), F.col("toxic") == 1)
+
+
+# --- events, orders, pages, embeddings ------------------------------------------------------------
+
+
+@query("""SELECT event_id, '<|api_start|><|kvs|>APINAME=>' || event_type || '<|kve|><|kvs|>QUERY=>a=>' || user_id || '<|kve|><|api_end|>' AS api, event_type AS name, 'a=>' || user_id AS query,
+  '<|api_start|><|kvs|>APINAME=>' || event_type || '<|kve|><|kvs|>QUERY=>a<|kve|><|api_end|>' AS items FROM events""")
+def api_codec(spark, sf):
+    entry = lambda k, v: F.struct(F.lit(k).alias("k"), v.cast("string").alias("v"))
+    call = F.array(entry("APINAME", F.col("event_type")), entry("QUERY", F.concat(F.lit("a=>"), F.col("user_id"))))
+    rows = _t(spark, sf, "events").withColumn("api", codec.call_text(call)).withColumn("back", codec.parse_call(F.col("api")))
+    return rows.select("event_id", "api", codec.value_of(F.col("back"), "apiname").alias("name"), codec.value_of(F.col("back"), "query").alias("query"), codec.items_text(codec.call_items(F.col("api"))).alias("items"))
+
+
+@query("""SELECT event_id, least(1 + event_id % 3, 1 + user_id % 2) AS n_calls,
+  CASE WHEN 1 + event_id % 3 < 1 + user_id % 2 THEN 1 ELSE 1 + user_id % 2 END AS n_lists FROM events""")
+def api_obs_align(spark, sf):
+    call = F.array(F.struct(F.lit("k").alias("k"), F.lit("v").alias("v")))
+    calls = F.array_repeat(call, (1 + F.col("event_id") % 3).cast("int"))
+    lists = F.array_repeat(F.array(F.col("event_type")), (1 + F.col("user_id") % 2).cast("int"))
+    a = codec.align_calls(calls, lists)
+    return _t(spark, sf, "events").select("event_id", F.size(a["calls"]).cast("long").alias("n_calls"), F.size(a["passages"]).cast("long").alias("n_lists"))
+
+
+@query("""SELECT event_id, '<|kvs|>{"' || event_type || 'Results": ["a ' || user_id || '", "b"]}<|kve|>' AS obs, 'a ' || user_id || ',b' AS back FROM events""")
+def observation_codec(spark, sf):
+    calls = F.array(F.array(F.struct(F.lit("apiname").alias("k"), F.col("event_type").alias("v"))))
+    rows = _t(spark, sf, "events").withColumn("obs", codec.observations_text(calls, F.array(F.array(F.concat(F.lit("a "), F.col("user_id")), F.lit("b")))))
+    return rows.select("event_id", "obs", F.array_join(F.flatten(codec.passages_of(codec.observation_items(F.col("obs")))), ",").alias("back"))
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def json_props(spark, sf):
+    return _t(spark, sf, "events").select("event_id", F.from_json("props", "struct<k:bigint>")["k"].alias("k"))
+
+
+@query("""SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, year(o_orderdate) || '-' || month(o_orderdate) || '-' || day(o_orderdate) || ' ' || o_orderkey % 24 || ':' || o_orderkey % 60 || ':00' AS logged_at FROM orders""")
+def date_parse(spark, sf):
+    day, k = temporal.chinese_date(F.col("o_orderdate")), F.col("o_orderkey")
+    said = F.concat(F.lit("用户今天日期："), day, F.lit("。\n用户今天农历：x。用户现在时间："), k % 24, F.lit("时"), k % 60, F.lit("分。用户现在位置：y。"))
+    return _t(spark, sf, "orders").select("o_orderkey", temporal.parse_chinese_date(day).cast("string").alias("day"), logparse.logged_at(said).alias("logged_at"))
+
+
+@query("""SELECT strftime(d.day, '%Y-%m-%d') AS day, count(o_orderkey) AS n, floor(coalesce(quantile_cont(o_totalprice, 0.9), 0))::BIGINT AS q90
+  FROM (SELECT unnest(generate_series(DATE '1995-01-02', DATE '1995-01-15', INTERVAL 1 DAY)) AS day) d LEFT JOIN orders ON o_orderdate::DATE = d.day::DATE GROUP BY d.day""")
+def date_window_report(spark, sf):
+    days = spark.range(1).select(F.explode(temporal.date_list(F.lit("1995-01-02"), F.lit("1995-01-15"))).alias("day"))
+    rows = _t(spark, sf, "orders").filter((F.col("o_orderdate") >= "1995-01-02") & (F.col("o_orderdate") < "1995-01-16")).withColumn("day", F.to_date("o_orderdate"))
+    return days.join(rows, "day", "left").groupBy(F.col("day").cast("string").alias("day")).agg(F.count("o_orderkey").alias("n"), F.floor(F.coalesce(F.percentile("o_totalprice", 0.9), F.lit(0.0))).alias("q90"))
+
+
+@query("SELECT o_custkey, strftime(max(o_orderdate), '%Y-%m-%d') AS latest FROM orders GROUP BY o_custkey")
+def max_publish_date(spark, sf):
+    said = F.collect_list(F.concat(F.lit("seen "), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" here")))
+    return _t(spark, sf, "orders").groupBy("o_custkey").agg(temporal.last_published(said).cast("string").alias("latest"))
+
+
+@query(f"""SELECT year(o_orderdate) AS y, substr('{temporal.STEMS}', (year(o_orderdate) - 4) % 10 + 1, 1) || substr('{temporal.BRANCHES}', (year(o_orderdate) - 4) % 12 + 1, 1) AS cycle,
+  substr('{temporal.ZODIAC}', (year(o_orderdate) - 4) % 12 + 1, 1) AS animal, count(*) AS n FROM orders GROUP BY ALL""")
+def lunar_cycle(spark, sf):
+    y = F.year("o_orderdate")
+    return _t(spark, sf, "orders").groupBy(y.cast("long").alias("y"), temporal.cycle_name(y).alias("cycle"), temporal.zodiac(y).alias("animal")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT page_id, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title, len(regexp_extract_all(html, '(?i)<a\\s[^>]*href')) AS links FROM pages")
+def html_links(spark, sf):
+    h = F.col("html")
+    return _t(spark, sf, "pages").select("page_id", F.regexp_extract(h, r"(?is)<title[^>]*>(.*?)</title>", 1).alias("title"), F.regexp_count(h, F.lit(r"(?i)<a\s[^>]*href")).cast("long").alias("links"))
+
+
+@query("""SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 4) AS cosine FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id
+  WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.35""")
+def sim_pairs(spark, sf):
+    return distinct.similar_pairs(_t(spark, sf, "embeddings"), "vec_id", "embedding", 0.35).select("a", "b", F.round("cosine", 4).alias("cosine"))
+
+
+@query()
+def semantic_dedup(spark, sf):
+    return distinct.semantic_groups(_t(spark, sf, "embeddings"), "vec_id", "embedding", most=0.65)
+
+
+@query()
+def llm_map_echo(spark, sf):
+    rows = _t(spark, sf, "documents").select(F.col("doc_id").alias("row_id"), F.concat(F.lit("Judge: "), F.md5("text")).alias("prompt"))
+    asked = ask_rounds(rows, EchoJudge, limits=Limits(per_second=0, pause=0.0))
+    return asked.select("row_id", "response", judge.AUTHENTICITY.final(F.col("response")).alias("final"))
+
 
+@query("SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
+def event_windows(spark, sf):
+    return jobs.event_windows(_t(spark, sf, "events")).withColumn("total", F.round("total", 4))
 
-def oracle_sql() -> dict:
-    return {}

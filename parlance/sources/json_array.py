@@ -1,0 +1,47 @@
+"""A sink of JSON arrays: a file a chunk, records one by one."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+
+
+class JsonArraySource(DataSource):
+    """Writes rows (chunk, record as JSON text) to ``<path>/<name><chunk>.json``. The path must be one
+    that all workers mount."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "json_array"
+
+    def schema(self) -> str:
+        return "chunk int, record string"
+
+    def writer(self, schema, overwrite):
+        return _Writer(self.options)
+
+
+class _Writer(DataSourceWriter):
+    def __init__(self, options):
+        self.path, self.name = options["path"].removeprefix("file://"), options.get("name", "part")
+
+    def write(self, rows):
+        os.makedirs(self.path, exist_ok=True)
+        chunk, out = None, None
+        for row in rows:
+            if row.chunk != chunk:
+                self._close(out, chunk)
+                chunk = row.chunk
+                out = open(f"{self.path}/.{self.name}{chunk}.tmp", "w", encoding="utf-8")
+                out.write("[\n    " + row.record)
+            else:
+                out.write(",\n    " + row.record)
+        self._close(out, chunk)
+        return WriterCommitMessage()
+
+    def _close(self, out, chunk):
+        if out is not None:
+            out.write("\n]\n")
+            out.close()
+            os.replace(f"{self.path}/.{self.name}{chunk}.tmp", f"{self.path}/{self.name}{chunk}.json")
