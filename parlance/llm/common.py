@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parlance.workers import ship
+
 #: Marks split words in every operator: ASCII white space only.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -31,20 +31,6 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def ship(spark: SparkSession) -> None:
-    """Give the workers this package, once a context: they may not have it on their path."""
-    context = spark.sparkContext
-    if getattr(context, "_parlance_shipped", False):
-        return
-    package = Path(__file__).resolve().parents[1]
-    archive = Path(tempfile.mkdtemp(prefix="parlance-")) / f"parlance-{uuid.uuid4().hex}.zip"
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
-        for f in sorted(package.rglob("*.py")):
-            out.write(f, f.relative_to(package.parent))
-    context.addPyFile(str(archive))
-    context._parlance_shipped = True
-
-
 def map_arrow(df: DataFrame, run, schema) -> DataFrame:
     """``mapInArrow`` on workers that have this package."""
     ship(df.sparkSession)

@@ -8,13 +8,15 @@ variance; once all slots hold less than the next step, nothing can change and th
 1. Texts with one and the same set are one representative from here on.
 2. Signatures are cut into bands; representatives that share a band are candidates. Rows a band
    are chosen so that a pair at the threshold is missed with a chance below one in a million.
-3. In each bucket all members are held against one of them, the hub, on full sets. A member at
-   distance d of the hub can be linked to one at distance e only if |d - e| <= 1 - t: distances
-   are a metric. So members beyond 2 (1 - t) are done with all that the hub is linked to; members
-   between are held against those that the bound leaves; members that are not linked go on to the
-   next round with a hub of their own. After ``ROUNDS`` rounds the few that are left are held
-   against each other. No bucket's pairs are written out, however many copies it holds.
-4. Links are grouped by union-find: in each partition first, then by star contraction over all.
+3. In each bucket all members are held against one of them, the hub, on full sets: the one whose
+   buckets hold most members, so that of a text and its variants it is the text. Linked members
+   are grouped. Where a bucket still has members of several groups, those outside the hub's group
+   get a hub of their own, and so on for a few rounds.
+4. In buckets that have several groups even then, members of different groups are held against
+   each other, but for pairs that the hub rules out: distances are a metric, so members at
+   distances d and e of the hub can be linked only if |d - e| <= 1 - t. No bucket writes out pairs
+   within a group, however many copies it holds, and no pair that could link two groups is left.
+5. Groups are found by union-find: in each partition first, then by star contraction over all.
 
 Sets hold 64-bit hashes of shingles. Defined cases: null and empty texts have empty sets and are
 linked with nothing; rows that share an id are one document; a null id is its own component and
@@ -34,7 +36,7 @@ from parlance.llm.common import map_arrow, materialize, text_bytes
 
 #: A prime, so that every step width makes a permutation of the slots.
 SLOTS = 127
-ROUNDS = 6
+ROUNDS = 4
 #: Bytes of text worked on at once.
 SLICE = 2_000_000
 _LOWER = np.array([c + 32 if 0x41 <= c <= 0x5A else 0x20 if 9 <= c <= 13 else c for c in range(256)], dtype=np.uint8)
@@ -246,49 +248,60 @@ def _near(percent: int) -> Column:
     return F.col("common") * 100 >= F.col("united") * percent
 
 
-def links(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(hi, lo): links enough to connect whatever is near. reps: (rep, n, bands); docs: (doc, text)."""
-    safe = max(0, 2 * percent - 100)  # below this a member is done with all that its hub is linked to
+def connected(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """(node, component) of whatever is near something else. reps: (rep, n, bands); docs: (doc, text)."""
+    safe = max(0, 2 * percent - 100)  # a member further from the hub cannot be linked to what the hub is linked to
+    t = percent / 100
     members = reps.select("rep", "n", F.explode("bands").alias("bucket"))
-
-    def hubs(of: DataFrame) -> DataFrame:
-        return materialize(of.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("h"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("bucket", F.col("h.rep").alias("hub"), F.col("h.n").alias("hub_n")))
-
     # Only buckets with several members matter from here on.
-    first = hubs(members)
-    members = materialize(members.join(first.select("bucket"), "bucket", "left_semi"))
+    shared = materialize(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"))
+    members = materialize(members.join(shared, "bucket"))
+    members = materialize(members.join(members.groupBy("rep").agg(F.sum("c").alias("weight")), "rep").select("bucket", "rep", "n", "weight"))
     check = _Verifier(docs, k)
     check.prepare(members.select(F.col("rep").alias("doc")).distinct())
-    found: DataFrame | None = None
-    ratio = lambda p: (F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * p)
 
-    def add(measured: DataFrame) -> None:
-        nonlocal found
-        near = measured.filter(_near(percent)).select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
-        found = near if found is None else found.unionByName(near)
+    def with_hub(of: DataFrame, *more: str) -> DataFrame:
+        """Each member beside its bucket's hub."""
+        hub = of.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("rep")).alias("r"), "n", *more)).alias("h"))
+        return of.join(materialize(hub.select("bucket", (-F.col("h.r")).alias("hub"), F.col("h.n").alias("hub_n"), *[F.col(f"h.{m}").alias(f"hub_{m}") for m in more])), "bucket")
+
+    def close(n: str, m: str, p: int) -> Column:
+        return F.least(n, m) * 100 >= F.greatest(n, m) * p
 
+    def near(measured: DataFrame) -> DataFrame:
+        return measured.filter(_near(percent)).select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
+
+    held = with_hub(members)
+    sims = materialize(check.measure(held.filter((F.col("rep") != F.col("hub")) & close("n", "hub_n", safe)).select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()))
+    # Members that sizes alone keep apart from the hub are not measured: their similarity is null, and below ``safe``.
+    known = held.join(sims.withColumnsRenamed({"a": "hub", "b": "rep"}), ["hub", "rep"], "left")
+    held = materialize(known.select("bucket", "rep", "n", "weight", "hub", F.when(F.col("rep") == F.col("hub"), 1.0).otherwise(F.col("common") / F.col("united")).alias("s")))
+    edges = near(sims)
+    groups = materialize(components(edges))
     for turn in range(ROUNDS):
-        hub = first if turn == 0 else hubs(members)
-        if hub.isEmpty():
-            return found if found is not None else reps.sparkSession.createDataFrame([], "hi long, lo long")
-        held = materialize(members.join(hub, "bucket").filter("rep != hub"))
-        sims = materialize(check.measure(held.filter(ratio(safe)).select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()))
-        add(sims)
-        # Members whose sizes alone keep them apart from the hub have not been measured; nor are they linked.
-        known = held.join(sims.withColumnsRenamed({"a": "hub", "b": "rep"}), ["hub", "rep"], "left")
-        linked = F.coalesce(_near(percent), F.lit(False))
-        rest = materialize(known.filter(~linked).select("bucket", "rep", "n", "common", "united"))
-        between = rest.filter(F.col("common") * 100 >= F.col("united") * safe).select("bucket", F.col("rep").alias("x"), F.col("n").alias("xn"), (F.col("common") / F.col("united")).alias("xs"))
-        if not between.isEmpty():
-            near = known.filter(linked).select("bucket", F.col("rep").alias("y"), F.col("n").alias("yn"), (F.col("common") / F.col("united")).alias("ys"))
-            # similarity to the hub differs by at most 1 - t, but for rounding
-            pairs = between.join(near, "bucket").filter((F.col("ys") - F.col("xs") <= 1 - percent / 100 + 1e-9) & (F.least("xn", "yn") * 100 >= F.greatest("xn", "yn") * percent))
-            add(materialize(check.measure(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())))
-        members = rest.select("bucket", "rep", "n")
-    left = members.select("bucket", F.col("rep").alias("a"), F.col("n").alias("an")).join(members.select("bucket", F.col("rep").alias("b"), F.col("n").alias("bn")), "bucket")
-    pairs = left.filter((F.col("a") < F.col("b")) & (F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent)).select("a", "b").distinct()
-    add(materialize(check.measure(pairs)))
-    return found
+        placed = held.drop("group").join(groups, F.col("rep") == F.col("node"), "left").withColumn("group", F.coalesce("component", "rep")).drop("node", "component")
+        placed = materialize(placed)
+        several = placed.groupBy("bucket").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("bucket")
+        held = materialize(placed.join(materialize(several), "bucket", "left_semi"))
+        if held.isEmpty():
+            return groups
+        if turn + 1 == ROUNDS:
+            break
+        mine = materialize(held.filter("rep = hub").select("bucket", F.col("group").alias("mine")))
+        outside = held.join(mine, "bucket").filter("group != mine").drop("hub", "mine", "s")
+        pairs = with_hub(outside, "group").filter((F.col("group") != F.col("hub_group")) & close("n", "hub_n", percent))
+        sims = materialize(check.measure(pairs.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()))
+        new = near(sims)
+        if new.isEmpty():
+            break
+        edges = edges.unionByName(new)
+        groups = materialize(components(edges))
+    side = lambda x: held.select("bucket", F.col("rep").alias(x), F.col("n").alias(f"{x}n"), F.col("s").alias(f"{x}s"), F.col("group").alias(f"{x}g"))
+    a, b = F.col("as"), F.col("bs")
+    # Similarities to the hub differ by at most 1 - t, but for rounding; an unknown one is below ``safe``.
+    may = F.when(a.isNull() & b.isNull(), True).when(a.isNull(), b <= t + 1e-9).when(b.isNull(), a <= t + 1e-9).otherwise(F.abs(a - b) <= 1 - t + 1e-9)
+    pairs = side("a").join(side("b"), "bucket").filter((F.col("a") < F.col("b")) & (F.col("ag") != F.col("bg")) & close("an", "bn", percent) & may)
+    return components(edges.unionByName(near(materialize(check.measure(pairs.select("a", "b").distinct())))))
 
 
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -300,7 +313,7 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
         signed.filter("digest is not null and doc is not null").groupBy("digest").agg(F.min("doc").alias("rep"), F.first("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
     )
     docs = df.select(F.col(id_col).alias("doc"), text_bytes(text_col).alias("text"))
-    joined = components(links(groups.select("rep", "n", "bands"), docs, k, percent))
+    joined = connected(groups.select("rep", "n", "bands"), docs, k, percent)
     # Only what isn't alone; a hot set's rows are many on the left of the join alone.
     known = materialize(
         groups.join(joined, groups["rep"] == joined["node"], "left").select("digest", F.coalesce("component", "rep").alias("component"), "copies", "rep").filter("copies > 1 or component != rep").select("digest", "component")

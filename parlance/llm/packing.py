@@ -25,7 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parlance.llm.common import ship, whole_text
+from parlance.llm.common import whole_text
+from parlance.workers import ship
 
 CAPACITY, GROUP_ROWS = 2048, 2000
 
