@@ -49,8 +49,8 @@ def random_date(start: str, end: str, *seed: Column) -> Column:
 
 
 def asked_on(passages: Column, *seed: Column, start: str = "2020-01-01", end: str = "2026-12-31") -> Column:
-    """1 to 30 days after the latest publication, or 1 to 2 days after a random date."""
-    known = last_published(passages)
+    """1 to 30 days after the latest publication in a call's lists of passages, or 1 to 2 days after a random date."""
+    known = last_published(F.flatten(passages))
     return F.when(known.isNotNull(), F.date_add(known, number(1, 30, *seed, F.lit("d")))).otherwise(F.date_add(random_date(start, end, *seed), number(1, 2, *seed, F.lit("d"))))
 
 
@@ -119,7 +119,7 @@ def lunar_months(first: int, last: int) -> list[tuple[str, int, int]]:
     k0 = floor((first - 2001) * 12.3685) - 3
     days = [beijing(_new_moon(k), 2000 + k / 12.3685) for k in range(k0, k0 + (last - first + 4) * 13)]
     term = lambda day: floor(_sun_longitude(day - 0.5 - 8 / 24) / 30)  # at Beijing's midnight
-    solstice = [i for i, (a, b) in enumerate(zip(days, days[1:], strict=False)) if term(a) == 8 and term(b) == 9]
+    solstice = [i for i, (a, b) in enumerate(zip(days, days[1:], strict=False)) if 7 <= term(a) < 9 <= term(b)]
     out = []
     for a, b in zip(solstice, solstice[1:], strict=False):
         year = (date(2000, 1, 1) + timedelta(days=days[a] - 2451545)).year

@@ -8,9 +8,11 @@ from typing import Protocol
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parlance.functions.codec import passage_list
 from parlance.schema import DOC
+from parlance.workers import ship
 
 
 class Retriever(Protocol):
@@ -39,8 +41,7 @@ def retrieve(requests: DataFrame, make: Callable[[], Retriever], tries: int = 5)
             docs = [one(*x) for x in zip(frame["tool"], frame["query"], frame["tags"], strict=True)]
             yield frame[["row_id", "call"]].assign(docs=docs)
 
-    from pyspark.sql import types as T
-
+    ship(requests.sparkSession)
     schema = T.StructType([requests.schema["row_id"], requests.schema["call"], T.StructField("docs", T.ArrayType(DOC))])
     return requests.select("row_id", "call", "tool", "query", "tags").mapInPandas(run, schema)
 
