@@ -46,9 +46,9 @@ def capped(df: DataFrame, n: int, *key: str, seed: str = "0") -> DataFrame:
 
 
 def half(df: DataFrame, *key: str, share: float = 0.5, seed: str = "0") -> DataFrame:
-    """Exactly that share of the rows, half rounded to even."""
+    """Exactly that share of the rows, half rounded to even. Ranked in ranges: no task gathers them."""
     n = round(df.count() * share)
-    return capped(df, n, *key, seed=seed)
+    return row_ids(df.withColumn("_m", mark(*key, seed=seed)), ["_m", *key], "_r").filter(F.col("_r") <= n).drop("_m", "_r")
 
 
 def chunks(df: DataFrame, k: int, order: list[str], name: str = "chunk") -> DataFrame:
