@@ -114,7 +114,7 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         *(["record", F.col("l.clean_text").alias("clean_text")] if keep_columns else []),
         F.col("id"),
         long("w.n_words", "n_words"), long("w.word_chars", "word_chars"), long("n_symbols", "n_symbols"), long("l.n_dup_lines", "n_dup_lines"), long("w.n_repeat_words", "n_repeat_words"),
-        ((F.col("w.n_words") < 50) | (F.lit(100) * F.col("w.n_repeat_words") > F.lit(50) * F.col("w.n_words"))).alias("base_failed"),
+        ((F.col("w.n_words") < 50) | (100 * F.col("w.n_repeat_words").cast("long") > 50 * F.col("w.n_words").cast("long"))).alias("base_failed"),
         long("l.n_lines", "n_lines"), long("l.n_removed", "n_lines_removed"),
         F.when(F.col("l.chars") > 0, F.col("l.lost_chars") / F.col("l.chars")).otherwise(F.lit(1.0)).alias("lost"),
     )
