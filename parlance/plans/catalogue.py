@@ -540,3 +540,96 @@ def llm_map_echo(spark, sf):
 def event_windows(spark, sf):
     return jobs.event_windows(_t(spark, sf, "events")).withColumn("total", F.round("total", 4))
 
+# --- more of the operators ------------------------------------------------------------------------
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 6 = 0 THEN 1 WHEN quality = 0 OR toxic = 1 THEN 0 ELSE 1 END AS loose, CASE WHEN doc_id % 6 = 0 OR quality = 0 OR toxic = 1 THEN 0 ELSE 1 END AS strict FROM (SELECT doc_id, quality, CASE WHEN doc_id % 6 = 0 THEN 0 ELSE toxic END AS toxic FROM labels)")
+def rescore(spark, sf):
+    d = F.col("doc_id")
+    score, fallback = F.when(d % 6 != 0, F.col("quality")), F.when(d % 6 == 0, 0).otherwise(F.col("toxic"))
+    return _t(spark, sf, "labels").select("doc_id", judge.rescored(score, fallback).alias("loose"), judge.rescored(score, fallback, strict=True).alias("strict"))
+
+
+@query("SELECT doc_id FROM labels WHERE quality = 1 AND toxic = 0")
+def chained_filter(spark, sf):
+    return judge.chain(_t(spark, sf, "labels"), F.col("quality"), 1 - F.col("toxic")).select("doc_id")
+
+
+@query("SELECT doc_id, row_number() OVER (ORDER BY source, doc_id) AS row_id FROM documents")
+def row_numbers(spark, sf):
+    return order.row_ids(_t(spark, sf, "documents").select("doc_id", "source"), ["source", "doc_id"]).select("doc_id", F.col("row_id").cast("long").alias("row_id"))
+
+
+@query("SELECT doc_id, lang || ',' || source AS first_two, n_chars || ',' || lang AS chosen FROM documents")
+def passage_order(spark, sf):
+    p = F.array(F.array(F.col("lang"), F.col("source"), F.col("n_chars").cast("string")))
+    pick = order.picked(p, F.array(F.lit(2), F.lit(9), F.lit(0)))
+    return _t(spark, sf, "documents").select("doc_id", F.array_join(order.top(F.get(p, F.lit(0)), 2), ",").alias("first_two"), F.array_join(F.get(pick, F.lit(0)), ",").alias("chosen"))
+
+
+@query("SELECT event_id, 'QUERY=' || user_id || ';apiname=' || event_type AS call FROM events")
+def call_rename(spark, sf):
+    entry = lambda k, v: F.struct(F.lit(k).alias("k"), v.cast("string").alias("v"))
+    moved = codec.rename_key(F.array(entry("name", F.col("event_type")), entry("QUERY", F.col("user_id"))), "name", "apiname")
+    return _t(spark, sf, "events").select("event_id", F.array_join(F.transform(moved, lambda e: F.concat(e["k"], F.lit("="), e["v"])), ";").alias("call"))
+
+
+@query("SELECT event_id, event_type AS name, 'city' AS category, '' || user_id AS query, 'a|b' AS tags, 'X=' || event_id AS slots, 'scene' AS template FROM events")
+def tool_requests(spark, sf):
+    entry = lambda k, v: F.struct(F.lit(k).alias("k"), v.cast("string").alias("v"))
+    call = F.array(entry("apiname", F.col("event_type")), entry("Category", F.lit("city")), entry("query", F.col("user_id")), entry("TAG", F.lit("a&b")), entry("x", F.col("event_id")))
+    r = _t(spark, sf, "events").withColumn("r", codec.request(call))
+    said = F.array_join(F.transform("r.slots", lambda e: F.concat(e["k"], F.lit("="), e["v"])), ";")
+    return r.select("event_id", "r.name", "r.category", "r.query", F.array_join("r.tags", "|").alias("tags"), said.alias("slots"), "r.template")
+
+
+@query(f"""WITH {_PAIRS} SELECT conv_id, turn, coalesce(string_agg(usr || '>' || assistant, '|') OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS history FROM pairs""")
+def turn_history(spark, sf):
+    h = order.earlier(["conv_id"], ["turn"], "user", "assistant")
+    rows = _pairs(spark, sf).withColumn("h", h)
+    return rows.select("conv_id", "turn", F.array_join(F.transform("h", lambda x: F.concat(x["user"], F.lit(">"), x["assistant"])), "|").alias("history"))
+
+
+@query("SELECT doc_id FROM documents ANTI JOIN labels USING (doc_id)")
+def not_yet_labelled(spark, sf):
+    return align.missing(_t(spark, sf, "documents").select("doc_id"), _t(spark, sf, "labels").select("doc_id"), ["doc_id"])
+
+
+@query("SELECT doc_id AS id, lang, NULL::INT AS quality FROM documents UNION ALL SELECT doc_id, NULL, quality FROM labels")
+def union_of_schemas(spark, sf):
+    return align.together(_t(spark, sf, "documents").select(F.col("doc_id").alias("id"), "lang"), _t(spark, sf, "labels").select(F.col("doc_id").alias("id"), "quality"))
+
+
+@query("""SELECT a.n_name AS a, b.n_name AS b, round(100 * (1 - levenshtein(a.n_name, b.n_name) / greatest(length(a.n_name), length(b.n_name)))) AS ratio FROM nation a JOIN nation b
+  ON substr(a.n_name, 1, 2) = substr(b.n_name, 1, 2) AND least(length(a.n_name), length(b.n_name)) * 100 >= greatest(length(a.n_name), length(b.n_name)) * 50
+  WHERE round(100 * (1 - levenshtein(a.n_name, b.n_name) / greatest(length(a.n_name), length(b.n_name)))) >= 50""")
+def fuzzy_names(spark, sf):
+    n = _t(spark, sf, "nation").select(F.col("n_name").alias("k"))
+    return align.fuzzy(n, n, "k", least=50).select(F.col("k").alias("a"), F.col("k_2").alias("b"), "ratio")
+
+
+@query("""SELECT doc_id, source || '_' || lang AS source, 'doc' AS produce_source, CASE WHEN quality = 1 THEN 'keep' WHEN quality = 0 THEN 'discard' ELSE 'label' END AS route,
+  CASE WHEN doc_id % 3 = 0 THEN 'default' ELSE 'thought ' || doc_id END AS thought FROM documents LEFT JOIN labels USING (doc_id)""")
+def training_columns(spark, sf):
+    d = F.col("doc_id")
+    thought = F.when(d % 3 == 1, F.concat(F.lit("thought cut "), d)).when(d % 3 == 2, F.concat(F.lit("cut thought "), d))
+    clean = F.regexp_replace(curate.thought_or_default(thought, "default", "cut "), " +", " ")
+    return _labelled(spark, sf, "left").select("doc_id", F.concat_ws("_", "source", "lang").alias("source"), F.lit("doc").alias("produce_source"), judge.route(F.col("quality")).alias("route"), clean.alias("thought"))
+
+
+@query("SELECT doc_id, trim(regexp_extract(text, '(?s)^[^.]*\\.(.*?)\\.', 1), chr(32) || chr(10) || chr(9) || chr(13)) AS section FROM documents WHERE regexp_matches(text, '(?s)^[^.]*\\.[^.]*\\.') AND NOT regexp_matches(text, '(?s)[^\\x00-\\x{17f}]')")
+def sections(spark, sf):
+    marked = F.concat(F.lit("x"), F.regexp_replace(F.substring_index("text", ".", 2), r"(?s)^[^.]*\.", "<A>"), F.lit("<B>"))
+    rows = _t(spark, sf, "documents").filter(F.col("text").rlike(r"(?s)^[^.]*\.[^.]*\.") & ~F.col("text").rlike(r"(?s)[^\x00-\x{17f}]"))
+    return rows.select("doc_id", text.between(marked, "<A>", "<B>").alias("section"))
+
+
+@query()
+def lunar_dates(spark, sf):
+    days = _t(spark, sf, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
+    return temporal.with_lunar(days, "day", 1990, 2000)
+
+
+@query()
+def user_sessions(spark, sf):
+    return jobs.sessions(_t(spark, sf, "events"))
