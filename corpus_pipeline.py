@@ -5,6 +5,7 @@ written as Parquet and read again. All but the last return the columns of ``docu
 unchanged: the quality rules judge a document by its lines, and what they reject goes as a whole.
 
 Rows that repeat an id within a stage of deduplication count as one document; one of them stays.
+Rows without an id cannot be told apart and go at the first deduplication.
 """
 
 from __future__ import annotations
