@@ -8,14 +8,14 @@ variance; once all slots hold less than the next step, nothing can change and th
 1. Texts with one and the same set are one representative from here on.
 2. Signatures are cut into bands; representatives that share a band are candidates. Rows a band
    are chosen so that a pair at the threshold is missed with a chance below one in a million.
-3. In each bucket all members are held against one of them, the hub, on full sets: the one whose
+3. In each bucket all members of like size are held against one of them, the hub, on full sets: the one whose
    buckets hold most members, so that of a text and its variants it is the text. Linked members
    are grouped. Where a bucket still has members of several groups, those outside the hub's group
    get a hub of their own, and so on for a few rounds.
-4. In buckets that have several groups even then, members of different groups are held against
-   each other, but for pairs that the hub rules out: distances are a metric, so members at
-   distances d and e of the hub can be linked only if |d - e| <= 1 - t. No bucket writes out pairs
-   within a group, however many copies it holds, and no pair that could link two groups is left.
+4. Members of buckets that have several groups even then are clustered by shared buckets. Clusters
+   are cut into blocks of ``BLOCK`` members; each pair of blocks meets once in a task, as a matrix
+   product of members and shingles, which gives all shares at once. A member is sent once a block;
+   only a forest of the links found is written, never pairs, however many copies a group holds.
 5. Groups are found by union-find: in each partition first, then by star contraction over all.
 
 Sets hold 64-bit hashes of shingles. Defined cases: null and empty texts have empty sets and are
@@ -33,10 +33,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parlance.llm.common import map_arrow, materialize, text_bytes
+from parlance.workers import ship
 
 #: A prime, so that every step width makes a permutation of the slots.
 SLOTS = 127
-ROUNDS = 4
+ROUNDS = 2
+#: Members of a block, and shingles that a matrix holds at once.
+BLOCK, COLUMNS = 256, 16_384
 #: Bytes of text worked on at once.
 SLICE = 2_000_000
 _LOWER = np.array([c + 32 if 0x41 <= c <= 0x5A else 0x20 if 9 <= c <= 13 else c for c in range(256)], dtype=np.uint8)
@@ -250,8 +253,6 @@ def _near(percent: int) -> Column:
 
 def connected(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """(node, component) of whatever is near something else. reps: (rep, n, bands); docs: (doc, text)."""
-    safe = max(0, 2 * percent - 100)  # a member further from the hub cannot be linked to what the hub is linked to
-    t = percent / 100
     members = reps.select("rep", "n", F.explode("bands").alias("bucket"))
     # Only buckets with several members matter from here on.
     shared = materialize(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"))
@@ -271,11 +272,8 @@ def connected(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
     def near(measured: DataFrame) -> DataFrame:
         return measured.filter(_near(percent)).select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
 
-    held = with_hub(members)
-    sims = materialize(check.measure(held.filter((F.col("rep") != F.col("hub")) & close("n", "hub_n", safe)).select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()))
-    # Members that sizes alone keep apart from the hub are not measured: their similarity is null, and below ``safe``.
-    known = held.join(sims.withColumnsRenamed({"a": "hub", "b": "rep"}), ["hub", "rep"], "left")
-    held = materialize(known.select("bucket", "rep", "n", "weight", "hub", F.when(F.col("rep") == F.col("hub"), 1.0).otherwise(F.col("common") / F.col("united")).alias("s")))
+    held = materialize(with_hub(members))
+    sims = materialize(check.measure(held.filter((F.col("rep") != F.col("hub")) & close("n", "hub_n", percent)).select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()))
     edges = near(sims)
     groups = materialize(components(edges))
     for turn in range(ROUNDS):
@@ -288,7 +286,7 @@ def connected(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
         if turn + 1 == ROUNDS:
             break
         mine = materialize(held.filter("rep = hub").select("bucket", F.col("group").alias("mine")))
-        outside = held.join(mine, "bucket").filter("group != mine").drop("hub", "mine", "s")
+        outside = held.join(mine, "bucket").filter("group != mine").drop("hub", "hub_n", "mine")
         pairs = with_hub(outside, "group").filter((F.col("group") != F.col("hub_group")) & close("n", "hub_n", percent))
         sims = materialize(check.measure(pairs.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()))
         new = near(sims)
@@ -296,12 +294,65 @@ def connected(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
             break
         edges = edges.unionByName(new)
         groups = materialize(components(edges))
-    side = lambda x: held.select("bucket", F.col("rep").alias(x), F.col("n").alias(f"{x}n"), F.col("s").alias(f"{x}s"), F.col("group").alias(f"{x}g"))
-    a, b = F.col("as"), F.col("bs")
-    # Similarities to the hub differ by at most 1 - t, but for rounding; an unknown one is below ``safe``.
-    may = F.when(a.isNull() & b.isNull(), True).when(a.isNull(), b <= t + 1e-9).when(b.isNull(), a <= t + 1e-9).otherwise(F.abs(a - b) <= 1 - t + 1e-9)
-    pairs = side("a").join(side("b"), "bucket").filter((F.col("a") < F.col("b")) & (F.col("ag") != F.col("bg")) & close("an", "bn", percent) & may)
-    return components(edges.unionByName(near(materialize(check.measure(pairs.select("a", "b").distinct())))))
+    # Clusters of what shares such a bucket, by the links of members to their bucket's least one.
+    least = held.groupBy("bucket").agg(F.min("rep").alias("lo"))
+    tied = held.join(materialize(least), "bucket").filter("rep != lo").select(F.col("rep").alias("hi"), "lo").distinct()
+    clusters = components(tied)
+    both = clusters.select(F.col("node").alias("doc"), F.col("component").alias("cluster")).unionByName(clusters.select(F.col("component").alias("doc"), F.col("component").alias("cluster")).distinct())
+    found = block_links(materialize(both), check.sets, percent)
+    return components(edges.unionByName(materialize(found)))
+
+
+def shares(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each two sets, one of either side, have in common."""
+    sizes = [len(x) for x in left + right]
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    values, place, held = np.unique(np.concatenate(left + right), return_inverse=True, return_counts=True)
+    # What a single set holds is in no intersection.
+    column = np.where(held > 1, np.cumsum(held > 1) - 1, -1)[place]
+    owner, column = owner[column >= 0], column[column >= 0]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    common = np.zeros((len(left), len(right)), dtype=np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [start, start + COLUMNS])
+        m = np.zeros((len(sizes), COLUMNS), dtype=np.float32)
+        m[owner[a:b], column[a:b] - start] = 1
+        common += m[: len(left)] @ m[len(left) :].T
+    return common.astype(np.int64)
+
+
+def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(hi, lo): a forest of the links within each cluster. members: (doc, cluster); sets: (doc, hashes)."""
+    counts = materialize(members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")))
+    mine = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
+    dealt = members.join(counts, "cluster").withColumn("block", mine).select("doc", "cluster", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    cells = dealt.select("doc", "cluster", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+
+    def meet(table):
+        docs, blocks = table["doc"].to_numpy(), table["block"].to_numpy()
+        hashes = [np.asarray(x.as_py(), dtype=np.int64) for x in table["hashes"]]
+        i, j = blocks.min(), blocks.max()
+        parent = list(range(len(docs)))
+
+        def find(x):
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        p, q = np.flatnonzero(blocks == i), np.flatnonzero(blocks == j)
+        sizes = np.array([len(h) for h in hashes])
+        common = shares([hashes[x] for x in p], [hashes[x] for x in q])
+        near = common * 100 >= (sizes[p][:, None] + sizes[q][None, :] - common) * percent
+        for a, b in zip(*np.nonzero(near), strict=True):
+            a, b = find(p[a]), find(q[b])
+            if a != b:
+                parent[b] = a
+        links = [(docs[x], docs[find(x)]) for x in range(len(docs)) if find(x) != x]
+        return pa.table({"hi": pa.array([max(x) for x in links], pa.int64()), "lo": pa.array([min(x) for x in links], pa.int64())})
+
+    ship(members.sparkSession)
+    return cells.join(sets, "doc").select("cluster", "i", "j", "doc", "block", "hashes").groupBy("cluster", "i", "j").applyInArrow(meet, "hi long, lo long")
 
 
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
