@@ -1,19 +1,22 @@
 """Language-model scoring: a log-bilinear model trained in numpy with noise-contrastive estimation.
 
 Tokens are the words of a text, A-Z lower-cased, and one end. Counts are taken over every text that
-may be learned from. The ``WORDS`` - 2 most frequent words, the end and one class for all others
-are the model's outputs; the context is the two tokens before. Their vectors, each put through a
-matrix of its position, add up to a prediction, whose product with an output's vector, plus its
-bias, is the output's score. Training sees every three tokens in a row of the corpus, as counts of
-at most WORDS ** 3 kinds, and minimises the noise-contrastive loss against the words' shares. Matrix
-products over all contexts then give scores that are normalised exactly.
-
-A word outside the outputs has the class's probability times its share among such words,
-(c + 0.5) / (N' + 0.5 (V' + 1)) with counts of these words only. So a text's score is the log10
-probability of a proper distribution over texts.
-
-Words held by at least N / ``FREQUENT`` tokens are at most FREQUENT in number and, of at most
-``LONGEST`` bytes, are broadcast; the counts of all others reach their texts by a join.
+may be learned from. Words held by at least N / ``FREQUENT`` tokens, of at most ``LONGEST`` bytes, and
+the end are outputs and contexts of their own; all others share hashed groups of about ``GROUP``
+words, so the vocabulary follows the corpus and no word is without a vector. The context is the two
+tokens before. Their vectors, each put through a matrix of its position, add up to a prediction. An
+output's probability is its class's times its own within the class, each a softmax of products with
+the prediction; classes are runs of outputs, the first ``HEADS`` alone in theirs. Both are trained by
+noise-contrastive loss, with noise by share, over every three tokens in a row of the corpus: each
+training task goes through its texts once (small corpora are repeated up to ``DRAWS`` tokens), and the
+tasks' weights are averaged by tokens. Scores are normalised exactly.
+
+A word of a group has the group's probability times its share in it, (c + 0.5) / (N' + 0.5 (V' + 1))
+with counts of the group's words only. So a text's score is the log10 probability of a proper
+distribution over texts.
+
+Frequent words are at most FREQUENT in number and are broadcast; the counts of all others reach their
+texts by a join.
 
 Defined cases: null is empty, and an empty text is its end alone; without texts to learn from the
 score is the base score; rows that repeat an id are scored one by one; other columns are not read.
@@ -22,6 +25,7 @@ score is the base score; rows that repeat an id are scored one by one; other col
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -32,11 +36,18 @@ from pyspark.sql import types as T
 
 from parlance.llm.common import fold, map_arrow, materialize, text_bytes
 
-WORDS, SIZE = 160, 24
+WORDS, SIZE = 160, 16
+#: Outputs alone in their class, noise words a token within a class, and shared noise classes.
+HEADS, NOISE, SHARED = 128, 4, 32
+#: Words that share a group, and the most groups.
+GROUP, GROUPS = 64, 1 << 16
+#: Tokens a training step, fewest tokens trained on, fewest a task, and most tasks.
+STEP, DRAWS, TASK_TOKENS, TASKS = 1024, 1_000_000, 500_000, 64
+#: Tokens scored at once.
+AT_ONCE = 32_768
 FREQUENT, LONGEST = 1 << 19, 64
 #: Distinct words that a task counts before it passes them on.
 FLUSH = 400_000
-END, OTHER = 0, 1
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 
 
@@ -64,132 +75,227 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return map_arrow(texts, run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def _codes(words: list[bytes], index: dict[bytes, int]) -> np.ndarray:
-    """The outputs of a text's tokens, each with the two before it, as one number."""
-    get = index.get
-    ids = np.array([END, END, *[get(w, OTHER) for w in words], END], dtype=np.int64)
-    return (ids[:-2] * WORDS + ids[1:-1]) * WORDS + ids[2:]
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def context_counts(texts: DataFrame, index: dict[bytes, int]) -> DataFrame:
-    """(code, n): how often each three outputs stand in a row. At most WORDS ** 3 rows."""
+def _sums(which: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers, and the rows of each added up."""
+    order = np.argsort(which, kind="stable")
+    which = which[order]
+    first = np.flatnonzero(np.r_[True, which[1:] != which[:-1]])
+    return which[first], np.add.reduceat(rows[order], first, axis=0)
 
-    def run(batches):
-        kept, held = [], 0
 
-        def out():
-            code, n = np.unique(np.concatenate(kept), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(code), pa.array(n.astype(np.int64))], names=["code", "n"])
-
-        for batch in batches:
-            for x in batch.column(0):
-                kept.append(_codes(tokens(x.as_py() or b""), index))
-                held += len(kept[-1])
-                if held > 4_000_000:
-                    yield out()
-                    kept, held = [], 0
-        if kept:
-            yield out()
-
-    return map_arrow(texts, run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-def _sums(which: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """The rows added up by output, as a product with an indicator matrix."""
-    mark = np.zeros((len(which), WORDS), dtype=rows.dtype)
-    mark[np.arange(len(which)), which] = 1
-    return mark.T @ rows
+def _log_sums(scores: np.ndarray) -> np.ndarray:
+    top = scores.max(axis=1)
+    return top + np.log(np.exp(scores - top[:, None]).sum(axis=1))
 
 
 class LogBilinear:
-    """Vectors R of context tokens and Q of outputs, position matrices C1 and C2, biases b."""
+    """Vectors R of context tokens, Q of outputs and K of classes, position matrices C1 and C2, biases b and a."""
 
     def __init__(self, shares: np.ndarray, seed: int = 11):
-        r = np.random.default_rng(seed)
+        r, n = np.random.default_rng(seed), len(shares)
+        heads = min(n, HEADS)
+        self.starts = np.r_[np.arange(heads), np.arange(heads, n, max(1, math.ceil(math.sqrt(n - heads)))), n]
+        self.kind = np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts))
         self.noise = shares / shares.sum()
+        self.run = np.r_[0, np.cumsum(self.noise)]
+        self.class_noise = np.diff(self.run[self.starts])
+        inside = self.noise / self.class_noise[self.kind]
         self.p = {
-            "R": r.normal(0, 0.1, (WORDS, SIZE)), "Q": r.normal(0, 0.1, (WORDS, SIZE)),
+            "R": r.normal(0, 0.1, (n, SIZE)), "Q": r.normal(0, 0.1, (n, SIZE)), "K": r.normal(0, 0.1, (len(self.class_noise), SIZE)),
             "C1": np.eye(SIZE) + r.normal(0, 0.02, (SIZE, SIZE)), "C2": np.eye(SIZE) * 0.5 + r.normal(0, 0.02, (SIZE, SIZE)),
-            "b": np.log(self.noise),
+            "b": np.log(inside), "a": np.log(self.class_noise),
         }
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
-
-    def train(self, codes: np.ndarray, counts: np.ndarray, steps: int = 2000, batch: int = 2048, noise: int = 64, rate: float = 0.01, seed: int = 13) -> "LogBilinear":
-        """Adam on the noise-contrastive loss, over draws from all counted contexts."""
-        r, p = np.random.default_rng(seed), self.p
-        run = np.cumsum(counts, dtype=np.float64)
-        m, s = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
-        for t in range(1, steps + 1):
-            code = codes[np.minimum(np.searchsorted(run, r.random(batch) * run[-1], side="right"), len(codes) - 1)]
-            second, first, w = code // WORDS**2, code // WORDS % WORDS, code % WORDS
-            drawn = r.choice(WORDS, noise, p=self.noise)
-            r1, r2 = p["R"][first], p["R"][second]
-            hidden = r1 @ p["C1"] + r2 @ p["C2"]
-            # Probability that a word is the text's and not the noise's.
-            bar = np.log(noise * self.noise).astype(np.float32)
-            good = 1 / (1 + np.exp(-((hidden * p["Q"][w]).sum(axis=1) + p["b"][w] - bar[w])))
-            bad = 1 / (1 + np.exp(-(hidden @ p["Q"][drawn].T + p["b"][drawn] - bar[drawn])))
-            dg, db = (good - 1) / batch, bad / batch
-            dh = dg[:, None] * p["Q"][w] + db @ p["Q"][drawn]
-            g = {
-                "Q": _sums(w, dg[:, None] * hidden) + _sums(drawn, db.T @ hidden),
-                "b": np.bincount(w, dg, WORDS) + np.bincount(drawn, db.sum(axis=0), WORDS),
-                "C1": r1.T @ dh,
-                "C2": r2.T @ dh,
-                "R": _sums(first, dh @ p["C1"].T) + _sums(second, dh @ p["C2"].T),
-            }
-            lr = rate * (1 - 0.95 * t / steps)
-            for k, v in p.items():
-                m[k] += 0.1 * (g[k] - m[k])
-                s[k] += 0.01 * (g[k] ** 2 - s[k])
-                v -= lr * (m[k] / (1 - 0.9**t)) / (np.sqrt(s[k] / (1 - 0.99**t)) + 1e-8)
+        self.bar = np.log(NOISE * inside).astype(np.float32)
+        self.class_bar = np.log(SHARED * self.class_noise).astype(np.float32)
+        self.seen = {k: np.full(len(v) if k in "RQKba" else v.shape, 1e-6, np.float32) for k, v in self.p.items()}
+
+    def _move(self, name: str, which: np.ndarray, g: np.ndarray, rate: float) -> None:
+        """Adagrad on some rows."""
+        which, g = _sums(which, g)
+        self.seen[name][which] += (g * g).mean(axis=1) if g.ndim > 1 else g * g
+        by = rate / np.sqrt(self.seen[name][which])
+        self.p[name][which] -= by[:, None] * g if g.ndim > 1 else by * g
+
+    def step(self, second: np.ndarray, first: np.ndarray, w: np.ndarray, r: np.random.Generator, rate: float = 0.05) -> None:
+        """One move on the noise-contrastive losses of classes and of outputs within them."""
+        p, c = self.p, self.kind[w]
+        r1, r2 = p["R"][first], p["R"][second]
+        hidden = r1 @ p["C1"] + r2 @ p["C2"]
+        drawn = r.choice(len(self.class_noise), SHARED, p=self.class_noise)
+        good = _sigmoid((hidden * p["K"][c]).sum(axis=1) + p["a"][c] - self.class_bar[c]) - 1
+        bad = _sigmoid(hidden @ p["K"][drawn].T + p["a"][drawn] - self.class_bar[drawn])
+        dh = good[:, None] * p["K"][c] + bad @ p["K"][drawn]
+        at, rows = np.r_[c, drawn], np.r_[good[:, None] * hidden, bad.T @ hidden]
+        bias = np.r_[good, bad.sum(axis=0)]
+        many = np.flatnonzero(np.diff(self.starts)[c] > 1)
+        if len(many):
+            h, cm = hidden[many], c[many]
+            u = self.run[self.starts[cm]][:, None] + self.class_noise[cm][:, None] * r.random((len(many), NOISE))
+            others = np.clip(np.searchsorted(self.run, u, side="right") - 1, self.starts[cm][:, None], self.starts[cm + 1][:, None] - 1)
+            ids = np.c_[w[many], others]
+            q = p["Q"][ids]
+            g = _sigmoid(np.einsum("nd,nkd->nk", h, q) + p["b"][ids] - self.bar[ids])
+            g[:, 0] -= 1
+            dh[many] += np.einsum("nk,nkd->nd", g, q)
+            self._move("Q", ids.ravel(), (g[:, :, None] * h[:, None, :]).reshape(-1, SIZE), rate)
+            self._move("b", ids.ravel(), g.ravel(), rate)
+        self._move("K", at, rows, rate)
+        self._move("a", at, bias, rate)
+        back = np.r_[dh @ p["C1"].T, dh @ p["C2"].T]
+        for name, x in (("C1", r1), ("C2", r2)):
+            g = x.T @ dh
+            self.seen[name] += g * g
+            p[name] -= 0.2 * rate * g / np.sqrt(self.seen[name])
+        self._move("R", np.r_[first, second], back, rate)
+
+    def train(self, codes: np.ndarray, counts: np.ndarray, steps: int = 2000, batch: int = 2048, seed: int = 13) -> "LogBilinear":
+        """Steps over draws from counted contexts, each three outputs as one number."""
+        r, n = np.random.default_rng(seed), len(self.noise)
+        for _ in range(steps):
+            code = r.choice(codes, batch, p=counts / counts.sum())
+            self.step(code // n**2, code // n % n, code % n, r)
         return self
 
+    def log10(self, second: np.ndarray, first: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """log10 P(output | two tokens before); each context's probabilities add up to one."""
+        p, out = self.p, np.empty(len(w))
+        for k in range(0, len(w), AT_ONCE):
+            v = w[k : k + AT_ONCE]
+            hidden, c = p["R"][first[k : k + AT_ONCE]] @ p["C1"] + p["R"][second[k : k + AT_ONCE]] @ p["C2"], self.kind[v]
+            scores = hidden @ p["K"].T + p["a"]
+            part = scores[np.arange(len(v)), c] - _log_sums(scores)
+            order = np.argsort(c, kind="stable")
+            ends = np.searchsorted(c[order], np.arange(len(self.starts)))
+            for x in np.flatnonzero((np.diff(ends) > 0) & (np.diff(self.starts) > 1)):
+                own, low, high = order[ends[x] : ends[x + 1]], self.starts[x], self.starts[x + 1]
+                scores = hidden[own] @ p["Q"][low:high].T + p["b"][low:high]
+                part[own] += scores[np.arange(len(own)), v[own] - low] - _log_sums(scores)
+            out[k : k + AT_ONCE] = part
+        return out / math.log(10)
+
     def log10_table(self) -> np.ndarray:
-        """log10 P(output | two tokens before), by code; each context's probabilities add up to one."""
-        p, out = self.p, np.empty((WORDS**2, WORDS), dtype=np.float32)
-        one, two = p["R"] @ p["C1"], p["R"] @ p["C2"]
-        for second in range(WORDS):
-            scores = (one + two[second]) @ p["Q"].T + p["b"]
-            top = scores.max(axis=1, keepdims=True)
-            out[second * WORDS : (second + 1) * WORDS] = (scores - top - np.log(np.exp(scores - top).sum(axis=1, keepdims=True))) / math.log(10)
-        return out.ravel()
+        """``log10`` of all contexts and outputs, by code."""
+        n = len(self.noise)
+        code = np.arange(n**3)
+        return self.log10(code // n**2, code // n % n, code % n)
 
 
 class Scorer:
-    """What the workers get: the model, the frequent words with their counts, and totals."""
+    """What the workers get: the model, the frequent words with their counts, the groups' counts, and totals."""
 
-    def __init__(self, model: LogBilinear | None, outputs: list[bytes], frequent: list[tuple[bytes, int]], ends: int, total: int, distinct: int):
-        self.model, self.total = model, total
-        self.index = {w: k + 2 for k, w in enumerate(outputs)}
-        held = {w: c for w, c in frequent}
-        inside = sum(held[w] for w in outputs) + ends
+    def __init__(self, frequent: list[tuple[bytes, int]], groups: list[tuple[int, int]], ends: int, total: int, distinct: int):
+        self.model: LogBilinear | None = None
+        self.total, self.ends, self.groups = total, ends, len(groups)
         self.base_norm = total + 0.5 * (distinct + 1)
-        self.other_norm = (total - inside) + 0.5 * (distinct - len(outputs) - (ends > 0) + 1)
         self.place = {w: k for k, (w, _) in enumerate(frequent)}
         counts = np.array([c for _, c in frequent] or [0], dtype=np.float64)
         self.base = np.log10((counts + 0.5) / self.base_norm)
-        self.output = np.array([self.index.get(w, OTHER) for w, _ in frequent] or [OTHER], dtype=np.int64)
-        self.other = np.where(self.output == OTHER, np.log10((counts + 0.5) / self.other_norm), 0.0)
-        self.base_end, self.ends = math.log10((ends + 0.5) / self.base_norm), ends
-        self._table: np.ndarray | None = None
-
-    def text(self, data: bytes) -> tuple[int, int, float, float, Counter]:
-        """A text's tokens, those known, base and model log10 so far, and the words still to be counted."""
+        self.base_end = math.log10((ends + 0.5) / self.base_norm)
+        sums = np.array([c for c, _ in groups], dtype=np.float64)
+        self.group_norm = np.log10(sums + 0.5 * (np.array([n for _, n in groups]) + 1))
+        # Outputs by falling count: of words, of groups, of the end.
+        held = np.r_[counts[: len(frequent)], sums, ends] + 0.5
+        order = np.argsort(-held, kind="stable")
+        self.output = np.empty(len(held), dtype=np.int64)
+        self.output[order] = np.arange(len(held))
+        self.shares = held[order]
+
+    def places(self, words: list[bytes]) -> np.ndarray:
+        """Of each word the number among the frequent ones, or after them its group's."""
+        get, f, g = self.place.get, len(self.place), self.groups
+        return np.array([k if (k := get(w)) is not None else f + zlib.crc32(w) % g for w in words], dtype=np.int64)
+
+    def outputs(self, at: np.ndarray) -> np.ndarray:
+        """A text's outputs, two ends before it and one after."""
+        end = self.output[-1]
+        return np.r_[end, end, self.output[at], end]
+
+    def text(self, data: bytes) -> tuple[int, int, float, float, Counter, np.ndarray]:
+        """A text's tokens, those known, base log10 so far, that of groups' shares, the words still to be counted, and the outputs."""
         words = tokens(data)
-        get = self.place.get
-        at = np.array([get(w, -1) for w in words], dtype=np.int64)
-        here = at >= 0
+        at = self.places(words)
+        here = at < len(self.place)
         rest = Counter([words[k] for k in np.flatnonzero(~here)])
         base = float(self.base[at[here]].sum()) + self.base_end
-        model = base
-        if self.model is not None:
-            if self._table is None:
-                self._table = self.model.log10_table()
-            ids = np.full(len(words) + 3, END, dtype=np.int64)
-            ids[2:-1] = np.where(here, self.output[at], OTHER)
-            model = float(self._table[(ids[:-2] * WORDS + ids[1:-1]) * WORDS + ids[2:]].astype(np.float64).sum() + self.other[at[here]].sum())
-        return len(words) + 1, int(here.sum()) + (self.ends > 0), base, model, rest
+        return len(words) + 1, int(here.sum()) + (self.ends > 0), base, -float(self.group_norm[at[~here] - len(self.place)].sum()), rest, self.outputs(at)
+
+    def texts(self, data) -> list[tuple[int, int, float, float, Counter]]:
+        """Of each text what ``text`` says, with the model's log10 in place of the outputs."""
+        done, held, n = [], [], 0
+
+        def out():
+            if self.model is None:
+                return [(*x[:3], x[2], x[4]) for x in held]
+            second, first, w = (np.concatenate([x[5][k : len(x[5]) - 2 + k] for x in held]) for k in range(3))
+            sums = np.add.reduceat(self.model.log10(second, first, w), np.cumsum([0] + [x[0] for x in held[:-1]]))
+            return [(*x[:3], x[3] + float(m), x[4]) for x, m in zip(held, sums, strict=True)]
+
+        for x in data:
+            held.append(self.text(x))
+            n += held[-1][0]
+            if n > AT_ONCE:
+                done += out()
+                held, n = [], 0
+        return done + (out() if held else [])
+
+
+def _trained(texts: DataFrame, scorer: Scorer) -> LogBilinear:
+    """The model, trained over all ``texts`` in tasks whose weights are averaged by tokens."""
+    sent = texts.sparkSession.sparkContext.broadcast(scorer)
+    turns = max(1, -(-DRAWS // scorer.total))
+
+    def run(batches):
+        s = sent.value
+        model, r, kept, n, left = LogBilinear(s.shares), np.random.default_rng(13), [], 0, [np.empty((3, 0), np.int64)]
+
+        def steps(x):
+            x = x[:, r.permutation(x.shape[1])]
+            for k in range(0, x.shape[1], STEP):
+                model.step(*x[:, k : k + STEP], r)
+
+        held = 0
+        for batch in batches:
+            for x in batch.column(0):
+                ids = s.outputs(s.places(tokens(x.as_py() or b"")))
+                left.append(np.stack([ids[:-2], ids[1:-1], ids[2:]]))
+                held += left[-1].shape[1]
+                if held >= 64 * STEP and turns == 1:
+                    steps(np.concatenate(left, axis=1))
+                    n, held, left = n + held, 0, left[:1]
+        rest = np.concatenate(left, axis=1)
+        for _ in range(turns):
+            steps(rest)
+        n += held
+        for name, v in model.p.items():
+            for k in range(0, len(v), 4096):
+                kept.append((name, k, n, v[k : k + 4096].tobytes()))
+            while kept:
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(kept.pop(), (pa.string(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["name", "part", "n", "rows"])
+
+    def mean(batches):
+        sums: dict = {}
+        for batch in batches:
+            for name, part, n, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                v = np.frombuffer(data, np.float32).astype(np.float64)
+                old = sums.get((name, part), (0, 0))
+                sums[name, part] = (old[0] + n, old[1] + n * v)
+        for (name, part), (n, v) in sums.items():
+            if n:
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([part], pa.int64()), pa.array([(v / n).astype(np.float32).tobytes()], pa.binary())], names=["name", "part", "rows"])
+
+    tasks = int(min(TASKS, max(1, scorer.total // TASK_TOKENS)))
+    own = map_arrow(texts.coalesce(tasks), run, "name string, part long, n long, rows binary")
+    model = LogBilinear(scorer.shares)
+    for name, part, data in map_arrow(own.repartition("name", "part"), mean, "name string, part long, rows binary").toLocalIterator():
+        v = model.p[name]
+        v[part : part + 4096] = np.frombuffer(data, np.float32).reshape(v[part : part + 4096].shape)
+    model.seen = {}
+    return model
 
 
 def fit(texts: DataFrame) -> tuple[Scorer, DataFrame]:
@@ -198,17 +304,15 @@ def fit(texts: DataFrame) -> tuple[Scorer, DataFrame]:
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     ends = texts.count()
     total, distinct = total + ends, distinct + (ends > 0)
-    often = counts.filter((F.col("c") * FREQUENT >= total) & (F.length("word") <= LONGEST))
-    frequent = sorted(((bytes(r[0]), r[1]) for r in often.collect()), key=lambda x: (-x[1], x[0]))
-    outputs = [w for w, _ in frequent[: WORDS - 2]]
-    if not ends:
-        return Scorer(None, outputs, frequent, 0, 0, 0), counts
-    table = context_counts(texts, {w: k + 2 for k, w in enumerate(outputs)}).toPandas()
-    codes, n = table["code"].to_numpy(), table["n"].to_numpy()
-    order = np.argsort(codes)  # however Spark delivers them
-    codes, n = codes[order], n[order]
-    shares = np.bincount(codes % WORDS, weights=n, minlength=WORDS) + 0.5
-    return Scorer(LogBilinear(shares).train(codes, n), outputs, frequent, ends, total, distinct), counts
+    often = (F.col("c") * FREQUENT >= total) & (F.length("word") <= LONGEST)
+    frequent = sorted(((bytes(r[0]), r[1]) for r in counts.filter(often).collect()), key=lambda x: (-x[1], x[0]))
+    groups = [(0, 0)] * int(min(GROUPS, max(1, (distinct - len(frequent)) // GROUP)))
+    for g, c, n in counts.filter(~often).groupBy(F.pmod(F.crc32("word"), F.lit(len(groups))).alias("g")).agg(F.sum("c"), F.count(F.lit(1))).collect():
+        groups[g] = (c, n)
+    scorer = Scorer(frequent, groups, ends, total, distinct)
+    if ends:
+        scorer.model = _trained(texts, scorer)
+    return scorer, counts
 
 
 def score(df: DataFrame, scorer: Scorer, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -232,8 +336,7 @@ def score(df: DataFrame, scorer: Scorer, counts: DataFrame, id_col: str = "doc_i
                 columns = [docs.take(pa.array(ids, pa.int32())) if kind is None else pa.array(out[k], kind) for k, kind in enumerate(kinds)]
                 return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-            for k, row in enumerate(rows):
-                n, known, base, model, rest = s.text(texts[k].as_py() or b"")
+            for k, (row, (n, known, base, model, rest)) in enumerate(zip(rows, s.texts(x.as_py() or b"" for x in texts), strict=True)):
                 # A text's own row has a key that is no word: it holds a space.
                 for c, values in zip((0, 1, 2, 4, 5, 6, 7), ([row], [b" %d" % row], [0], [n], [known], [base], [model]), strict=True):
                     out[c] += values
@@ -254,7 +357,7 @@ def score(df: DataFrame, scorer: Scorer, counts: DataFrame, id_col: str = "doc_i
     met = map_arrow(source, run, schema).join(counts, "word", "left")
     c = F.coalesce("c", F.lit(0))
     alone = F.col("times") * F.log10((c + 0.5) / F.lit(float(scorer.base_norm)))
-    other = F.col("times") * F.log10((c + 0.5) / F.lit(float(scorer.other_norm))) if scorer.model is not None else alone
+    other = F.col("times") * F.log10(c + 0.5) if scorer.model is not None else alone
     rare = F.col("times") > 0
     by_row = (
         met.select(

@@ -316,6 +316,17 @@ def test_lm_is_normalised():
     assert np.allclose((10 ** model.log10_table().reshape(-1, lm.WORDS).astype(float)).sum(axis=1), 1, atol=1e-4)
 
 
+def test_lm_tells_words_apart_beyond_the_most_frequent(spark):
+    """Pairs of 400 words of equal count: each word is known by the one before it."""
+    r = random.Random(2)
+    pairs = [(f"a{k}", f"b{k}") for k in range(400)]
+    texts = [" ".join(x for _ in range(25) for x in pairs[r.randrange(400)]) for _ in range(1200)]
+    scorer, counts = lm.fit(table(spark, texts).select(F.col("text").cast("binary").alias("text")))
+    assert len(scorer.shares) > 800
+    right, wrong = (rows(lm.score(table(spark, [" ".join(f"a{k} b{(k + by) % 400}" for k in range(0, 400, 9))]), scorer, counts))[0]["score"] for by in (0, 7))
+    assert right > wrong + 20
+
+
 def test_lm_on_odd_and_empty_tables(spark, odd):
     assert len(rows(lm.score_corpus(odd.select("doc_id", "text", "name")))) == len(ODD)
     assert rows(lm.score_corpus(odd.limit(0))) == []
