@@ -7,8 +7,8 @@ a leaf are taken in order; a line joins the template that it shares most tokens
 Templates found in ``least_docs`` documents or more are recurring, and their lines are dropped.
 
 1. Leaves are counted by hash, one row a document and leaf. Those in fewer documents cannot recur.
-2. The others' lines, each distinct line once, go through the tree, a leaf at a time. A leaf with
-   more than ``LEAF_ROWS`` distinct lines is refined by the hash of its next three tokens.
+2. The others' lines, each distinct line once, go through the tree, a leaf at a time. A leaf is
+   never split, as its templates depend on all of its lines; its distinct lines meet in one task.
 3. Documents of each template are counted exactly; its lines are dropped from all of them.
 
 The leaves that may recur are sent to the tasks as hashes if they are at most ``SENT``; if more,
@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from parlance.llm.common import map_arrow, materialize, text_bytes
 
-DEPTH, ALIKE, LEAST_DOCS, LEAF_ROWS, SENT = 3, 0.6, 3, 5000, 1_000_000
+DEPTH, ALIKE, LEAST_DOCS, SENT = 3, 0.6, 3, 1_000_000
 FIELD = b"<*>"
 _DIGIT = re.compile(rb"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*")
 
@@ -54,16 +54,19 @@ def parse(lines: list[list[bytes]]) -> list[int]:
     templates: list[list[bytes]] = []
     by_token: dict[tuple[int, bytes], list[int]] = {}
     out = []
+    # The places that all lines, and so all templates, have alike; they are not looked up.
+    fixed = next((k for k in range(min(DEPTH, min(map(len, lines), default=0))) if any(x[k] != lines[0][k] for x in lines)), min(DEPTH, min(map(len, lines), default=0)))
+    named = any(x != FIELD for x in lines[0][:fixed]) if lines else False
     for line in lines:
-        # Templates that share tokens with the line, with the number of them.
-        shared: dict[int, int] = {}
+        # Templates that share tokens with the line, with the number of them; all, if those places and fields alone can do.
+        shared: dict[int, int] = dict.fromkeys(range(len(templates)), 0) if named and fixed + line[fixed:].count(FIELD) >= ALIKE * len(line) else {}
         for place, token in enumerate(line):
-            if token != FIELD:
+            if token != FIELD and place >= fixed:
                 for t in by_token.get((place, token), ()):
                     shared[t] = shared.get(t, 0) + 1
         best, same = -1, -1
         for t, n in shared.items():
-            n += sum(1 for a, b in zip(templates[t], line, strict=True) if a == b == FIELD)
+            n += fixed + sum(1 for a, b in zip(templates[t][fixed:], line[fixed:], strict=True) if a == b == FIELD)
             if n > same or n == same and t < best:
                 best, same = t, n
         if best < 0 and line.count(FIELD) == len(line):
@@ -79,7 +82,7 @@ def parse(lines: list[list[bytes]]) -> list[int]:
             best = len(templates)
             templates.append(list(line))
             for place, token in enumerate(line):
-                if token != FIELD:
+                if token != FIELD and place >= fixed:
                     by_token.setdefault((place, token), []).append(best)
         out.append(best)
     return out
@@ -114,31 +117,30 @@ def recurring_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     schema = T.StructType(
         [
             T.StructField("row", T.LongType()), T.StructField("doc", df.schema[id_col].dataType), T.StructField("n_lines", T.IntegerType()), T.StructField("line", T.IntegerType()),
-            T.StructField("leaf", T.LongType()), T.StructField("deeper", T.LongType()), T.StructField("words", T.BinaryType()),
+            T.StructField("leaf", T.LongType()), T.StructField("words", T.BinaryType()),
         ]
     )
 
     def run(batches):
         may = set(sent.value.tolist()) if sent else None
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
+            out: list[list] = [[] for _ in range(5)]
             ids = []
             for k, (row, x) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2), strict=True)):
                 lines = (x.as_py() or b"").split(b"\n")
                 # The document's own row, and one for each line that may recur.
-                for c, v in enumerate((row, len(lines), None, row, None, None)):
+                for c, v in enumerate((row, len(lines), None, row, None)):
                     out[c].append(v)
                 ids.append(k)
                 for number, line in enumerate(lines):
                     tokens = masked(line)
                     if tokens and (may is None or leaf_of(tokens) in may):
                         ids.append(None)
-                        deeper = _signed(xxhash.xxh3_64_intdigest(b" ".join(tokens[DEPTH : DEPTH + 3])))
-                        for c, v in enumerate((row, None, number, leaf_of(tokens), deeper, b" ".join(tokens))):
+                        for c, v in enumerate((row, None, number, leaf_of(tokens), b" ".join(tokens))):
                             out[c].append(v)
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-            row, n, line, leaf, deeper, words = (pa.array(v, kind) for v, kind in zip(out, kinds, strict=True))
-            yield pa.RecordBatch.from_arrays([row, batch.column(1).take(pa.array(ids, pa.int32())), n, line, leaf, deeper, words], names=schema.names)
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+            row, n, line, leaf, words = (pa.array(v, kind) for v, kind in zip(out, kinds, strict=True))
+            yield pa.RecordBatch.from_arrays([row, batch.column(1).take(pa.array(ids, pa.int32())), n, line, leaf, words], names=schema.names)
 
     found = map_arrow(df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc"), text_bytes(text_col).alias("text")), run, schema)
     if not some:
@@ -146,30 +148,28 @@ def recurring_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = materialize(found)
     lines = found.filter("line is not null")
     # A line in a third of all documents is one row a task before the shuffle.
-    distinct = materialize(lines.select("leaf", "deeper", "words").distinct())
-    large = materialize(distinct.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LEAF_ROWS).select("leaf", F.lit(True).alias("large")))
-    spread = distinct.join(large, "leaf", "left").withColumn("part", F.when(F.col("large"), F.col("deeper")).otherwise(F.lit(0))).select("leaf", "part", "words")
+    distinct = lines.select("leaf", "words").distinct()
 
     def tree(batches):
         key, held = None, []
 
         def out():
             names = parse([w.split() for w in held])
-            return pa.RecordBatch.from_arrays([pa.array([key[0]] * len(held), pa.int64()), pa.array(held, pa.binary()), pa.array([key[1]] * len(held), pa.int64()), pa.array(names, pa.int32())], names=["leaf", "words", "part", "template"])
+            return pa.RecordBatch.from_arrays([pa.array([key] * len(held), pa.int64()), pa.array(held, pa.binary()), pa.array(names, pa.int32())], names=["leaf", "words", "template"])
 
         for batch in batches:
-            for leaf, part, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if key is not None and (leaf, part) != key:
+            for leaf, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key is not None and leaf != key:
                     yield out()
                     held = []
-                key = (leaf, part)
+                key = leaf
                 held.append(words)
         if held:
             yield out()
 
-    sorted_ = spread.repartition("leaf", "part").sortWithinPartitions("leaf", "part", "words")
-    named = materialize(map_arrow(sorted_, tree, "leaf long, words binary, part long, template int"))
-    which = ["leaf", "part", "template"]
+    sorted_ = distinct.repartition("leaf").sortWithinPartitions("leaf", "words")
+    named = materialize(map_arrow(sorted_, tree, "leaf long, words binary, template int"))
+    which = ["leaf", "template"]
     placed = materialize(lines.join(named, ["leaf", "words"]).select("row", "line", *which))
     often = materialize(placed.select("row", *which).distinct().groupBy(*which).agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") >= least_docs).select(*which))
     gone = placed.join(often, which, "left_semi").groupBy("row").agg(F.sort_array(F.collect_list("line")).alias("dropped_lines"))

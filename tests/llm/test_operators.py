@@ -441,6 +441,15 @@ def test_templates(spark, monkeypatch, sent):
     assert first["dropped_lines"] == [0, 2]
 
 
+def test_templates_of_a_large_leaf(spark):
+    """A template with over 5,000 fillings of its fourth token is still one."""
+    name = lambda k: str(k).translate(LETTERS)
+    docs = [f"Thanks for reading {name(k)} from {name(k % 90)} and come back very soon" for k in range(5200)]
+    got = rows(templates.recurring_lines(table(spark, docs)))
+    assert all(r["dropped_lines"] == [0] for r in got)
+    assert sorted((r["n_lines"], r["dropped_lines"]) for r in got) == brute_templates(list(enumerate(docs)), 3)
+
+
 def test_templates_on_odd_and_empty_tables(spark, odd):
     got = rows(templates.recurring_lines(odd, least_docs=2))
     assert sorted((r["n_lines"], r["dropped_lines"]) for r in got) == brute_templates(ODD, 2)
