@@ -8,9 +8,10 @@ places; a logistic unit makes one probability of them.
 Byte embeddings and filter taps are multiplied out after training: tap pairs become tables of
 65,536 rows, so a response is the sum of a few table rows.
 
-Training takes at most ``most_rows`` labelled rows (those with the smallest hashes of their ids)
-of at most ``most_bytes`` bytes, whole; both bounds are parameters. Scoring covers every byte of
-every text.
+Training takes labelled rows by the hash of their ids, whole and of whatever length: at most
+``most_rows``, and as many as it takes to reach ``most_rows`` times ``most_bytes`` bytes; both bounds
+are parameters. A step goes over a text in spans of chunks, so its memory does not follow the
+text's length. Scoring covers every byte of every text.
 
 Defined cases: null is empty; a text shorter than the filters is padded with zero bytes; without
 labels the score is 0.5 for all; labels that are null are not used; other columns are not read.
@@ -27,6 +28,8 @@ from pyspark.sql import types as T
 from parlance.llm.common import fold, map_arrow, text_bytes
 
 WIDTH, FILTERS, EMBED, CHUNK = 4, 12, 8, 4096
+#: Chunks that a training step holds at once.
+SPAN = 64
 THRESHOLD = 0.3
 
 
@@ -79,19 +82,46 @@ class Net:
         z = float(self.pool(data) @ self.p["V"] + self.p["c"][0])
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
-    def _step(self, data: bytes) -> tuple[np.ndarray, tuple]:
-        """Features of a text as the network stands, and what the gradient needs."""
-        x = _pad(data)
+    def _span(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Embeddings and responses of a span's bytes."""
         seen = self.p["E"][x]
         n = len(x) - WIDTH + 1
         out = np.broadcast_to(self.p["b"], (n, FILTERS)).copy()
         for k in range(WIDTH):
             out += seen[k : k + n] @ self.p["W"][k]
-        np.maximum(out, 0, out=out)
-        starts = range(0, n, CHUNK - WIDTH + 1)
-        at = [s + out[s : s + CHUNK - WIDTH + 1].argmax(axis=0) for s in starts]
-        best = np.stack([out[a, np.arange(FILTERS)] for a in at])
-        return np.concatenate([best.max(axis=0), best.mean(axis=0), out.mean(axis=0)]), (x, seen, out, at, best)
+        return seen, np.maximum(out, 0, out=out)
+
+    def _step(self, data: bytes) -> tuple[np.ndarray, tuple]:
+        """Features of a text as the network stands, and what the gradient needs."""
+        x = _pad(data)
+        n, pace = len(x) - WIDTH + 1, CHUNK - WIDTH + 1
+        spans, best, total, kept = range(0, n, SPAN * pace), [], np.zeros(FILTERS), None
+        for s in spans:
+            kept = self._span(x[s : s + SPAN * pace + WIDTH - 1])
+            best += [kept[1][a : a + pace].max(axis=0) for a in range(0, len(kept[1]), pace)]
+            total += kept[1].sum(axis=0)
+        best = np.stack(best)
+        # A text of one span is not computed again for its gradient.
+        return np.concatenate([best.max(axis=0), best.mean(axis=0), total / n]).astype(np.float32), (x, n, spans, best, kept if len(spans) == 1 else None)
+
+    def _gradient(self, d: np.ndarray, held: tuple, g: dict[str, np.ndarray]) -> None:
+        """Add to ``g`` what follows from the features' gradient ``d``."""
+        (x, n, spans, best, kept), cols, pace = held, np.arange(FILTERS), CHUNK - WIDTH + 1
+        top = best.argmax(axis=0)
+        for s in spans:
+            part = x[s : s + SPAN * pace + WIDTH - 1]
+            seen, out = kept or self._span(part)
+            grad = np.where(out > 0, d[2 * FILTERS :] / n, 0).astype(np.float32)
+            for k, a in enumerate(range(0, len(out), pace), s // pace):
+                at = a + out[a : a + pace].argmax(axis=0)
+                grad[at, cols] += np.where(out[at, cols] > 0, d[FILTERS : 2 * FILTERS] / len(best) + np.where(top == k, d[:FILTERS], 0), 0)
+            g["b"] += grad.sum(axis=0)
+            back = np.zeros_like(seen)
+            for k in range(WIDTH):
+                g["W"][k] += seen[k : k + len(grad)].T @ grad
+                back[k : k + len(grad)] += grad @ self.p["W"][k].T
+            for e in range(EMBED):
+                g["E"][:, e] += np.bincount(part, weights=back[:, e], minlength=256)
 
     def train(self, texts: list[bytes], labels: list[int], epochs: int = 10, batch: int = 16, rate: float = 0.015, seed: int = 7) -> "Net":
         """Adam on logistic loss, classes weighted alike."""
@@ -106,22 +136,11 @@ class Net:
             for start in range(0, len(order), batch):
                 g = {k: np.zeros_like(v) for k, v in self.p.items()}
                 for i in order[start : start + batch]:
-                    f, (x, seen, out, at, best) = self._step(texts[i])
+                    f, held = self._step(texts[i])
                     err = float(weight[i] * (1 / (1 + np.exp(-np.clip(f @ self.p["V"] + self.p["c"][0], -30, 30))) - y[i]) / batch)
                     g["V"] += err * f
                     g["c"] += err
-                    d = err * self.p["V"]
-                    grad = np.where(out > 0, d[2 * FILTERS :] / len(out), 0).astype(np.float32)
-                    cols, top = np.arange(FILTERS), best.argmax(axis=0)
-                    for k, a in enumerate(at):
-                        grad[a, cols] += np.where(out[a, cols] > 0, d[FILTERS : 2 * FILTERS] / len(at) + np.where(top == k, d[:FILTERS], 0), 0)
-                    g["b"] += grad.sum(axis=0)
-                    back = np.zeros_like(seen)
-                    for k in range(WIDTH):
-                        g["W"][k] += seen[k : k + len(grad)].T @ grad
-                        back[k : k + len(grad)] += grad @ self.p["W"][k].T
-                    for e in range(EMBED):
-                        g["E"][:, e] += np.bincount(x, weights=back[:, e], minlength=256)
+                    self._gradient(err * self.p["V"], held, g)
                 t += 1
                 lr = rate * (1 - 0.9 * t / total)
                 for k, v in self.p.items():
@@ -132,13 +151,20 @@ class Net:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, most_rows: int, most_bytes: int) -> list[tuple[bytes, int]]:
-    """At most ``most_rows`` rows that may be learned from, chosen by the hash of the id."""
+    """At most ``most_rows`` rows that may be learned from, chosen by the hash of the id, up to the one
+    that reaches ``most_rows * most_bytes`` bytes."""
     known = labels.filter((fold() != 0) & F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col("quality").cast("int").alias("quality"))
-    rank = F.xxhash64(F.col("doc_id"), F.lit(1))
-    # Ids first, without texts; some are longer than allowed, so twice as many are drawn.
-    drawn = known.orderBy(rank, "doc_id").limit(2 * most_rows).withColumn("rank", rank)
-    texts = documents.select("doc_id", text_bytes().alias("data")).filter(F.octet_length("data") <= most_bytes)
-    rows = texts.join(F.broadcast(drawn), "doc_id").orderBy("rank", "doc_id").limit(most_rows).select("data", "quality").collect()
+    order = [F.xxhash64(F.col("doc_id"), F.lit(1)), "doc_id", "bytes", "quality"]
+    texts = documents.select("doc_id", text_bytes().alias("data")).withColumn("bytes", F.octet_length("data"))
+    # Lengths first, without texts.
+    drawn = texts.select("doc_id", "bytes").join(known, "doc_id").orderBy(*order).limit(most_rows).collect()
+    n, held = 0, 0
+    while n < len(drawn) and held < most_rows * most_bytes:
+        n, held = n + 1, held + drawn[n]["bytes"]
+    if not n:
+        return []
+    ids = documents.sparkSession.createDataFrame(sorted({(r["doc_id"],) for r in drawn[:n]}), documents.select("doc_id").schema)
+    rows = texts.join(F.broadcast(ids), "doc_id").join(F.broadcast(known.join(F.broadcast(ids), "doc_id", "left_semi")), "doc_id").orderBy(*order, "data").limit(n).select("data", "quality").collect()
     return [(bytes(r[0]), int(r[1])) for r in rows]
 
 

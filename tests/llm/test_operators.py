@@ -218,6 +218,24 @@ def test_classifier_on_tables(spark, odd):
     assert bytecnn.keep_good(docs, net).columns == docs.columns
 
 
+def test_classifier_learns_from_long_texts(spark):
+    docs = table(spark, [("word " if k % 2 else "*|* ") * 2000 for k in range(40)])
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    drawn = bytecnn.labelled_sample(docs, labels, 100, 4096)
+    assert len(drawn) == sum(zlib.crc32(str(k).encode()) % 5 != 0 for k in range(40)) and all(len(x) >= 8000 for x, _ in drawn)
+    assert len(bytecnn.labelled_sample(docs, labels, 100, 1)) == 1
+    net = bytecnn.fit(docs, labels)
+    assert sum(r["predicted"] == r["doc_id"] % 2 for r in rows(bytecnn.score(docs, net))) == 40
+
+
+def test_classifier_steps_do_not_depend_on_spans(monkeypatch):
+    texts = [" ".join(words(3000, k)).encode() for k in range(4)]
+    whole = bytecnn.Net().train(texts, [0, 1, 0, 1], epochs=2)
+    monkeypatch.setattr(bytecnn, "SPAN", 1)
+    parts = bytecnn.Net().train(texts, [0, 1, 0, 1], epochs=2)
+    assert all(np.allclose(whole.p[k], parts.p[k], atol=1e-3) for k in whole.p)
+
+
 # 6 ------------------------------------------------------------------------------------------------
 
 
