@@ -144,6 +144,20 @@ def test_pairs_and_clusters(spark):
     assert distinct.semantic_groups(df.limit(0), "id", "v").count() == 0
 
 
+def test_clusters_of_many_rows(spark):
+    """Over 5,000 rows: pairs near the threshold still meet."""
+    r = np.random.default_rng(4)
+    base = r.normal(size=(2600, 48))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = r.normal(size=base.shape)
+    side -= (side * base).sum(axis=1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    v = np.concatenate([base, 0.92 * base + np.sqrt(1 - 0.92**2) * side])
+    df = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(v)], "id int, v array<float>")
+    groups = {x["id"]: x["cluster"] for x in distinct.semantic_groups(df, "id", "v").collect()}
+    assert groups == {i: i % 2600 for i in range(5200)}
+
+
 def test_average_linkage_by_hand():
     a = np.radians([0, 10, 60])
     v = np.stack([np.cos(a), np.sin(a)], axis=1)
