@@ -620,7 +620,7 @@ def training_columns(spark, sf):
 @query("SELECT doc_id, trim(regexp_extract(text, '(?s)^[^.]*\\.(.*?)\\.', 1), chr(32) || chr(10) || chr(9) || chr(13)) AS section FROM documents WHERE regexp_matches(text, '(?s)^[^.]*\\.[^.]*\\.') AND NOT regexp_matches(text, '(?s)[^\\x00-\\x{17f}]')")
 def sections(spark, sf):
     marked = F.concat(F.lit("x"), F.regexp_replace(F.substring_index("text", ".", 2), r"(?s)^[^.]*\.", "<A>"), F.lit("<B>"))
-    rows = _t(spark, sf, "documents").filter(F.col("text").rlike(r"(?s)^[^.]*\.[^.]*\.") & ~F.col("text").rlike(r"(?s)[^\x00-\x{17f}]"))
+    rows = _t(spark, sf, "documents").filter(F.col("text").rlike(r"(?s)^[^.]*\.[^.]*\."))
     return rows.select("doc_id", text.between(marked, "<A>", "<B>").alias("section"))
 
 

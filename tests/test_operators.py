@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from parlance.functions import codec
 from parlance.operators import align, curate, distinct, mix, model_map, order, quality, report
+from parlance.plans import catalogue
 from parlance.plans import jobs as plans
 from parlance.schema import conform
 from parlance.sources import readers, retrieve, writers
@@ -165,6 +166,13 @@ def test_average_linkage_by_hand():
     assert distinct.average_linkage(v, 1.0).tolist() == [0, 0, 0]
 
 
+def test_sections_of_all_of_unicode(spark, tmp_path):
+    texts = ["a. b .c", "一。.\u3000二三 .四", "Привет. мир — “да” . x", "🙂.🙂.", "no stop", "é. ł."]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["section"] for r in catalogue.queries()["sections"](spark, str(tmp_path)).collect()}
+    assert got == {i: t.split(".")[1].strip() for i, t in enumerate(texts) if t.count(".") > 1}
+
+
 def test_mixing(spark):
     df = spark.createDataFrame([(i, [f"m{i}"], i % 2) for i in range(6)], "id int, messages array<string>, kind int")
     out = mix.mixed(df, df, 8, 1, 2).collect()
