@@ -304,6 +304,16 @@ def train_overlap(spark, sf):
     return _t(spark, sf, "benchmark").withColumn("k", norm(F.col("text"))).join(lines, "k", "left").groupBy("item_id").agg(F.count("doc_id").alias("n_docs"))
 
 
+@query()
+def train_containment(spark, sf):
+    """As ``train_overlap``, but documents that hold the passage anywhere in their whole normalised text."""
+    norm = lambda c: F.lower(F.regexp_replace(c, r"[\s!-/:-@\[-`{-~]+", ""))
+    docs = _t(spark, sf, "documents").select("doc_id", norm(F.col("text")).alias("x"))
+    items = _t(spark, sf, "benchmark").select("item_id", norm(F.col("text")).alias("k"))
+    found = docs.join(F.broadcast(items), F.col("k").isNotNull() & (F.col("k") != "") & F.contains("x", "k")).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_docs"))
+    return items.select("item_id").join(found, "item_id", "left").select("item_id", F.coalesce("n_docs", F.lit(0)).alias("n_docs"))
+
+
 @query("SELECT doc_id FROM documents WHERE lower(regexp_replace(text, '[\\s[:punct:]]+', '', 'g')) NOT IN (SELECT lower(regexp_replace(text, '[\\s[:punct:]]+', '', 'g')) FROM benchmark) AND text IS NOT NULL")
 def unlike_training(spark, sf):
     return align.unlike_training(_t(spark, sf, "documents").select("doc_id", "text"), _t(spark, sf, "benchmark").select("text"), "text").select("doc_id")

@@ -173,6 +173,13 @@ def test_sections_of_all_of_unicode(spark, tmp_path):
     assert got == {i: t.split(".")[1].strip() for i, t in enumerate(texts) if t.count(".") > 1}
 
 
+def test_containment_within_and_over_lines(spark, tmp_path):
+    texts = ["x The Cat, sat y", "the\ncat sat", "the cat", None, "The cat sat"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "the cat sat!"), (2, "dog"), (3, "!")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert {tuple(r) for r in catalogue.queries()["train_containment"](spark, str(tmp_path)).collect()} == {(1, 3), (2, 0), (3, 0)}
+
+
 def test_mixing(spark):
     df = spark.createDataFrame([(i, [f"m{i}"], i % 2) for i in range(6)], "id int, messages array<string>, kind int")
     out = mix.mixed(df, df, 8, 1, 2).collect()
