@@ -333,6 +333,14 @@ def obs_cap(spark, sf):
     return _t(spark, sf, "documents").select("doc_id", F.size(order.within_length(p, 60)).alias("kept"))
 
 
+@query()
+def obs_cap_whole(spark, sf):
+    """As ``obs_cap``, over all lines of the whole text, up to 4,000 characters."""
+    lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.array(x))
+    p = F.concat(F.array(F.array("lang"), F.array("source")), lines)
+    return _t(spark, sf, "documents").select("doc_id", F.size(order.within_length(p, 4000)).alias("kept"))
+
+
 @query("""SELECT doc_id, ['reverse', 'shuffle', 'none'][('0x' || substr(md5('0|' || doc_id), 1, 4))::INT % 3 + 1] AS mode,
   CASE ('0x' || substr(md5('0|' || doc_id), 1, 4))::INT % 3 WHEN 0 THEN source || ',' || lang || ',c' WHEN 2 THEN 'c,' || lang || ',' || source
     ELSE array_to_string(list_transform(list_sort([{'m': md5(doc_id || 'c'), 'x': 'c'}, {'m': md5(doc_id || lang), 'x': lang}, {'m': md5(doc_id || source), 'x': source}]), lambda s: s.x), ',') END AS passages FROM documents""")

@@ -180,6 +180,15 @@ def test_containment_within_and_over_lines(spark, tmp_path):
     assert {tuple(r) for r in catalogue.queries()["train_containment"](spark, str(tmp_path)).collect()} == {(1, 3), (2, 0), (3, 0)}
 
 
+def test_cap_over_whole_texts(spark, tmp_path):
+    texts = ["one line", "\n".join(f"line {k} " + "x" * 70 for k in range(90)), "y" * 5000, ""]
+    spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["kept"] for r in catalogue.queries()["obs_cap_whole"](spark, str(tmp_path)).collect()}
+    for i, t in enumerate(texts):
+        p = [["en"], ["s"], *[[x] for x in t.split("\n")]]
+        assert got[i] == max(n for n in range(len(p) + 1) if len(str(p[:n])) <= 4000)
+
+
 def test_mixing(spark):
     df = spark.createDataFrame([(i, [f"m{i}"], i % 2) for i in range(6)], "id int, messages array<string>, kind int")
     out = mix.mixed(df, df, 8, 1, 2).collect()
