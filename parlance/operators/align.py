@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,9 +15,11 @@ def with_responses(requests: DataFrame, responses: DataFrame, key: str = "row_id
 
 
 def last_wins(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """The last row of each key."""
-    w = Window.partitionBy(*key).orderBy(*[F.desc(c) for c in order])
-    return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    """The last row of each key, combined before the shuffle. Rows that tie to the end count as one."""
+    rest = [c for c in df.columns if c not in key]
+    at = F.struct(*[F.col(f"`{c}`") for c in order])
+    last = df.groupBy(*[F.col(f"`{c}`") for c in key]).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), at).alias("_last"))
+    return last.select(*[F.col(f"`{c}`") if c in key else F.col("_last")[c].alias(c) for c in df.columns])
 
 
 def outer_by_query(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

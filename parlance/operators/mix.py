@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parlance.scratch import materialize
+
 
 def _draw(low: int, high: int, *seed: Column) -> Column:
     """A number from low to high out of an md5, which any engine can repeat."""
@@ -37,8 +39,12 @@ def _placed(df: DataFrame, key: str) -> DataFrame:
 
 def mixed_by_kind(df: DataFrame, kind: str, low: int = 2, high: int = 15, **more) -> DataFrame:
     """The same within each kind: a conversation is preceded by others of its kind only."""
-    w = Window.partitionBy(kind).orderBy("id")
-    sized = df.withColumns({"_at": F.row_number().over(w) - 1, "_n": F.count(F.lit(1)).over(Window.partitionBy(kind))})
+    from parlance.operators.order import row_ids
+
+    # Places within a kind from one numbering of all rows: no task gathers a kind.
+    numbered = materialize(row_ids(df, [kind, "id"], "_r"))
+    kinds = numbered.groupBy(kind).agg(F.min("_r").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    sized = numbered.join(kinds, kind).withColumn("_at", (F.col("_r") - F.col("_first")).cast("int")).drop("_r", "_first")
     k = _draw(low, high, F.col("id"))
     drawn = sized.select("id", kind, "messages", F.posexplode(F.transform(F.sequence(F.lit(1), k), lambda i: F.pmod(_draw(0, 2**27, F.col("id"), i), F.col("_n")).cast("int"))).alias("_k", "_at"))
     pool = sized.select(kind, "_at", F.col("messages").alias("_before"))

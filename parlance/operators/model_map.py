@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import hashlib
 import time
-import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -16,10 +15,11 @@ from threading import Lock
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parlance.functions.tokens import FAILED
+from parlance.scratch import materialize
 from parlance.workers import ship
 
 
@@ -93,24 +93,13 @@ def ask_all(df: DataFrame, make: Callable[[], Client], prompt: str = "prompt", k
     return rows.repartition(limits.partitions, key).mapInPandas(run, rows.schema.add("response", "string"))
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """Answers are bought once: written to the shared folder, not recomputed."""
-    import tempfile
-
-    spark: SparkSession = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="answers-")
-    path = f"{base.rstrip('/')}/answers/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def ask_rounds(df: DataFrame, make: Callable[[], Client], prompt: str = "prompt", key: str = "row_id", limits: Limits = Limits(), rounds: int = 3, once_each: bool = True) -> DataFrame:
     """As ``ask_all``, with further rounds over the rows that failed; what fails to the end keeps the
     sentinel. Equal prompts are asked once."""
     asked = df.select(F.sha2(prompt, 256).alias("_h"), prompt).dropDuplicates(["_h"]) if once_each else df.select(F.col(key).cast("string").alias("_h"), prompt)
     done, left = None, asked
     for k in range(rounds):
-        got = _written(ask_all(left, make, prompt, "_h", limits).drop(prompt))
+        got = materialize(ask_all(left, make, prompt, "_h", limits).drop(prompt))
         good = got.filter(F.col("response") != FAILED)
         last = k + 1 == rounds
         done = (got if last else good) if done is None else done.unionByName(got if last else good)

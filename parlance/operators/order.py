@@ -5,20 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parlance.scratch import materialize
+
 
 def numbered(df: DataFrame, group: list[str], order: list[str], name: str = "turn_id") -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
 
 
 def row_ids(df: DataFrame, order: list[str], name: str = "row_id") -> DataFrame:
-    """1 to n over all rows, without gathering them: rows are range-partitioned by the order, counted
-    a partition at a time, and numbered from their partition's start."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    w = Window.partitionBy("_p").orderBy(*order)
-    counts = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
+    """1 to n over all rows, without gathering them.
+
+    Rows are range-partitioned and sorted by the order once and written with their partition's number
+    and their place in it; counts and rows are read from that one table, so no row is lost or numbered
+    twice whatever the partitions are. Rows that tie are dealt over ranges by where they came from."""
+    ranged = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie")
+    # The id holds the partition above 33 bits and the place in it below.
+    placed = materialize(ranged.drop("_tie").withColumn("_m", F.monotonically_increasing_id()))
+    part = F.shiftright("_m", 33).alias("_p")
+    counts = placed.select("_m", part).groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
     # A row a partition.
-    starts = counts.withColumn("_s", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return ranged.join(F.broadcast(starts.select("_p", "_s")), "_p").withColumn(name, F.row_number().over(w) + F.col("_s")).drop("_p", "_s")
+    starts = counts.select("_p", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_s"))
+    numbered = placed.withColumn("_p", part).join(F.broadcast(starts), "_p")
+    return numbered.withColumn(name, F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_s") + 1).drop("_m", "_p", "_s")
 
 
 def earlier(group: list[str], order: list[str], *fields: str) -> Column:

@@ -35,6 +35,32 @@ def test_rows_are_numbered_without_gaps(spark, partitions):
     assert [k for k, _ in sorted(got.items(), key=lambda kv: kv[1])] == sorted(range(100), key=lambda i: (i % 7, i)) and sorted(got.values()) == list(range(1, 101))
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_wide_rows_are_numbered_without_loss(spark, adaptive):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.shuffle.partitions", 61)
+        n = 200_000
+        wide = spark.range(0, n, 1, 24).select("id", F.repeat(F.md5(F.col("id").cast("string")), 10).alias("body"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1000).alias("hot"))
+        for by in (["body"], ["hot"]):
+            got = order.row_ids(wide, by).agg(F.count(F.lit(1)), F.count_distinct("row_id"), F.min("row_id"), F.max("row_id"), F.count_distinct("id"), F.sum(F.length("body")), F.count_if(F.col("body") != F.repeat(F.md5(F.col("id").cast("string")), 10)))
+            assert tuple(got.first()) == (n, n, 1, n, n, 320 * n, 0)
+        parts = order.chunks(wide, 7, ["body"]).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), F.max("body").alias("high"), F.min("body").alias("low")).orderBy("chunk").collect()
+        assert [p["n"] for p in parts] == [28572] * 6 + [n - 6 * 28572]
+        assert all(a["high"] < b["low"] for a, b in zip(parts, parts[1:], strict=False))
+        assert order.half(wide, "id").select("id", "body").distinct().count() == n // 2
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_hashed_text_vectors(spark):
+    df = spark.createDataFrame([("abab",), ("",), (None,), ("é" * 50_000,)], "t string")
+    got = [r["v"] for r in df.select(distinct.text_vectors(F.col("t"), 16).alias("v")).collect()]
+    assert got[2] is None and [sum(v) for v in (got[0], got[1], got[3])] == [3, 0, 99_999]
+
+
 def test_samples(spark):
     df = spark.range(5)
     assert order.half(df, "id").count() == 2
