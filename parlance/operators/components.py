@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from parlance.scratch import discard, materialize
 from parlance.workers import ship
 
-#: Nodes that a task holds before it passes its forest on.
+#: Nodes that a task holds before it passes its forest on, and links that one task takes in all.
 HELD = 500_000
 
 
@@ -47,8 +47,13 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the nodes of ``edges`` (hi, lo) but each component's smallest.
 
     Union-find in each partition, then rounds of star contraction: every node goes to its least
-    neighbour, until all links point at the least of their component."""
+    neighbour, until all links point at the least of their component. Forests of at most ``HELD``
+    links in all meet in one task, which gives the same."""
     now, seen = materialize(local_forest(edges)), None
+    if now.count() <= HELD:
+        out = materialize(local_forest(now.coalesce(1)).select(F.col("hi").alias("node"), F.col("lo").alias("component")))
+        discard(now)
+        return out
     while True:
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(now.select("lo", "hi"))
         least = materialize(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")))

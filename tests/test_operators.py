@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parlance.functions import codec
+from parlance.operators import components as graph
 from parlance.operators import align, curate, distinct, mix, model_map, order, quality, report
 from parlance.plans import catalogue
 from parlance.plans import jobs as plans
@@ -55,6 +56,16 @@ def test_wide_rows_are_numbered_without_loss(spark, adaptive):
             spark.conf.set(k, v)
 
 
+@pytest.mark.parametrize("held", [3, 500_000])
+def test_components(spark, monkeypatch, held):
+    monkeypatch.setattr(graph, "HELD", held)
+    edges = [(k + 1, k) for k in range(40)] + [(100, 50), (101, 50), (101, 100)] + [(k, 200) for k in range(201, 260)]
+    df = spark.createDataFrame([(max(e), min(e)) for e in edges], "hi long, lo long").repartition(4)
+    got = {r["node"]: r["component"] for r in graph.components(df).collect()}
+    assert got == {k: 0 for k in range(1, 41)} | {100: 50, 101: 50} | {k: 200 for k in range(201, 260)}
+    assert graph.components(df.limit(0)).collect() == []
+
+
 def test_hashed_text_vectors(spark):
     df = spark.createDataFrame([("abab",), ("",), (None,), ("é" * 50_000,)], "t string")
     got = [r["v"] for r in df.select(distinct.text_vectors(F.col("t"), 16).alias("v")).collect()]
