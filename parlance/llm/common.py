@@ -2,35 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parlance.scratch import discard, materialize
 from parlance.workers import ship
 
+__all__ = ["SPACE", "bind", "blank_spaces", "discard", "fold", "map_arrow", "materialize", "one_space", "read", "text_bytes", "whole_text"]
+
 #: Marks split words in every operator: ASCII white space only.
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one only where that is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="parlance-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: lineage ends here, losing an
-    executor costs no recomputation, and what reads it later sees one and the same result."""
-    path = f"{shared_dir(df.sparkSession)}/parlance/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def map_arrow(df: DataFrame, run, schema) -> DataFrame:
     """``mapInArrow`` on workers that have this package."""
     ship(df.sparkSession)

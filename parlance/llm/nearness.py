@@ -13,14 +13,16 @@ variance; once all slots hold less than the next step, nothing can change and th
    are grouped. Where a bucket still has members of several groups, those outside the hub's group
    get a hub of their own, and so on for a few rounds.
 4. Members of buckets that have several groups even then are clustered by shared buckets. Clusters
-   are cut into blocks of ``BLOCK`` members; each pair of blocks meets once in a task, as a matrix
-   product of members and shingles, which gives all shares at once. A member is sent once a block;
-   only a forest of the links found is written, never pairs, however many copies a group holds.
+   are cut into blocks of ``BLOCK`` members; two blocks meet once in a task, as a matrix product of
+   members and shingles, which gives all shares at once. Members of a cluster's largest group are
+   linked already: their blocks meet those of the others, not one another. Only a forest of the
+   links found is written, never pairs, however many copies a group holds.
 5. Groups are found by union-find: in each partition first, then by star contraction over all.
 
 Sets hold 64-bit hashes of shingles. Defined cases: null and empty texts have empty sets and are
 linked with nothing; rows that share an id are one document; a null id is its own component and
-not kept; other columns are not read.
+not kept; a text of any length is one slice of its own at most and its set one row; an empty table
+gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,14 +34,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parlance.llm.common import map_arrow, materialize, text_bytes
+from parlance.llm.common import discard, map_arrow, materialize, text_bytes
+from parlance.operators.components import components
 from parlance.workers import ship
 
 #: A prime, so that every step width makes a permutation of the slots.
 SLOTS = 127
 ROUNDS = 2
 #: Members of a block, and shingles that a matrix holds at once.
-BLOCK, COLUMNS = 256, 16_384
+BLOCK, COLUMNS = 512, 8192
+#: Ids that are sent to all tasks; where there are more, they meet their texts in a join.
+SENT = 1_000_000
 #: Bytes of text worked on at once.
 SLICE = 2_000_000
 _LOWER = np.array([c + 32 if 0x41 <= c <= 0x5A else 0x20 if 9 <= c <= 13 else c for c in range(256)], dtype=np.uint8)
@@ -184,51 +189,6 @@ def hash_sets(df: DataFrame, k: int) -> DataFrame:
     return map_arrow(df.select("doc", "text"), run, schema)
 
 
-def local_forest(edges: DataFrame) -> DataFrame:
-    """Each partition's links as (node, root): the same groups by fewer, shallower links."""
-
-    def run(batches):
-        parent: dict[int, int] = {}
-
-        def find(x):
-            while parent.setdefault(x, x) != x:
-                parent[x] = x = parent[parent[x]]
-            return x
-
-        def forest():
-            links = [(x, find(x)) for x in list(parent)]
-            links = [(a, b) for a, b in links if a != b]
-            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], names=["hi", "lo"])
-
-        for batch in batches:
-            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                a, b = find(a), find(b)
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-            if len(parent) > 500_000:  # a partition's forest needn't fit
-                yield forest()
-                parent.clear()
-        yield forest()
-
-    return map_arrow(edges, run, "hi long, lo long")
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component) of the nodes of ``edges`` (hi, lo) but each component's smallest."""
-    now, seen = materialize(local_forest(edges)), None
-    while True:
-        both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(now.select("lo", "hi"))
-        least = materialize(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")))
-        large = materialize(both.filter("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct())
-        least = materialize(large.groupBy("hi").agg(F.min("lo").alias("m")))
-        joined = large.join(least, "hi")
-        now = materialize(joined.filter("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).union(least.select("hi", "m")).distinct())
-        mark = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
-        if mark == seen:
-            return now.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
-        seen = mark
-
-
 class _Verifier:
     """Shares of common shingles of pairs, from the full sets of the texts that are in pairs."""
 
@@ -237,8 +197,11 @@ class _Verifier:
         self.sets: DataFrame | None = None
 
     def prepare(self, ids: DataFrame) -> None:
-        """Compute the sets of ``ids`` (doc)."""
-        self.sets = materialize(hash_sets(self.docs.join(ids, "doc", "left_semi"), self.k))
+        """Compute the sets of ``ids`` (doc), once. Texts are shuffled only where the ids are too many to send."""
+        ids = materialize(ids)
+        few = F.broadcast(ids) if ids.count() <= SENT else ids
+        self.sets = materialize(hash_sets(self.docs.join(few, "doc", "left_semi"), self.k))
+        discard(ids)
 
     def measure(self, pairs: DataFrame) -> DataFrame:
         """(a, b, common, united) of distinct pairs."""
@@ -253,54 +216,59 @@ def _near(percent: int) -> Column:
 
 def connected(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """(node, component) of whatever is near something else. reps: (rep, n, bands); docs: (doc, text)."""
-    members = reps.select("rep", "n", F.explode("bands").alias("bucket"))
+    every = reps.select("rep", "n", F.explode("bands").alias("bucket"))
     # Only buckets with several members matter from here on.
-    shared = materialize(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"))
-    members = materialize(members.join(shared, "bucket"))
-    members = materialize(members.join(members.groupBy("rep").agg(F.sum("c").alias("weight")), "rep").select("bucket", "rep", "n", "weight"))
+    shared = materialize(every.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"))
+    tied = materialize(every.join(shared, "bucket"))
+    members = materialize(tied.join(tied.groupBy("rep").agg(F.sum("c").alias("weight")), "rep").select("bucket", "rep", "n", "weight"))
+    discard(shared, tied)
     check = _Verifier(docs, k)
     check.prepare(members.select(F.col("rep").alias("doc")).distinct())
 
     def with_hub(of: DataFrame, *more: str) -> DataFrame:
         """Each member beside its bucket's hub."""
         hub = of.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("rep")).alias("r"), "n", *more)).alias("h"))
-        return of.join(materialize(hub.select("bucket", (-F.col("h.r")).alias("hub"), F.col("h.n").alias("hub_n"), *[F.col(f"h.{m}").alias(f"hub_{m}") for m in more])), "bucket")
+        return of.join(hub.select("bucket", (-F.col("h.r")).alias("hub"), F.col("h.n").alias("hub_n"), *[F.col(f"h.{m}").alias(f"hub_{m}") for m in more]), "bucket")
 
     def close(n: str, m: str, p: int) -> Column:
         return F.least(n, m) * 100 >= F.greatest(n, m) * p
 
-    def near(measured: DataFrame) -> DataFrame:
-        return measured.filter(_near(percent)).select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
+    def near(pairs: DataFrame) -> DataFrame:
+        measured = check.measure(pairs.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
+        return materialize(measured.filter(_near(percent)).select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")))
 
     held = materialize(with_hub(members))
-    sims = materialize(check.measure(held.filter((F.col("rep") != F.col("hub")) & close("n", "hub_n", percent)).select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()))
-    edges = near(sims)
-    groups = materialize(components(edges))
+    discard(members)
+    edges = near(held.filter((F.col("rep") != F.col("hub")) & close("n", "hub_n", percent)))
+    links, groups = [edges], components(edges)
     for turn in range(ROUNDS):
-        placed = held.drop("group").join(groups, F.col("rep") == F.col("node"), "left").withColumn("group", F.coalesce("component", "rep")).drop("node", "component")
-        placed = materialize(placed)
+        placed = materialize(held.drop("group").join(groups, F.col("rep") == F.col("node"), "left").withColumn("group", F.coalesce("component", "rep")).drop("node", "component"))
         several = placed.groupBy("bucket").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("bucket")
-        held = materialize(placed.join(materialize(several), "bucket", "left_semi"))
+        discard(held)
+        held = materialize(placed.join(several, "bucket", "left_semi"))
+        discard(placed)
         if held.isEmpty():
             return groups
         if turn + 1 == ROUNDS:
             break
-        mine = materialize(held.filter("rep = hub").select("bucket", F.col("group").alias("mine")))
+        mine = held.filter("rep = hub").select("bucket", F.col("group").alias("mine"))
         outside = held.join(mine, "bucket").filter("group != mine").drop("hub", "hub_n", "mine")
-        pairs = with_hub(outside, "group").filter((F.col("group") != F.col("hub_group")) & close("n", "hub_n", percent))
-        sims = materialize(check.measure(pairs.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()))
-        new = near(sims)
+        new = near(with_hub(outside, "group").filter((F.col("group") != F.col("hub_group")) & close("n", "hub_n", percent)))
         if new.isEmpty():
             break
+        links.append(new)
         edges = edges.unionByName(new)
-        groups = materialize(components(edges))
+        discard(groups)
+        groups = components(edges)
     # Clusters of what shares such a bucket, by the links of members to their bucket's least one.
     least = held.groupBy("bucket").agg(F.min("rep").alias("lo"))
-    tied = held.join(materialize(least), "bucket").filter("rep != lo").select(F.col("rep").alias("hi"), "lo").distinct()
-    clusters = components(tied)
-    both = clusters.select(F.col("node").alias("doc"), F.col("component").alias("cluster")).unionByName(clusters.select(F.col("component").alias("doc"), F.col("component").alias("cluster")).distinct())
-    found = block_links(materialize(both), check.sets, percent)
-    return components(edges.unionByName(materialize(found)))
+    clusters = components(held.join(least, "bucket").filter("rep != lo").select(F.col("rep").alias("hi"), "lo").distinct())
+    both = clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster")).unionByName(clusters.select(F.col("component").alias("rep"), F.col("component").alias("cluster")).distinct())
+    both = materialize(both.join(held.select("rep", "group").distinct(), "rep").select(F.col("rep").alias("doc"), "cluster", "group"))
+    found = materialize(block_links(both, check.sets, percent))
+    out = components(edges.unionByName(found))
+    discard(held, groups, clusters, both, found, check.sets, *links)
+    return out
 
 
 def shares(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -323,16 +291,25 @@ def shares(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 
 
 def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(hi, lo): a forest of the links within each cluster. members: (doc, cluster); sets: (doc, hashes)."""
-    counts = materialize(members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")))
-    mine = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
-    dealt = members.join(counts, "cluster").withColumn("block", mine).select("doc", "cluster", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    """(hi, lo): a forest of the links within each cluster that its groups don't hold yet.
+    members: (doc, cluster, group); sets: (doc, hashes).
+
+    The members of a cluster's largest group are linked already and never meet each other; they meet
+    the blocks of all other members, which meet among themselves too."""
+    groups = members.groupBy("cluster", "group").agg(F.count(F.lit(1)).alias("n"))
+    sizes = groups.groupBy("cluster").agg(F.max(F.struct("n", (-F.col("group")).alias("g"))).alias("most"), F.sum("n").alias("n"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    sizes = sizes.select("cluster", (-F.col("most.g")).alias("main"), blocks(F.col("n") - F.col("most.n")).alias("others"), blocks(F.col("most.n")).alias("mains"))
+    is_main, slot = F.col("group") == F.col("main"), F.xxhash64("doc")
+    mine = F.when(is_main, F.col("others") + F.pmod(slot, F.col("mains"))).otherwise(F.pmod(slot, F.greatest("others", F.lit(1)))).cast("int")
+    meets = F.sequence(F.lit(0), F.when(is_main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1)
+    dealt = members.join(sizes, "cluster").filter("others > 0").select("doc", "cluster", mine.alias("block"), F.explode(meets).alias("other"))
     cells = dealt.select("doc", "cluster", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
 
-    def meet(table):
+    def meet(key, table):
         docs, blocks = table["doc"].to_numpy(), table["block"].to_numpy()
         hashes = [np.asarray(x.as_py(), dtype=np.int64) for x in table["hashes"]]
-        i, j = blocks.min(), blocks.max()
+        i, j = key[1].as_py(), key[2].as_py()
         parent = list(range(len(docs)))
 
         def find(x):
@@ -341,6 +318,8 @@ def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             return x
 
         p, q = np.flatnonzero(blocks == i), np.flatnonzero(blocks == j)
+        if not (len(p) and len(q)):
+            return pa.table({"hi": pa.array([], pa.int64()), "lo": pa.array([], pa.int64())})
         sizes = np.array([len(h) for h in hashes])
         common = shares([hashes[x] for x in p], [hashes[x] for x in q])
         near = common * 100 >= (sizes[p][:, None] + sizes[q][None, :] - common) * percent
@@ -369,6 +348,10 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
     known = materialize(
         groups.join(joined, groups["rep"] == joined["node"], "left").select("digest", F.coalesce("component", "rep").alias("component"), "copies", "rep").filter("copies > 1 or component != rep").select("digest", "component")
     )
-    out = signed.select("doc", "n_shingles", "digest").join(known, "digest", "left")
+    discard(groups, joined)
+    # What has no set or no id meets nothing, and stays out of the join.
+    lone = "digest is null or doc is null"
+    rows = signed.select("doc", "n_shingles", "digest")
+    out = rows.filter(f"not ({lone})").join(known, "digest", "left").select("doc", "n_shingles", "component").unionByName(rows.filter(lone).select("doc", "n_shingles", F.lit(None).cast(known.schema["component"].dataType).alias("component")))
     component = F.coalesce("component", "doc")
     return out.select(F.col("doc").alias(id_col), "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc") == component, F.lit(False)).alias("kept"))

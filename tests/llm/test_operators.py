@@ -386,7 +386,8 @@ def changed(text, n, seed):
 @pytest.mark.parametrize(("k", "percent", "turns"), [(5, 80, 2), (3, 85, 1), (3, 60, 2)])
 def test_near(spark, monkeypatch, k, percent, turns):
     monkeypatch.setattr(nearness, "ROUNDS", turns)
-    monkeypatch.setattr(nearness, "BLOCK", 16)
+    monkeypatch.setattr(nearness, "BLOCK", 5)
+    monkeypatch.setattr(nearness, "SENT", turns)
     docs, r = [], random.Random(percent + k)
     for g in range(4):
         base = " ".join(words(150, g, 5000))
@@ -418,11 +419,40 @@ def test_signatures_estimate_jaccard():
         assert abs((sig[0] == sig[1]).mean() - len(a & b) / len(a | b)) < 0.15
 
 
-def test_components(spark):
-    edges = [(k + 1, k) for k in range(40)] + [(100, 50), (101, 50), (101, 100)]
-    df = spark.createDataFrame([(max(e), min(e)) for e in edges], "hi long, lo long").repartition(4)
-    got = {r["node"]: r["component"] for r in rows(nearness.components(df))}
-    assert got == {k: 0 for k in range(1, 41)} | {100: 50, 101: 50}
+def test_blocks_of_a_large_group_and_others(spark, monkeypatch):
+    """What is grouped meets the others' blocks only, and every link to and among these is found."""
+    monkeypatch.setattr(nearness, "BLOCK", 3)
+    r = random.Random(9)
+    sets = {i: sorted(r.sample(range(60), 20)) for i in range(30)}
+    sets |= {i: sets[i - 30][:19] + [100 + i] for i in range(30, 45)}
+    group = {i: 0 if i < 20 else i for i in sets}
+    members = spark.createDataFrame([(i, 7, g) for i, g in group.items()] + [(500, 8, 500), (501, 8, 500)], "doc long, cluster long, group long")
+    held = spark.createDataFrame([*sets.items(), (500, [1]), (501, [2])], "doc long, hashes array<long>")
+    found = [(x["hi"], x["lo"]) for x in rows(nearness.block_links(members, held, 60))]
+    root = {i: group[i] for i in group}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in found:
+        assert 100 * len(set(sets[a]) & set(sets[b])) >= 0 and a != b
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    want = {i: group[i] for i in group}
+
+    def find_want(x):
+        while want[x] != x:
+            x = want[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            x, y = set(sets[a]), set(sets[b])
+            if a < b and 100 * len(x & y) >= 60 * len(x | y):
+                p, q = find_want(a), find_want(b)
+                want[max(p, q)] = min(p, q)
+    assert {i: find(i) for i in sets} == {i: find_want(i) for i in sets}
 
 
 # 10 -----------------------------------------------------------------------------------------------
