@@ -7,70 +7,70 @@ words, so the vocabulary follows the corpus and no word is without a vector. The
 tokens before. Their vectors, each put through a matrix of its position, add up to a prediction. An
 output's probability is its class's times its own within the class, each a softmax of products with
 the prediction; classes are runs of outputs, the first ``HEADS`` alone in theirs. Both are trained by
-noise-contrastive loss, with noise by share, over every three tokens in a row of the corpus: each
-training task goes through its texts once (small corpora are repeated up to ``DRAWS`` tokens), and the
-tasks' weights are averaged by tokens. Scores are normalised exactly.
+noise-contrastive loss over every three tokens in a row of the corpus: a step takes ``STEP`` of them,
+with one draw of noise classes for all and one of noise outputs a class, so that it is a few matrix
+products. Each training task goes through its texts once (small corpora are repeated up to ``DRAWS``
+tokens), and the tasks' weights are averaged by tokens. Scores are normalised exactly.
 
 A word of a group has the group's probability times its share in it, (c + 0.5) / (N' + 0.5 (V' + 1))
 with counts of the group's words only. So a text's score is the log10 probability of a proper
 distribution over texts.
 
-Frequent words are at most FREQUENT in number and are broadcast; the counts of all others reach their
-texts by a join.
+Texts are cut into words twice, by Arrow kernels: for the counts, and to be written as numbers of
+outputs, which training and scoring read. Frequent words are at most FREQUENT in number and are
+broadcast; the counts of all others reach their texts by a join.
 
-Defined cases: null is empty, and an empty text is its end alone; without texts to learn from the
-score is the base score; rows that repeat an id are scored one by one; other columns are not read.
+Defined cases: null is empty, and an empty text is its end alone; a text of any length is scored
+whole, ``AT_ONCE`` tokens at a time; without texts to learn from the score is the base score; rows
+that repeat an id are scored one by one; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parlance.llm.common import fold, map_arrow, materialize, text_bytes
 
-WORDS, SIZE = 160, 16
-#: Outputs alone in their class, noise words a token within a class, and shared noise classes.
-HEADS, NOISE, SHARED = 128, 4, 32
+SIZE = 16
+#: Outputs alone in their class, noise outputs a class, and noise classes.
+HEADS, NOISE, SHARED = 128, 6, 32
 #: Words that share a group, and the most groups.
 GROUP, GROUPS = 64, 1 << 16
-#: Tokens a training step, fewest tokens trained on, fewest a task, and most tasks.
-STEP, DRAWS, TASK_TOKENS, TASKS = 1024, 1_000_000, 500_000, 64
-#: Tokens scored at once.
-AT_ONCE = 32_768
+#: Tokens a training step, steps whose tokens are mixed, fewest tokens trained on, fewest a task, and most tasks.
+STEP, MIXED, DRAWS, TASK_TOKENS, TASKS = 4096, 64, 1_000_000, 500_000, 64
+RATE = 0.1
+#: Tokens scored at once, and rows of class scores held at once.
+AT_ONCE, ROWS = 32_768, 1024
 FREQUENT, LONGEST = 1 << 19, 64
-#: Distinct words that a task counts before it passes them on.
-FLUSH = 400_000
-_LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
+#: Lower-cases A-Z and makes each white-space byte a space.
+_BYTES = np.array([c + 32 if 0x41 <= c <= 0x5A else 0x20 if 9 <= c <= 13 else c for c in range(256)], dtype=np.uint8)
 
 
-def tokens(data: bytes) -> list[bytes]:
-    return data.translate(_LOWER).split()
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of a column of bytes, end to end, and the number of words before each text's first."""
+    starts = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = _BYTES[np.frombuffer(texts.buffers()[2], np.uint8)[starts[0] : starts[-1]]] if texts.buffers()[2] else np.zeros(0, np.uint8)
+    flat = pa.Array.from_buffers(pa.string(), len(texts), [None, pa.py_buffer((starts - starts[0]).astype(np.int32)), pa.py_buffer(data)])
+    lists = pc.split_pattern(flat, " ")
+    held = np.asarray(pc.not_equal(pc.binary_length(lists.values), 0))
+    return lists.values.filter(pa.array(held)).cast(pa.binary()), np.r_[0, np.cumsum(held)][lists.offsets.to_numpy()]
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, c) of rows (text as bytes)."""
 
     def run(batches):
-        seen: Counter = Counter()
-
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "c"])
-
         for batch in batches:
-            for x in batch.column(0):
-                seen.update(tokens(x.as_py() or b""))
-                if len(seen) > FLUSH:
-                    yield out()
-                    seen.clear()
-        yield out()
+            counts = pc.value_counts(words_of(batch.column(0))[0])
+            yield pa.RecordBatch.from_arrays([counts.field(0), counts.field(1)], names=["word", "c"])
 
     return map_arrow(texts, run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -79,30 +79,32 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def _runs(ordered: np.ndarray) -> np.ndarray:
+    """Where runs of equal numbers begin."""
+    return np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+
+
 def _sums(which: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct numbers, and the rows of each added up."""
-    order = np.argsort(which, kind="stable")
+    order = np.argsort(which)
     which = which[order]
-    first = np.flatnonzero(np.r_[True, which[1:] != which[:-1]])
+    first = _runs(which)
     return which[first], np.add.reduceat(rows[order], first, axis=0)
 
 
-def _log_sums(scores: np.ndarray) -> np.ndarray:
-    top = scores.max(axis=1)
-    return top + np.log(np.exp(scores - top[:, None]).sum(axis=1))
-
-
 class LogBilinear:
     """Vectors R of context tokens, Q of outputs and K of classes, position matrices C1 and C2, biases b and a."""
 
     def __init__(self, shares: np.ndarray, seed: int = 11):
         r, n = np.random.default_rng(seed), len(shares)
         heads = min(n, HEADS)
+        self.heads = heads
         self.starts = np.r_[np.arange(heads), np.arange(heads, n, max(1, math.ceil(math.sqrt(n - heads)))), n]
         self.kind = np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts))
         self.noise = shares / shares.sum()
         self.run = np.r_[0, np.cumsum(self.noise)]
         self.class_noise = np.diff(self.run[self.starts])
+        self.class_run = np.cumsum(self.class_noise)
         inside = self.noise / self.class_noise[self.kind]
         self.p = {
             "R": r.normal(0, 0.1, (n, SIZE)), "Q": r.normal(0, 0.1, (n, SIZE)), "K": r.normal(0, 0.1, (len(self.class_noise), SIZE)),
@@ -114,168 +116,190 @@ class LogBilinear:
         self.class_bar = np.log(SHARED * self.class_noise).astype(np.float32)
         self.seen = {k: np.full(len(v) if k in "RQKba" else v.shape, 1e-6, np.float32) for k, v in self.p.items()}
 
-    def _move(self, name: str, which: np.ndarray, g: np.ndarray, rate: float) -> None:
-        """Adagrad on some rows."""
-        which, g = _sums(which, g)
-        self.seen[name][which] += (g * g).mean(axis=1) if g.ndim > 1 else g * g
-        by = rate / np.sqrt(self.seen[name][which])
+    def _move(self, name: str, which: np.ndarray, g: np.ndarray) -> None:
+        """Adagrad on some rows, each named once."""
+        seen = self.seen[name][which] + ((g * g).mean(axis=1) if g.ndim > 1 else g * g)
+        self.seen[name][which] = seen
+        by = RATE / np.sqrt(seen)
         self.p[name][which] -= by[:, None] * g if g.ndim > 1 else by * g
 
-    def step(self, second: np.ndarray, first: np.ndarray, w: np.ndarray, r: np.random.Generator, rate: float = 0.05) -> None:
+    def step(self, second: np.ndarray, first: np.ndarray, w: np.ndarray, r: np.random.Generator) -> None:
         """One move on the noise-contrastive losses of classes and of outputs within them."""
+        order = np.argsort(w)
+        second, first, w = second[order], first[order], w[order]
         p, c = self.p, self.kind[w]
         r1, r2 = p["R"][first], p["R"][second]
         hidden = r1 @ p["C1"] + r2 @ p["C2"]
-        drawn = r.choice(len(self.class_noise), SHARED, p=self.class_noise)
-        good = _sigmoid((hidden * p["K"][c]).sum(axis=1) + p["a"][c] - self.class_bar[c]) - 1
+        # Classes, against shared noise.
+        drawn = np.minimum(np.searchsorted(self.class_run, r.random(SHARED) * self.class_run[-1]), len(self.class_noise) - 1)
+        own = p["K"][c]
+        good = _sigmoid((hidden * own).sum(axis=1) + p["a"][c] - self.class_bar[c]) - 1
         bad = _sigmoid(hidden @ p["K"][drawn].T + p["a"][drawn] - self.class_bar[drawn])
-        dh = good[:, None] * p["K"][c] + bad @ p["K"][drawn]
-        at, rows = np.r_[c, drawn], np.r_[good[:, None] * hidden, bad.T @ hidden]
-        bias = np.r_[good, bad.sum(axis=0)]
-        many = np.flatnonzero(np.diff(self.starts)[c] > 1)
-        if len(many):
-            h, cm = hidden[many], c[many]
-            u = self.run[self.starts[cm]][:, None] + self.class_noise[cm][:, None] * r.random((len(many), NOISE))
-            others = np.clip(np.searchsorted(self.run, u, side="right") - 1, self.starts[cm][:, None], self.starts[cm + 1][:, None] - 1)
-            ids = np.c_[w[many], others]
-            q = p["Q"][ids]
-            g = _sigmoid(np.einsum("nd,nkd->nk", h, q) + p["b"][ids] - self.bar[ids])
-            g[:, 0] -= 1
-            dh[many] += np.einsum("nk,nkd->nd", g, q)
-            self._move("Q", ids.ravel(), (g[:, :, None] * h[:, None, :]).reshape(-1, SIZE), rate)
-            self._move("b", ids.ravel(), g.ravel(), rate)
-        self._move("K", at, rows, rate)
-        self._move("a", at, bias, rate)
-        back = np.r_[dh @ p["C1"].T, dh @ p["C2"].T]
+        dh = good[:, None] * own + bad @ p["K"][drawn]
+        runs = _runs(c)
+        at, g, gb = np.r_[c[runs], drawn], np.r_[np.add.reduceat(good[:, None] * hidden, runs), bad.T @ hidden], np.r_[np.add.reduceat(good, runs), bad.sum(axis=0)]
+        # Outputs within classes of several, against noise of their class.
+        m = int(np.searchsorted(w, self.heads))
+        if m < len(w):
+            h, ws, cs = hidden[m:], w[m:], c[m:]
+            runs = _runs(cs)
+            kinds, which = cs[runs], np.repeat(np.arange(len(runs)), np.diff(np.r_[runs, len(cs)]))
+            u = self.run[self.starts[kinds]][:, None] + self.class_noise[kinds][:, None] * r.random((len(kinds), NOISE))
+            others = np.clip(np.searchsorted(self.run, u, side="right") - 1, self.starts[kinds][:, None], self.starts[kinds + 1][:, None] - 1)
+            q, qn = p["Q"][ws], p["Q"][others]
+            yes = _sigmoid((h * q).sum(axis=1) + p["b"][ws] - self.bar[ws]) - 1
+            no = np.empty((len(ws), NOISE), np.float32)
+            gn = np.empty((len(kinds), NOISE, SIZE), np.float32)
+            back = yes[:, None] * q
+            bias = (p["b"][others] - self.bar[others])[which]
+            for k in range(NOISE):
+                qk = qn[which, k]
+                no[:, k] = _sigmoid((h * qk).sum(axis=1) + bias[:, k])
+                back += no[:, k : k + 1] * qk
+                gn[:, k] = np.add.reduceat(no[:, k : k + 1] * h, runs)
+            dh[m:] += back
+            gnb = np.add.reduceat(no, runs)
+            runs = _runs(ws)
+            self._move("Q", ws[runs], np.add.reduceat(yes[:, None] * h, runs))
+            self._move("b", ws[runs], np.add.reduceat(yes, runs))
+            self._move("Q", *_sums(others.ravel(), gn.reshape(-1, SIZE)))
+            self._move("b", *_sums(others.ravel(), gnb.ravel()))
+        self._move("K", *_sums(at, g))
+        self._move("a", *_sums(at, gb))
+        both = np.r_[dh @ p["C1"].T, dh @ p["C2"].T]
         for name, x in (("C1", r1), ("C2", r2)):
             g = x.T @ dh
             self.seen[name] += g * g
-            p[name] -= 0.2 * rate * g / np.sqrt(self.seen[name])
-        self._move("R", np.r_[first, second], back, rate)
-
-    def train(self, codes: np.ndarray, counts: np.ndarray, steps: int = 2000, batch: int = 2048, seed: int = 13) -> "LogBilinear":
-        """Steps over draws from counted contexts, each three outputs as one number."""
-        r, n = np.random.default_rng(seed), len(self.noise)
-        for _ in range(steps):
-            code = r.choice(codes, batch, p=counts / counts.sum())
-            self.step(code // n**2, code // n % n, code % n, r)
-        return self
+            p[name] -= 0.2 * RATE * g / np.sqrt(self.seen[name])
+        self._move("R", *_sums(np.r_[first, second], both))
 
     def log10(self, second: np.ndarray, first: np.ndarray, w: np.ndarray) -> np.ndarray:
         """log10 P(output | two tokens before); each context's probabilities add up to one."""
         p, out = self.p, np.empty(len(w))
         for k in range(0, len(w), AT_ONCE):
-            v = w[k : k + AT_ONCE]
-            hidden, c = p["R"][first[k : k + AT_ONCE]] @ p["C1"] + p["R"][second[k : k + AT_ONCE]] @ p["C2"], self.kind[v]
-            scores = hidden @ p["K"].T + p["a"]
-            part = scores[np.arange(len(v)), c] - _log_sums(scores)
-            order = np.argsort(c, kind="stable")
-            ends = np.searchsorted(c[order], np.arange(len(self.starts)))
-            for x in np.flatnonzero((np.diff(ends) > 0) & (np.diff(self.starts) > 1)):
-                own, low, high = order[ends[x] : ends[x + 1]], self.starts[x], self.starts[x + 1]
-                scores = hidden[own] @ p["Q"][low:high].T + p["b"][low:high]
-                part[own] += scores[np.arange(len(own)), v[own] - low] - _log_sums(scores)
-            out[k : k + AT_ONCE] = part
+            order = np.argsort(w[k : k + AT_ONCE], kind="stable")
+            v = w[k : k + AT_ONCE][order]
+            hidden, c = p["R"][first[k : k + AT_ONCE][order]] @ p["C1"] + p["R"][second[k : k + AT_ONCE][order]] @ p["C2"], self.kind[v]
+            part = (hidden * p["K"][c]).sum(axis=1) + p["a"][c]
+            for s in range(0, len(v), ROWS):
+                part[s : s + ROWS] -= _log_sums(hidden[s : s + ROWS] @ p["K"].T + p["a"])
+            m = int(np.searchsorted(v, self.heads))
+            if m < len(v):
+                part[m:] += (hidden[m:] * p["Q"][v[m:]]).sum(axis=1) + p["b"][v[m:]]
+                runs = m + _runs(c[m:])
+                for a, b in zip(runs, np.r_[runs[1:], len(v)], strict=True):
+                    low, high = self.starts[c[a]], self.starts[c[a] + 1]
+                    q, bias = p["Q"][low:high].T, p["b"][low:high]
+                    for s in range(a, b, ROWS):
+                        part[s : min(b, s + ROWS)] -= _log_sums(hidden[s : min(b, s + ROWS)] @ q + bias)
+            out[k + order] = part
         return out / math.log(10)
 
-    def log10_table(self) -> np.ndarray:
-        """``log10`` of all contexts and outputs, by code."""
-        n = len(self.noise)
-        code = np.arange(n**3)
-        return self.log10(code // n**2, code // n % n, code % n)
+
+def _log_sums(scores: np.ndarray) -> np.ndarray:
+    """The logarithm of each row's sum of exponentials. Overwrites ``scores``."""
+    top = scores.max(axis=1)
+    scores -= top[:, None]
+    np.exp(scores, out=scores)
+    return top + np.log(scores.sum(axis=1))
+
+
+def triples(flat: np.ndarray, starts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(second, first, output) of texts that lie end to end: two ends before each and one after."""
+    n = np.diff(starts)
+    padded = np.full(len(flat) + 3 * len(n), end, dtype=np.int64)
+    padded[np.arange(len(flat)) + np.repeat(3 * np.arange(len(n)) + 2, n)] = flat
+    at = np.arange(len(flat) + len(n)) + np.repeat(2 * np.arange(len(n)) + 2, n + 1)
+    return padded[at - 2], padded[at - 1], padded[at]
 
 
 class Scorer:
-    """What the workers get: the model, the frequent words with their counts, the groups' counts, and totals."""
+    """What the workers get: the frequent words with their counts, the groups' counts, totals, and the model."""
 
     def __init__(self, frequent: list[tuple[bytes, int]], groups: list[tuple[int, int]], ends: int, total: int, distinct: int):
         self.model: LogBilinear | None = None
         self.total, self.ends, self.groups = total, ends, len(groups)
         self.base_norm = total + 0.5 * (distinct + 1)
-        self.place = {w: k for k, (w, _) in enumerate(frequent)}
-        counts = np.array([c for _, c in frequent] or [0], dtype=np.float64)
+        self.words = pa.array([w for w, _ in frequent], pa.binary())
+        counts = np.array([c for _, c in frequent], dtype=np.float64)
         self.base = np.log10((counts + 0.5) / self.base_norm)
         self.base_end = math.log10((ends + 0.5) / self.base_norm)
         sums = np.array([c for c, _ in groups], dtype=np.float64)
         self.group_norm = np.log10(sums + 0.5 * (np.array([n for _, n in groups]) + 1))
         # Outputs by falling count: of words, of groups, of the end.
-        held = np.r_[counts[: len(frequent)], sums, ends] + 0.5
+        held = np.r_[counts, sums, ends] + 0.5
         order = np.argsort(-held, kind="stable")
         self.output = np.empty(len(held), dtype=np.int64)
         self.output[order] = np.arange(len(held))
         self.shares = held[order]
 
-    def places(self, words: list[bytes]) -> np.ndarray:
-        """Of each word the number among the frequent ones, or after them its group's."""
-        get, f, g = self.place.get, len(self.place), self.groups
-        return np.array([k if (k := get(w)) is not None else f + zlib.crc32(w) % g for w in words], dtype=np.int64)
-
-    def outputs(self, at: np.ndarray) -> np.ndarray:
-        """A text's outputs, two ends before it and one after."""
-        end = self.output[-1]
-        return np.r_[end, end, self.output[at], end]
-
-    def text(self, data: bytes) -> tuple[int, int, float, float, Counter, np.ndarray]:
-        """A text's tokens, those known, base log10 so far, that of groups' shares, the words still to be counted, and the outputs."""
-        words = tokens(data)
-        at = self.places(words)
-        here = at < len(self.place)
-        rest = Counter([words[k] for k in np.flatnonzero(~here)])
-        base = float(self.base[at[here]].sum()) + self.base_end
-        return len(words) + 1, int(here.sum()) + (self.ends > 0), base, -float(self.group_norm[at[~here] - len(self.place)].sum()), rest, self.outputs(at)
-
-    def texts(self, data) -> list[tuple[int, int, float, float, Counter]]:
-        """Of each text what ``text`` says, with the model's log10 in place of the outputs."""
-        done, held, n = [], [], 0
-
-        def out():
-            if self.model is None:
-                return [(*x[:3], x[2], x[4]) for x in held]
-            second, first, w = (np.concatenate([x[5][k : len(x[5]) - 2 + k] for x in held]) for k in range(3))
-            sums = np.add.reduceat(self.model.log10(second, first, w), np.cumsum([0] + [x[0] for x in held[:-1]]))
-            return [(*x[:3], x[3] + float(m), x[4]) for x, m in zip(held, sums, strict=True)]
-
-        for x in data:
-            held.append(self.text(x))
-            n += held[-1][0]
-            if n > AT_ONCE:
-                done += out()
-                held, n = [], 0
-        return done + (out() if held else [])
-
-
-def _trained(texts: DataFrame, scorer: Scorer) -> LogBilinear:
-    """The model, trained over all ``texts`` in tasks whose weights are averaged by tokens."""
-    sent = texts.sparkSession.sparkContext.broadcast(scorer)
-    turns = max(1, -(-DRAWS // scorer.total))
+    @property
+    def end(self) -> int:
+        return int(self.output[-1])
+
+    def encode(self, texts: pa.Array) -> dict:
+        """Of each text its tokens, those of them known as frequent, base log10 of these, what groups take off,
+        the outputs, and the words whose counts are still to be met."""
+        words, starts = words_of(texts)
+        found = pc.index_in(words, value_set=self.words)
+        rare = np.asarray(found.is_null())
+        place = np.asarray(found.fill_null(0)).astype(np.int64)
+        rest = words.filter(pa.array(rare))
+        names = rest.dictionary_encode()
+        group = np.array([zlib.crc32(w) % self.groups for w in names.dictionary.to_pylist()], dtype=np.int64)[names.indices.to_numpy()]
+        place[rare] = len(self.words) + group
+        value = np.zeros(len(place))
+        value[~rare] = self.base[place[~rare]]
+        value[rare] = -self.group_norm[group]
+        add = lambda x: np.diff(np.r_[0.0, np.cumsum(x)][starts])
+        lists = lambda v, s: pa.ListArray.from_arrays(pa.array(s, pa.int32()), v)
+        return {
+            "n_tokens": np.diff(starts) + 1,
+            "known": add(~rare).astype(np.int64) + (self.ends > 0),
+            "base": add(np.where(rare, 0, value)) + self.base_end,
+            "off": add(np.where(rare, value, 0)),
+            "outputs": lists(pa.array(self.output[place], pa.int32()), starts),
+            "rest": lists(rest, np.r_[0, np.cumsum(rare)][starts]),
+        }
+
+
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a column of lists end to end, and where each list begins."""
+    starts = lists.offsets.to_numpy()
+    return lists.values.to_numpy(zero_copy_only=False)[starts[0] : starts[-1]].astype(np.int64), (starts - starts[0]).astype(np.int64)
+
+
+def _trained(encoded: DataFrame, scorer: Scorer) -> LogBilinear:
+    """The model, trained over all rows (outputs) in tasks whose weights are averaged by tokens."""
+    sent = encoded.sparkSession.sparkContext.broadcast((scorer.shares, scorer.end, max(1, -(-DRAWS // scorer.total))))
 
     def run(batches):
-        s = sent.value
-        model, r, kept, n, left = LogBilinear(s.shares), np.random.default_rng(13), [], 0, [np.empty((3, 0), np.int64)]
+        shares, end, turns = sent.value
+        model, r, n, held, left = LogBilinear(shares), np.random.default_rng(13), 0, 0, []
 
-        def steps(x):
-            x = x[:, r.permutation(x.shape[1])]
-            for k in range(0, x.shape[1], STEP):
-                model.step(*x[:, k : k + STEP], r)
+        def steps(parts):
+            if parts:
+                second, first, w = (np.concatenate(x) for x in zip(*parts, strict=True))
+                order = r.permutation(len(w))
+                for k in range(0, len(w), STEP):
+                    o = order[k : k + STEP]
+                    model.step(second[o], first[o], w[o], r)
 
-        held = 0
         for batch in batches:
-            for x in batch.column(0):
-                ids = s.outputs(s.places(tokens(x.as_py() or b"")))
-                left.append(np.stack([ids[:-2], ids[1:-1], ids[2:]]))
-                held += left[-1].shape[1]
-                if held >= 64 * STEP and turns == 1:
-                    steps(np.concatenate(left, axis=1))
-                    n, held, left = n + held, 0, left[:1]
-        rest = np.concatenate(left, axis=1)
+            x = triples(*_flat(batch.column(0)), end)
+            n += len(x[0])
+            for k in range(0, len(x[0]), MIXED * STEP):
+                left.append([v[k : k + MIXED * STEP] for v in x])
+                held += len(left[-1][0])
+                if held >= MIXED * STEP and turns == 1:
+                    steps(left)
+                    held, left = 0, []
         for _ in range(turns):
-            steps(rest)
-        n += held
+            steps(left)
         for name, v in model.p.items():
             for k in range(0, len(v), 4096):
-                kept.append((name, k, n, v[k : k + 4096].tobytes()))
-            while kept:
-                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(kept.pop(), (pa.string(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["name", "part", "n", "rows"])
+                row = (name, k, n, v[k : k + 4096].tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.string(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["name", "part", "n", "rows"])
 
     def mean(batches):
         sums: dict = {}
@@ -289,17 +313,18 @@ def _trained(texts: DataFrame, scorer: Scorer) -> LogBilinear:
                 yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([part], pa.int64()), pa.array([(v / n).astype(np.float32).tobytes()], pa.binary())], names=["name", "part", "rows"])
 
     tasks = int(min(TASKS, max(1, scorer.total // TASK_TOKENS)))
-    own = map_arrow(texts.coalesce(tasks), run, "name string, part long, n long, rows binary")
+    # Written, as its parts are fetched one by one.
+    own = map_arrow(encoded.select("outputs").coalesce(tasks), run, "name string, part long, n long, rows binary")
     model = LogBilinear(scorer.shares)
-    for name, part, data in map_arrow(own.repartition("name", "part"), mean, "name string, part long, rows binary").toLocalIterator():
+    for name, part, data in materialize(map_arrow(own.repartition("name", "part"), mean, "name string, part long, rows binary")).toLocalIterator():
         v = model.p[name]
         v[part : part + 4096] = np.frombuffer(data, np.float32).reshape(v[part : part + 4096].shape)
     model.seen = {}
     return model
 
 
-def fit(texts: DataFrame) -> tuple[Scorer, DataFrame]:
-    """The scorer, and (word, c) of every word of ``texts`` (text as bytes)."""
+def vocabulary(texts: DataFrame) -> tuple[Scorer, DataFrame]:
+    """A scorer without a model, and (word, c) of every word of ``texts`` (text as bytes)."""
     counts = materialize(word_counts(texts))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     ends = texts.count()
@@ -309,71 +334,65 @@ def fit(texts: DataFrame) -> tuple[Scorer, DataFrame]:
     groups = [(0, 0)] * int(min(GROUPS, max(1, (distinct - len(frequent)) // GROUP)))
     for g, c, n in counts.filter(~often).groupBy(F.pmod(F.crc32("word"), F.lit(len(groups))).alias("g")).agg(F.sum("c"), F.count(F.lit(1))).collect():
         groups[g] = (c, n)
-    scorer = Scorer(frequent, groups, ends, total, distinct)
-    if ends:
-        scorer.model = _trained(texts, scorer)
-    return scorer, counts
+    return Scorer(frequent, groups, ends, total, distinct), counts
 
 
-def score(df: DataFrame, scorer: Scorer, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, n_known, base_score, score)."""
+def encoded(df: DataFrame, scorer: Scorer) -> DataFrame:
+    """The columns of ``df`` but its ``text`` (as bytes), a number a row, and what ``Scorer.encode`` says; written once."""
     sent = df.sparkSession.sparkContext.broadcast(scorer)
-    schema = T.StructType(
-        [
-            T.StructField("row", T.LongType()), T.StructField("word", T.BinaryType()), T.StructField("times", T.LongType()), T.StructField("doc", df.schema[id_col].dataType),
-            T.StructField("n_tokens", T.LongType()), T.StructField("known", T.LongType()), T.StructField("base", T.DoubleType()), T.StructField("model", T.DoubleType()),
-        ]
-    )
-    kinds = [pa.int64(), pa.binary(), pa.int64(), None, pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    kept = [f for f in df.schema.fields if f.name != "text"]
+    more = "n_tokens long, known long, base double, off double, outputs array<int>, rest array<binary>"
+    schema = T.StructType([*kept, *T.StructType.fromDDL(more).fields])
+    at, places = df.columns.index("text"), [df.columns.index(f.name) for f in kept]
 
     def run(batches):
-        s = sent.value
         for batch in batches:
-            rows, docs, texts = batch.column(0).to_pylist(), batch.column(1), batch.column(2)
-            out, ids, held = [[] for _ in kinds], [], 0
-
-            def flush():
-                columns = [docs.take(pa.array(ids, pa.int32())) if kind is None else pa.array(out[k], kind) for k, kind in enumerate(kinds)]
-                return pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-            for k, (row, (n, known, base, model, rest)) in enumerate(zip(rows, s.texts(x.as_py() or b"" for x in texts), strict=True)):
-                # A text's own row has a key that is no word: it holds a space.
-                for c, values in zip((0, 1, 2, 4, 5, 6, 7), ([row], [b" %d" % row], [0], [n], [known], [base], [model]), strict=True):
-                    out[c] += values
-                ids.append(k)
-                out[0] += [row] * len(rest)
-                out[1] += rest.keys()
-                out[2] += rest.values()
-                for c in (4, 5, 6, 7):
-                    out[c] += [None] * len(rest)
-                ids += [None] * len(rest)
-                held += len(rest)
-                if held > 200_000:
-                    yield flush()
-                    out, ids, held = [[] for _ in kinds], [], 0
-            yield flush()
-
-    source = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc"), text_bytes(text_col).alias("text"))
-    met = map_arrow(source, run, schema).join(counts, "word", "left")
-    c = F.coalesce("c", F.lit(0))
-    alone = F.col("times") * F.log10((c + 0.5) / F.lit(float(scorer.base_norm)))
-    other = F.col("times") * F.log10(c + 0.5) if scorer.model is not None else alone
-    rare = F.col("times") > 0
-    by_row = (
-        met.select(
-            "row", "doc", "n_tokens",
-            F.coalesce("known", F.when(c > 0, F.col("times")).otherwise(F.lit(0))).alias("known"),
-            F.when(rare, alone).otherwise(F.col("base")).alias("base"),
-            F.when(rare, other).otherwise(F.col("model")).alias("model"),
-        )
-        .groupBy("row")
-        .agg(F.max("doc").alias(id_col), F.max("n_tokens").alias("n_tokens"), F.sum("known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("model").alias("score"))
-    )
-    return by_row.drop("row")
+            got = sent.value.encode(batch.column(at))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in places), *(v if isinstance(v, pa.Array) else pa.array(v) for v in got.values())], names=schema.names)
+
+    return materialize(map_arrow(df, run, schema).withColumn("row", F.monotonically_increasing_id()))
+
+
+def _scored(rows: DataFrame, scorer: Scorer, counts: DataFrame, id_col: str) -> DataFrame:
+    """(id, n_tokens, n_known, base_score, score) of encoded rows."""
+    sent = rows.sparkSession.sparkContext.broadcast((scorer.model, scorer.end))
+
+    def run(batches):
+        model, end = sent.value
+        for batch in batches:
+            base, off, outputs = batch.column(2), batch.column(3).to_numpy(), batch.column(4)
+            score = base
+            if model is not None and len(batch):
+                flat, starts = _flat(outputs)
+                score = pa.array(off + np.add.reduceat(model.log10(*triples(flat, starts, end)), starts[:-1] + np.arange(len(starts) - 1)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), base, score], names=["row", "known", "base", "model"])
+
+    scored = map_arrow(rows.select("row", "known", "base", "off", "outputs"), run, "row long, known long, base double, model double")
+    met = rows.select("row", F.explode("rest").alias("word")).join(counts, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
+    alone = F.log10((F.col("c") + 0.5) / F.lit(float(scorer.base_norm)))
+    rare = met.select("row", (F.col("c") > 0).cast("long").alias("known"), alone.alias("base"), (F.log10(F.col("c") + 0.5) if scorer.model is not None else alone).alias("model"))
+    sums = scored.unionByName(rare).groupBy("row").agg(F.sum("known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("model").alias("score"))
+    return rows.select("row", "doc", "n_tokens").join(sums, "row").select(F.col("doc").alias(id_col), "n_tokens", "n_known", "base_score", "score")
+
+
+def fit(texts: DataFrame) -> tuple[Scorer, DataFrame]:
+    """The scorer, and (word, c) of every word of ``texts`` (text as bytes)."""
+    scorer, counts = vocabulary(texts)
+    if scorer.ends:
+        scorer.model = _trained(encoded(texts.select("text"), scorer), scorer)
+    return scorer, counts
+
+
+def score(df: DataFrame, scorer: Scorer, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_tokens, n_known, base_score, score)."""
+    rows = encoded(df.select(F.col(id_col).alias("doc"), text_bytes(text_col).alias("text")), scorer)
+    return _scored(rows, scorer, counts, id_col)
 
 
 def score_corpus(df: DataFrame, held_out_fold: int = 1) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of (doc_id, text)."""
-    texts = df.filter(fold() != held_out_fold).select(text_bytes().alias("text"))
-    scorer, counts = fit(texts)
-    return score(df, scorer, counts).select("doc_id", (fold() == held_out_fold).alias("held_out"), "n_tokens", "n_known", F.lit(scorer.total).cast("long").alias("train_tokens"), "base_score", "score")
+    scorer, counts = vocabulary(df.filter(fold() != held_out_fold).select(text_bytes().alias("text")))
+    rows = encoded(df.select(F.col("doc_id").alias("doc"), (fold() != held_out_fold).alias("learn"), text_bytes().alias("text")), scorer)
+    if scorer.ends:
+        scorer.model = _trained(rows.filter("learn"), scorer)
+    return _scored(rows, scorer, counts, "doc_id").select("doc_id", (fold() == held_out_fold).alias("held_out"), "n_tokens", "n_known", F.lit(scorer.total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -329,9 +329,69 @@ def test_lm(spark, monkeypatch):
     assert sum(g["score"] for g in got.values() if g["held_out"]) > sum(g["base_score"] for g in got.values() if g["held_out"])
 
 
-def test_lm_is_normalised():
-    model = lm.LogBilinear(np.arange(1, lm.WORDS + 1, dtype=float)).train(np.arange(5000), np.ones(5000), steps=20)
-    assert np.allclose((10 ** model.log10_table().reshape(-1, lm.WORDS).astype(float)).sum(axis=1), 1, atol=1e-4)
+def test_lm_is_normalised(monkeypatch):
+    """Every context's probabilities add up to one, and the scores are those of a plain softmax."""
+    monkeypatch.setattr(lm, "HEADS", 20)
+    n, r = 160, np.random.default_rng(1)
+    model = lm.LogBilinear(np.arange(n, 0, -1, dtype=float))
+    for _ in range(30):
+        model.step(*r.integers(0, n, (3, 512)), r)
+    second, first = (np.repeat(r.integers(0, n, 40), n) for _ in range(2))
+    w = np.tile(np.arange(n), 40)
+    got = model.log10(second, first, w)
+    assert np.allclose((10 ** got.reshape(-1, n)).sum(axis=1), 1, atol=1e-4)
+    p = {k: v.astype(float) for k, v in model.p.items()}
+    for k in r.integers(0, len(w), 200):
+        h = p["R"][first[k]] @ p["C1"] + p["R"][second[k]] @ p["C2"]
+        kinds = np.exp(p["K"] @ h + p["a"])
+        c = model.kind[w[k]]
+        inside = np.arange(model.starts[c], model.starts[c + 1])
+        own = np.exp(p["Q"][inside] @ h + p["b"][inside])
+        want = kinds[c] / kinds.sum() * (own[w[k] - inside[0]] / own.sum() if len(inside) > 1 else 1)
+        assert got[k] == pytest.approx(math.log10(want), abs=1e-4)
+
+
+def test_lm_step_follows_the_gradient(monkeypatch):
+    """A step's move of each weight has the sign of the loss's slope, taken by differences."""
+    monkeypatch.setattr(lm, "HEADS", 4)
+    n, r = 30, np.random.default_rng(3)
+    second, first, w = r.integers(0, n, (3, 64))
+
+    class Fixed:
+        """Draws that repeat."""
+
+        def __init__(self):
+            self.r = np.random.default_rng(8)
+
+        def random(self, shape):
+            return np.random.default_rng(8 + int(np.prod(shape))).random(shape)
+
+    model = lm.LogBilinear(np.arange(n, 0, -1, dtype=float))
+
+    def loss(p):
+        h = p["R"][first] @ p["C1"] + p["R"][second] @ p["C2"]
+        c = model.kind[w]
+        log = lambda x: np.log(1 / (1 + np.exp(-x)))
+        drawn = np.minimum(np.searchsorted(model.class_run, Fixed().random(lm.SHARED) * model.class_run[-1]), len(model.class_noise) - 1)
+        total = -log((h * p["K"][c]).sum(axis=1) + p["a"][c] - model.class_bar[c]).sum() - log(-(h @ p["K"][drawn].T + p["a"][drawn] - model.class_bar[drawn])).sum()
+        kinds = np.unique(c[w >= 4])
+        u = model.run[model.starts[kinds]][:, None] + model.class_noise[kinds][:, None] * Fixed().random((len(kinds), lm.NOISE))
+        others = np.clip(np.searchsorted(model.run, u, side="right") - 1, model.starts[kinds][:, None], model.starts[kinds + 1][:, None] - 1)
+        for t in np.flatnonzero(w >= 4):
+            o = others[np.searchsorted(kinds, c[t])]
+            total += -log(h[t] @ p["Q"][w[t]] + p["b"][w[t]] - model.bar[w[t]]) - log(-(p["Q"][o] @ h[t] + p["b"][o] - model.bar[o])).sum()
+        return total
+
+    before = {k: v.astype(float).copy() for k, v in model.p.items()}
+    model.step(second, first, w, Fixed())
+    for name in ("R", "K", "a", "C1", "C2"):
+        moved = model.p[name] - before[name]
+        for at in zip(*(r.integers(0, s, 12) for s in moved.shape), strict=True):
+            up, down = ({k: v.copy() for k, v in before.items()} for _ in range(2))
+            up[name][at] += 1e-5
+            down[name][at] -= 1e-5
+            slope = (loss(up) - loss(down)) / 2e-5
+            assert abs(slope) < 1e-3 or np.sign(moved[at]) == -np.sign(slope)
 
 
 def test_lm_tells_words_apart_beyond_the_most_frequent(spark):
