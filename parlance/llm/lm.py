@@ -118,7 +118,7 @@ class LogBilinear:
 
     def _move(self, name: str, which: np.ndarray, g: np.ndarray) -> None:
         """Adagrad on some rows, each named once."""
-        seen = self.seen[name][which] + ((g * g).mean(axis=1) if g.ndim > 1 else g * g)
+        seen = self.seen[name][which] + (np.einsum("ij,ij->i", g, g) / SIZE if g.ndim > 1 else g * g)
         self.seen[name][which] = seen
         by = RATE / np.sqrt(seen)
         self.p[name][which] -= by[:, None] * g if g.ndim > 1 else by * g
@@ -133,7 +133,7 @@ class LogBilinear:
         # Classes, against shared noise.
         drawn = np.minimum(np.searchsorted(self.class_run, r.random(SHARED) * self.class_run[-1]), len(self.class_noise) - 1)
         own = p["K"][c]
-        good = _sigmoid((hidden * own).sum(axis=1) + p["a"][c] - self.class_bar[c]) - 1
+        good = _sigmoid(np.einsum("ij,ij->i", hidden, own) + p["a"][c] - self.class_bar[c]) - 1
         bad = _sigmoid(hidden @ p["K"][drawn].T + p["a"][drawn] - self.class_bar[drawn])
         dh = good[:, None] * own + bad @ p["K"][drawn]
         runs = _runs(c)
@@ -147,14 +147,14 @@ class LogBilinear:
             u = self.run[self.starts[kinds]][:, None] + self.class_noise[kinds][:, None] * r.random((len(kinds), NOISE))
             others = np.clip(np.searchsorted(self.run, u, side="right") - 1, self.starts[kinds][:, None], self.starts[kinds + 1][:, None] - 1)
             q, qn = p["Q"][ws], p["Q"][others]
-            yes = _sigmoid((h * q).sum(axis=1) + p["b"][ws] - self.bar[ws]) - 1
+            yes = _sigmoid(np.einsum("ij,ij->i", h, q) + p["b"][ws] - self.bar[ws]) - 1
             no = np.empty((len(ws), NOISE), np.float32)
             gn = np.empty((len(kinds), NOISE, SIZE), np.float32)
             back = yes[:, None] * q
             bias = (p["b"][others] - self.bar[others])[which]
             for k in range(NOISE):
                 qk = qn[which, k]
-                no[:, k] = _sigmoid((h * qk).sum(axis=1) + bias[:, k])
+                no[:, k] = _sigmoid(np.einsum("ij,ij->i", h, qk) + bias[:, k])
                 back += no[:, k : k + 1] * qk
                 gn[:, k] = np.add.reduceat(no[:, k : k + 1] * h, runs)
             dh[m:] += back
@@ -176,32 +176,37 @@ class LogBilinear:
     def log10(self, second: np.ndarray, first: np.ndarray, w: np.ndarray) -> np.ndarray:
         """log10 P(output | two tokens before); each context's probabilities add up to one."""
         p, out = self.p, np.empty(len(w))
+        classes, outputs = np.c_[p["K"], p["a"]], np.c_[p["Q"], p["b"]]
+        turned = np.ascontiguousarray(classes.T)
         for k in range(0, len(w), AT_ONCE):
-            order = np.argsort(w[k : k + AT_ONCE], kind="stable")
+            order = np.argsort(w[k : k + AT_ONCE])
             v = w[k : k + AT_ONCE][order]
-            hidden, c = p["R"][first[k : k + AT_ONCE][order]] @ p["C1"] + p["R"][second[k : k + AT_ONCE][order]] @ p["C2"], self.kind[v]
-            part = (hidden * p["K"][c]).sum(axis=1) + p["a"][c]
-            for s in range(0, len(v), ROWS):
-                part[s : s + ROWS] -= _log_sums(hidden[s : s + ROWS] @ p["K"].T + p["a"])
+            # A last element of one, against which the biases stand.
+            hidden, c = np.ones((len(v), SIZE + 1), np.float32), self.kind[v]
+            hidden[:, :SIZE] = p["R"][first[k : k + AT_ONCE][order]] @ p["C1"] + p["R"][second[k : k + AT_ONCE][order]] @ p["C2"]
+            part = np.einsum("ij,ij->i", hidden, classes[c]) - _log_sums(hidden, turned)
             m = int(np.searchsorted(v, self.heads))
             if m < len(v):
-                part[m:] += (hidden[m:] * p["Q"][v[m:]]).sum(axis=1) + p["b"][v[m:]]
+                part[m:] += np.einsum("ij,ij->i", hidden[m:], outputs[v[m:]])
                 runs = m + _runs(c[m:])
-                for a, b in zip(runs, np.r_[runs[1:], len(v)], strict=True):
-                    low, high = self.starts[c[a]], self.starts[c[a] + 1]
-                    q, bias = p["Q"][low:high].T, p["b"][low:high]
-                    for s in range(a, b, ROWS):
-                        part[s : min(b, s + ROWS)] -= _log_sums(hidden[s : min(b, s + ROWS)] @ q + bias)
+                for a, b in zip(runs.tolist(), [*runs[1:].tolist(), len(v)], strict=True):
+                    part[a:b] -= _log_sums(hidden[a:b], outputs[self.starts[c[a]] : self.starts[c[a] + 1]].T)
             out[k + order] = part
         return out / math.log(10)
 
 
-def _log_sums(scores: np.ndarray) -> np.ndarray:
-    """The logarithm of each row's sum of exponentials. Overwrites ``scores``."""
-    top = scores.max(axis=1)
-    scores -= top[:, None]
-    np.exp(scores, out=scores)
-    return top + np.log(scores.sum(axis=1))
+def _log_sums(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The logarithm of each row's sum of exponentials of ``left @ right``, some rows at a time."""
+    # No exponent can be above this; where it could overflow, each row's largest is taken off first.
+    high = math.sqrt(float((left * left).sum(axis=1).max())) * math.sqrt(float((right * right).sum(axis=0).max()))
+    out, ones = np.empty(len(left), np.float32), np.ones(right.shape[1], np.float32)
+    for s in range(0, len(left), ROWS):
+        scores = left[s : s + ROWS] @ right
+        top = scores.max(axis=1) if high > 80 else None
+        if top is not None:
+            scores -= top[:, None]
+        out[s : s + ROWS] = np.log(np.exp(scores, out=scores) @ ones) + (0 if top is None else top)
+    return out
 
 
 def triples(flat: np.ndarray, starts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
