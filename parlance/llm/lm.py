@@ -41,15 +41,17 @@ from parlance.llm.common import fold, map_arrow, materialize, text_bytes
 
 SIZE = 16
 #: Outputs alone in their class, noise outputs a class, and noise classes.
-HEADS, NOISE, SHARED = 128, 6, 32
+HEADS, NOISE, SHARED = 128, 2, 64
 #: Words that share a group, and the most groups.
-GROUP, GROUPS = 64, 1 << 16
+GROUP, GROUPS = 256, 1 << 14
 #: Tokens a training step, steps whose tokens are mixed, fewest tokens trained on, fewest a task, and most tasks.
 STEP, MIXED, DRAWS, TASK_TOKENS, TASKS = 4096, 64, 1_000_000, 500_000, 64
-RATE = 0.1
+RATE = 0.07
 #: Tokens scored at once, and rows of class scores held at once.
 AT_ONCE, ROWS = 32_768, 1024
 FREQUENT, LONGEST = 1 << 19, 64
+#: Bytes of text cut into words at once.
+SLICE = 16_000_000
 #: Lower-cases A-Z and makes each white-space byte a space.
 _BYTES = np.array([c + 32 if 0x41 <= c <= 0x5A else 0x20 if 9 <= c <= 13 else c for c in range(256)], dtype=np.uint8)
 
@@ -64,19 +66,35 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return lists.values.filter(pa.array(held)).cast(pa.binary()), np.r_[0, np.cumsum(held)][lists.offsets.to_numpy()]
 
 
+def slices(texts: pa.Array):
+    """(start, rows) of runs of texts of about SLICE bytes; a longer text is one by itself."""
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    a = 0
+    while a < len(texts):
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] + SLICE, side="right")) - 1)
+        yield a, texts.slice(a, b - a)
+        a = b
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, c) of rows (text as bytes)."""
 
     def run(batches):
         for batch in batches:
-            counts = pc.value_counts(words_of(batch.column(0))[0])
-            yield pa.RecordBatch.from_arrays([counts.field(0), counts.field(1)], names=["word", "c"])
+            for _, some in slices(batch.column(0)):
+                counts = pc.value_counts(words_of(some)[0])
+                yield pa.RecordBatch.from_arrays([counts.field(0), counts.field(1)], names=["word", "c"])
 
     return map_arrow(texts, run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    """In place."""
+    np.negative(x, out=x)
+    np.minimum(x, 80, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def _runs(ordered: np.ndarray) -> np.ndarray:
@@ -134,7 +152,7 @@ class LogBilinear:
         drawn = np.minimum(np.searchsorted(self.class_run, r.random(SHARED) * self.class_run[-1]), len(self.class_noise) - 1)
         own = p["K"][c]
         good = _sigmoid(np.einsum("ij,ij->i", hidden, own) + p["a"][c] - self.class_bar[c]) - 1
-        bad = _sigmoid(hidden @ p["K"][drawn].T + p["a"][drawn] - self.class_bar[drawn])
+        bad = _sigmoid(hidden @ p["K"][drawn].T + (p["a"][drawn] - self.class_bar[drawn]))
         dh = good[:, None] * own + bad @ p["K"][drawn]
         runs = _runs(c)
         at, g, gb = np.r_[c[runs], drawn], np.r_[np.add.reduceat(good[:, None] * hidden, runs), bad.T @ hidden], np.r_[np.add.reduceat(good, runs), bad.sum(axis=0)]
@@ -197,15 +215,16 @@ class LogBilinear:
 
 def _log_sums(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The logarithm of each row's sum of exponentials of ``left @ right``, some rows at a time."""
-    # No exponent can be above this; where it could overflow, each row's largest is taken off first.
-    high = math.sqrt(float((left * left).sum(axis=1).max())) * math.sqrt(float((right * right).sum(axis=0).max()))
     out, ones = np.empty(len(left), np.float32), np.ones(right.shape[1], np.float32)
     for s in range(0, len(left), ROWS):
         scores = left[s : s + ROWS] @ right
-        top = scores.max(axis=1) if high > 80 else None
-        if top is not None:
-            scores -= top[:, None]
-        out[s : s + ROWS] = np.log(np.exp(scores, out=scores) @ ones) + (0 if top is None else top)
+        with np.errstate(over="ignore", divide="ignore"):
+            sums = np.log(np.exp(scores) @ ones)
+        if not np.isfinite(sums).all():
+            # Beyond what the numbers hold each row's largest is taken off first.
+            top = scores.max(axis=1)
+            sums = top + np.log(np.exp(scores - top[:, None]) @ ones)
+        out[s : s + ROWS] = sums
     return out
 
 
@@ -242,36 +261,41 @@ class Scorer:
     def end(self) -> int:
         return int(self.output[-1])
 
-    def encode(self, texts: pa.Array) -> dict:
-        """Of each text its tokens, those of them known as frequent, base log10 of these, what groups take off,
-        the outputs, and the words whose counts are still to be met."""
+    def encode(self, rows: np.ndarray, texts: pa.Array) -> tuple[dict, dict]:
+        """Of each text its tokens, those of them known as frequent, base log10 of these, what groups take off, and
+        the outputs as 32-bit numbers; of each other word, whose count is still to be met, the rows of its places."""
         words, starts = words_of(texts)
         found = pc.index_in(words, value_set=self.words)
         rare = np.asarray(found.is_null())
-        place = np.asarray(found.fill_null(0)).astype(np.int64)
-        rest = words.filter(pa.array(rare))
-        names = rest.dictionary_encode()
-        group = np.array([zlib.crc32(w) % self.groups for w in names.dictionary.to_pylist()], dtype=np.int64)[names.indices.to_numpy()]
-        place[rare] = len(self.words) + group
-        value = np.zeros(len(place))
-        value[~rare] = self.base[place[~rare]]
-        value[rare] = -self.group_norm[group]
+        place = np.asarray(found.fill_null(0))
+        names = words.filter(pa.array(rare)).dictionary_encode()
+        which = names.indices.to_numpy()
+        group = np.array([zlib.crc32(w) % self.groups for w in names.dictionary.to_pylist()], dtype=np.int64)
+        outputs = np.where(rare, 0, self.output[place]).astype(np.int32)
+        outputs[rare] = self.output[len(self.words) + group][which]
         add = lambda x: np.diff(np.r_[0.0, np.cumsum(x)][starts])
-        lists = lambda v, s: pa.ListArray.from_arrays(pa.array(s, pa.int32()), v)
-        return {
+        base = np.where(rare, 0.0, self.base[place] if len(self.base) else 0.0)
+        off = np.zeros(len(rare))
+        off[rare] = -self.group_norm[group][which]
+        docs = {
+            "row": rows,
             "n_tokens": np.diff(starts) + 1,
             "known": add(~rare).astype(np.int64) + (self.ends > 0),
-            "base": add(np.where(rare, 0, value)) + self.base_end,
-            "off": add(np.where(rare, value, 0)),
-            "outputs": lists(pa.array(self.output[place], pa.int32()), starts),
-            "rest": lists(rest, np.r_[0, np.cumsum(rare)][starts]),
+            "base": add(base) + self.base_end,
+            "off": add(off),
+            "outputs": pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer((starts * 4).astype(np.int32)), pa.py_buffer(outputs)]),
         }
+        at = rows[np.repeat(np.arange(len(rows)), np.diff(starts))[rare]][np.argsort(which, kind="stable")]
+        ends = np.r_[0, np.cumsum(np.bincount(which, minlength=len(group)))]
+        return docs, {"word": names.dictionary, "rows": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(at, pa.int64()))}
 
 
 def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of a column of lists end to end, and where each list begins."""
-    starts = lists.offsets.to_numpy()
-    return lists.values.to_numpy(zero_copy_only=False)[starts[0] : starts[-1]].astype(np.int64), (starts - starts[0]).astype(np.int64)
+    """The 32-bit numbers in a column of bytes end to end, and where each row's begin."""
+    starts = np.frombuffer(lists.buffers()[1], np.int32)[lists.offset : lists.offset + len(lists) + 1].astype(np.int64)
+    data = lists.buffers()[2]
+    flat = np.frombuffer(data, np.uint8)[starts[0] : starts[-1]].view(np.int32) if data else np.zeros(0, np.int32)
+    return flat, (starts - starts[0]) // 4
 
 
 def _trained(encoded: DataFrame, scorer: Scorer) -> LogBilinear:
@@ -343,19 +367,26 @@ def vocabulary(texts: DataFrame) -> tuple[Scorer, DataFrame]:
 
 
 def encoded(df: DataFrame, scorer: Scorer) -> DataFrame:
-    """The columns of ``df`` but its ``text`` (as bytes), a number a row, and what ``Scorer.encode`` says; written once."""
-    sent = df.sparkSession.sparkContext.broadcast(scorer)
-    kept = [f for f in df.schema.fields if f.name != "text"]
-    more = "n_tokens long, known long, base double, off double, outputs array<int>, rest array<binary>"
-    schema = T.StructType([*kept, *T.StructType.fromDDL(more).fields])
-    at, places = df.columns.index("text"), [df.columns.index(f.name) for f in kept]
+    """What ``Scorer.encode`` says of the rows of ``df`` (text as bytes), beside their other columns, and then of
+    words: one table, written once. A word's row has no number."""
+    spark = df.sparkSession
+    sent = spark.sparkContext.broadcast(scorer)
+    df = df.withColumn("row", F.monotonically_increasing_id())
+    kept = [f for f in df.schema.fields if f.name not in ("text", "row")]
+    made = T.StructType.fromDDL("row long, n_tokens long, known long, base double, off double, outputs binary, word binary, rows array<long>").fields
+    schema = T.StructType([*kept, *made])
+    text, row, places = df.columns.index("text"), df.columns.index("row"), [df.columns.index(f.name) for f in kept]
+    kinds = {"row": pa.int64(), "n_tokens": pa.int64(), "known": pa.int64(), "base": pa.float64(), "off": pa.float64(), "outputs": pa.binary(), "word": pa.binary(), "rows": pa.list_(pa.int64())}
 
     def run(batches):
         for batch in batches:
-            got = sent.value.encode(batch.column(at))
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in places), *(v if isinstance(v, pa.Array) else pa.array(v) for v in got.values())], names=schema.names)
+            for a, some in slices(batch.column(text)):
+                docs, words = sent.value.encode(batch.column(row).slice(a, len(some)).to_numpy(), some)
+                for n, got, own in ((len(some), docs, True), (len(words["word"]), words, False)):
+                    first = [batch.column(k).slice(a, n) if own else pa.nulls(n, batch.column(k).type) for k in places]
+                    yield pa.RecordBatch.from_arrays([*first, *(pa.nulls(n, t) if k not in got else got[k] if isinstance(got[k], pa.Array) else pa.array(got[k], t) for k, t in kinds.items())], names=schema.names)
 
-    return materialize(map_arrow(df, run, schema).withColumn("row", F.monotonically_increasing_id()))
+    return materialize(map_arrow(df, run, schema))
 
 
 def _scored(rows: DataFrame, scorer: Scorer, counts: DataFrame, id_col: str) -> DataFrame:
@@ -372,19 +403,21 @@ def _scored(rows: DataFrame, scorer: Scorer, counts: DataFrame, id_col: str) ->
                 score = pa.array(off + np.add.reduceat(model.log10(*triples(flat, starts, end)), starts[:-1] + np.arange(len(starts) - 1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), base, score], names=["row", "known", "base", "model"])
 
-    scored = map_arrow(rows.select("row", "known", "base", "off", "outputs"), run, "row long, known long, base double, model double")
-    met = rows.select("row", F.explode("rest").alias("word")).join(counts, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
+    docs = rows.filter("row is not null")
+    scored = map_arrow(docs.select("row", "known", "base", "off", "outputs"), run, "row long, known long, base double, model double")
+    # Few distinct words a slice meet their counts, and then their rows.
+    met = rows.filter("word is not null").select("word", "rows").join(counts, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     alone = F.log10((F.col("c") + 0.5) / F.lit(float(scorer.base_norm)))
-    rare = met.select("row", (F.col("c") > 0).cast("long").alias("known"), alone.alias("base"), (F.log10(F.col("c") + 0.5) if scorer.model is not None else alone).alias("model"))
+    rare = met.select(F.explode("rows").alias("row"), (F.col("c") > 0).cast("long").alias("known"), alone.alias("base"), (F.log10(F.col("c") + 0.5) if scorer.model is not None else alone).alias("model"))
     sums = scored.unionByName(rare).groupBy("row").agg(F.sum("known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("model").alias("score"))
-    return rows.select("row", "doc", "n_tokens").join(sums, "row").select(F.col("doc").alias(id_col), "n_tokens", "n_known", "base_score", "score")
+    return docs.select("row", "doc", "n_tokens").join(sums, "row").select(F.col("doc").alias(id_col), "n_tokens", "n_known", "base_score", "score")
 
 
 def fit(texts: DataFrame) -> tuple[Scorer, DataFrame]:
     """The scorer, and (word, c) of every word of ``texts`` (text as bytes)."""
     scorer, counts = vocabulary(texts)
     if scorer.ends:
-        scorer.model = _trained(encoded(texts.select("text"), scorer), scorer)
+        scorer.model = _trained(encoded(texts.select("text"), scorer).filter("row is not null"), scorer)
     return scorer, counts
 
 
