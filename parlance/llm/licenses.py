@@ -1,15 +1,16 @@
 """License scan: ordered signature rules over a text's words.
 
-A text is lower-cased (A-Z) and reduced to its words, one space apart. Some four hundred regular
-expressions, made from the tables below, state how licenses are named, granted, tagged and linked.
-A rule runs only if its keyword occurs in the text. Detections are intervals of words; they are
-taken by priority, then length, then place, and one inside an interval already taken is dropped.
+A text is lower-cased (A-Z) and reduced to its words, one space apart. Some two hundred signatures,
+written by hand in ``signatures``, state how licenses are named, granted, tagged, linked and worded.
+One is searched only if its keyword occurs in the text. Detections are intervals of words; they are
+ranked by priority, then length, then place, and one inside another of a better rank is dropped.
 
 Three base phrases are counted at every place they stand, whatever the rules find; their labels
 are always among a text's labels.
 
-Defined cases: null is empty; a text without words has no detection and score 0; other columns are
-not read; ids may repeat, each row is scanned by itself.
+Defined cases: null is empty; a text without words has no detection and score 0; a text of any
+length is scanned whole, in time that goes with its length; an empty table gives no rows; other
+columns are not read; ids may repeat, each row is scanned by itself.
 """
 
 from __future__ import annotations
@@ -18,90 +19,18 @@ import re
 from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parlance.llm.common import map_arrow, text_bytes
+from parlance.llm.signatures import SIGNATURES
 
 #: Phrase and label.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-#: Label: names as regular expressions over words, short tags, versions.
-FAMILIES: dict[str, tuple[tuple[str, ...], tuple[str, ...], tuple[str, ...]]] = {
-    "mit": (("mit license", "expat license", "mit style license"), ("mit",), ()),
-    "mit-0": (("mit no attribution(?: license)?",), ("mit 0",), ()),
-    "apache": (("apache (?:software )?license",), ("apache",), ("2 0", "1 1", "1 0", "2")),
-    "gpl": (("(?:gnu )?general public license", "gnu gpl"), ("gpl", "gnu gpl"), ("3", "3 0", "2", "2 0", "1")),
-    "lgpl": (("(?:gnu )?(?:lesser|library) general public license", "gnu lgpl"), ("lgpl",), ("3", "3 0", "2 1", "2", "2 0")),
-    "agpl": (("(?:gnu )?affero general public license", "gnu agpl"), ("agpl",), ("3", "3 0", "1")),
-    "gfdl": (("(?:gnu )?free documentation license",), ("gfdl",), ("1 3", "1 2", "1 1")),
-    "mpl": (("mozilla public license",), ("mpl",), ("2 0", "1 1", "1 0")),
-    "epl": (("eclipse public license",), ("epl",), ("2 0", "1 0")),
-    "cpl": (("common public license",), ("cpl",), ("1 0",)),
-    "cddl": (("common development and distribution license",), ("cddl",), ("1 1", "1 0")),
-    "bsd": (("bsd (?:style )?license", "berkeley software distribution license"), ("bsd",), ()),
-    "bsd-2-clause": (("(?:simplified|freebsd|2 clause|two clause) bsd license", "bsd 2 clause license"), ("bsd 2 clause",), ()),
-    "bsd-3-clause": (("(?:new|revised|modified|3 clause|three clause) bsd license", "bsd 3 clause license"), ("bsd 3 clause",), ()),
-    "bsd-4-clause": (("(?:original|4 clause|four clause) bsd license",), ("bsd 4 clause",), ()),
-    "0bsd": (("zero clause bsd license", "bsd zero clause license"), ("0bsd",), ()),
-    "isc": (("isc license",), ("isc",), ()),
-    "zlib": (("zlib(?: libpng)? license",), ("zlib",), ()),
-    "boost": (("boost software license",), ("bsl",), ("1 0",)),
-    "unlicense": (("the unlicense",), ("unlicense",), ()),
-    "wtfpl": (("do what the fuck you want to public license",), ("wtfpl",), ("2",)),
-    "artistic": (("artistic license",), ("artistic",), ("2 0", "1 0")),
-    "python": (("python software foundation license", "psf license"), ("psf", "python"), ("2",)),
-    "postgresql": (("postgresql license",), ("postgresql",), ()),
-    "openssl": (("openssl license",), ("openssl",), ()),
-    "w3c": (("w3c software (?:notice and )?license",), ("w3c",), ()),
-    "ms-pl": (("microsoft public license",), ("ms pl",), ()),
-    "ms-rl": (("microsoft reciprocal license",), ("ms rl",), ()),
-    "eupl": (("european union public license",), ("eupl",), ("1 2", "1 1")),
-    "upl": (("universal permissive license",), ("upl",), ("1 0",)),
-    "ofl": (("(?:sil )?open font license",), ("ofl",), ("1 1", "1 0")),
-    "odbl": (("open database license", "open data commons open database license"), ("odbl",), ("1 0",)),
-    "pddl": (("public domain dedication and license",), ("pddl",), ("1 0",)),
-    "cc0": (("creative commons zero(?: license)?", "cc0 public domain dedication"), ("cc0",), ("1 0",)),
-    "cc-by": (("creative commons attribution(?: license)?",), ("cc by",), ("4 0", "3 0", "2 5", "2 0")),
-    "cc-by-sa": (("creative commons attribution share ?alike(?: license)?",), ("cc by sa",), ("4 0", "3 0", "2 5", "2 0")),
-    "cc-by-nc": (("creative commons attribution non ?commercial(?: license)?",), ("cc by nc",), ("4 0", "3 0", "2 5", "2 0")),
-    "cc-by-nd": (("creative commons attribution no ?derivatives(?: license)?",), ("cc by nd",), ("4 0", "3 0", "2 0")),
-    "cc-by-nc-sa": (("creative commons attribution non ?commercial share ?alike(?: license)?",), ("cc by nc sa",), ("4 0", "3 0", "2 0")),
-    "cc-by-nc-nd": (("creative commons attribution non ?commercial no ?derivatives(?: license)?",), ("cc by nc nd",), ("4 0", "3 0", "2 0")),
-    "cecill": (("cecill(?: free software)? license",), ("cecill",), ("2 1", "2 0", "1 0")),
-    "mulan": (("mulan permissive software license",), ("mulanpsl",), ("2 0", "1 0")),
-    "server-side": (("server side public license",), ("sspl",), ("1 0",)),
-    "business-source": (("business source license",), ("busl",), ("1 1",)),
-    "elastic": (("elastic license",), ("elastic",), ("2 0",)),
-    "blue-oak": (("blue oak model license",), ("blueoak",), ("1 0 0",)),
-    "osl": (("open software license",), ("osl",), ("3 0", "2 1")),
-    "afl": (("academic free license",), ("afl",), ("3 0", "2 1")),
-    "ecl": (("educational community license",), ("ecl",), ("2 0",)),
-    "ncsa": (("university of illinois ncsa open source license",), ("ncsa",), ()),
-    "vim": (("vim license",), ("vim",), ()),
-    "ruby": (("ruby license",), ("ruby",), ()),
-    "php": (("php license",), ("php",), ("3 01", "3 0")),
-}
-#: Sentences that stand in license texts and notices: label, words, keyword.
-SENTENCES = (
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy", "hereby granted"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification", "redistribution"),
-    ("isc", "permission to use copy modify and(?: or)? distribute this software for any purpose", "distribute this software"),
-    ("apache", "you may not use this file except in compliance with the license", "except in compliance"),
-    ("gpl", "you can redistribute it and or modify it under the terms of the gnu general public license", "redistribute it"),
-    ("lgpl", "you can redistribute it and or modify it under the terms of the gnu lesser general public license", "redistribute it"),
-    ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered"),
-    ("zlib", "this software is provided as is without any express or implied warranty", "express or implied"),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license", "source code form"),
-    ("public-domain", "(?:is|are|placed|released|dedicated) (?:in|into|to) the public domain", "public domain"),
-    ("proprietary", "all rights reserved", "all rights reserved"),
-    ("copyright", "copyright (?:c )?[0-9]{4}(?: [0-9]{4})?", "copyright"),
-)
-_GRANT = "(?:licensed|licenced|released|distributed|available|provided|published|covered|redistributed|shared) under (?:the )?(?:terms of )?(?:the )?"
-
-
 @dataclass(frozen=True)
 class Rule:
     """A label found by ``pattern`` (over words one space apart); higher priorities win overlaps."""
@@ -112,33 +41,15 @@ class Rule:
     priority: int
 
 
-def _keyword(name: str) -> bytes:
-    """The longest plain word of a name that is in every text it matches."""
-    plain = re.sub(r"\(\?:[^()]*\)\??|\w \?|\w\?", " ", name)
-    return max(re.findall(r"[0-9a-z]+", plain), key=len).encode()
-
-
 def build_rules() -> tuple[Rule, ...]:
-    """The rules, in order of priority."""
-    rules = []
-    for label, (names, tags, versions) in FAMILIES.items():
-        version = "|".join(versions) or None
-        for name in names:
-            key = _keyword(name)
-            if version:
-                rules.append(Rule(label, key, f"{_GRANT}{name} (?:version |v )?(?:{version})", 90))
-                rules.append(Rule(label, key, f"{name} (?:version |v )?(?:{version})", 70))
-                rules.append(Rule(label, key, f"{name} (?:version |v )?(?:{version}) or (?:\\(?at your option\\)? )?(?:any )?later", 75))
-            rules.append(Rule(label, key, f"{_GRANT}{name}", 80))
-            rules.append(Rule(label, key, f"(?:see|read|copy of) (?:the )?{name}(?: file| text)?(?: for details)?", 65))
-            rules.append(Rule(label, key, name, 60))
-        for tag in tags:
-            tail = f"(?: (?:v )?(?:{version}))?" if version else ""
-            rules.append(Rule(label, b"spdx license identifier", f"spdx license identifier {tag}{tail}(?: or later| only)?", 100))
-            rules.append(Rule(label, tag.split(" ")[0].encode(), f"{_GRANT}{tag}{tail}(?= (?!license|licence|general))", 78))
-            rules.append(Rule(label, b"opensource org licenses", f"opensource org licenses {tag}(?: license)?", 85))
-    rules.extend(Rule(label, key.encode(), words, 95) for label, words, key in SENTENCES if label not in ("proprietary", "copyright"))
-    rules.extend(Rule(label, key.encode(), words, 20) for label, words, key in SENTENCES if label in ("proprietary", "copyright"))
+    """The signatures as rules, highest priority first, otherwise in the order in which they are written."""
+    rules, priority = [], 0
+    for line in filter(None, map(str.strip, SIGNATURES.split("\n"))):
+        if line.startswith("="):
+            priority = int(line[1:])
+        else:
+            label, keyword, pattern = line.split(" | ")
+            rules.append(Rule(label, keyword.encode(), pattern, priority))
     return tuple(sorted(rules, key=lambda r: -r.priority))
 
 
@@ -147,7 +58,7 @@ def _compiled():
     by_key: dict[bytes, list] = {}
     for order, r in enumerate(build_rules()):
         by_key.setdefault(r.keyword, []).append((order, r, re.compile(f"(?<= )(?:{r.pattern})(?= )".encode())))
-    base = [(label, re.compile(f"(?<= ){phrase}(?= )".encode()), phrase.count(" ") + 1) for phrase, label in BASE]
+    base = [(label, f" {phrase} ".encode(), re.compile(f"(?<= ){phrase}(?= )".encode())) for phrase, label in BASE]
     return by_key, base
 
 
@@ -155,28 +66,44 @@ def _compiled():
 _WORDS = bytes((c + 32) if 0x41 <= c <= 0x5A else c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else 0x20 for c in range(256))
 
 
+def uncontained(hits: list[tuple]) -> list[tuple]:
+    """Of hits (start, end, rank, ...) those that lie in no hit of a lower rank, by one sweep from left to
+    right. What holds a hit that gave way holds all that lies in it, so the sweep need not know which stay."""
+    kept, active = [], []
+    for hit in sorted(hits, key=lambda h: (h[0], -h[1], h[2])):
+        active = [a for a in active if a[1] > hit[0]]
+        if not any(a[1] >= hit[1] and a[2] < hit[2] for a in active):
+            kept.append(hit)
+        active.append(hit)
+    return kept
+
+
 def scan(data: bytes) -> dict:
     """All that the rules find in one text."""
     by_key, base = _compiled()
     words = data.translate(_WORDS).split()
     flat = b" " + b" ".join(words) + b" "
-    at = lambda pos: flat.count(b" ", 0, pos) - 1
-    places, base_labels = [], set()
-    for label, pattern, _ in base:
-        found = [at(m.start()) for m in pattern.finditer(flat)]
-        places += found
-        if found:
+    places, base_labels, spaces = [], set(), None
+
+    def at(positions: list[int]) -> list[int]:
+        """The words that begin there."""
+        nonlocal spaces
+        if spaces is None:
+            spaces = np.flatnonzero(np.frombuffer(flat, np.uint8) == 0x20)
+        return (np.searchsorted(spaces, positions) - 1).tolist()
+
+    for label, phrase, pattern in base:
+        if phrase in flat:
+            places += at([m.start() for m in pattern.finditer(flat)])
             base_labels.add(label)
-    hits = []
-    for key, rules in by_key.items():
-        if key in flat:
-            for order, rule, pattern in rules:
-                hits += [(-rule.priority, m.start() - m.end(), m.start(), m.end(), order, rule) for m in pattern.finditer(flat)]
-    kept: list[tuple] = []
-    for hit in sorted(hits, key=lambda h: h[:5]):
-        if not any(k[2] <= hit[2] and hit[3] <= k[3] for k in kept):
-            kept.append(hit)
-    spans = sorted((at(h[2]), at(h[2]) + flat.count(b" ", h[2], h[3]) + 1, h[5].label, h[5].priority) for h in kept)
+    found = [(m.start(), m.end(), rule) for key, rules in by_key.items() if key in flat for rule in rules for m in rule[2].finditer(flat)]
+    # Priority first, then length, then place, then the order of the rules.
+    found.sort(key=lambda h: (-h[2][1].priority, h[0] - h[1], h[0], h[2][0]))
+    kept = uncontained([(a, b, rank, rule[1]) for rank, (a, b, rule) in enumerate(found)])
+    spans = []
+    if kept:
+        first, last = at([h[0] for h in kept]), at([h[1] for h in kept])
+        spans = sorted((a, b + 1, h[3].label, h[3].priority) for a, b, h in zip(first, last, kept, strict=True))
     labels = base_labels | {s[2] for s in spans}
     best = max([s[3] for s in spans], default=0) / 100
     return {

@@ -104,8 +104,80 @@ def test_license_rules(text, labels):
 
 def test_contained_detections_give_way():
     spans = licenses.scan(b"released under the terms of the Mozilla Public License, version 2.0")["spans"]
-    assert [(s["label"], s["priority"]) for s in spans] == [("mpl", 90)]
-    assert len(licenses.build_rules()) > 300
+    assert [(s["label"], s["priority"]) for s in spans] == [("mpl", 80)]
+    assert len(licenses.build_rules()) > 200
+
+
+def sample(tree, r):
+    """A string that a parsed pattern matches."""
+    out = ""
+    for op, x in tree:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(x)
+        elif op == "ANY":
+            out += r.choice("ab ")
+        elif op == "IN":
+            kind, v = r.choice(x)
+            out += chr(v if str(kind) == "LITERAL" else r.randint(*v))
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+            out += "".join(sample(x[2], r) for _ in range(r.randint(x[0], min(int(x[1]), x[0] + 2))))
+        elif op == "SUBPATTERN":
+            out += sample(x[3], r)
+        elif op == "BRANCH":
+            out += sample(r.choice(x[1]), r)
+        else:
+            assert op == "ASSERT_NOT", op
+    return out
+
+
+def brute_spans(text, rules):
+    """Every rule searched without keywords; intervals taken one by one against all taken before."""
+    flat = " " + " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))) + " "
+    hits = [(-x.priority, m.start() - m.end(), m.start(), k, m.end(), x.label) for k, x in enumerate(rules) for m in re.finditer(f"(?<= )(?:{x.pattern})(?= )", flat)]
+    kept = []
+    for h in sorted(hits):
+        if not any(k[2] <= h[2] and h[4] <= k[4] for k in kept):
+            kept.append(h)
+    place = lambda p: flat.count(" ", 0, p) - 1
+    return sorted((place(h[2]), place(h[4]) + 1, h[5], -h[0]) for h in kept)
+
+
+def test_signatures_against_brute_force():
+    """Samples of all signatures among other words and each other: keywords hide nothing, and spans,
+    labels and scores are those of a plain search."""
+    import re._parser as parser
+
+    r, rules = random.Random(4), licenses.build_rules()
+    made = []
+    for x in rules:
+        for _ in range(6):
+            text = sample(parser.parse(x.pattern), r)
+            if re.fullmatch(x.pattern, text) and re.search(f"(?<= )(?:{x.pattern})(?= )", f" {text} "):
+                assert x.keyword.decode() in text, x
+                made.append(text)
+    assert len(made) > 5 * len(rules)
+    for _ in range(150):
+        text = " ".join(r.choice(made) if r.random() < 0.4 else r.choice(["the", "license", "gnu", "1.0", "Copyright 2020,", "world\n"]) for _ in range(r.randrange(40)))
+        got, want = licenses.scan(text.encode()), brute_spans(text, rules)
+        assert [tuple(s.values()) for s in got["spans"]] == want
+        n_words, n_base, first, last, base = brute_licenses(text)
+        assert (got["n_words"], got["n_base"], got["first_word"], got["last_word"], got["base_labels"]) == (n_words, n_base, first, last, base)
+        assert got["labels"] == ",".join(sorted({s[2] for s in want} | set(filter(None, base.split(",")))))
+        assert got["score"] == max([s[3] / 100 for s in want] + [0.6 if n_base else 0.0])
+
+
+def test_licenses_of_very_long_texts():
+    """Twice the text takes about twice the time."""
+    import time
+
+    unit, took = b"Licensed under the MIT License, see the GNU General Public License v3. All rights reserved. ", []
+    for n in (4_000, 16_000):
+        start = time.process_time()
+        got = licenses.scan(unit * n)
+        took.append(time.process_time() - start)
+        assert got["n_base"] == 2 * n and len(got["spans"]) >= 3 * n
+    assert took[1] < 10 * took[0] + 0.5
 
 
 # 3 ------------------------------------------------------------------------------------------------
