@@ -4,13 +4,14 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; between stages t
 written as Parquet and read again. All but the last return the columns of ``documents``, texts
 unchanged: the quality rules judge a document by its lines, and what they reject goes as a whole.
 
-Rows that repeat an id within a stage of deduplication count as one document; one of them stays.
-Rows without an id cannot be told apart and go at the first deduplication.
+Both deduplications give each row a number of their own first, so rows that lack an id, or share one,
+are told apart: of each group of equal or near texts one row stays, with the smallest id, and every
+other row stays too.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parlance.llm import bytecnn, naming, nearness, packing, rules
@@ -28,25 +29,29 @@ def ruled(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.select(*[F.col("record")[c].alias(c) for c in docs.columns])
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The documents whose ids are in ``kept``; of rows that repeat an id, one."""
-    twice = materialize(docs.groupBy("doc_id").count().filter("count > 1").select("doc_id"))
-    held = docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
-    if twice.isEmpty():
-        return held
-    first = Window.partitionBy("doc_id").orderBy(*docs.columns)
-    once = held.join(twice, "doc_id", "left_semi").withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
-    return held.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a number each, written once so that it holds, and the new column's name."""
+    name = "row"
+    while name in docs.columns:
+        name += "_"
+    return materialize(docs.withColumn(name, F.monotonically_increasing_id())), name
 
 
 def exactly_deduped(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the one with the smallest id."""
-    return _only(docs, naming.exact_groups(docs).filter("kept"))
+    rows, number = _numbered(docs)
+    keyed = rows.select(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col(number).alias("number")).alias("key"), "text")
+    kept = naming.exact_groups(keyed, "key").filter("kept").select(F.col("key.number").alias(number))
+    return rows.join(kept, number, "left_semi").select(*docs.columns)
 
 
 def nearly_deduped(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates, the one with the smallest id."""
-    return _only(docs, nearness.near_groups(docs).filter("kept"))
+    rows, number = _numbered(docs)
+    grouped = nearness.near_groups(rows.select(number, "text"), number).select(number, "component_id")
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", number))[number]
+    kept = grouped.join(rows.select(number, "doc_id"), number).groupBy("component_id").agg(least.alias(number)).select(number)
+    return rows.join(kept, number, "left_semi").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
