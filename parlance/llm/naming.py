@@ -1,7 +1,7 @@
 """Exact dedup by deterministic block naming.
 
-Texts are normalised (each run of white space one space) and cut into blocks of ``BLOCK``
-characters. Equal blocks get equal integer names: blocks are dealt into many small buckets, sorted
+Texts are normalised (each run of white space one space) and cut into blocks of ``BLOCK`` bytes of
+UTF-8. Equal blocks get equal integer names: blocks are dealt into many small buckets, sorted
 inside each, and named rank * BUCKETS + bucket. Names of adjacent blocks form pairs, which are
 sorted and named in the same way, until each text has one name. Blocks are compared by their
 content and pairs by both names, so texts share an identity only if they are equal.
@@ -10,9 +10,10 @@ A value that more than 1/``HOT_SHARE`` of all rows hold is named apart: such val
 count of hashes, are at most HOT_SHARE of a known length, are named after a pre-aggregated
 distinct, and reach their rows by a broadcast; no bucket holds them.
 
-Defined cases: null counts as empty and all empty texts are one group; a null id never stays if
-another row of its group has an id; rows that repeat an id and a text are counted one by one and
-all of them are ``kept`` if that id stays; other columns are not read.
+Defined cases: null counts as empty and all empty texts are one group; of each group exactly one row
+is ``kept``, one with the smallest id, or of rows without ids any; rows that repeat an id and a text are
+counted one by one; ids may be of any type that has an order; a text of any length is cut in one pass;
+an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parlance.llm.common import materialize, one_space, whole_text
+from parlance.llm.common import discard, materialize, one_space, whole_text
 
 BLOCK, BUCKETS, HOT_SHARE = 4096, 1 << 20, 200
 #: Stands for the missing neighbour of a last name.
@@ -49,8 +50,8 @@ def _name(df: DataFrame, value: list[str], keep: list[str], rows: int) -> DataFr
 
 def identities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, sha, level, name): texts are equal exactly if level and name are. One row an input row."""
-    text = one_space(whole_text(text_col))
-    plain = df.select(F.col(id_col).alias("doc"), text.alias("t")).select("doc", "t", F.sha2(F.col("t"), 256).alias("sha"), F.length("t").alias("n"))
+    text = one_space(whole_text(text_col)).cast("binary")
+    plain = df.select(F.col(id_col).alias("doc"), text.alias("t")).select("doc", "t", F.sha2(F.col("t"), 256).alias("sha"), F.octet_length("t").alias("n"))
     blocks = plain.select(
         "doc",
         "sha",
@@ -70,7 +71,9 @@ def identities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             .agg(F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("a"), F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))), F.lit(NONE)).alias("b"))
             .select("doc", "sha", F.col("pair").cast("int").alias("pos"), "a", "b")
         )
-        left = materialize(_name(pairs, ["a", "b"], ["doc", "sha", "pos"], left.count() // 2))
+        above = materialize(_name(pairs, ["a", "b"], ["doc", "sha", "pos"], left.count() // 2))
+        discard(left)
+        left = above
     if most > 1:
         ended = left.select("doc", "sha", F.lit(level).alias("level"), "name")
         rows = named.filter("n_blocks > 1 and pos = 0").select("doc", "sha")
@@ -81,10 +84,13 @@ def identities(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, keep_id, group_size, kept, text_sha256), one row an input row."""
     # Written once: counted, and joined with what it is counted to.
-    rows = materialize(identities(df, id_col, text_col))
-    groups = materialize(rows.groupBy("level", "name").agg(F.min("doc").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).filter("group_size > 1").select(F.col("level").alias("l"), F.col("name").alias("k"), "keep_id", "group_size"))
+    rows = materialize(identities(df, id_col, text_col).withColumn("row", F.monotonically_increasing_id()))
+    least = F.min(F.struct(F.col("doc").isNull(), "doc", "row"))["row"]
+    groups = materialize(
+        rows.groupBy("level", "name").agg(F.min("doc").alias("keep_id"), F.count(F.lit(1)).alias("group_size"), least.alias("keep_row")).filter("group_size > 1").select(F.col("level").alias("l"), F.col("name").alias("k"), "keep_id", "group_size", "keep_row")
+    )
     # A hot group's rows are many on the left only: skewed partitions are split there.
     joined = rows.join(groups, (F.col("level") == F.col("l")) & (F.col("name") == F.col("k")), "left")
     alone: Column = F.col("group_size").isNull()
     keep = F.when(alone, F.col("doc")).otherwise(F.col("keep_id"))
-    return joined.select(F.col("doc").alias(id_col), keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), F.col("doc").eqNullSafe(keep).alias("kept"), F.col("sha").alias("text_sha256"))
+    return joined.select(F.col("doc").alias(id_col), keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), (alone | (F.col("row") == F.col("keep_row"))).alias("kept"), F.col("sha").alias("text_sha256"))

@@ -318,7 +318,8 @@ def brute_exact(docs):
     out = []
     for t, ids in groups.items():
         keep = min((i for i in ids if i is not None), default=None)
-        out += [(i, keep, len(ids), i == keep, hashlib.sha256(t.encode()).hexdigest()) for i in ids]
+        stays = ids.index(keep)  # one row, though its id and text may repeat
+        out += [(i, keep, len(ids), k == stays, hashlib.sha256(t.encode()).hexdigest()) for k, i in enumerate(ids)]
     return sorted(out, key=str)
 
 
