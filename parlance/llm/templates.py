@@ -7,15 +7,17 @@ a leaf are taken in order; a line joins the template that it shares most tokens
 Templates found in ``least_docs`` documents or more are recurring, and their lines are dropped.
 
 1. Leaves are counted by hash, one row a document and leaf. Those in fewer documents cannot recur.
-2. The others' lines, each distinct line once, go through the tree, a leaf at a time. A leaf is
-   never split, as its templates depend on all of its lines; its distinct lines meet in one task.
+2. The others' lines, each distinct line once, go through the tree in order, a leaf after the other. A
+   leaf is never split, as its templates depend on all of its lines; its distinct lines stream through
+   one task, which holds the leaf's templates and no lines.
 3. Documents of each template are counted exactly; its lines are dropped from all of them.
 
 The leaves that may recur are sent to the tasks as hashes if they are at most ``SENT``; if more,
 lines meet them in a join.
 
 Defined cases: null is empty; lines without a word have no template and stay; rows that repeat an
-id count as documents of their own; other columns are not read.
+id count as documents of their own; a text of any length is cut into its lines whole; an empty table
+gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -49,17 +51,21 @@ def leaf_of(tokens: list[bytes]) -> int:
     return _signed(xxhash.xxh3_64_intdigest(b"%d " % len(tokens) + b" ".join(tokens[:DEPTH])))
 
 
-def parse(lines: list[list[bytes]]) -> list[int]:
-    """The template of each of a leaf's lines, which have equally many tokens."""
-    templates: list[list[bytes]] = []
-    by_token: dict[tuple[int, bytes], list[int]] = {}
-    out = []
-    # The places that all lines, and so all templates, have alike; they are not looked up.
-    fixed = next((k for k in range(min(DEPTH, min(map(len, lines), default=0))) if any(x[k] != lines[0][k] for x in lines)), min(DEPTH, min(map(len, lines), default=0)))
-    named = any(x != FIELD for x in lines[0][:fixed]) if lines else False
-    for line in lines:
-        # Templates that share tokens with the line, with the number of them; all, if those places and fields alone can do.
-        shared: dict[int, int] = dict.fromkeys(range(len(templates)), 0) if named and fixed + line[fixed:].count(FIELD) >= ALIKE * len(line) else {}
+class Leaf:
+    """The templates of lines that have equally many tokens and the same first ``DEPTH`` ones, of which it
+    holds no line: what it needs goes with its templates."""
+
+    def __init__(self, first: list[bytes], fixed: int = DEPTH):
+        self.fixed = min(fixed, len(first))
+        self.named = any(x != FIELD for x in first[: self.fixed])
+        self.templates: list[list[bytes]] = []
+        self.by_token: dict[tuple[int, bytes], list[int]] = {}
+
+    def place(self, line: list[bytes]) -> int:
+        """The number of the template that the line joins or begins."""
+        fixed, templates, by_token = self.fixed, self.templates, self.by_token
+        # Templates that share tokens with the line, with the number of them; all, if the fixed places and fields alone can do.
+        shared: dict[int, int] = dict.fromkeys(range(len(templates)), 0) if self.named and fixed + line[fixed:].count(FIELD) >= ALIKE * len(line) else {}
         for place, token in enumerate(line):
             if token != FIELD and place >= fixed:
                 for t in by_token.get((place, token), ()):
@@ -78,14 +84,19 @@ def parse(lines: list[list[bytes]]) -> list[int]:
                 if a != b and a != FIELD:
                     by_token[place, a].remove(best)
                     old[place] = FIELD
-        else:
-            best = len(templates)
-            templates.append(list(line))
-            for place, token in enumerate(line):
-                if token != FIELD and place >= fixed:
-                    by_token.setdefault((place, token), []).append(best)
-        out.append(best)
-    return out
+            return best
+        templates.append(list(line))
+        for place, token in enumerate(line):
+            if token != FIELD and place >= fixed:
+                by_token.setdefault((place, token), []).append(len(templates) - 1)
+        return len(templates) - 1
+
+
+def parse(lines: list[list[bytes]]) -> list[int]:
+    """The template of each of some lines of equally many tokens, in order."""
+    alike = next((k for k in range(DEPTH) if any(x[k : k + 1] != lines[0][k : k + 1] for x in lines)), DEPTH)
+    leaf = Leaf(lines[0], alike) if lines else None
+    return [leaf.place(line) for line in lines]
 
 
 def _doc_leaves(texts: DataFrame) -> DataFrame:
@@ -151,25 +162,24 @@ def recurring_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     distinct = lines.select("leaf", "words").distinct()
 
     def tree(batches):
-        key, held = None, []
-
-        def out():
-            names = parse([w.split() for w in held])
-            return pa.RecordBatch.from_arrays([pa.array([key] * len(held), pa.int64()), pa.array(held, pa.binary()), pa.array(names, pa.int32())], names=["leaf", "words", "template"])
-
+        key, own = None, {}
         for batch in batches:
+            names, kinds = [], []
             for leaf, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if key is not None and leaf != key:
-                    yield out()
-                    held = []
-                key = leaf
-                held.append(words)
-        if held:
-            yield out()
+                if leaf != key:
+                    key, own = leaf, {}
+                tokens = words.split()
+                # A leaf's hash may, if hardly ever, stand for several.
+                kind = (len(tokens), *tokens[:DEPTH])
+                if kind not in own:
+                    own[kind] = len(own), Leaf(tokens)
+                kinds.append(own[kind][0])
+                names.append(own[kind][1].place(tokens))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(kinds, pa.int32()), pa.array(names, pa.int32())], names=["leaf", "words", "kind", "template"])
 
     sorted_ = distinct.repartition("leaf").sortWithinPartitions("leaf", "words")
-    named = materialize(map_arrow(sorted_, tree, "leaf long, words binary, template int"))
-    which = ["leaf", "template"]
+    named = materialize(map_arrow(sorted_, tree, "leaf long, words binary, kind int, template int"))
+    which = ["leaf", "kind", "template"]
     placed = materialize(lines.join(named, ["leaf", "words"]).select("row", "line", *which))
     often = materialize(placed.select("row", *which).distinct().groupBy(*which).agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") >= least_docs).select(*which))
     gone = placed.join(often, which, "left_semi").groupBy("row").agg(F.sort_array(F.collect_list("line")).alias("dropped_lines"))
