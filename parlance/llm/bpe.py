@@ -9,7 +9,8 @@ A text is cut where a space precedes a non-space: no match of the split pattern
 place. Pieces are looked up in a bounded table of pieces that the library has encoded already; the
 others of a batch go to the library, each once.
 
-Defined cases: null is empty; empty texts have no tokens; other columns are not read.
+Defined cases: null is empty; empty texts have no tokens; a text of any length is encoded whole, as a
+batch of its own beyond 8 MB; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from pyspark.sql import types as T
 
 from parlance.llm.common import map_arrow, text_bytes
 
-#: Pieces kept by a worker.
-PIECES = 300_000
+#: Pieces kept by a worker, and characters of the longest one kept: what it holds is bounded in bytes too.
+PIECES, LONGEST = 300_000, 48
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: A space before a character that no one takes for white space starts a match.
 _CUT = re.compile(r" (?=\S)")
@@ -96,7 +97,7 @@ class Codec:
         fresh = {p[1:]: ids for p, ids in self._encode_new(list(new)).items()}
         plain = self._encode_new(list(firsts)) | {"": b""}
         if len(known) < PIECES:
-            known.update(fresh)
+            known.update((p, x) for p, x in fresh.items() if len(p) <= LONGEST)
         out = []
         for first, rest in cut:
             ids = list(map(known.get, rest))

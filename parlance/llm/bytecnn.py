@@ -14,7 +14,8 @@ are parameters. A step goes over a text in spans of chunks, so its memory does n
 text's length. Scoring covers every byte of every text.
 
 Defined cases: null is empty; a text shorter than the filters is padded with zero bytes; without
-labels the score is 0.5 for all; labels that are null are not used; other columns are not read.
+labels the score is 0.5 for all; labels that are null are not used; a text of any length is scored
+chunk by chunk; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ work of a task does not. Each source and cluster is spread over all groups, howe
 
 Defined cases: null and empty texts are one end token; a null source is a source of its own; rows
 without a cluster column take the hash of their text as one; equal rows are packed one by one;
-other columns are not read.
+a text of any length is cut into as many pieces as it takes; an empty table gives no rows; other
+columns are not read.
 """
 
 from __future__ import annotations

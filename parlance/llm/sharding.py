@@ -13,6 +13,8 @@ are not read.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,10 +63,11 @@ def _cell(bounds: list[tuple]) -> Column:
     return F.aggregate(F.lit(steps).cast("array<int>"), F.lit(0), down)
 
 
-def shard(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = 24, cells_per_shard: int = 16, samples_per_cell: int = 48, keep_record: bool = False) -> DataFrame:
+def shard(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = 24, cells_per_shard: int = 16, samples_per_cell: int = 48, cell_rows: int = 1_000_000, keep_record: bool = False) -> DataFrame:
     """Rows of (id, size, text_crc32, law, shard, slot, grown_shard), with ``record`` (all columns
-    of the input as a struct) if asked for. At most shards * cells_per_shard boundaries and about
-    samples_per_cell times as many sampled keys reach the driver, whatever the input's size."""
+    of the input as a struct) if asked for. There are shards * cells_per_shard ranges, or as many as
+    ``cell_rows`` rows a range take; that many boundaries and about samples_per_cell times as many sampled
+    keys reach the driver."""
     text = whole_text(text_col)
     fields = [F.col(id_col), (F.octet_length(text).cast("long") + 8).alias("size"), F.crc32(text).alias("text_crc32"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key_id")]
     if keep_record:
@@ -72,7 +75,7 @@ def shard(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards:
     keyed = df.select(*fields)
     index = materialize(keyed.select(id_col, "size", "text_crc32", "key_id"))
     n, total = index.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    cells = max(1, min(shards * cells_per_shard, n))
+    cells = max(1, min(shards * cells_per_shard, n), n // cell_rows)
     weight, bounds, table = _weight(max(n, 1), max(total, 1)), [], []
     if n:
         bounds = _quantiles(_draw(index, weight, cells * samples_per_cell, 0), cells)
@@ -86,8 +89,11 @@ def shard(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards:
             # Overfull ranges are sampled anew, each in proportion to what it holds, and subdivided.
             inside = index.withColumn("cell", _cell(bounds)).filter(F.col("cell").isin(*full))
             more = _draw(inside, weight, cells * samples_per_cell * 2, again)
+            by_cell: dict[int, list] = {}
+            for drawn in more:
+                by_cell.setdefault(bisect_right(bounds, drawn[:2]), []).append(drawn)
             for c, x in full.items():
-                own = [s for s in more if sum(b <= s[:2] for b in bounds) == c] if len(full) > 8 else [s for s in more if (c == 0 or bounds[c - 1] <= s[:2]) and (c == len(bounds) or s[:2] < bounds[c])]
+                own = by_cell.get(c, [])
                 table.extend(("new", b) for b in _quantiles(own, 2 * round(x)))
             bounds = sorted(set(bounds) | {b for tag, b in (t for t in table if t[0] == "new")})
     start_bytes, start_rows, run_b, run_n = [0] * (len(bounds) + 1), [0] * (len(bounds) + 1), 0, 0

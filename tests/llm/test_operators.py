@@ -65,6 +65,7 @@ def test_shards_of_a_hot_text(spark):
     df = spark.createDataFrame([(i, t, "s") for i, t in docs], SCHEMA)
     got = rows(sharding.shard(df, samples_per_cell=4))
     check_shards(got, docs, 24)
+    check_shards(rows(sharding.shard(df, shards=4, cells_per_shard=2, cell_rows=40)), docs, 4)
     kept = sharding.shard(df, keep_record=True).first()
     assert kept["record"]["source"] == "s"
 
@@ -276,6 +277,26 @@ def test_classifier_learns_and_chunks_cover_all():
     assert 0 <= net.score(b"") <= 1
 
 
+def test_classifier_against_plain_loops(monkeypatch):
+    """The network's score place by place, tap by tap and chunk by chunk."""
+    monkeypatch.setattr(bytecnn, "CHUNK", 50)
+    net = bytecnn.Net(seed=3)
+    r = np.random.default_rng(2)
+    net.p["b"] = r.normal(0, 0.3, bytecnn.FILTERS).astype(np.float32)
+    net.p["c"] = np.array([0.2], np.float32)
+    net.freeze()
+    p = {k: v.astype(float) for k, v in net.p.items()}
+    for text in (b"", b"a", b"abcd", bytes(r.integers(0, 256, 47).tolist()), bytes(r.integers(0, 256, 400).tolist()), "naïve 世界 ".encode() * 40):
+        x = list(text) + [0] * max(0, bytecnn.WIDTH - len(text))
+        places = range(len(x) - bytecnn.WIDTH + 1)
+        out = [[max(0.0, p["b"][f] + sum(p["E"][x[at + k]] @ p["W"][k][:, f] for k in range(bytecnn.WIDTH))) for f in range(bytecnn.FILTERS)] for at in places]
+        chunks = [out[a : a + bytecnn.CHUNK - bytecnn.WIDTH + 1] for a in range(0, len(out), bytecnn.CHUNK - bytecnn.WIDTH + 1)]
+        best = [[max(row[f] for row in c) for f in range(bytecnn.FILTERS)] for c in chunks]
+        features = [max(b[f] for b in best) for f in range(bytecnn.FILTERS)] + [sum(b[f] for b in best) / len(best) for f in range(bytecnn.FILTERS)] + [sum(row[f] for row in out) / len(out) for f in range(bytecnn.FILTERS)]
+        z = sum(v * f for v, f in zip(p["V"], features, strict=True)) + p["c"][0]
+        assert net.score(text) == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-5)
+
+
 def test_classifier_on_tables(spark, odd):
     docs = table(spark, [" ".join(words(80, k)) if k % 2 else "*** | " * 60 for k in range(300)])
     labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"), F.lit(0).alias("toxic"))
@@ -375,6 +396,31 @@ def test_packing_finds_the_tightest_compatible_bin():
     assert packing.pack([(5, 0, 0), (5, 1, 0), (5, 2, 1)], 10) == [0, 1, 0]
 
 
+def naive_bins(items, capacity):
+    """Every bin looked at for every piece."""
+    bins, out = [], [None] * len(items)
+    for k in sorted(range(len(items)), key=lambda k: -items[k][0]):
+        size, source, cluster = items[k]
+        fits = [(b["room"], n) for n, b in enumerate(bins) if b["room"] >= size and source not in b["sources"] and cluster not in b["clusters"]]
+        if fits:
+            out[k] = min(fits)[1]
+        else:
+            out[k] = len(bins)
+            bins.append({"room": capacity, "sources": set(), "clusters": set()})
+        b = bins[out[k]]
+        b["room"] -= size
+        b["sources"].add(source)
+        b["clusters"].add(cluster)
+    return out
+
+
+def test_packing_against_every_bin():
+    r = random.Random(6)
+    for _ in range(60):
+        items = [(r.randrange(1, 41), r.randrange(r.choice([2, 9])), r.randrange(30)) for _ in range(r.randrange(120))]
+        assert packing.pack(items, 40) == naive_bins(items, 40)
+
+
 def test_packing_with_a_hot_source(spark):
     df = spark.createDataFrame([(k, " ".join(words(k % 30, k)), "hot" if k % 3 == 0 else f"s{k % 17}") for k in range(900)], SCHEMA)
     bins = check_bins(rows(packing.best_fit(df, capacity=64, group_rows=200)), 64)
@@ -478,6 +524,15 @@ def test_lm_tells_words_apart_beyond_the_most_frequent(spark):
     assert right > wrong + 20
 
 
+def test_lm_scores_whole_texts(spark):
+    """A text of over a million words is scored to its end; its end's words count."""
+    unit = "alpha beta gamma "
+    docs = [unit * 200 for _ in range(20)] + [unit * 400_000 + tail for tail in ("", "zeta")]
+    got = {r["doc_id"]: r for r in rows(lm.score_corpus(table(spark, docs)))}
+    a, b = got[20], got[21]
+    assert (a["n_tokens"], b["n_tokens"]) == (1_200_001, 1_200_002) and b["score"] < a["score"] and b["base_score"] < a["base_score"]
+
+
 def test_lm_on_odd_and_empty_tables(spark, odd):
     assert len(rows(lm.score_corpus(odd.select("doc_id", "text", "name")))) == len(ODD)
     assert rows(lm.score_corpus(odd.limit(0))) == []
