@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parlance.functions import tokens as t
 from parlance.functions.text import strip
@@ -273,6 +274,19 @@ def replace_token(messages: Column, old: str, new: str) -> Column:
     return F.transform(messages, lambda m: F.struct(m["role"].alias("role"), fixed(m["content"]).alias("content")))
 
 
+def replace_nested(value: Column, kind: T.DataType, old: str, new: str) -> Column:
+    """A literal part replaced in every string of a value of any nested type; map keys stay."""
+    if isinstance(kind, T.StringType):
+        return F.replace(value, F.lit(old), F.lit(new))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: replace_nested(x, kind.elementType, old, new))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(value, lambda _, x: replace_nested(x, kind.valueType, old, new))
+    if isinstance(kind, T.StructType):
+        return F.when(value.isNotNull(), F.struct(*[replace_nested(value[f.name], f.dataType, old, new).alias(f.name) for f in kind.fields]))
+    return value
+
+
 # --- retrieval answers ----------------------------------------------------------------------------
 
 

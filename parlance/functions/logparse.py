@@ -148,6 +148,19 @@ def longest_session(*sessions: Column) -> Column:
     return chain
 
 
+#: Tool kinds whose calls are taken from the small model's output; all others come from the large one's input.
+SMALL_MODEL_TOOLS = ("CHARASearch", "MathQA", "TODRequest")
+
+
+def by_tool_kind(small: Column, large: Column) -> Column:
+    """(calls, observations, thoughts) of the log that the kind of tool speaks for."""
+    own = calls(small)
+    names = F.transform(F.flatten(own), lambda e: F.concat(e["k"], F.lit(" "), e["v"]))
+    fits = F.exists(names, lambda x: x.rlike("|".join(SMALL_MODEL_TOOLS)))
+    side = lambda log: F.struct(calls(log).alias("calls"), observations(log).alias("observations"), thoughts(log).alias("thoughts"))
+    return F.when(fits, side(small)).otherwise(side(large))
+
+
 def parse_log(df: DataFrame, column: str) -> DataFrame:
     """All of it, beside the table's own columns. Rows without a log go."""
     text = F.col(column)

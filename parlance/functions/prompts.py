@@ -38,15 +38,17 @@ def log_prompt(template: str, log: Column, history: Column | None, query: Column
     return F.concat(text, F.when(before != "", F.concat(F.lit("\n历史对话：\n"), before)).otherwise(F.lit("")), F.lit("\n问题："), said(query), F.lit("\n回答："), said(reply))
 
 
-def distil_prompt(single: bool, rag: bool, query: Column, context: Column, passages: Column) -> Column:
-    """The template by kind of row: several turns add the history, retrieval adds passages."""
-    pieces = [F.lit("    请回答下面的问题。\n")]
-    if not single:
-        pieces += [F.lit("    历史：\n"), said(context), F.lit("\n")]
-    pieces += [F.lit("    问题："), said(query)]
-    if rag:
-        pieces += [F.lit("\n    资料："), said(passages)]
-    return F.concat(*pieces)
+#: Indent of the lines of the distillation template. Fixed value, as are its headings.
+INDENT = " " * 12
+
+
+def distil_prompt(single: bool, asked_at: Column, query: Column, context: Column, passages: Column, one_shot: str = "") -> Column:
+    """A one-shot example, a rule, then date, history (several turns only), question and passages, a line each."""
+    lines = [("用户提问的日期是：", asked_at), *([] if single else [("用户对话历史：", context)]), ("问题：", query), ("检索资料:", passages)]
+    pieces = [F.lit(f"{one_shot}\n{INDENT}---\n{INDENT}下面是给出的实际问题：\n")]
+    for heading, value in lines:
+        pieces += [F.lit(INDENT + heading), said(value), F.lit("\n")]
+    return F.concat(*pieces, F.lit(f"{INDENT}你的回答：\n{INDENT}"))
 
 
 def few_shot(head: str, examples: str, query: Column) -> Column:

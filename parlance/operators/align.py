@@ -28,6 +28,37 @@ def outer_by_query(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return a.join(right, F.col(key).eqNullSafe(F.col("_key")), "full_outer").withColumn(key, F.coalesce(key, "_key")).drop("_key")
 
 
+def by_index(df: DataFrame, responses: DataFrame, index: str = "index", order: str = "at") -> DataFrame:
+    """Rows beside the response of their index, which counts from 1; the last response of an index wins,
+    and a row without one keeps its place with null."""
+    last = responses.groupBy(index).agg(F.max_by("response", order).alias("response"))
+    return df.join(last, index, "left")
+
+
+def _plain(text: Column) -> Column:
+    """Words in lower case, one space apart and around."""
+    return F.concat(F.lit(" "), F.trim(F.lower(F.regexp_replace(text, r"[\s!-/:-@\[-`{-~]+", " "))), F.lit(" "))
+
+
+def containing(items: DataFrame, docs: DataFrame, item_key: str, doc_key: str, text: str = "text", width: int = 5, sent: int = 1_000_000) -> DataFrame:
+    """(item_key, doc_key): documents that hold an item's words in a row, anywhere in the whole text.
+
+    Items meet documents by their first ``width`` words (all, if they have fewer) in an equality join
+    over the windows of the documents, and are then looked for whole. At most ``sent`` items are
+    sent to all tasks; more are shuffled."""
+    wanted = items.select(item_key, _plain(F.col(text)).alias("_item")).filter("length(_item) > 2")
+    words = lambda c: F.split(F.trim(c), " ")
+    wanted = wanted.withColumn("_n", F.least(F.size(words(F.col("_item"))), F.lit(width))).withColumn("_key", F.array_join(F.slice(words(F.col("_item")), F.lit(1), F.col("_n")), " "))
+    sizes = [r[0] for r in wanted.select("_n").distinct().collect()]  # width numbers at most
+    if not sizes:
+        return docs.select(doc_key).limit(0).join(items.select(item_key).limit(0), F.lit(True)).select(item_key, doc_key)
+    held = docs.select(doc_key, _plain(F.col(text)).alias("_doc")).withColumn("_w", words(F.col("_doc")))
+    windows = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.size("_w") - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(F.col("_w"), i, F.lit(n)), " "))
+    found = held.select(doc_key, "_doc", F.explode(F.array_distinct(F.flatten(F.array(*[windows(n) for n in sizes])))).alias("_key"))
+    few = F.broadcast(wanted) if wanted.count() <= sent else wanted
+    return found.join(few, "_key").filter(F.contains("_doc", "_item")).select(item_key, doc_key).distinct()
+
+
 def named_passages(names: Column, passages: Column) -> Column:
     """Tool names with their passages, as far as both go."""
     n = F.least(F.size(names), F.size(passages))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from parlance.functions import codec, judge, logparse, prompts, temporal, text, tokens
 from parlance.operators import align, curate, distinct, mix, order, quality, report
 from parlance.operators.model_map import EchoJudge, Limits, ask_rounds
+from parlance.sources import readers
 from parlance.streaming import jobs
 
 _QUERIES: dict = {}
@@ -104,12 +105,14 @@ def session_merge(spark, sf):
 
 @query("SELECT conv_id, arg_max(text, turn) AS query FROM conversations WHERE role = 'user' GROUP BY conv_id")
 def last_user_query(spark, sf):
-    return _t(spark, sf, "conversations").filter("role = 'user'").groupBy("conv_id").agg(F.max_by("text", "turn").alias("query"))
+    said = _t(spark, sf, "conversations").filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("query"))
+    return align.last_wins(said, ["conv_id"], ["turn"]).select("conv_id", "query")
 
 
 @query("SELECT conv_id, turn, text FROM conversations WHERE role = 'user'")
 def user_messages(spark, sf):
-    return _t(spark, sf, "conversations").filter("role = 'user'").select("conv_id", "turn", "text")
+    rows = _t(spark, sf, "conversations").withColumn("messages", F.array(F.struct("role", F.array("text").alias("content"))))
+    return readers.users_of(rows, "conv_id", "turn").withColumnRenamed("user-query", "text")
 
 
 @query(f"""WITH {_LOGS} SELECT conv_id, log, replace(replace(log, '[unused0]', '<|lc_start|>'), '[unused1]', '<|lc_end|>') AS readable,
@@ -130,8 +133,8 @@ def history_text(spark, sf):
 @query("""SELECT conv_id, count(*) FILTER (role = 'user') AS users, count(*) FILTER (role = 'assistant') AS replies,
   count(*) FILTER (role = 'user') - count(*) FILTER (role = 'assistant') <> 1 AS mismatch FROM conversations GROUP BY conv_id""")
 def context_mismatch(spark, sf):
-    users, replies = F.count_if(F.col("role") == "user"), F.count_if(F.col("role") == "assistant")
-    return _t(spark, sf, "conversations").groupBy("conv_id").agg(users.alias("users"), replies.alias("replies"), (users - replies != 1).alias("mismatch"))
+    users, replies = (F.size(logparse.turns(F.col("log"), role)).cast("long") for role in ("user", "assistant"))
+    return _logs(spark, sf).select("conv_id", users.alias("users"), replies.alias("replies"), (users - replies != 1).alias("mismatch"))
 
 
 @query(f"""WITH {_PAIRS} SELECT conv_id, turn, trim(usr, chr(32) || chr(10) || chr(9) || chr(13)) AS "user", 'NAME' AS api, trim(assistant, chr(32) || chr(10) || chr(9) || chr(13)) AS assistant FROM pairs
@@ -157,10 +160,11 @@ def last_wins_align(spark, sf):
 
 
 @query(f"""WITH {_PAIRS} SELECT conv_id, turn, 'Judge.' || chr(10) || '问题：' || usr || chr(10) || '回答：' || assistant AS prompt,
-  '    请回答下面的问题。' || chr(10) || '    历史：' || chr(10) || chr(10) || '    问题：' || usr AS distil FROM pairs""")
+  'E' || chr(10) || repeat(' ', 12) || '---' || chr(10) || repeat(' ', 12) || '下面是给出的实际问题：' || chr(10) || repeat(' ', 12) || '用户提问的日期是：' || turn || chr(10) || repeat(' ', 12) || '用户对话历史：' || chr(10)
+    || repeat(' ', 12) || '问题：' || usr || chr(10) || repeat(' ', 12) || '检索资料:p' || chr(10) || repeat(' ', 12) || '你的回答：' || chr(10) || repeat(' ', 12) AS distil FROM pairs""")
 def prompt_concat(spark, sf):
     rows = _pairs(spark, sf)
-    return rows.select("conv_id", "turn", prompts.judge_prompt("relevance", "Judge.", {"query": F.col("user"), "assistant": F.col("assistant")}).alias("prompt"), prompts.distil_prompt(False, False, F.col("user"), F.lit(None), F.lit(None)).alias("distil"))
+    return rows.select("conv_id", "turn", prompts.judge_prompt("relevance", "Judge.", {"query": F.col("user"), "assistant": F.col("assistant")}).alias("prompt"), prompts.distil_prompt(False, F.col("turn"), F.col("user"), F.lit(None), F.lit("p"), "E").alias("distil"))
 
 
 @query(f"""WITH {_PAIRS}, firsts AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM pairs)
@@ -238,8 +242,8 @@ def quality_cascade(spark, sf):
 
 @query("""SELECT doc_id, regexp_extract(text, '(?i)(licen[sc]e|copyright|token|password)', 0) AS reason FROM documents WHERE regexp_matches(text, '(?i)(licen[sc]e|copyright|token|password)')""")
 def reason_extract(spark, sf):
-    p = "(?i)(licen[sc]e|copyright|token|password)"
-    return _t(spark, sf, "documents").filter(F.col("text").rlike(p)).select("doc_id", F.regexp_extract("text", p, 0).alias("reason"))
+    said = quality.reason(F.col("text"), ("licen[sc]e", "copyright", "token", "password"))
+    return _t(spark, sf, "documents").select("doc_id", said.alias("reason")).filter("reason is not null")
 
 
 @query(f"""WITH {_PAIRS}, m AS (SELECT *, count(*) OVER (PARTITION BY conv_id) AS n, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM pairs),
@@ -296,21 +300,12 @@ def half_split_chunks(spark, sf):
     return order.chunks(_t(spark, sf, "documents").select("doc_id"), 7, ["doc_id"]).select("doc_id", "chunk")
 
 
-@query("""SELECT b.item_id, count(d.doc_id) AS n_docs FROM benchmark b LEFT JOIN (SELECT doc_id, lower(regexp_replace(unnest(string_split(text, chr(10))), '[\\s[:punct:]]+', '', 'g')) AS k FROM documents) d
-  ON d.k = lower(regexp_replace(b.text, '[\\s[:punct:]]+', '', 'g')) AND d.k <> '' GROUP BY b.item_id""")
+@query("""WITH d AS (SELECT doc_id, ' ' || trim(lower(regexp_replace(text, '[\\s[:punct:]]+', ' ', 'g'))) || ' ' AS x FROM documents), b AS (SELECT item_id, ' ' || trim(lower(regexp_replace(text, '[\\s[:punct:]]+', ' ', 'g'))) || ' ' AS k FROM benchmark)
+  SELECT item_id, count(doc_id) AS n_docs FROM b LEFT JOIN d ON length(k) > 2 AND contains(x, k) GROUP BY item_id""")
 def train_overlap(spark, sf):
-    norm = lambda c: F.lower(F.regexp_replace(c, r"[\s!-/:-@\[-`{-~]+", ""))
-    lines = _t(spark, sf, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("x")).select("doc_id", norm(F.col("x")).alias("k")).filter("k <> ''")
-    return _t(spark, sf, "benchmark").withColumn("k", norm(F.col("text"))).join(lines, "k", "left").groupBy("item_id").agg(F.count("doc_id").alias("n_docs"))
-
-
-@query()
-def train_containment(spark, sf):
-    """As ``train_overlap``, but documents that hold the passage anywhere in their whole normalised text."""
-    norm = lambda c: F.lower(F.regexp_replace(c, r"[\s!-/:-@\[-`{-~]+", ""))
-    docs = _t(spark, sf, "documents").select("doc_id", norm(F.col("text")).alias("x"))
-    items = _t(spark, sf, "benchmark").select("item_id", norm(F.col("text")).alias("k"))
-    found = docs.join(F.broadcast(items), F.col("k").isNotNull() & (F.col("k") != "") & F.contains("x", "k")).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_docs"))
+    """How many documents hold each passage, anywhere in their whole text."""
+    items = _t(spark, sf, "benchmark")
+    found = align.containing(items, _t(spark, sf, "documents"), "item_id", "doc_id").groupBy("item_id").agg(F.count(F.lit(1)).alias("n_docs"))
     return items.select("item_id").join(found, "item_id", "left").select("item_id", F.coalesce("n_docs", F.lit(0)).alias("n_docs"))
 
 
@@ -325,17 +320,12 @@ def obs_number(spark, sf):
     return _t(spark, sf, "documents").select("doc_id", text.number_passages(p).alias("obs"))
 
 
-@query("""WITH p AS (SELECT doc_id, 4 + length(lang) AS a, 4 + length(source) + 4 + length(substr(text, 1, 20)) AS b, 4 + length(substr(text, 1, 60)) AS c FROM documents)
-  SELECT doc_id, CASE WHEN 2 + a > 60 THEN 0 WHEN 2 + a + 2 + b > 60 THEN 1 WHEN 2 + a + 2 + b + 2 + c > 60 THEN 2 ELSE 3 END AS kept FROM p""")
+@query("""WITH l AS (SELECT doc_id, lang, source, string_split(coalesce(text, ''), chr(10)) AS x FROM documents),
+  p AS (SELECT doc_id, -1 AS i, 4 + length(lang) AS n FROM l UNION ALL SELECT doc_id, 0, 4 + length(source) FROM l UNION ALL SELECT doc_id, i, 4 + length(x[i]) FROM l, unnest(range(1, len(x) + 1)) AS u(i)),
+  r AS (SELECT doc_id, i, sum(n + 2) OVER (PARTITION BY doc_id ORDER BY i) AS used FROM p)
+  SELECT doc_id, (coalesce(min(CASE WHEN used > 4000 THEN i END), max(i) + 1) + 1)::INT AS kept FROM r GROUP BY doc_id""")
 def obs_cap(spark, sf):
-    c = F.col("text")
-    p = F.array(F.array("lang"), F.array(F.col("source"), F.substring(c, 1, 20)), F.array(F.substring(c, 1, 60)))
-    return _t(spark, sf, "documents").select("doc_id", F.size(order.within_length(p, 60)).alias("kept"))
-
-
-@query()
-def obs_cap_whole(spark, sf):
-    """As ``obs_cap``, over all lines of the whole text, up to 4,000 characters."""
+    """Lists of the language and source and of each line of the whole text, up to 4,000 characters."""
     lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.array(x))
     p = F.concat(F.array(F.array("lang"), F.array("source")), lines)
     return _t(spark, sf, "documents").select("doc_id", F.size(order.within_length(p, 4000)).alias("kept"))
@@ -497,11 +487,6 @@ def observation_codec(spark, sf):
     return rows.select("event_id", "obs", F.array_join(F.flatten(codec.passages_of(codec.observation_items(F.col("obs")))), ",").alias("back"))
 
 
-@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
-def json_props(spark, sf):
-    return _t(spark, sf, "events").select("event_id", F.from_json("props", "struct<k:bigint>")["k"].alias("k"))
-
-
 @query("""SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, year(o_orderdate) || '-' || month(o_orderdate) || '-' || day(o_orderdate) || ' ' || o_orderkey % 24 || ':' || o_orderkey % 60 || ':00' AS logged_at FROM orders""")
 def date_parse(spark, sf):
     day, k = temporal.chinese_date(F.col("o_orderdate")), F.col("o_orderkey")
@@ -530,12 +515,6 @@ def lunar_cycle(spark, sf):
     return _t(spark, sf, "orders").groupBy(y.cast("long").alias("y"), temporal.cycle_name(y).alias("cycle"), temporal.zodiac(y).alias("animal")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT page_id, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title, len(regexp_extract_all(html, '(?i)<a\\s[^>]*href')) AS links FROM pages")
-def html_links(spark, sf):
-    h = F.col("html")
-    return _t(spark, sf, "pages").select("page_id", F.regexp_extract(h, r"(?is)<title[^>]*>(.*?)</title>", 1).alias("title"), F.regexp_count(h, F.lit(r"(?i)<a\s[^>]*href")).cast("long").alias("links"))
-
-
 @query("""SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 4) AS cosine FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id
   WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.35""")
 def sim_pairs(spark, sf):
@@ -547,7 +526,8 @@ def semantic_dedup(spark, sf):
     return distinct.semantic_groups(_t(spark, sf, "embeddings"), "vec_id", "embedding", most=0.65)
 
 
-@query()
+@query("""SELECT doc_id AS row_id, '准确性：【' || s || '】兜底 是否为兜底回复：【0】{{' || s || '}}' AS response, s::INT AS final
+  FROM (SELECT doc_id, ('0x' || substr(md5('Judge: ' || md5(text)), 1, 8))::BIGINT % 2 AS s FROM documents)""")
 def llm_map_echo(spark, sf):
     rows = _t(spark, sf, "documents").select(F.col("doc_id").alias("row_id"), F.concat(F.lit("Judge: "), F.md5("text")).alias("prompt"))
     asked = ask_rounds(rows, EchoJudge, limits=Limits(per_second=0, pause=0.0))
@@ -635,8 +615,9 @@ def training_columns(spark, sf):
     return _labelled(spark, sf, "left").select("doc_id", F.concat_ws("_", "source", "lang").alias("source"), F.lit("doc").alias("produce_source"), judge.route(F.col("quality")).alias("route"), clean.alias("thought"))
 
 
-@query("SELECT doc_id, trim(regexp_extract(text, '(?s)^[^.]*\\.(.*?)\\.', 1), chr(32) || chr(10) || chr(9) || chr(13)) AS section FROM documents WHERE regexp_matches(text, '(?s)^[^.]*\\.[^.]*\\.') AND NOT regexp_matches(text, '(?s)[^\\x00-\\x{17f}]')")
+@query("""SELECT doc_id, regexp_replace(split_part(text, '.', 2), '^[\\s\\x{0b}\\x{85}\\p{Z}]+|[\\s\\x{0b}\\x{85}\\p{Z}]+$', '', 'g') AS section FROM documents WHERE length(text) - length(replace(text, '.', '')) >= 2""")
 def sections(spark, sf):
+    """What stands between the first full stop and the second, in every text that has both."""
     marked = F.concat(F.lit("x"), F.regexp_replace(F.substring_index("text", ".", 2), r"(?s)^[^.]*\.", "<A>"), F.lit("<B>"))
     rows = _t(spark, sf, "documents").filter(F.col("text").rlike(r"(?s)^[^.]*\.[^.]*\."))
     return rows.select("doc_id", text.between(marked, "<A>", "<B>").alias("section"))
@@ -648,6 +629,11 @@ def lunar_dates(spark, sf):
     return temporal.with_lunar(days, "day", 1990, 2000)
 
 
-@query()
+@query("""WITH e AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER w + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS opens FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+  s AS (SELECT user_id, ts, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, opens DESC ROWS UNBOUNDED PRECEDING) AS k FROM e)
+  SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n FROM s GROUP BY user_id, k""")
 def user_sessions(spark, sf):
     return jobs.sessions(_t(spark, sf, "events"))
+
+
+from parlance.plans import more as _more  # noqa: E402, F401  registers its queries

@@ -32,10 +32,10 @@ def semantically_distinct(df: DataFrame, vectors: DataFrame, key: str, most: flo
     return df.join(kept, key, "left_semi")
 
 
-def distilled(df: DataFrame, make: Callable[[], Client], single: bool, rag: bool, key: str = "row_id", limits: Limits = Limits()) -> DataFrame:
+def distilled(df: DataFrame, make: Callable[[], Client], single: bool, key: str = "row_id", limits: Limits = Limits(), one_shot: str = "") -> DataFrame:
     """Prompts out, replies in, their braces' text kept; rows without go."""
-    blank = F.lit("")
-    prompt = prompts.distil_prompt(single, rag, F.col(f"`{QUERY}`"), F.col("context_text") if "context_text" in df.columns else blank, F.col("observation_text") if "observation_text" in df.columns else blank)
+    of = lambda name: F.col(name) if name in df.columns else F.lit("")
+    prompt = prompts.distil_prompt(single, of("datetime"), F.col(f"`{QUERY}`"), of("context_text"), of("observation_text"), one_shot)
     asked = ask_rounds(df.withColumn("prompt", prompt), make, "prompt", key, limits)
     return asked.withColumn("distilled", judge.distilled(F.col("response"))).filter("distilled is not null")
 

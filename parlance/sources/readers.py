@@ -59,19 +59,23 @@ def read_prompt(spark: SparkSession, path: str) -> str:
     return row[0] if row else ""
 
 
-def read_corpus(spark: SparkSession, path: str, schema=None, places: bool = True, skip: str = SKIP) -> DataFrame:
+def read_corpus(spark: SparkSession, path: str, schema=None, places: bool = True, skip: str = SKIP, without: tuple[str, ...] = (), pattern: str = "*.jsonl") -> DataFrame:
     """All JSONL files below a folder, with owner, folder, dataset and producer out of their paths:
-    ``<path>/<owner>/<folder>/.../<dataset>.jsonl``; the producer is owner/folder."""
+    ``<path>/<owner>/<folder>/.../<dataset>.jsonl``; the producer is the owner up to an underscore.
+    ``without`` names files that are passed over, ``pattern`` those that are read."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    df = reader.json(path, recursiveFileLookup=True, pathGlobFilter="*.jsonl").withColumn("_path", F.col("_metadata.file_path"))
-    df = df.filter(~F.col("_path").rlike(skip))
+    df = reader.json(path, recursiveFileLookup=True, pathGlobFilter=pattern).withColumn("_path", F.col("_metadata.file_path"))
+    # What follows the first place that holds the folder's whole path; folders below may bear its name again.
+    root = "/" + path.split("://", 1)[-1].strip("/") + "/"
+    df = df.withColumn("_below", F.substring(F.col("_path"), F.locate(root, F.col("_path")) + len(root), F.length("_path")))
+    df = df.filter(~F.col("_below").rlike(skip) & ~F.substring_index("_below", "/", -1).isin(*without))
     if not places:
-        return df.drop("_path")
-    below = F.split(F.regexp_replace(F.substring_index("_path", path.rstrip("/").rsplit("/", 1)[-1] + "/", -1), "^/", ""), "/")
+        return df.drop("_path", "_below")
+    below = F.split("_below", "/")
     part = lambda k: F.coalesce(F.get(below, F.lit(k)), F.lit(""))
     return df.withColumns(
-        {"owner": part(0), "folder": part(1), "dataset": F.regexp_replace(F.element_at(below, -1), r"\.jsonl$", ""), "producer": F.concat_ws("/", part(0), part(1))}
-    ).drop("_path")
+        {"owner": part(0), "folder": part(1), "dataset": F.regexp_replace(F.element_at(below, -1), r"\.jsonl$", ""), "producer": F.substring_index(part(0), "_", 1)}
+    ).drop("_path", "_below")
 
 
 def read_named(spark: SparkSession, folder: str, contains: str) -> DataFrame:
@@ -83,11 +87,17 @@ def union_named(*frames: DataFrame) -> DataFrame:
     return together(*frames)
 
 
-def user_texts(spark: SparkSession, path: str) -> DataFrame:
-    """Every user message's first text; lines that are no JSON are passed over."""
-    schema = "messages array<struct<role:string,content:array<string>>>"
-    df = spark.read.schema(schema).json(path, mode="DROPMALFORMED")
-    return df.select(F.explode(F.filter("messages", lambda m: m["role"] == "user")).alias("m")).select(F.get(F.col("m.content"), F.lit(0)).alias("user-query")).filter("`user-query` is not null")
+def user_texts(spark: SparkSession, path: str, places: str = "") -> DataFrame:
+    """Every user message's first text, beside columns out of the path that ``places`` declares; lines that
+    are no JSON are passed over."""
+    kept = [p.split()[0] for p in places.split(",") if p.strip()]
+    schema = "messages array<struct<role:string,content:array<string>>>" + (f", {places}" if places else "")
+    return users_of(spark.read.schema(schema).json(path, mode="DROPMALFORMED"), *kept)
+
+
+def users_of(df: DataFrame, *kept: str) -> DataFrame:
+    """The first text of every user message of ``messages``."""
+    return df.select(*kept, F.explode(F.filter("messages", lambda m: m["role"] == "user")).alias("m")).select(*kept, F.get(F.col("m.content"), F.lit(0)).alias("user-query")).filter("`user-query` is not null")
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:

@@ -9,7 +9,10 @@ from parlance.operators.order import chunks
 from parlance.workers import ship
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",") -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",", mark: bool = False) -> None:
+    """``mark`` opens each file with a byte order mark, as spreadsheets want it."""
+    if mark:
+        df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
     df.write.mode(mode).csv(path, header=True, encoding="UTF-8", quote='"', escape='"', sep=sep)
 
 

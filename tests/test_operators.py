@@ -214,13 +214,13 @@ def test_containment_within_and_over_lines(spark, tmp_path):
     texts = ["x The Cat, sat y", "the\ncat sat", "the cat", None, "The cat sat"]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, "the cat sat!"), (2, "dog"), (3, "!")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    assert {tuple(r) for r in catalogue.queries()["train_containment"](spark, str(tmp_path)).collect()} == {(1, 3), (2, 0), (3, 0)}
+    assert {tuple(r) for r in catalogue.queries()["train_overlap"](spark, str(tmp_path)).collect()} == {(1, 3), (2, 0), (3, 0)}
 
 
 def test_cap_over_whole_texts(spark, tmp_path):
     texts = ["one line", "\n".join(f"line {k} " + "x" * 70 for k in range(90)), "y" * 5000, ""]
     spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r["doc_id"]: r["kept"] for r in catalogue.queries()["obs_cap_whole"](spark, str(tmp_path)).collect()}
+    got = {r["doc_id"]: r["kept"] for r in catalogue.queries()["obs_cap"](spark, str(tmp_path)).collect()}
     for i, t in enumerate(texts):
         p = [["en"], ["s"], *[[x] for x in t.split("\n")]]
         assert got[i] == max(n for n in range(len(p) + 1) if len(str(p[:n])) <= 4000)
@@ -270,13 +270,42 @@ def test_retrieval_keeps_its_place(spark):
     assert [len(r["docs"]) for r in retrieve.from_table(df, table).orderBy("call").collect()] == [0, 1]
 
 
+def test_containment_of_many_and_long_items(spark):
+    r = np.random.default_rng(1)
+    word = lambda: f"w{r.integers(0, 12)}"
+    docs = [" ".join(word() for _ in range(r.integers(0, 60))) for _ in range(80)] + ["w1 " * 30_000 + "w2 w3"]
+    items = [" ".join(word() for _ in range(r.integers(1, 8))) for _ in range(60)] + ["W1, w1 w2-w3"]
+    a = spark.createDataFrame(list(enumerate(items)), "i long, text string")
+    b = spark.createDataFrame(list(enumerate(docs)), "d long, text string")
+    want = {(i, d) for i, x in enumerate(items) for d, t in enumerate(docs) if f" {x.lower().replace(',', '').replace('-', ' ')} " in f" {t.strip()} "}
+    for sent in (0, 1000):
+        assert {tuple(x) for x in align.containing(a, b, "i", "d", sent=sent).collect()} == want
+    assert align.containing(a.limit(0), b, "i", "d").collect() == []
+
+
+def test_corpus_paths(spark, tmp_path):
+    """Folders below that bear the root's name again, files to pass over, and a root with an odd name."""
+    root = tmp_path / "checkpoints" / "corpus"
+    for name in ("own_a/corpus/f/x.jsonl", "own_b/y.jsonl", "own_b/skipped.jsonl", "own_c/.ipynb_checkpoints/z.jsonl"):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text('{"a": 1}\n')
+    got = {(r["owner"], r["folder"], r["dataset"], r["producer"]) for r in readers.read_corpus(spark, str(root), "a int", without=("skipped.jsonl",)).collect()}
+    assert got == {("own_a", "corpus", "x", "own"), ("own_b", "y.jsonl", "y", "own")}
+
+
+def test_nested_replacement(spark):
+    df = spark.createDataFrame([((["a|b"], {"k|": "c|d"}, 3),), (None,)], "v struct<x:array<string>,y:map<string,string>,n:int>")
+    got = [r["v"] for r in df.select(codec.replace_nested(F.col("v"), df.schema["v"].dataType, "|", "-").alias("v")).collect()]
+    assert got[1] is None and (got[0]["x"], got[0]["y"], got[0]["n"]) == (["a-b"], {"k|": "c-d"}, 3)
+
+
 def test_files(spark, tmp_path):
-    (tmp_path / "c" / "own" / "fold").mkdir(parents=True)
-    (tmp_path / "c" / "own" / "fold" / "set.jsonl").write_text('{"messages": [{"role": "user", "content": ["hi"]}]}\nbroken\n')
-    (tmp_path / "c" / "own" / "fold" / ".x.swp").write_text("x")
+    (tmp_path / "c" / "own_er" / "fold").mkdir(parents=True)
+    (tmp_path / "c" / "own_er" / "fold" / "set.jsonl").write_text('{"messages": [{"role": "user", "content": ["hi"]}]}\nbroken\n')
+    (tmp_path / "c" / "own_er" / "fold" / ".x.swp").write_text("x")
     r = readers.read_corpus(spark, str(tmp_path / "c"), "messages array<struct<role:string,content:array<string>>>").first()
-    assert (r["owner"], r["folder"], r["dataset"], r["producer"]) == ("own", "fold", "set", "own/fold")
-    assert [x[0] for x in readers.user_texts(spark, str(tmp_path / "c" / "own" / "fold")).collect()] == ["hi"]
+    assert (r["owner"], r["folder"], r["dataset"], r["producer"]) == ("own_er", "fold", "set", "own")
+    assert [x[0] for x in readers.user_texts(spark, str(tmp_path / "c" / "own_er" / "fold")).collect()] == ["hi"]
     with pytest.raises(ValueError, match="reader"):
         readers.read_table(spark, "x.abc")
     (tmp_path / "a.csv").write_text('﻿Unnamed: 0,t,u\n0,"a\nb",\n')
