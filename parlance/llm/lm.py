@@ -51,7 +51,7 @@ RATE = 0.07
 AT_ONCE, ROWS = 32_768, 1024
 FREQUENT, LONGEST = 1 << 19, 64
 #: Bytes of text cut into words at once.
-SLICE = 16_000_000
+SLICE = 8_000_000
 #: Lower-cases A-Z and makes each white-space byte a space.
 _BYTES = np.array([c + 32 if 0x41 <= c <= 0x5A else 0x20 if 9 <= c <= 13 else c for c in range(256)], dtype=np.uint8)
 

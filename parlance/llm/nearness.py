@@ -46,7 +46,7 @@ BLOCK, COLUMNS = 512, 8192
 #: Ids that are sent to all tasks; where there are more, they meet their texts in a join.
 SENT = 1_000_000
 #: Bytes of text worked on at once.
-SLICE = 2_000_000
+SLICE = 500_000
 _LOWER = np.array([c + 32 if 0x41 <= c <= 0x5A else 0x20 if 9 <= c <= 13 else c for c in range(256)], dtype=np.uint8)
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
