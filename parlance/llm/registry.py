@@ -53,6 +53,10 @@ def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")} | {"pipeline": corpus_pipeline.run}
 
 
+_EXACT = """WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS t FROM documents)
+  SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size, doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM n"""
+
+
 def oracle_sql() -> dict:
-    """SQL of the queries that DuckDB can state over whole tables."""
-    return {}
+    """SQL of the queries that DuckDB can state over whole tables: of ``documents`` whose ids are theirs alone."""
+    return {"op6_exact_dedup": _EXACT}
