@@ -138,6 +138,22 @@ def all_one(text: Column) -> Column:
     return F.when(F.forall(AUTHENTICITY.scores(text), lambda x: x == 1), 1).otherwise(0)
 
 
+#: Metric by name: from a judge's text to a row's code.
+METRICS = {
+    "authenticity": AUTHENTICITY.final, "relevance": relevance_final, "richness": RICHNESS.final, "relevance_all_five": all_five, "three_groups": three_groups,
+    "truth_service": lambda text: service_score(text, "pred_truth_score"), "relevance_service": lambda text: service_score(text, "pred_rel_score"), "richness_service": lambda text: service_score(text, "pred_rich_score"),
+}
+
+
+def metric(name: str):
+    """A metric by its name, one of the patterns' scores included."""
+    if name in METRICS:
+        return METRICS[name]
+    if name in PATTERNS:
+        return lambda text: pattern_score(text, name)
+    raise ValueError(f"no metric {name}; there are {sorted({*METRICS, *PATTERNS})}")
+
+
 def rescored(score: Column, fallback: Column, strict: bool = False) -> Column:
     """0 for a 0 or a fallback; else 1, or 0 for what couldn't be parsed if ``strict``."""
     bad = (F.coalesce(score, F.lit(FAIL)) == 0) | (fallback == 1)

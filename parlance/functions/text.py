@@ -25,8 +25,10 @@ def clean_text(text: Column, keep_quotes: bool = False) -> Column:
     """Trim, one space for white space, ASCII punctuation, one full stop for a run of marks.
     ``keep_quotes`` leaves curly quotes as they are. An ellipsis ends as one full stop."""
     pairs = [p for p in PUNCTUATION if not (keep_quotes and p[0] in "“”‘’")]
-    text = replace_all(F.regexp_replace(strip(text), f"{WIDE_SPACE}+", " "), pairs)
-    return F.regexp_replace(text, "[.,!?]+", ".")
+    # One pass for what becomes one character; the rest by itself.
+    one = [p for p in pairs if len(p[1]) == 1]
+    text = F.translate(F.regexp_replace(strip(text), f"{WIDE_SPACE}+", " "), "".join(a for a, _ in one), "".join(b for _, b in one))
+    return F.regexp_replace(replace_all(text, [p for p in pairs if len(p[1]) != 1]), "[.,!?]+", ".")
 
 
 def polite_to_plain(text: Column) -> Column:

@@ -10,7 +10,7 @@ from parlance.operators import align, curate, order, quality, report
 from parlance.plans.catalogue import _PAIRS, _pairs, _t, query
 from parlance.schema import MESSAGES
 from parlance.scratch import shared_dir
-from parlance.sources import readers, writers
+from parlance.sources import readers, retrieve, writers
 
 # --- logs -----------------------------------------------------------------------------------------
 
@@ -312,3 +312,25 @@ def system_prompts(spark, sf):
 @query("""SELECT lang, min(doc_id) AS doc_id FROM documents GROUP BY lang""")
 def first_of_each(spark, sf):
     return order.first_of(_t(spark, sf, "documents").select("lang", "doc_id"), ["lang"], ["doc_id"])
+
+
+@query("""SELECT doc_id, lang || ':' || lang || ' s ' || doc_id || ':none|:t:2024-01-02' AS pages, 'A' AS linked, CASE WHEN doc_id % 2 = 0 THEN 'B' ELSE '' END AS unlinked, CASE WHEN doc_id % 2 = 0 THEN 'encyclopedia=yes' ELSE 'other=unknown' END AS spoken,
+  substr(md5('client' || lang || 'key' || doc_id), 1, 16) AS signature FROM documents""")
+def search_replies(spark, sf):
+    d, even = F.col("doc_id").cast("string"), F.col("doc_id") % 2 == 0
+    web = F.concat(F.lit('{"data": {"webPages": {"value": [{"name": "'), F.col("lang"), F.lit('", "snippet": "s \\"'), d, F.lit('\\""}, {"snippet": "t", "datePublished": "2024-01-02"}]}}}'))
+    people = F.concat(F.lit('{"data": [{"general": {"category": "人物/x", "mention": "A"}}, {"general": {"category": "y", "mention": "C"}}], "unlink_entity": [{"category": "'), F.when(even, "PER").otherwise("LOC"), F.lit('", "mention": "B"}]}'))
+    voice = F.when(even, '{"data": {"speak": "yes"}}').otherwise('{"data": {}}')
+    shown = lambda x: F.concat_ws(":", x["title"], F.trim(x["content"]), x["published"])
+    p, a = retrieve.linked_people(people), retrieve.spoken_answer(voice)
+    return _t(spark, sf, "documents").select(
+        "doc_id", F.array_join(F.transform(retrieve.web_pages(web, with_title=True), shown), "|").alias("pages"), F.array_join(p["linked"], ",").alias("linked"), F.array_join(p["unlinked"], ",").alias("unlinked"),
+        F.concat(a["domain"], F.lit("="), a["answer"]).alias("spoken"), retrieve.signed(F.col("lang"), "client", "key", F.col("doc_id")).alias("signature"),
+    )
+
+
+@query("""SELECT doc_id, quality AS authenticity, CASE WHEN quality = 1 THEN 1 ELSE 0 END AS relevance, quality::DOUBLE AS correctness FROM labels""")
+def metrics_by_name(spark, sf):
+    q = F.col("quality").cast("string")
+    said = {"authenticity": F.concat(F.lit("准确性：1【"), q, F.lit("】兜底 是否为兜底回复：【0】")), "relevance": F.concat(F.lit("【"), F.when(F.col("quality") == 1, "4").otherwise("2"), F.lit("】兜底评估：{{0}}")), "correctness": F.concat(F.lit("准确性得分：{{"), q, F.lit("}}"))}
+    return _t(spark, sf, "labels").select("doc_id", *[judge.metric(name)(text).alias(name) for name, text in said.items()])

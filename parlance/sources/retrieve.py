@@ -58,6 +58,39 @@ def gather(found: DataFrame, k: int, prefix: str = "") -> DataFrame:
     return found.groupBy("row_id").agg(F.transform(lists, lambda x: x["p"]).alias("observation"))
 
 
+def web_pages(text: Column, with_title: bool = False) -> Column:
+    """Documents out of a reply with ``data.webPages.value``: names, snippets and dates, without double quotes.
+    ``with_title`` puts the title before the content."""
+    found = F.from_json(text, "struct<data:struct<webPages:struct<value:array<struct<name:string,snippet:string,url:string,datePublished:string>>>>>")["data"]["webPages"]["value"]
+    clean = lambda c: F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit(""))
+
+    def page(d: Column) -> Column:
+        title, content = clean(d["name"]), clean(d["snippet"])
+        return F.struct(title.alias("title"), (F.concat(title, F.lit(" "), content) if with_title else content).alias("content"), clean(d["url"]).alias("url"), F.coalesce(d["datePublished"], F.lit("none")).alias("published"))
+
+    return F.coalesce(F.transform(found, page), F.array().cast("array<struct<title:string,content:string,url:string,published:string>>"))
+
+
+def linked_people(text: Column, linked: str = "人物", unlinked: str = "PER") -> Column:
+    """(linked, unlinked): mentions of people in an entity linker's reply."""
+    reply = F.from_json(text, "struct<data:array<struct<general:struct<category:string,mention:string>>>,unlink_entity:array<struct<category:string,mention:string>>>")
+    none = F.array().cast("array<string>")
+    known = F.transform(F.filter(reply["data"], lambda d: d["general"]["category"].contains(linked)), lambda d: d["general"]["mention"])
+    other = F.transform(F.filter(reply["unlink_entity"], lambda d: d["category"].contains(unlinked)), lambda d: d["mention"])
+    return F.struct(F.coalesce(known, none).alias("linked"), F.coalesce(other, none).alias("unlinked"))
+
+
+def spoken_answer(text: Column) -> Column:
+    """(domain, answer) of a voice service's reply; other and unknown where it says nothing."""
+    said = F.get_json_object(text, "$.data.speak")
+    return F.struct(F.when(said.isNotNull(), "encyclopedia").otherwise("other").alias("domain"), F.coalesce(said, F.lit("unknown")).alias("answer"))
+
+
+def signed(query: Column, client: str, key: str, at: Column) -> Column:
+    """The signature of a search request: half of an md5 over client, query, key and time in seconds."""
+    return F.substring(F.md5(F.concat(F.lit(client), query, F.lit(key), at.cast("string"))), 1, 16)
+
+
 def search_reply(text: Column, shape: str = "knowledge") -> Column:
     """Documents out of a search reply's JSON; content falls back on the snippet."""
     path = {"knowledge": "data", "media": "items", "web": "results"}[shape]

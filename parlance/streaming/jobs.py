@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +19,34 @@ def new_days(spark: SparkSession, path: str, schema, checkpoint: str, job: Calla
     stream.writeStream.foreachBatch(job).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def run_once(spark: SparkSession, folder: str, job: str, period: str, work: Callable[[], None], needs: tuple[str, ...] = ()) -> str:
+    """``work`` once a period: "done" if it ran, "earlier" if it had, "running" while another holds the lock,
+    "waits" until the jobs in ``needs`` are done for that period.
+
+    Marks are files in ``folder``, which all machines see; making one is atomic, so of two that start
+    at once one runs. A job that fails gives its lock back and leaves the period open."""
+    jvm = spark._jvm
+    place = lambda name: jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{period}/{name}")
+    files = place(job).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(place(f"{job}.done")):
+        return "earlier"
+    if not all(files.exists(place(f"{n}.done")) for n in needs):
+        return "waits"
+    files.mkdirs(place(job).getParent())
+    lock = place(f"{job}.lock")
+    try:
+        if not files.createNewFile(lock):
+            return "running"
+    except Py4JJavaError:  # some stores refuse instead of answering
+        return "running"
+    try:
+        work()
+        files.createNewFile(place(f"{job}.done"))
+    finally:
+        files.delete(lock, False)
+    return "done"
+
+
 def write_day(df: DataFrame, path: str) -> None:
     """A day's rows in the place of what the day had."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)

@@ -341,6 +341,21 @@ def test_stream_resumes(spark, tmp_path):
     assert [r[0] for r in jobs.due(spark.read.parquet(out).withColumn("date", F.col("date").cast("string")), done, "2024-01-05", "raw").collect()] == ["2024-01-02"]
 
 
+def test_a_period_is_done_once(spark, tmp_path):
+    ran = []
+    go = lambda job, work=lambda: ran.append(1), **more: jobs.run_once(spark, f"file://{tmp_path}", job, "2024-05-06", work, **more)
+    assert go("filter", needs=("raw",)) == "waits" and not ran
+    assert go("raw", lambda: ran.append(go("raw"))) == "done" and ran == ["running"]
+    assert go("raw") == "earlier" and go("filter", needs=("raw",)) == "done" and ran == ["running", 1]
+
+    def fails():
+        raise RuntimeError("no")
+
+    with pytest.raises(RuntimeError):
+        go("report", fails)
+    assert go("report") == "done"
+
+
 def test_regeneration(spark):
     wanted, state = spark.createDataFrame([(1,), (2,)], "k int"), {"rows": None}
 
