@@ -298,6 +298,16 @@ def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, (starts - starts[0]) // 4
 
 
+def _texts(lists: pa.Array):
+    """(numbers end to end, where each text begins) of runs of texts of about 16 * AT_ONCE numbers."""
+    flat, starts = _flat(lists)
+    a = 0
+    while a < len(lists):
+        b = max(a + 1, int(np.searchsorted(starts, starts[a] + 16 * AT_ONCE, side="right")) - 1)
+        yield flat[starts[a] : starts[b]], starts[a : b + 1] - starts[a]
+        a = b
+
+
 def _trained(encoded: DataFrame, scorer: Scorer) -> LogBilinear:
     """The model, trained over all rows (outputs) in tasks whose weights are averaged by tokens."""
     sent = encoded.sparkSession.sparkContext.broadcast((scorer.shares, scorer.end, max(1, -(-DRAWS // scorer.total))))
@@ -315,14 +325,15 @@ def _trained(encoded: DataFrame, scorer: Scorer) -> LogBilinear:
                     model.step(second[o], first[o], w[o], r)
 
         for batch in batches:
-            x = triples(*_flat(batch.column(0)), end)
-            n += len(x[0])
-            for k in range(0, len(x[0]), MIXED * STEP):
-                left.append([v[k : k + MIXED * STEP] for v in x])
-                held += len(left[-1][0])
-                if held >= MIXED * STEP and turns == 1:
-                    steps(left)
-                    held, left = 0, []
+            for flat, starts in _texts(batch.column(0)):
+                x = triples(flat, starts, end)
+                n += len(x[0])
+                for k in range(0, len(x[0]), MIXED * STEP):
+                    left.append([v[k : k + MIXED * STEP] for v in x])
+                    held += len(left[-1][0])
+                    if held >= MIXED * STEP and turns == 1:
+                        steps(left)
+                        held, left = 0, []
         for _ in range(turns):
             steps(left)
         for name, v in model.p.items():
@@ -399,8 +410,8 @@ def _scored(rows: DataFrame, scorer: Scorer, counts: DataFrame, id_col: str) ->
             base, off, outputs = batch.column(2), batch.column(3).to_numpy(), batch.column(4)
             score = base
             if model is not None and len(batch):
-                flat, starts = _flat(outputs)
-                score = pa.array(off + np.add.reduceat(model.log10(*triples(flat, starts, end)), starts[:-1] + np.arange(len(starts) - 1)))
+                sums = [np.add.reduceat(model.log10(*triples(flat, starts, end)), starts[:-1] + np.arange(len(starts) - 1)) for flat, starts in _texts(outputs)]
+                score = pa.array(off + np.concatenate(sums))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), base, score], names=["row", "known", "base", "model"])
 
     docs = rows.filter("row is not null")
