@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from parlance.llm import bpe, bytecnn, licenses, lm, naming, nearness, packing, rules, sharding, templates
+from parlance.llm import bpe, bytecnn, licenses, lm, naming, nearness, packing, periods, rules, sharding, templates
 from parlance.llm.common import fold, read
 
 
@@ -49,6 +49,10 @@ def op10_line_dedup(spark, sf_dir):
     return templates.recurring_lines(read(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark, sf_dir):
+    return periods.digests(periods.periodic_runs(periods.planted(read(spark, sf_dir, "documents"))))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")} | {"pipeline": corpus_pipeline.run}
 
