@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from parlance.llm import bpe, bytecnn, licenses, lm, naming, nearness, packing, periods, rules, sharding, templates
+from parlance.llm import bpe, bytecnn, impacts, licenses, lm, naming, nearness, packing, periods, rules, sharding, templates, toxicity
 from parlance.llm.common import fold, read
 
 
@@ -53,6 +55,16 @@ def op11_periodic_runs(spark, sf_dir):
     return periods.digests(periods.periodic_runs(periods.planted(read(spark, sf_dir, "documents"))))
 
 
+def op12_ranked_search(spark, sf_dir):
+    return impacts.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_toxicity(spark, sf_dir):
+    documents = read(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, read(spark, sf_dir, "labels"))
+    return toxicity.score(documents, model).select("doc_id", (fold() == 0).alias("held_out"), "score", "predicted", F.size("passages").alias("n_passages"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")} | {"pipeline": corpus_pipeline.run}
 
