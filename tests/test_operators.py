@@ -196,6 +196,115 @@ def test_clusters_of_many_rows(spark):
     assert groups == {i: i % 2600 for i in range(5200)}
 
 
+def _naive_linkage(v, most):
+    """By the definition: the least average distance first, over a whole matrix."""
+    groups = [[i] for i in range(len(v))]
+    far = 1 - v @ v.T
+    while len(groups) > 1:
+        d, i, j = min((far[np.ix_(a, b)].mean(), i, j) for i, a in enumerate(groups) for j, b in enumerate(groups[:i]))
+        if not d < most:
+            break
+        groups[j] += groups.pop(i)
+    label = np.arange(len(v))
+    for g in groups:
+        label[g] = min(g)
+    return label
+
+
+def _unit_rows(r, n, d, around=None):
+    v = r.normal(size=(n, d)) if around is None else around + r.normal(scale=0.2, size=(n, d))
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
+def test_average_linkage_like_naive():
+    r = np.random.default_rng(8)
+    for t in range(25):
+        n, d = int(r.integers(0, 24)), int(r.integers(2, 7))
+        v = _unit_rows(r, n, d, r.normal(size=(4, d))[r.integers(0, 4, n)] if t % 2 else None)
+        for most in (0.05, 0.3, 0.9):
+            assert (distinct.average_linkage(v, most) == _naive_linkage(v, most)).all()
+            # Sums of rows that are already together count by their sizes.
+            first = distinct.average_linkage(v, most / 2)
+            names = np.unique(first)
+            sums = np.array([v[first == x].sum(axis=0) for x in names]).reshape(len(names), d)
+            again = distinct.average_linkage(sums, most, np.array([(first == x).sum() for x in names]))
+            assert (names[again][np.searchsorted(names, first)] == distinct.average_linkage(v, most)).all()
+
+
+def test_average_linkage_memory():
+    import tracemalloc
+
+    v = _unit_rows(np.random.default_rng(2), 3000, 16, np.ones(16))
+    tracemalloc.start()
+    assert len(set(distinct.average_linkage(v, 0.5).tolist())) < 3000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10_000_000  # a matrix of distances would be 72 MB
+
+
+@pytest.mark.parametrize("linked", [5, 8000])
+def test_components_beyond_a_task(spark, linked):
+    """One component, and several, in rounds of mutual neighbours and in one task: the same clusters."""
+    r = np.random.default_rng(12)
+    v = np.concatenate([_unit_rows(r, 60, 6, np.ones(6)), _unit_rows(r, 25, 6, -np.eye(6)[0] * 2), np.tile(np.eye(6)[2], (9, 1))])
+    df = spark.createDataFrame([(1000 - i, [float(x) for x in row]) for i, row in enumerate(v)], "id int, v array<double>")
+    groups = {x["id"]: x["cluster"] for x in distinct.semantic_groups(df, "id", "v", 0.12, linked=linked).collect()}
+    want = {}
+    for i, g in enumerate(_naive_linkage(v, 0.12)):
+        want.setdefault(g, []).append(1000 - i)
+    assert groups == {i: min(m) for m in want.values() for i in m}
+
+
+def test_forest_joins_what_pairs_join(spark):
+    r = np.random.default_rng(13)
+    v = _unit_rows(r, 300, 5)
+    df = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(v)], "n long, v array<double>")
+    links = distinct.near_forest(df, 0.93, block_rows=60).collect()
+    assert len(links) < len(_brute(v, range(300), 0.93))
+
+    def groups(pairs):
+        up = list(range(300))
+
+        def root(x):
+            while up[x] != x:
+                x = up[x]
+            return x
+
+        for a, b in pairs:
+            up[root(a)] = root(b)
+        return {frozenset(y for y in range(300) if root(y) == root(x)) for x in range(300)}
+
+    assert groups((x["hi"], x["lo"]) for x in links) == groups(_brute(v, range(300), 0.93))
+
+
+def test_bands_recall(spark):
+    """Pairs right at the threshold, in many dimensions, and a crowd of near and of equal vectors."""
+    r = np.random.default_rng(14)
+    base = _unit_rows(r, 700, 32)
+    side = r.normal(size=base.shape)
+    side -= (side * base).sum(axis=1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    v = np.concatenate([base, 0.9001 * base + np.sqrt(1 - 0.9001**2) * side, np.ones((40, 32)) + r.normal(scale=0.05, size=(40, 32)), np.tile(np.eye(32)[3], (30, 1))])
+    df = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(v)] + [(9999, None)], "id int, v array<double>")
+    want = {(a, b) for a, b in _brute(v, list(range(len(v))), 0.9) if not (a >= 1440)}
+    pairs = distinct.similar_pairs(df, "id", "v", 0.9, banded=True).collect()
+    got = {(x["a"], x["b"]) for x in pairs}
+    assert len(pairs) == len(got) and got <= want and len(got) >= 0.99 * len(want)
+    # Buckets larger than a task meet in cells.
+    members, small = distinct.similar_classes(df, "id", "v", 0.9, bucket=7)
+    assert {(x["a"], x["b"]) for x in small.collect()} == got
+    assert {x["id"]: x["class"] for x in members.collect()} == {i: min(i, 1440) for i in range(len(v))}
+    links = {x["id"]: x["links"] for x in distinct.similar_links(df, "id", "v", 0.9).collect()}
+    assert all(links[i] == 29 for i in range(1440, 1470)) and all(links[i] >= 38 for i in range(1400, 1440))
+    assert distinct.similar_links(df.limit(0), "id", "v", 0.9).count() == 0
+
+
+def test_band_plan():
+    bands, bits = distinct.band_plan(0.9, 10**9)
+    assert bits == 24 and bands < 100  # rows are sent to their buckets, not to all blocks
+    assert distinct.band_plan(0.9, 10)[1] == 6 and distinct.band_plan(0.99, 10**9)[0] < distinct.band_plan(0.9, 10**9)[0]
+
+
 def test_average_linkage_by_hand():
     a = np.radians([0, 10, 60])
     v = np.stack([np.cos(a), np.sin(a)], axis=1)
