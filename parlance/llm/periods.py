@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parlance.llm.common import map_arrow, materialize, text_bytes
+from parlance.llm.common import SPACE, bind, map_arrow, materialize, text_bytes
 
 EXPONENT, SHORTEST = 4, 6
 #: Bytes beyond which a document is dealt out by lags, and the most ranges of one document.
@@ -213,15 +213,20 @@ def periodic_runs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def planted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents whose crc32 of the id ends in 0 repeat some of their words to the end; the text of all
     is their words, one space apart. A null id counts as empty text."""
-    words = F.filter(F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    words = F.filter(F.split(text, SPACE), lambda w: w != "")
     h = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
-    d = df.select(F.col(id_col), F.col(text_col).alias("text"), h.alias("h"), F.floor(h / 10).cast("bigint").alias("g"))
-    hit = (F.col("h") % 10 == 0) & F.col("text").isNotNull()
-    n = F.size("words")
-    d = d.withColumn("words", F.when(hit, words))
-    d = d.withColumn("a", F.when(n > 0, F.col("g") % n)).withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("bigint"))
-    repeated = F.array_join(F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))), " ")
-    return d.select(id_col, F.when(hit, F.when(n > 0, repeated).otherwise("")).otherwise(F.col("text")).alias("text"))
+    g = F.floor(h / 10).cast("bigint")
+
+    def to_the_end(own: Column) -> Column:
+        n = F.size(own).cast("bigint")
+        # The words, the place from which they repeat, and after how many.
+        a = F.when(n > 0, g % n)
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("bigint")
+        return bind(F.struct(a.alias("a"), p.alias("p")), lambda x: F.array_join(F.transform(own, lambda w, i: F.when(i < x["a"], w).otherwise(F.get(own, (x["a"] + (i - x["a"]) % x["p"]).cast("int")))), " "))
+
+    # Words are bound once a row, wherever a filter on the text is evaluated.
+    return df.select(F.col(id_col), F.when((h % 10 == 0) & F.col(text_col).isNotNull(), bind(words, to_the_end)).otherwise(F.col(text_col)).alias("text"))
 
 
 def digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
