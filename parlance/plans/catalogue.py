@@ -521,7 +521,27 @@ def sim_pairs(spark, sf):
     return distinct.similar_pairs(_t(spark, sf, "embeddings"), "vec_id", "embedding", 0.35).select("a", "b", F.round("cosine", 4).alias("cosine"))
 
 
-@query()
+_VARIANTS = """v AS MATERIALIZED (SELECT vec_id * 4 + k AS id, list_transform(embedding, lambda x, i: x::DOUBLE + CASE WHEN i - 1 = (vec_id + 7 * k) % 64 THEN CASE k WHEN 2 THEN 0.25 WHEN 3 THEN 0.375 ELSE 0 END ELSE 0 END) AS e
+  FROM embeddings, (SELECT unnest([0, 1, 2, 3]) AS k))"""
+
+
+@query(f"""WITH {_VARIANTS}, c AS (SELECT id, e, min(id) OVER (PARTITION BY e) AS class FROM v)
+  SELECT a.id, a.class, count(b.id) - 1 AS links FROM c a JOIN c b ON list_cosine_similarity(a.e, b.e) >= 0.93 GROUP BY a.id, a.class""")
+def banded_links(spark, sf):
+    """Each vector four times, as it is twice and with one place moved twice: classes and near others."""
+    k = F.col("k")
+    moved = F.when(k == 2, 0.25).when(k == 3, 0.375).otherwise(0.0)
+    e = F.transform("embedding", lambda x, i: x.cast("double") + F.when(i == (F.col("vec_id") + 7 * k) % 64, moved).otherwise(0.0))
+    v = _t(spark, sf, "embeddings").withColumn("k", F.explode(F.array(*[F.lit(x) for x in range(4)]))).select((F.col("vec_id") * 4 + k).alias("id"), e.alias("e"))
+    return distinct.similar_links(v, "id", "e", 0.93)
+
+
+@query("""WITH RECURSIVE v AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL),
+  d AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b, 1 - list_cosine_similarity(a.e, b.e) AS far FROM v a JOIN v b ON a.vec_id <> b.vec_id),
+  r AS (SELECT 0 AS step, vec_id, vec_id AS cluster FROM v
+    UNION ALL SELECT step + 1, vec_id, CASE WHEN cluster = hi THEN lo ELSE cluster END FROM r JOIN (
+      SELECT x.cluster AS lo, y.cluster AS hi, avg(far) AS far FROM d JOIN r x ON x.vec_id = d.a JOIN r y ON y.vec_id = d.b WHERE x.cluster < y.cluster GROUP BY ALL ORDER BY far, lo, hi LIMIT 1) m ON m.far < 0.65)
+  SELECT vec_id, cluster, vec_id = cluster AS kept FROM r WHERE step = (SELECT max(step) FROM r)""")
 def semantic_dedup(spark, sf):
     return distinct.semantic_groups(_t(spark, sf, "embeddings"), "vec_id", "embedding", most=0.65)
 
