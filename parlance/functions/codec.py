@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parlance.functions import tokens as t
+from parlance.functions.literals import observed
 from parlance.functions.text import strip
 from parlance.schema import CONTEXT, MESSAGES, OPTIONAL, conform, present
 
-RESERVED = ("APINAME", "CATEGORY", "QUERY", "TAG")
+RESERVED = ("APINAME", "CATEGORY", "QUERY", "TAG", "STARTTIME", "TIMESLOTS")
+# The category of recommended city sights, and the slots that its requests always have.
+CITY_SIGHTS = "城市景点推荐"
+CITY_SLOTS = ("COUNTY", "CITY", "TOWN", "PROVINCE", "SCENE_TAG", "TIME", "REGION", "CROWD")
 
 
 def _entry(k: Column, v: Column) -> Column:
@@ -98,6 +102,17 @@ def request(call: Column, city_category: str = "city") -> Column:
     )
 
 
+def city_slots(call: Column, category: str = CITY_SIGHTS) -> Column:
+    """A call's slots as lists (k, items): those of ``CITY_SLOTS`` always, empty where the call has none,
+    then its others in order. Null for calls of another category."""
+    own = F.transform(F.filter(call, lambda e: ~F.upper(e["k"]).isin(*RESERVED)), lambda e: F.struct(F.upper(e["k"]).alias("k"), F.array(e["v"]).alias("items")))
+    # A key that comes twice has its last value.
+    last = lambda k: F.coalesce(F.try_element_at(F.filter(own, lambda e: e["k"] == k), F.lit(-1))["items"], F.array().cast("array<string>"))
+    fixed = F.array(*[F.struct(F.lit(k).alias("k"), last(F.lit(k)).alias("items")) for k in CITY_SLOTS])
+    names = F.array_distinct(F.transform(F.filter(own, lambda e: ~e["k"].isin(*CITY_SLOTS)), lambda e: e["k"]))
+    return F.when(value_of(call, "CATEGORY") == category, F.concat(fixed, F.transform(names, lambda k: F.struct(k.alias("k"), last(k).alias("items")))))
+
+
 # --- observations -----------------------------------------------------------------------------
 
 
@@ -138,15 +153,33 @@ def align_calls(calls: Column, passages: Column) -> Column:
 
 
 def objects_of(text: Column) -> Column:
-    """Numbered observation objects from JSON, JSON with single quotes, or plain text, tried in turn."""
-    kind = "array<struct<title:string,content:string>>"
-    options = {"allowSingleQuotes": "true"}
-    fixed = F.replace(F.replace(F.replace(text, F.lit("None"), F.lit("null")), F.lit("True"), F.lit("true")), F.lit("False"), F.lit("false"))
-    good = lambda x: F.when(F.exists(x, lambda y: y["content"].isNotNull()), x)
-    strings = F.transform(F.from_json(text, "array<string>", options), lambda x: F.struct(F.lit(None).cast("string").alias("title"), x.alias("content")))
-    plain = F.array(F.struct(F.lit(None).cast("string").alias("title"), text.alias("content")))
-    parsed = F.coalesce(good(F.from_json(text, kind, options)), good(F.from_json(fixed, kind, options)), good(strings), plain)
-    return F.transform(parsed, lambda x, i: F.struct((i + 1).cast("string").alias("id"), x["title"].alias("title"), x["content"].alias("content")))
+    """Numbered observation objects from JSON, from a Python literal, or from plain text."""
+    return F.transform(observed(text), lambda x, i: F.struct((i + 1).cast("string").alias("id"), x["title"].alias("title"), x["content"].alias("content")))
+
+
+def titled_objects(objects: Column, seed: Column | str = "0", mode: str = "reverse") -> Column:
+    """Objects (id, title, name, body) in another dress: the first word of a content becomes the title, the
+    rest, joined without spaces, stands under ``content`` or ``chunk``, drawn by a hash of seed and id. One
+    word is a body without a title. Order: "reverse", "random" (by hash), or as it is."""
+    seed = F.lit(seed) if isinstance(seed, str) else seed
+    drawn = lambda x, what: F.md5(F.concat_ws("|", seed.cast("string"), x["id"], F.lit(what)))
+
+    def dressed(x):
+        words = F.split(F.coalesce(x["content"], F.lit("")), " ")
+        more = F.size(words) > 1
+        name = F.when(F.substring(drawn(x, "name"), 1, 1) < "8", "content").otherwise("chunk")
+        return F.struct(
+            x["id"].alias("id"), F.when(more, F.get(words, F.lit(0))).otherwise("").alias("title"), name.alias("name"),
+            F.when(more, F.array_join(F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))), "")).otherwise(x["content"]).alias("body"),
+        )
+
+    out = F.transform(objects, dressed)
+    if mode == "reverse":
+        return F.reverse(out)
+    if mode == "random":
+        keyed = F.array_sort(F.transform(out, lambda x: F.struct(drawn(x, "order").alias("at"), x.alias("x"))))
+        return F.transform(keyed, lambda y: y["x"])
+    return out
 
 
 # --- assistant text ---------------------------------------------------------------------------

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parlance.functions import tokens
+from parlance.functions.codec import calls_text
+from parlance.functions.literals import literal_json
 from parlance.functions.text import strip
 
 #: The sentence that says date, lunar date, time and place.
@@ -161,6 +163,17 @@ def by_tool_kind(small: Column, large: Column) -> Column:
     return F.when(fits, side(small)).otherwise(side(large))
 
 
+def raw_columns(thought: Column, api: Column, observation: Column) -> Column:
+    """(thought, api, observation) out of raw columns that hold Python literals: the first thought, the
+    calls as a tool string, and of each observation the value that stands first in its dictionary. Null
+    where a column is no such literal."""
+    rows = lambda text: F.from_json(literal_json(text), "array<map<string,string>>")
+    calls = F.transform(rows(api), lambda m: F.transform(F.map_entries(m), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v"))))
+    whole = ~F.exists(calls, lambda c: F.exists(c, lambda e: e["v"].isNull()))
+    first = F.transform(rows(observation), lambda m: F.get(F.map_values(m), F.lit(0)))
+    return F.struct(F.element_at(F.get(rows(thought), F.lit(0)), F.lit("thought")).alias("thought"), F.when(whole, calls_text(calls)).alias("api"), first.alias("observation"))
+
+
 def parse_log(df: DataFrame, column: str) -> DataFrame:
     """All of it, beside the table's own columns. Rows without a log go."""
     text = F.col(column)

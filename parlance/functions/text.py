@@ -86,6 +86,12 @@ def line(text: Column, number: int) -> Column:
     return F.get(F.split(text, "\n"), F.lit(number))
 
 
+def split_query_prompt(text: Column) -> Column:
+    """(query, prompt): a query's first line, and what follows it; null if nothing does."""
+    at = F.locate("\n", text)
+    return F.struct(F.when(at > 0, F.substring(text, F.lit(1), at - 1)).otherwise(text).alias("query"), F.when(at > 0, F.nullif(F.substring(text, at + 1, F.length(text)), F.lit(""))).alias("prompt"))
+
+
 def first_filled(entries: Column, keys, default: str = "none") -> Column:
     """The first of ``keys`` in a map that holds something."""
     held = [F.nullif(F.nullif(F.element_at(entries, k), F.lit("")), F.lit("[]")) for k in keys]

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parlance.scratch import materialize
+
 
 def with_responses(requests: DataFrame, responses: DataFrame, key: str = "row_id", mode: str = "id", prompt: str = "prompt") -> DataFrame:
     """Requests with their responses by id. ``mode="text"`` joins on the prompt, and so multiplies
@@ -75,23 +77,119 @@ def missing(wanted: DataFrame, have: DataFrame, key: list[str]) -> DataFrame:
     return wanted.join(have, key, "left_anti")
 
 
-def unlike_training(df: DataFrame, training: DataFrame, text: str) -> DataFrame:
-    """Rows whose normalised text is not among the training queries."""
-    norm = lambda c: F.lower(F.regexp_replace(c, r"(?U)[\s\p{Punct}]+", ""))
-    return df.withColumn("_n", norm(F.col(text))).join(training.select(norm(F.col(text)).alias("_n")).distinct(), "_n", "left_anti").drop("_n")
-
-
-def fuzzy(a: DataFrame, b: DataFrame, key: str, least: int = 80, block: int = 2) -> DataFrame:
-    """Pairs of like keys, by edit distance over the longer one in per cent; only keys that begin
-    alike and are of like length are held against each other."""
+def distinct_words(text: Column) -> Column:
+    """Each word of a text once, in lower case, without punctuation."""
+    return F.array_distinct(F.filter(F.split(F.lower(text), r"(?U)[\s\p{Punct}]+"), lambda w: w != ""))
+
+
+def _by_rarity(sets: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """(id, n, at, word): of each set (id, w) the beginning, rarest words first, that one as near as
+    ``percent`` has to touch. Words that ``known`` (word, f) lacks come first, and match nothing."""
+    words = sets.select("id", F.size("w").alias("n"), F.explode("w").alias("word")).join(known, "word", "left")
+    ordered = words.groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "word"))).alias("o"))
+    begin = F.slice("o", F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / F.lit(100.0)).cast("int") + 1)
+    return ordered.select("id", "n", F.posexplode(begin).alias("at", "x")).filter("x.f > 0").select("id", "n", "at", "x.word")
+
+
+def near_sets(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
+    """(a, b): ids of sets of words (id, w) whose common words are ``percent`` per cent of all theirs or more. Exact.
+
+    Two such sets share a word of their beginnings, in one order of all words; rare words come first, by
+    the sets of ``right``. Pairs whose sizes differ too much, or that have too few words left after the
+    first common one, are not formed. What is left is compared whole. Empty sets are near to none."""
+    left, right = (materialize(x.filter(F.size("w") > 0).select("id", "w")) for x in (left, right))
+    known = materialize(right.select(F.explode("w").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("f")))
+    bounds = right.agg(F.min(F.size("w")).alias("lo"), F.max(F.size("w")).alias("hi")).first()
+    if bounds["lo"] is None:
+        return left.join(right, F.lit(False)).select(left["id"].alias("a"), right["id"].alias("b"))
+    # Sets of a size that none of the others comes near are left out before their words are dealt out.
+    fitting = left.filter((F.size("w") * 100 >= F.lit(bounds["lo"] * percent)) & (F.size("w") * percent <= F.lit(bounds["hi"] * 100)))
+    a = _by_rarity(fitting, known, percent).withColumnsRenamed({"id": "a", "n": "n", "at": "i"})
+    b = _by_rarity(right, known, percent).withColumnsRenamed({"id": "b", "n": "m", "at": "j"})
+    sizes = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
+    enough = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) * (100 + percent) >= (F.col("n") + F.col("m")) * percent
+    pairs = a.join(b, "word").filter(sizes & enough).select("a", "b").distinct()
+    whole = pairs.join(left.withColumnsRenamed({"id": "a", "w": "u"}), "a").join(right.withColumnsRenamed({"id": "b", "w": "v"}), "b")
+    common = F.size(F.array_intersect("u", "v"))
+    return whole.filter(common * 100 >= (F.size("u") + F.size("v") - common) * percent).select("a", "b")
+
+
+def unlike_training(df: DataFrame, training: DataFrame, text: str, percent: int | None = None) -> DataFrame:
+    """Rows whose normalised text is not among the training queries; with ``percent``, rows whose words are
+    not that near to any training query's (words in common by all words of the two, in per cent). Rows
+    without text are unlike."""
+    if percent is None:
+        norm = lambda c: F.lower(F.regexp_replace(c, r"(?U)[\s\p{Punct}]+", ""))
+        return df.withColumn("_n", norm(F.col(text))).join(training.select(norm(F.col(text)).alias("_n")).distinct(), "_n", "left_anti").drop("_n")
+    # Equal sets of words are one set on either side.
+    words = F.sort_array(distinct_words(F.coalesce(F.col(text), F.lit(""))))
+    rows = materialize(df.withColumn("_w", words))
+    mark = lambda c: F.md5(F.concat_ws("\n", c))
+    sets = lambda x: x.groupBy(mark(F.col("w")).alias("id")).agg(F.first("w").alias("w"))
+    near = near_sets(sets(rows.select(F.col("_w").alias("w"))), sets(training.select(words.alias("w"))), percent).select(F.col("a").alias("_id")).distinct()
+    return rows.withColumn("_id", mark(F.col("_w"))).join(near, "_id", "left_anti").drop("_id", "_w")
+
+
+def fuzzy(a: DataFrame, b: DataFrame, key: str, least: int = 80, block: int | None = 2) -> DataFrame:
+    """Pairs of like keys, by edit distance over the longer one in per cent, rounded. With ``block``, only keys
+    that begin with the same so many letters and are of like length are held against each other; with
+    None all that can be alike are, and no pair is lost."""
+    ratio = F.round(100 * (1 - F.levenshtein(F.col(key), F.col("_k")) / F.greatest(F.length(key), F.length("_k"))))
+    if block is None:
+        right = b.withColumnRenamed(key, "_k")
+        pairs = _near_strings(a.select(key).distinct(), right.select("_k").distinct(), key, least).withColumn("ratio", ratio).filter(F.col("ratio") >= least)
+        return a.join(pairs, key).join(right, "_k").withColumnRenamed("_k", f"{key}_2")
     left = a.withColumn("_b", F.substring(key, 1, block))
     right = b.withColumnRenamed(key, "_k").withColumn("_b", F.substring("_k", 1, block))
     n, m = F.length(key), F.length("_k")
-    ratio = F.round(100 * (1 - F.levenshtein(F.col(key), F.col("_k")) / F.greatest(n, m)))
     close = F.least(n, m) * 100 >= F.greatest(n, m) * least
     return left.join(right, "_b").filter(close).withColumn("ratio", ratio).filter(F.col("ratio") >= least).withColumnRenamed("_k", f"{key}_2").drop("_b")
 
 
+def _near_strings(left: DataFrame, right: DataFrame, key: str, least: int) -> DataFrame:
+    """(key, _k): every pair of strings that may be ``least`` per cent alike, from equal segments.
+
+    A string k edits away from another holds one of its k + 1 segments unchanged, at a place that the
+    segment's number and the lengths bound (multi-match windows of segment joins). The shorter string is
+    cut, for each length that the other may have; the longer one looks its own pieces up, by length, number
+    and piece. Keys grow with the cube of k, so this is for names and short queries."""
+    share = (100.5 - least) / 100
+    edits = lambda n: F.floor(n * share + 1e-9).cast("int")
+    step = lambda n: F.sequence(F.lit(0), n)
+    base = lambda n, k: F.floor(n / (k + 1)).cast("int")
+    # Of k + 1 segments the last ones are a letter longer.
+    longer = lambda n, k, i: F.greatest(i - (k + 1 - n % (k + 1)), F.lit(0))
+    start = lambda n, k, i: i * base(n, k) + longer(n, k, i)
+    size = lambda n, k, i: base(n, k) + F.when(i >= k + 1 - n % (k + 1), 1).otherwise(0)
+    name = lambda n, m, i, piece: F.xxhash64(n, m, i, piece)
+
+    def cut(s, most):
+        """Segments for each length from the string's own to that of the longest that may be alike."""
+        n = F.length(s)
+        lengths = F.filter(F.sequence(n, F.greatest(n, F.lit(most))), lambda m: m - edits(m) <= n)
+        return F.flatten(F.transform(lengths, lambda m: F.transform(step(edits(m)), lambda i: name(n, m, i, F.substring(s, start(n, edits(m), i) + 1, size(n, edits(m), i))))))
+
+    def look(s):
+        m = F.length(s)
+        k = edits(m)
+
+        def pieces(n, i):
+            p, d = start(n, k, i), m - n
+            lo = F.greatest(F.lit(0), p - i, p + d - (k - i))
+            hi = F.least(m - size(n, k, i), p + i, p + d + (k - i))
+            return F.when(lo <= hi, F.transform(F.sequence(lo, F.greatest(lo, hi)), lambda at: name(n, m, i, F.substring(s, at + 1, size(n, k, i))))).otherwise(F.array().cast("array<bigint>"))
+
+        return F.flatten(F.transform(F.sequence(F.greatest(m - k, F.lit(0)), m), lambda n: F.flatten(F.transform(step(k), lambda i: pieces(n, i)))))
+
+    left, right = (x.filter(F.length(c) > 0) for x, c in ((left, key), (right, "_k")))
+    most = max(left.agg(F.max(F.length(key))).first()[0] or 0, right.agg(F.max(F.length("_k"))).first()[0] or 0)
+    keyed = lambda df, c, keys: df.select(c, F.explode(F.array_distinct(keys)).alias("_s"))
+    far = lambda: F.levenshtein(F.col(key), F.col("_k")) <= edits(F.greatest(F.length(key), F.length("_k")))
+    one = keyed(left, key, cut(F.col(key), most)).join(keyed(right, "_k", look(F.col("_k"))), "_s").filter((F.length(key) <= F.length("_k")) & far())
+    two = keyed(right, "_k", cut(F.col("_k"), most)).join(keyed(left, key, look(F.col(key))), "_s").filter((F.length("_k") < F.length(key)) & far())
+    return one.select(key, "_k").union(two.select(key, "_k")).distinct()
+
+
 def by_model(results: DataFrame, key: str, models: list[str], value: str = "score") -> DataFrame:
     """A row a key, a column a model."""
     return results.groupBy(key).pivot("model", models).agg(F.first(value))

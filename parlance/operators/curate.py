@@ -155,13 +155,13 @@ def thought_or_default(thought: Column, default: str, phrase: str) -> Column:
     return F.when(thought.isNull() | (thought == ""), default).otherwise(F.replace(thought, F.lit(phrase), F.lit("")))
 
 
-def for_search(df: DataFrame) -> DataFrame:
-    """Columns of the search-training table, from the first call and the first passages."""
+def for_search(df: DataFrame, *keep: str) -> DataFrame:
+    """Columns of the search-training table, from the first call and the first passages, beside ``keep``."""
     call = F.get(F.col("api"), F.lit(0))
     value = lambda k: F.coalesce(F.get(F.filter(call, lambda e: F.upper(e["k"]) == k), F.lit(0))["v"], F.lit(""))
     return df.select(
-        F.col("`user-query`").alias("query"), F.col("assistant").alias("response"), "thought", value("APINAME").alias("api_name"), value("CATEGORY").alias("category"), value("TAG").alias("search_tags"),
-        F.get(F.col("observation"), F.lit(0)).alias("doc"), value("QUERY").alias("search_query"), F.lit(0).alias("is_relative"), F.coalesce(F.col("create_user") if "create_user" in df.columns else F.lit(None), F.lit("")).alias("create_user"),
+        *keep, F.col("`user-query`").alias("query"), F.col("assistant").alias("response"), "thought", value("APINAME").alias("api_name"), value("CATEGORY").alias("category"), value("TAG").alias("search_tags"),
+        F.get(F.col("observation"), F.lit(0)).alias("doc"), value("QUERY").alias("search_query"), F.lit("True").alias("is_relative"), F.coalesce(F.col("create_user") if "create_user" in df.columns else F.lit(None), F.lit("")).alias("create_user"),
     )
 
 

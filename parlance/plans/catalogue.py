@@ -182,8 +182,8 @@ def dpo_pairs(spark, sf):
 
 @query("""WITH single AS (SELECT conv_id AS id, string_agg(text, '|' ORDER BY turn) AS said FROM conversations GROUP BY conv_id),
   pool AS (SELECT *, row_number() OVER (ORDER BY id) - 1 AS place, count(*) OVER () AS n FROM single),
-  draws AS (SELECT id, said, n, ('0x' || substr(md5(id || '|0|0'), 1, 7))::BIGINT % 3 + 1 AS k FROM pool),
-  drawn AS (SELECT id, said, i, ('0x' || substr(md5(id || '|0|' || i || '|0'), 1, 7))::BIGINT % n AS place FROM draws, unnest(range(1, k + 1)) AS u(i))
+  draws AS (SELECT id, said, n, ('0x' || substr(md5(id || '|0|0'), 1, 15))::BIGINT % 3 + 1 AS k FROM pool),
+  drawn AS (SELECT id, said, i, ('0x' || substr(md5(id || '|0|' || i || '|0'), 1, 15))::BIGINT % n AS place FROM draws, unnest(range(1, k + 1)) AS u(i))
   SELECT d.id, string_agg(p.said, '|' ORDER BY d.i) || '|' || max(d.said) AS mixed FROM drawn d JOIN pool p USING (place) GROUP BY d.id""")
 def multi_turn_mix(spark, sf):
     said = F.transform(F.sort_array(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"])
@@ -656,4 +656,4 @@ def user_sessions(spark, sf):
     return jobs.sessions(_t(spark, sf, "events"))
 
 
-from parlance.plans import more as _more  # noqa: E402, F401  registers its queries
+from parlance.plans import forms as _forms, more as _more  # noqa: E402, F401  register their queries

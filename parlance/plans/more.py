@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -246,28 +248,33 @@ def language_shares(spark, sf):
     return report.shares(_t(spark, sf, "documents"), "lang").select("lang", "n", "share")
 
 
+def _folder(spark) -> str:
+    """A new folder that all machines see: what an earlier result still reads is left alone."""
+    return f"{shared_dir(spark)}/parlance/files/{uuid.uuid4().hex}"
+
+
 @query("""SELECT doc_id, lang, md5(text) AS text_md5, n_chars::VARCHAR AS n_chars FROM documents""")
 def csv_roundtrip(spark, sf):
-    """Whole texts through a CSV file with a byte order mark, and back."""
-    path = f"{shared_dir(spark)}/parlance/files/documents.csv"
-    rows = _t(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "lang", F.base64(F.encode("text", "utf-8")).alias("text"), "n_chars")
+    """Whole texts, with their quotes and line breaks, through a CSV file with a byte order mark, and back."""
+    path = f"{_folder(spark)}/documents.csv"
+    rows = _t(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "lang", "text", "n_chars")
     writers.write_csv(rows, path, mark=True)
     back = readers.read_table(spark, path)
-    return back.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.md5(F.decode(F.unbase64("text"), "utf-8")).alias("text_md5"), "n_chars")
+    return back.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.md5("text").alias("text_md5"), "n_chars")
 
 
 @query("""SELECT doc_id, md5(text) AS text_md5 FROM documents""")
 def json_arrays(spark, sf):
-    """Whole texts through seven JSON arrays, numbered and written by chunk, and back."""
-    path = f"{shared_dir(spark)}/parlance/files/arrays"
-    writers.write_chunks(_t(spark, sf, "documents").select("doc_id", "text"), path, 7, ["doc_id"])
-    return readers.read_corpus(spark, path, "doc_id long, text string", places=False, pattern="*.json").select("doc_id", F.md5("text").alias("text_md5"))
+    """Whole texts through seven files of one JSON array each, and back."""
+    path = _folder(spark)
+    writers.write_arrays(_t(spark, sf, "documents").select("doc_id", "text"), path, 7, ["doc_id"])
+    return readers.read_table(spark, f"{path}/*.json", "doc_id long, text string").select("doc_id", F.md5("text").alias("text_md5"))
 
 
 @query("""SELECT turn, count(*) AS n FROM conversations WHERE role = 'user' GROUP BY turn""")
 def jsonl_user_texts(spark, sf):
     """User messages through a JSONL corpus: written by turn, read with the turn out of the path."""
-    path = f"{shared_dir(spark)}/parlance/files/corpus"
+    path = _folder(spark)
     said = F.array(F.struct("role", F.array("text").alias("content")))
     _t(spark, sf, "conversations").select("turn", said.alias("messages")).write.mode("overwrite").partitionBy("turn").json(path)
     got = readers.user_texts(spark, path, "turn int")
@@ -279,7 +286,7 @@ def daily_partitions(spark, sf):
     """A month written a day a partition, one day written again; each day is there once."""
     from parlance.streaming import jobs
 
-    path = f"{shared_dir(spark)}/parlance/files/days"
+    path = _folder(spark)
     rows = _t(spark, sf, "orders").filter((F.col("o_orderdate") >= "1995-01-02") & (F.col("o_orderdate") < "1995-02-01")).select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"))
     rows.limit(0).write.mode("overwrite").partitionBy("date").parquet(path)
     jobs.write_day(rows, path)

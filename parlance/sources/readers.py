@@ -62,12 +62,17 @@ def read_prompt(spark: SparkSession, path: str) -> str:
 def read_corpus(spark: SparkSession, path: str, schema=None, places: bool = True, skip: str = SKIP, without: tuple[str, ...] = (), pattern: str = "*.jsonl") -> DataFrame:
     """All JSONL files below a folder, with owner, folder, dataset and producer out of their paths:
     ``<path>/<owner>/<folder>/.../<dataset>.jsonl``; the producer is the owner up to an underscore.
-    ``without`` names files that are passed over, ``pattern`` those that are read."""
+    ``without`` names files that are passed over, ``pattern`` those that are read. Spaces, percent signs
+    and other characters in names are as in the store; a file that lies outside the folder is an error."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    df = reader.json(path, recursiveFileLookup=True, pathGlobFilter=pattern).withColumn("_path", F.col("_metadata.file_path"))
+    df = reader.json(path, recursiveFileLookup=True, pathGlobFilter=pattern)
+    # The path comes as a URI: a plus sign is itself there, but not to the decoder.
+    df = df.withColumn("_path", F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
     # What follows the first place that holds the folder's whole path; folders below may bear its name again.
     root = "/" + path.split("://", 1)[-1].strip("/") + "/"
-    df = df.withColumn("_below", F.substring(F.col("_path"), F.locate(root, F.col("_path")) + len(root), F.length("_path")))
+    begin = F.locate(root, F.col("_path"))
+    outside = F.raise_error(F.concat(F.lit(f"not below {root}: "), F.col("_path"))).cast("string")
+    df = df.withColumn("_below", F.when(begin > 0, F.substring(F.col("_path"), begin + len(root), F.length("_path"))).otherwise(outside))
     df = df.filter(~F.col("_below").rlike(skip) & ~F.substring_index("_below", "/", -1).isin(*without))
     if not places:
         return df.drop("_path", "_below")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parlance.operators.order import chunks
-from parlance.workers import ship
+from parlance.operators.order import chunks, row_ids
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",", mark: bool = False) -> None:
@@ -26,14 +27,35 @@ def write_chunks(df: DataFrame, path: str, k: int, order: list[str]) -> None:
 
 
 def write_arrays(df: DataFrame, path: str, k: int, order: list[str], name: str = "part") -> None:
-    """``k`` files of one JSON array each. Records stream from sorted partitions into their file."""
-    from parlance.sources.json_array import JsonArraySource
-
-    ship(df.sparkSession)
-    df.sparkSession.dataSource.register(JsonArraySource)
-    body = F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("record")
-    chunked = chunks(df, k, order).repartitionByRange(k, "chunk").sortWithinPartitions("chunk", *order)
-    chunked.select("chunk", body).write.format("json_array").option("path", path).option("name", name).mode("append").save()
+    """``k`` files of one JSON array each, ``<path>/<name><chunk>.json``, in any store that Spark writes to.
+
+    Tasks write an attempt in a hidden folder beside them, by Spark's own commit protocol, a record a
+    line; when all have, the driver moves the files, ``k`` of them. A job that fails leaves nothing, and
+    what was there before; a file of the same name is replaced. Readers pass hidden folders over. A
+    table without rows gives no file."""
+    n = df.count()
+    size = max(1, -(-n // k))
+    r = F.col("_r")
+    first, last = (r - 1) % size == 0, (r % size == 0) | (r == n)
+    body = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
+    line = F.concat(F.when(first, "[\n    ").otherwise("    "), body, F.when(last, "\n]").otherwise(","))
+    rows = row_ids(df, order, "_r").select(F.floor((r - 1) / size).cast("int").alias("chunk"), "_r", line.alias("value"))
+    spark = df.sparkSession
+    place = lambda *x: spark._jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *x]))
+    files = place().getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    attempt = f"_attempt-{uuid.uuid4().hex}"
+    try:
+        rows.repartition("chunk").sortWithinPartitions("chunk", "_r").select("chunk", "value").write.partitionBy("chunk").option("maxRecordsPerFile", 0).text(place(attempt).toString())
+        for part in files.listStatus(place(attempt)):
+            at = part.getPath()
+            if part.isDirectory() and at.getName().startswith("chunk="):
+                (held,) = [f.getPath() for f in files.listStatus(at) if f.getPath().getName().startswith("part-")]
+                target = place(f"{name}{at.getName().removeprefix('chunk=')}.json")
+                files.delete(target, False)
+                if not files.rename(held, target):
+                    raise OSError(f"cannot move {held} to {target}")
+    finally:
+        files.delete(place(attempt), True)
 
 
 def write_by_producer(df: DataFrame, path: str) -> None:
