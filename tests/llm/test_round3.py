@@ -263,8 +263,13 @@ def test_toxicity_finds_passages(spark):
     held = [(rows[i].predicted, y) for i, y in labels if zlib.crc32(str(i).encode()) % 5 == 0]
     assert sum(p == y for p, y in held) / len(held) > 0.97
     texts = {i: toxicity.tokens_of(t) for i, t, _, _ in docs}
-    said = [w for i, y in labels if y for p in rows[i].passages for w in texts[i][p.first : p.last + 1]]
-    assert sum(w.startswith(("zorkle", "quimby", "wexxo")) for w in said) / len(said) > 0.6
+    bad = lambda w: w.startswith(("zorkle", "quimby", "wexxo"))
+    # Passages begin and end with words that speak for toxicity, hold those that were put in, and clean texts hardly have any.
+    put = [(i, k) for i, y in labels if y for k, w in enumerate(texts[i]) if bad(w)]
+    assert sum(any(p.first <= k <= p.last for p in rows[i].passages) for i, k in put) / len(put) > 0.95
+    ends = [texts[i][k] for i, y in labels if y for p in rows[i].passages for k in (p.first, p.last)]
+    assert sum(map(bad, ends)) / len(ends) > 0.9
+    assert sum(bool(rows[i].passages) for i, y in labels if not y) / sum(not y for _, y in labels) < 0.2
 
 
 def test_toxicity_ignores_held_out_labels(spark):
