@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -15,11 +16,11 @@ from threading import Lock
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parlance.functions.tokens import FAILED
-from parlance.scratch import materialize
+from parlance.scratch import discard, materialize, shared_dir
 from parlance.workers import ship
 
 
@@ -114,15 +115,68 @@ def resume(df: DataFrame, saved: DataFrame, key: str = "row_id") -> DataFrame:
     return df.join(saved.select(key), key, "left_anti")
 
 
-def by_models(df: DataFrame, clients: dict[str, Callable[[], Client]], prompt: str = "prompt", key: str = "row_id", limits: Limits = Limits()) -> DataFrame:
-    """(key, model, prompt, response), a row a model."""
+class Answers:
+    """A store of answers by model and prompt, in a folder that all machines see.
+
+    A prompt is asked when no answer of that model is stored, once however many rows have it, and its
+    answer is written before anything reads it: later actions, later jobs and retries read. Prompts are
+    asked ``chunk`` at a time, a write each, so what a lost machine had asked is asked again for one chunk
+    at most. Failures are not stored. Of answers that two jobs stored at once the least is the answer."""
+
+    SCHEMA = "hash string, response string, model string"
+
+    def __init__(self, spark: SparkSession, path: str | None = None, chunk: int = 10_000):
+        self.spark, self.chunk = spark, chunk
+        self.path = path or f"{shared_dir(spark)}/parlance/answers/{uuid.uuid4().hex}"
+        self.spark.createDataFrame([], self.SCHEMA).write.mode("append").parquet(self.path)
+
+    def of(self, model: str) -> DataFrame:
+        """(hash, response) stored for a model."""
+        stored = self.spark.read.schema(self.SCHEMA).parquet(self.path).filter(F.col("model") == model)
+        return stored.groupBy("hash").agg(F.min("response").alias("response"))
+
+    def ask(self, df: DataFrame, make: Callable[[], Client], model: str, prompt: str = "prompt", key: str = "row_id", limits: Limits = Limits(), rounds: int = 3) -> DataFrame:
+        """(key, prompt, response, model) of the rows that have a prompt; what failed in every round has the sentinel."""
+        rows = df.select(key, prompt).filter(F.col(prompt).isNotNull()).withColumn("hash", F.sha2(prompt, 256))
+        asked = materialize(rows.groupBy("hash").agg(F.first(prompt).alias("prompt")))
+        for _ in range(rounds):
+            left = asked.join(self.of(model), "hash", "left_anti")
+            n = left.count()
+            if not n:
+                break
+            parts = -(-n // self.chunk)
+            for part in range(parts):
+                some = left.filter(F.pmod(F.xxhash64("hash"), F.lit(parts)) == part)
+                got = ask_all(some, make, "prompt", "hash", limits).filter(F.col("response") != FAILED)
+                got.select("hash", "response", F.lit(model).alias("model")).write.mode("append").parquet(self.path)
+        discard(asked)
+        return rows.join(self.of(model), "hash", "left").select(key, prompt, F.coalesce("response", F.lit(FAILED)).alias("response"), F.lit(model).alias("model"))
+
+
+def by_models(df: DataFrame, clients: dict[str, Callable[[], Client]], prompt: str = "prompt", key: str = "row_id", limits: Limits = Limits(), store: Answers | None = None) -> DataFrame:
+    """(key, prompt, response, model), a row a model. Answers are in ``store``, or else in a new one, before
+    they are read: no action asks a model again."""
+    store = store or Answers(df.sparkSession)
     out = None
     for name, make in clients.items():
-        got = ask_all(df, make, prompt, key, limits).withColumn("model", F.lit(name))
+        got = store.ask(df, make, name, prompt, key, limits)
         out = got if out is None else out.unionByName(got)
     return out
 
 
+def two_step(df: DataFrame, make: Callable[[], Client], question: str, key: str = "row_id", limits: Limits = Limits(), store: Answers | None = None) -> DataFrame:
+    """The rows with a strategy and the answer that follows it: a first map asks how to answer, a second
+    one answers by it. Where the first step failed the second is not asked, and has the sentinel too."""
+    from parlance.functions import prompts
+
+    store = store or Answers(df.sparkSession)
+    first = df.select(key, prompts.strategy_prompt(F.col(question)).alias("prompt"))
+    planned = df.join(store.ask(first, make, "strategy", "prompt", key, limits).select(key, F.col("response").alias("strategy")), key, "left")
+    second = planned.filter(F.col("strategy") != FAILED).select(key, prompts.answer_prompt(F.col(question), F.col("strategy")).alias("prompt"))
+    answered = store.ask(second, make, "answer", "prompt", key, limits).select(key, F.col("response").alias("answer"))
+    return planned.join(answered, key, "left").withColumn("answer", F.coalesce("answer", F.when(F.col("strategy").isNotNull(), FAILED)))
+
+
 #: Provider: where its JSON reply holds the text.
 REPLIES = {"chat": "$.choices[0].message.content", "completion": "$.choices[0].text", "gateway": "$.data.choices[0].content"}
 

@@ -499,7 +499,15 @@ def date_parse(spark, sf):
 def date_window_report(spark, sf):
     days = spark.range(1).select(F.explode(temporal.date_list(F.lit("1995-01-02"), F.lit("1995-01-15"))).alias("day"))
     rows = _t(spark, sf, "orders").filter((F.col("o_orderdate") >= "1995-01-02") & (F.col("o_orderdate") < "1995-01-16")).withColumn("day", F.to_date("o_orderdate"))
-    return days.join(rows, "day", "left").groupBy(F.col("day").cast("string").alias("day")).agg(F.count("o_orderkey").alias("n"), F.floor(F.coalesce(F.percentile("o_totalprice", 0.9), F.lit(0.0))).alias("q90"))
+    q90 = report.quantiles(rows, ["day"], "o_totalprice", {"q90": 0.9})
+    counted = rows.groupBy("day").agg(F.count("o_orderkey").alias("n"))
+    return days.join(counted, "day", "left").join(q90, "day", "left").select(F.col("day").cast("string").alias("day"), F.coalesce("n", F.lit(0)).alias("n"), F.floor(F.coalesce("q90", F.lit(0.0))).alias("q90"))
+
+
+@query("""SELECT l_returnflag, quantile_cont(l_extendedprice::DOUBLE, 0.5) AS median, quantile_cont(l_extendedprice::DOUBLE, 0.99) AS p99, min(l_extendedprice)::DOUBLE AS least, max(l_extendedprice)::DOUBLE AS greatest FROM lineitem GROUP BY l_returnflag""")
+def price_quantiles(spark, sf):
+    """Groups of a third of all rows each, ranges narrowed until a thousand values are left."""
+    return report.quantiles(_t(spark, sf, "lineitem"), ["l_returnflag"], "l_extendedprice", {"median": 0.5, "p99": 0.99, "least": 0.0, "greatest": 1.0}, held=1000)
 
 
 @query("SELECT o_custkey, strftime(max(o_orderdate), '%Y-%m-%d') AS latest FROM orders GROUP BY o_custkey")

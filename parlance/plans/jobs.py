@@ -12,7 +12,7 @@ from parlance.functions.text import without_section
 from parlance.operators import curate, order, report
 from parlance.operators.align import scores_by_row
 from parlance.operators.distinct import first_known, semantic_groups
-from parlance.operators.model_map import Client, Limits, ask_rounds, by_models
+from parlance.operators.model_map import Answers, Client, Limits, ask_rounds, by_models
 
 QUERY = "user-query"
 
@@ -47,20 +47,21 @@ def extended(df: DataFrame, *keep: str, most: int = 500) -> DataFrame:
     return order.capped(first_known(clean.withColumn("_o", order.mark(f"`{QUERY}`", *keep)), QUERY, "_o"), most, f"`{QUERY}`")
 
 
-def evaluated(df: DataFrame, clients: dict[str, Callable[[], Client]], prompt: str, parse=judge.AUTHENTICITY.final, limits: Limits = Limits(), key: str = "row_id") -> DataFrame:
+def evaluated(df: DataFrame, clients: dict[str, Callable[[], Client]], prompt: str, parse=judge.AUTHENTICITY.final, limits: Limits = Limits(), key: str = "row_id", store: Answers | None = None) -> DataFrame:
     """Judges' scores beside their vote and consistency, by key."""
     places = {name: k for k, name in enumerate(clients)}
-    asked = by_models(df, clients, prompt, key, limits).withColumn("score", parse(F.col("response")))
+    asked = by_models(df, clients, prompt, key, limits, store).withColumn("score", parse(F.col("response")))
     at = F.element_at(F.create_map(*[F.lit(x) for kv in places.items() for x in kv]), F.col("model"))
     scored = scores_by_row(asked.withColumn("at", at), key)
     return df.join(scored, key).withColumns({"vote": judge.vote(F.col("scores")), "agreed": judge.consistent(F.col("scores"))}).withColumn("route", judge.route(F.col("agreed")))
 
 
-def filtered(df: DataFrame, style: dict, correct: dict, style_prompt: str, correct_prompt: str, limits: Limits = Limits(), key: str = "row_id") -> DataFrame:
+def filtered(df: DataFrame, style: dict, correct: dict, style_prompt: str, correct_prompt: str, limits: Limits = Limits(), key: str = "row_id", store: Answers | None = None) -> DataFrame:
     """Style first; only what it keeps is asked about correctness."""
     one = lambda name: lambda text: judge.pattern_score(text, name).cast("int")
-    kept = evaluated(df, style, style_prompt, one("instruct_follow"), limits, key).filter("route = 'keep'").select(*df.columns)
-    return evaluated(kept, correct, correct_prompt, one("instruct_follow"), limits, key)
+    store = store or Answers(df.sparkSession)
+    kept = evaluated(df, style, style_prompt, one("instruct_follow"), limits, key, store).filter("route = 'keep'").select(*df.columns)
+    return evaluated(kept, correct, correct_prompt, one("instruct_follow"), limits, key, store)
 
 
 def sectioned(df: DataFrame, column: str, start: str, end: str) -> DataFrame:

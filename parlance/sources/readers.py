@@ -38,11 +38,16 @@ def read_csv(spark: SparkSession, path: str | list[str], schema=None, blanks: bo
 
 
 def read_sheet(spark: SparkSession, path: str, sheet: str | int = 0) -> DataFrame:
-    """A sheet as strings; blanks stay empty. Needs openpyxl."""
-    import pandas as pd
-
-    frame = pd.read_excel(path, sheet_name=sheet, keep_default_na=False, dtype=str)
-    return spark.createDataFrame(frame)
+    """A workbook's sheet, by number or name, as strings; blanks stay empty, the first row names the columns.
+    Files are read by the tasks, row by row; one that is no workbook is read as CSV."""
+    from parlance.sources.sheets import sheet_rows
+
+    rows = sheet_rows(spark, path, sheet)
+    head = rows.filter("at = 0").orderBy("file").first()
+    if head is None:
+        return spark.createDataFrame([], "value string").drop("value")
+    names = [n or f"Unnamed: {k}" for k, n in enumerate(head["cells"])]
+    return rows.filter("at > 0").select(*[F.coalesce(F.get("cells", F.lit(k)), F.lit("")).alias(n) for k, n in enumerate(names)])
 
 
 def read_whole(spark: SparkSession, path: str) -> DataFrame:
