@@ -42,23 +42,35 @@ def _plain(text: Column) -> Column:
     return F.concat(F.lit(" "), F.trim(F.lower(F.regexp_replace(text, r"[\s!-/:-@\[-`{-~]+", " "))), F.lit(" "))
 
 
+#: Bytes of items that are sent to all tasks.
+SENT_BYTES = 1 << 26
+
+
 def containing(items: DataFrame, docs: DataFrame, item_key: str, doc_key: str, text: str = "text", width: int = 5, sent: int = 1_000_000) -> DataFrame:
     """(item_key, doc_key): documents that hold an item's words in a row, anywhere in the whole text.
 
-    Items meet documents by their first ``width`` words (all, if they have fewer) in an equality join
-    over the windows of the documents, and are then looked for whole. At most ``sent`` items are
-    sent to all tasks; more are shuffled."""
-    wanted = items.select(item_key, _plain(F.col(text)).alias("_item")).filter("length(_item) > 2")
+    Items meet documents by the hash of their first ``width`` words (all, if they have fewer) in an equality
+    join over the windows of the documents, which carry no text; the distinct candidates are then looked
+    through whole. At most ``sent`` items, of ``SENT_BYTES`` in all, are sent to all tasks; more are shuffled."""
     words = lambda c: F.split(F.trim(c), " ")
-    wanted = wanted.withColumn("_n", F.least(F.size(words(F.col("_item"))), F.lit(width))).withColumn("_key", F.array_join(F.slice(words(F.col("_item")), F.lit(1), F.col("_n")), " "))
+    wanted = items.select(item_key, _plain(F.col(text)).alias("_item")).filter("length(_item) > 2")
+    wanted = wanted.withColumn("_n", F.least(F.size(words(F.col("_item"))), F.lit(width))).withColumn("_key", F.xxhash64(F.array_join(F.slice(words(F.col("_item")), F.lit(1), F.col("_n")), " ")))
+    wanted = materialize(wanted)
     sizes = [r[0] for r in wanted.select("_n").distinct().collect()]  # width numbers at most
     if not sizes:
         return docs.select(doc_key).limit(0).join(items.select(item_key).limit(0), F.lit(True)).select(item_key, doc_key)
-    held = docs.select(doc_key, _plain(F.col(text)).alias("_doc")).withColumn("_w", words(F.col("_doc")))
-    windows = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.size("_w") - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(F.col("_w"), i, F.lit(n)), " "))
-    found = held.select(doc_key, "_doc", F.explode(F.array_distinct(F.flatten(F.array(*[windows(n) for n in sizes])))).alias("_key"))
-    few = F.broadcast(wanted) if wanted.count() <= sent else wanted
-    return found.join(few, "_key").filter(F.contains("_doc", "_item")).select(item_key, doc_key).distinct()
+    n, size = wanted.agg(F.count(F.lit(1)), F.sum(F.octet_length("_item"))).first()
+    few = F.broadcast if n <= sent and size <= SENT_BYTES else lambda df: df
+    held = docs.select(F.col(doc_key).alias("_doc_key"), words(_plain(F.col(text))).alias("_w"))
+    windows = lambda k: F.transform(F.sequence(F.lit(1), F.greatest(F.size("_w") - k + 1, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(F.col("_w"), i, F.lit(k)), " ")))
+    met = held.select("_doc_key", F.explode(F.array_distinct(F.flatten(F.array(*[windows(k) for k in sizes])))).alias("_key"))
+    pairs = materialize(met.join(few(wanted.select("_key", item_key)), "_key").select(item_key, "_doc_key").distinct())
+    # Candidates bring their texts, one of each document; pairs that are few go to the documents.
+    near = pairs.join(few(wanted.select(F.col(item_key).alias("_i"), "_item")), F.col(item_key).eqNullSafe(F.col("_i"))).select(item_key, "_doc_key", "_item")
+    total = pairs.count()
+    near = F.broadcast(near) if total <= sent // 10 and total * (size // n + 1) <= SENT_BYTES else near
+    texts = docs.select(doc_key, _plain(F.col(text)).alias("_doc"))
+    return texts.join(near, F.col(doc_key).eqNullSafe(F.col("_doc_key"))).filter(F.contains("_doc", "_item")).select(item_key, doc_key).distinct()
 
 
 def named_passages(names: Column, passages: Column) -> Column:

@@ -6,8 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from parlance.functions import codec, logparse, text
-from parlance.operators import align, curate
-from parlance.plans.catalogue import _t, query
+from parlance.operators import align, curate, quality, report
+from parlance.operators.model_map import Limits, two_step
+from parlance.plans.catalogue import _PAIRS, _pairs, _t, query
+from parlance.schema import MESSAGES
 
 
 def _literal(value: Column) -> Column:
@@ -91,3 +93,76 @@ def unlike_by_words(spark, sf):
     """Documents whose words are unlike those of every text that one source, taken as training set, holds."""
     d = _t(spark, sf, "documents")
     return align.unlike_training(d.filter("source <> 'src0'").select("doc_id", "text"), d.filter("source = 'src0'").select("text"), "text", 60).select("doc_id")
+
+
+# --- models, offline ------------------------------------------------------------------------------
+
+
+class _Tools:
+    """Names a tool and a query for each prompt."""
+
+    def ask(self, prompt: str) -> str:
+        import hashlib
+
+        return f"<|api_start|><|kvs|>APINAME=>QASearch<|kve|><|kvs|>QUERY=>{hashlib.md5(prompt.encode()).hexdigest()}<|kve|><|api_end|>"
+
+
+class _Found:
+    def search(self, tool: str, query: str, tags: list[str]) -> list[dict]:
+        return [{"title": tool, "content": f"on {query}"}, {"title": f"by {tool}", "content": ""}]
+
+
+class _Hashes:
+    def ask(self, prompt: str) -> str:
+        import hashlib
+
+        return hashlib.md5(prompt.encode()).hexdigest()
+
+
+@query(f"""WITH {_PAIRS} SELECT conv_id * 100 + turn AS row_id, md5('<|lc_start|>user' || chr(10) || usr || '<|lc_end|>' || chr(10) || '<|lc_start|>thought' || chr(10) || '<None><|lc_end|>' || chr(10)
+  || '<|lc_start|>api' || chr(10) || '<|api_start|><|kvs|>APINAME=>QASearch<|kve|><|kvs|>QUERY=>' || md5(usr) || '<|kve|><|api_end|><|eoa|><|lc_end|>' || chr(10)
+  || '<|lc_start|>observation' || chr(10) || '<|kvs|>{{"qasearchResults": ["on ' || md5(usr) || '", "by qasearch"]}}<|kve|><|lc_end|>' || chr(10) || '<|lc_start|>assistant') AS instruction FROM pairs""")
+def model_inputs(spark, sf):
+    """Every user's question with its call and what was found, as the large model reads it."""
+    from parlance.plans import jobs
+
+    rows = _pairs(spark, sf).select((F.col("conv_id") * 100 + F.col("turn")).alias("row_id"), F.col("user").alias("user-query"))
+    return jobs.model_input(rows, _Tools, _Found, limits=Limits(per_second=0, pause=0.0)).select("row_id", F.md5("instruction").alias("instruction"))
+
+
+@query(f"""WITH {_PAIRS}, s AS (SELECT conv_id * 100 + turn AS row_id, usr, md5('先写出回答策略。' || chr(10) || '问题：' || usr) AS strategy FROM pairs)
+  SELECT row_id, strategy, md5('按策略回答。' || chr(10) || '策略：' || strategy || chr(10) || '问题：' || usr) AS answer FROM s""")
+def strategy_chain(spark, sf):
+    rows = _pairs(spark, sf).select((F.col("conv_id") * 100 + F.col("turn")).alias("row_id"), "user")
+    return two_step(rows, _Hashes, "user", limits=Limits(per_second=0, pause=0.0)).select("row_id", "strategy", "answer")
+
+
+# --- reports and gates ----------------------------------------------------------------------------
+
+
+@query("""SELECT source, round(coalesce(avg(quality) FILTER (quality IN (0, 1)), 0), 9) AS quality_ratio, round(coalesce(avg(toxic) FILTER (toxic IN (0, 1)), 0), 9) AS toxic_ratio, round(avg(length(text)), 6) AS mean_length, quantile_cont(length(text), 0.5) AS median_length,
+  max(length(text)) AS max_length, round(avg(length(text)) - quantile_cont(length(text), 0.5), 6) AS mean_less_median, count(*) FILTER (length(text) > 2000) AS over_2000,
+  round(avg(h AND b AND s)::DOUBLE, 9) AS is_md, round(avg(h OR b OR s)::DOUBLE, 9) AS is_md_loose, round(avg(b)::DOUBLE, 9) AS is_md_list, round(avg(s)::DOUBLE, 9) AS is_md_bold, round(avg(h OR b OR s)::DOUBLE - avg(h AND b AND s)::DOUBLE, 9) AS md_delta
+  FROM (SELECT doc_id, source, text, regexp_matches(text, '(?m)^#{1,6} ')::INT::BOOLEAN AS h, regexp_matches(text, '(?m)^\\s*(?:[-*+]|[0-9]+[.)]) ') AS b, regexp_matches(text, '\\*\\*[^*\\n]+\\*\\*') AS s FROM documents) LEFT JOIN labels USING (doc_id) GROUP BY source""".replace("avg(h AND b AND s)", "avg((h AND b AND s)::INT)").replace("avg(h OR b OR s)", "avg((h OR b OR s)::INT)").replace("avg(b)", "avg(b::INT)").replace("avg(s)", "avg(s::INT)"))
+def extended_report(spark, sf):
+    """Ratios of scores, lengths and layout, a row a source."""
+    rows = _t(spark, sf, "documents").select("doc_id", "source", "text").join(_t(spark, sf, "labels"), "doc_id", "left")
+    r = report.metrics_report(rows, "source", ["quality", "toxic"], "text")
+    nine = [F.round(c, 9).alias(c) for c in ("quality_ratio", "toxic_ratio", "is_md", "is_md_loose", "is_md_list", "is_md_bold", "md_delta")]
+    return r.select("source", F.round("mean_length", 6).alias("mean_length"), "median_length", "max_length", F.round("mean_less_median", 6).alias("mean_less_median"), "over_2000", *nine)
+
+
+@query("""SELECT doc_id, ['short reply', 'legal', 'legal', 'translation', 'legal', 'legal'][doc_id % 6 + 1] AS verdict FROM documents""")
+def gate_bounds(spark, sf):
+    """Replies out of each text's letters, right below and right at what the gates allow: 49 and 50 characters,
+    a share of letters of 0.9 and just above it, eight and nine Chinese characters, and none."""
+    case = F.col("doc_id") % 6
+    letters = F.rpad(F.regexp_replace("text", "[^a-z]", ""), 100, "a")
+    reply = F.lit("")
+    for k, (latin, han) in enumerate(((40, 9), (41, 9), (72, 8), (73, 8), (82, 9), (100, 0))):
+        reply = F.when(case == k, F.concat(F.substring(letters, 1, latin), F.lit("说" * han))).otherwise(reply)
+    item = lambda c: F.array(F.struct(c.alias("text"), F.lit(None).cast("string").alias("token")))
+    said = {"user": F.lit("a question"), "thought": F.lit(""), "api": F.lit(""), "observation": F.lit(""), "assistant": reply}
+    messages = F.array(*[F.struct(F.lit(r).alias("role"), item(c).alias("content")) for r, c in said.items()]).cast(MESSAGES)
+    rows = _t(spark, sf, "documents").select("doc_id", messages.alias("messages"), F.lit("brief").alias("owner"), F.lit("set").alias("dataset"), F.lit("s").alias("source"))
+    return quality.judged(rows, quality.Gate(banned=(), persona_query=(), short_owners=("brief",))).select("doc_id", "verdict")

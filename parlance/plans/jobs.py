@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parlance.functions import judge, prompts
+from parlance.functions import codec, judge, prompts
 from parlance.functions.text import without_section
 from parlance.operators import curate, order, report
 from parlance.operators.align import scores_by_row
 from parlance.operators.distinct import first_known, semantic_groups
 from parlance.operators.model_map import Answers, Client, Limits, ask_rounds, by_models
+from parlance.scratch import materialize
+from parlance.sources.retrieve import Retriever, gather, retrieve
 
 QUERY = "user-query"
 
@@ -40,6 +42,25 @@ def distilled(df: DataFrame, make: Callable[[], Client], single: bool, key: str
     return asked.withColumn("distilled", judge.distilled(F.col("response"))).filter("distilled is not null")
 
 
+def model_input(df: DataFrame, ask: Callable[[], Client], search: Callable[[], Retriever], k: int = 10, longest: int = 20_000, limits: Limits = Limits(), store: Answers | None = None) -> DataFrame:
+    """(row_id, calls, observation, instruction) of logged queries (row_id, user-query), from end to end: a
+    model names the tools to call, each call is searched for, as many whole observations as ``longest``
+    allows stay, and all of it becomes the large model's input, up to where its reply begins. A query
+    without a call, or whose model failed, has no calls and no observations."""
+    query = F.col(f"`{QUERY}`")
+    store = store or Answers(df.sparkSession)
+    said = store.ask(df.select("row_id", query.alias("prompt")), ask, "api", "prompt", "row_id", limits)
+    called = materialize(df.select("row_id", QUERY).join(said.select("row_id", codec.parse_calls(F.col("response")).alias("calls")), "row_id"))
+    each = called.select("row_id", F.posexplode("calls").alias("call", "c")).withColumn("r", codec.request(F.col("c")))
+    found = retrieve(each.select("row_id", "call", F.lower("r.name").alias("tool"), "r.query", "r.tags"), search)
+    # A service is asked once, whatever reads the result.
+    gathered = materialize(gather(found, k))
+    none = F.array().cast("array<array<string>>")
+    rows = called.join(gathered, "row_id", "left").withColumn("observation", order.within_length(F.coalesce("observation", none), longest))
+    messages = codec.turn_messages(query, None, F.col("calls"), F.col("observation"), F.lit("-"))
+    return rows.select("row_id", "calls", "observation", codec.instruction(messages)["instruction"].alias("instruction"))
+
+
 def extended(df: DataFrame, *keep: str, most: int = 500) -> DataFrame:
     """Generalised questions, one a row, clean ones only, distinct, at most ``most``."""
     asked = curate.explode_generalised(df, ["generalized_question_from_user", "generalized_question_from_assistant"], *keep)
