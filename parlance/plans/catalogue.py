@@ -137,12 +137,10 @@ def context_mismatch(spark, sf):
     return _logs(spark, sf).select("conv_id", users.alias("users"), replies.alias("replies"), (users - replies != 1).alias("mismatch"))
 
 
-@query(f"""WITH {_PAIRS} SELECT conv_id, turn, trim(usr, chr(32) || chr(10) || chr(9) || chr(13)) AS "user", 'NAME' AS api, trim(assistant, chr(32) || chr(10) || chr(9) || chr(13)) AS assistant FROM pairs
-  WHERE NOT contains(usr || assistant, '[unused') AND NOT contains(usr || assistant, '</s>')""")
+@query(f"""WITH {_PAIRS} SELECT conv_id, turn, trim(usr, chr(32) || chr(10) || chr(9) || chr(13)) AS "user", 'NAME' AS api, trim(assistant, chr(32) || chr(10) || chr(9) || chr(13)) AS assistant FROM pairs""")
 def generation_split(spark, sf):
     said = F.concat(F.lit("[unused0] user\n"), F.col("user"), F.lit("[unused1][unused0] api\n[unused4]NAME[unused5][unused1][unused0] assistant\n"), F.col("assistant"), F.lit("[unused1]</s>tail"))
-    rows = _pairs(spark, sf).filter(~F.concat("user", "assistant").contains("[unused") & ~F.concat("user", "assistant").contains("</s>"))
-    g = rows.withColumn("g", logparse.generation(said))
+    g = _pairs(spark, sf).withColumn("g", logparse.generation(said))
     return g.select("conv_id", "turn", "g.user", "g.api", "g.assistant")
 
 

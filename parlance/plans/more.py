@@ -51,11 +51,11 @@ def tool_kind(spark, sf):
     return d.select("conv_id", "turn", F.get(F.get("s.calls", F.lit(0)), F.lit(0))["v"].alias("tool"), F.get("s.thoughts", F.lit(0)).alias("thought"))
 
 
-@query(f"""WITH {_PAIRS} SELECT conv_id, turn, trim(usr, chr(32) || chr(10) || chr(9) || chr(13)) || chr(10) || 'end' AS finished, 'why ' AS thought, 'a=>b' AS calls FROM pairs WHERE usr !~ '(?s).*\\[unused.*'""")
+@query(f"""WITH {_PAIRS} SELECT conv_id, turn, trim(usr, chr(32) || chr(10) || chr(9) || chr(13)) || chr(10) || 'end' AS finished, 'why ' AS thought, 'a=>b' AS calls FROM pairs""")
 def generation_finish(spark, sf):
     said = F.concat(F.lit(" "), text.strip(F.col("user")), F.lit("[unused8]end[unused1]tail"))
     parts = logparse.readable_sections(F.lit("why <|api_start|>a=>b<|api_end|>"))
-    return _pairs(spark, sf).filter(~F.col("user").contains("[unused")).select("conv_id", "turn", logparse.finish_generation(said).alias("finished"), parts["thought"].alias("thought"), F.array_join(parts["calls"], ",").alias("calls"))
+    return _pairs(spark, sf).select("conv_id", "turn", logparse.finish_generation(said).alias("finished"), parts["thought"].alias("thought"), F.array_join(parts["calls"], ",").alias("calls"))
 
 
 @query("""SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'c' || doc_id || '|d' END AS found FROM documents""")
@@ -148,16 +148,16 @@ def nested_replacement(spark, sf):
 # --- text -----------------------------------------------------------------------------------------
 
 
-@query("""SELECT doc_id, md5(replace('您' || text, '您', '你')) AS plain, md5(translate(text, chr(13) || chr(10) || '"' || chr(9), '')) AS unbroken, md5(replace(text, chr(10), chr(92) || 'n')) AS escaped,
-  md5(replace(replace(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), 'a', ''), ' the', '')) AS without, split_part(text, chr(10), 2) AS second_line, sha256(text || chr(31) || lang) AS id,
-  regexp_matches(text, '[一-龥]') AS chinese, '2024-05-06' AS named, '[KEY]' || lang || ' ' AS brackets, CASE WHEN doc_id % 2 = 0 THEN lang ELSE 'none' END AS filled FROM documents WHERE contains(text, chr(10)) AND regexp_full_match(text, '[\\x00-\\x7f]*')""")
+@query("""SELECT doc_id, md5(replace(CASE WHEN doc_id % 2 = 0 THEN '您' ELSE '' END || text, '您', '你')) AS plain, md5(translate(text, chr(13) || chr(10) || '"' || chr(9), '')) AS unbroken, md5(replace(text, chr(10), chr(92) || 'n')) AS escaped,
+  md5(replace(replace(regexp_replace(text, '^[\\s\\x{0b}\\x{85}\\p{Z}]+|[\\s\\x{0b}\\x{85}\\p{Z}]+$', '', 'g'), 'a', ''), ' the', '')) AS without, CASE WHEN contains(text, chr(10)) THEN split_part(text, chr(10), 2) END AS second_line, sha256(text || chr(31) || lang) AS id,
+  regexp_matches(CASE WHEN doc_id % 2 = 0 THEN '您' ELSE '' END || text, '[一-龥]') AS chinese, '2024-05-06' AS named, '[KEY]' || lang || ' ' AS brackets, CASE WHEN doc_id % 2 = 0 THEN lang ELSE 'none' END AS filled FROM documents""")
 def text_tools(spark, sf):
     c = F.col("text")
     held = F.create_map(F.lit("a"), F.lit("[]"), F.lit("b"), F.when(F.col("doc_id") % 2 == 0, F.col("lang")).otherwise(""))
-    # Trimming follows one notion of white space in SQL and another here beyond ASCII, so these rows are ASCII only.
-    return _t(spark, sf, "documents").filter(c.contains("\n") & ~c.rlike(r"[^\x00-\x7F]")).select(
-        "doc_id", F.md5(text.polite_to_plain(F.concat(F.lit("您"), c))).alias("plain"), F.md5(text.drop_breaks(c)).alias("unbroken"), F.md5(text.escape_newlines(c)).alias("escaped"), F.md5(text.without(c, ["a", " the"])).alias("without"),
-        text.line(c, 1).alias("second_line"), text.content_id(c, F.col("lang")).alias("id"), text.has_chinese(c).alias("chinese"), text.date_in_name(F.lit("/x/2024-05-06/raw.csv")).alias("named"),
+    polite = F.concat(F.when(F.col("doc_id") % 2 == 0, "您").otherwise(""), c)
+    return _t(spark, sf, "documents").select(
+        "doc_id", F.md5(text.polite_to_plain(polite)).alias("plain"), F.md5(text.drop_breaks(c)).alias("unbroken"), F.md5(text.escape_newlines(c)).alias("escaped"), F.md5(text.without(c, ["a", " the"])).alias("without"),
+        text.line(c, 1).alias("second_line"), text.content_id(c, F.col("lang")).alias("id"), text.has_chinese(polite).alias("chinese"), text.date_in_name(F.lit("/x/2024-05-06/raw.csv")).alias("named"),
         tokens.as_brackets(F.concat(F.lit("[unused4][unused2]KEY[unused7]"), F.col("lang"), F.lit("[unused3]"))).alias("brackets"), text.first_filled(held, ("a", "b", "c")).alias("filled"),
     )
 
@@ -281,16 +281,16 @@ def jsonl_user_texts(spark, sf):
     return got.groupBy("turn").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS n FROM orders WHERE o_orderdate >= DATE '1995-01-02' AND o_orderdate < DATE '1995-02-01' GROUP BY ALL""")
+@query("""SELECT strftime(o_orderdate, '%Y-%m') AS day, count(*) AS n FROM orders GROUP BY ALL""")
 def daily_partitions(spark, sf):
-    """A month written a day a partition, one day written again; each day is there once."""
+    """All orders written a period a partition, here a month, one of them written again; each is there once."""
     from parlance.streaming import jobs
 
     path = _folder(spark)
-    rows = _t(spark, sf, "orders").filter((F.col("o_orderdate") >= "1995-01-02") & (F.col("o_orderdate") < "1995-02-01")).select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"))
+    rows = _t(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("date")).repartition("date")
     rows.limit(0).write.mode("overwrite").partitionBy("date").parquet(path)
     jobs.write_day(rows, path)
-    jobs.write_day(rows.filter("date = '1995-01-05'"), path)
+    jobs.write_day(rows.filter("date = '1995-01'"), path)
     return spark.read.schema("o_orderkey long, date string").parquet(path).groupBy(F.col("date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
