@@ -16,13 +16,15 @@ The leaves that may recur are sent to the tasks as hashes if they are at most ``
 lines meet them in a join.
 
 Defined cases: null is empty; lines without a word have no template and stay; rows that repeat an
-id count as documents of their own; a text of any length is cut into its lines whole; an empty table
+id count as documents of their own; a text of any length is cut into its lines whole, and a line of any length is one; an empty table
 gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -51,44 +53,75 @@ def leaf_of(tokens: list[bytes]) -> int:
     return _signed(xxhash.xxh3_64_intdigest(b"%d " % len(tokens) + b" ".join(tokens[:DEPTH])))
 
 
+@lru_cache(maxsize=256)
+def _sets(fixed: int, size: int, needed: int) -> tuple[list[tuple[int, ...]], dict[int, list[int]]]:
+    """The sets of places of lines of so many tokens, and which of them a place is in."""
+    sets, by_place = _combinations(range(fixed, size), needed), {}
+    for k, places in enumerate(sets):
+        for p in places:
+            by_place.setdefault(p, []).append(k)
+    return sets, by_place
+
+
+def _combinations(places: range, needed: int) -> list[tuple[int, ...]]:
+    """Sets of places such that lines that agree at ``needed`` places or more agree at all of one set: dealt
+    over few enough groups, so many agreements put two or three of them into one group."""
+    if needed <= 1:
+        return [(p,) for p in places]
+    size = 3 if needed >= 5 else 2
+    groups = (needed - 1) // (size - 1)
+    return [c for g in range(groups) for c in combinations(places[g::groups], size)]
+
+
 class Leaf:
     """The templates of lines that have equally many tokens and the same first ``DEPTH`` ones, of which it
-    holds no line: what it needs goes with its templates."""
+    holds no line: what it needs goes with its templates. A line is held against those templates only
+    that agree with it at a set of places that any good enough one has to."""
 
     def __init__(self, first: list[bytes], fixed: int = DEPTH):
         self.fixed = min(fixed, len(first))
         self.named = any(x != FIELD for x in first[: self.fixed])
         self.templates: list[list[bytes]] = []
-        self.by_token: dict[tuple[int, bytes], list[int]] = {}
+        # The least number of equal places, as the share is compared.
+        self.least = int(ALIKE * len(first))
+        self.least += self.least < ALIKE * len(first)
+        self.sets, self.sets_of = _sets(self.fixed, len(first), self.least - self.fixed)
+        # By the hash of a set and its tokens; what templates held before they changed stays, and is compared anyway.
+        self.index: dict[int, list[int]] = {}
+
+    def _enter(self, number: int, sets) -> None:
+        template = self.templates[number]
+        for k in sets:
+            self.index.setdefault(hash((k, *[template[p] for p in self.sets[k]])), []).append(number)
 
     def place(self, line: list[bytes]) -> int:
         """The number of the template that the line joins or begins."""
-        fixed, templates, by_token = self.fixed, self.templates, self.by_token
-        # Templates that share tokens with the line, with the number of them; all, if the fixed places and fields alone can do.
-        shared: dict[int, int] = dict.fromkeys(range(len(templates)), 0) if self.named and fixed + line[fixed:].count(FIELD) >= ALIKE * len(line) else {}
-        for place, token in enumerate(line):
-            if token != FIELD and place >= fixed:
-                for t in by_token.get((place, token), ()):
-                    shared[t] = shared.get(t, 0) + 1
+        fixed, templates = self.fixed, self.templates
+        if self.named and self.least <= fixed:
+            near = set(range(len(templates)))
+        else:
+            near = {t for k, places in enumerate(self.sets) for t in self.index.get(hash((k, *[line[p] for p in places])), ())}
         best, same = -1, -1
-        for t, n in shared.items():
-            n += fixed + sum(1 for a, b in zip(templates[t][fixed:], line[fixed:], strict=True) if a == b == FIELD)
-            if n > same or n == same and t < best:
-                best, same = t, n
+        for t in near:
+            equal = [a for a, b in zip(templates[t][fixed:], line[fixed:], strict=True) if a == b]
+            # Beyond fields alone a template shares a token, or a name at the beginning.
+            if self.named or any(a != FIELD for a in equal):
+                n = fixed + len(equal)
+                if n > same or n == same and t < best:
+                    best, same = t, n
         if best < 0 and line.count(FIELD) == len(line):
             best = next((t for t, x in enumerate(templates) if x.count(FIELD) == len(x)), -1)
             same = len(line)
-        if best >= 0 and same >= ALIKE * len(line):
-            old = templates[best]
+        if best >= 0 and same >= self.least:
+            old, changed = templates[best], set()
             for place, (a, b) in enumerate(zip(old, line, strict=True)):
                 if a != b and a != FIELD:
-                    by_token[place, a].remove(best)
                     old[place] = FIELD
+                    changed.update(self.sets_of.get(place, ()))
+            self._enter(best, changed)
             return best
         templates.append(list(line))
-        for place, token in enumerate(line):
-            if token != FIELD and place >= fixed:
-                by_token.setdefault((place, token), []).append(len(templates) - 1)
+        self._enter(len(templates) - 1, range(len(self.sets)))
         return len(templates) - 1
 
 

@@ -294,3 +294,63 @@ def test_toxicity_query(spark):
     rows = {r.doc_id: r for r in got.collect()}
     assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
     assert all((zlib.crc32(str(i).encode()) % 5 == 0) == r.held_out and r.predicted == int(r.score >= 0.5) for i, r in rows.items())
+
+
+# --- line dedup: the leaf's index -----------------------------------------------------------------
+
+
+def _slow_leaf(lines):
+    """Every template held against every line."""
+    fixed, named, made, out = min(3, len(lines[0])), any(x != b"<*>" for x in lines[0][:3]), [], []
+    for line in lines:
+        best, same = -1, -1
+        for t, old in enumerate(made):
+            n = sum(a == b for a, b in zip(old, line, strict=True))
+            own = any(a == b != b"<*>" for a, b in zip(old[fixed:], line[fixed:], strict=True))
+            if (own or named or all(x == b"<*>" for x in [*old, *line])) and n > same and n >= 0.6 * len(line):
+                best, same = t, n
+        if best < 0:
+            made.append(list(line))
+            best = len(made) - 1
+        else:
+            made[best] = [a if a == b else b"<*>" for a, b in zip(made[best], line, strict=True)]
+        out.append(best)
+    return out, made
+
+
+def test_leaf_like_a_full_comparison():
+    from parlance.llm import templates
+
+    r = random.Random(10)
+    for _ in range(600):
+        size, words, fields = r.randrange(1, 16), r.choice([2, 3, 5, 12]), r.choice([0, 0.1, 0.4])
+        head = [b"a" if r.random() < 0.7 else b"<*>" for _ in range(min(3, size))]
+        lines = [head + [b"<*>" if r.random() < fields else b"w%d" % r.randrange(words) for _ in range(size - len(head))] for _ in range(r.randrange(1, 30))]
+        leaf = templates.Leaf(lines[0])
+        assert ([leaf.place(list(x)) for x in lines], leaf.templates) == _slow_leaf(lines)
+
+
+def test_leaf_is_near_linear():
+    import time
+
+    from parlance.llm import templates
+
+    r, took = random.Random(11), []
+    for n in (4000, 16_000):
+        leaf, began = templates.Leaf([b"a", b"b", b"c"] + [b"x"] * 9), time.process_time()
+        for _ in range(n):
+            leaf.place([b"a", b"b", b"c"] + [b"w%d" % r.randrange(40) for _ in range(9)])
+        took.append(time.process_time() - began)
+    assert took[1] < 16 * max(took[0], 0.1)  # a full comparison takes sixteen times as long
+
+
+def test_sets_of_places_miss_no_agreement():
+    from parlance.llm import templates
+
+    r = random.Random(12)
+    for _ in range(300):
+        m = r.randrange(1, 14)
+        needed = r.randrange(1, m + 1)
+        sets = templates._combinations(range(3, 3 + m), needed)
+        agree = set(r.sample(range(3, 3 + m), needed))
+        assert any(set(s) <= agree for s in sets)
