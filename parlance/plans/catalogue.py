@@ -662,4 +662,4 @@ def user_sessions(spark, sf):
     return jobs.sessions(_t(spark, sf, "events"))
 
 
-from parlance.plans import forms as _forms, more as _more  # noqa: E402, F401  register their queries
+from parlance.plans import files as _files, forms as _forms, more as _more  # noqa: E402, F401  register their queries

@@ -142,8 +142,8 @@ def strategy_chain(spark, sf):
 
 @query("""SELECT source, round(coalesce(avg(quality) FILTER (quality IN (0, 1)), 0), 9) AS quality_ratio, round(coalesce(avg(toxic) FILTER (toxic IN (0, 1)), 0), 9) AS toxic_ratio, round(avg(length(text)), 6) AS mean_length, quantile_cont(length(text), 0.5) AS median_length,
   max(length(text)) AS max_length, round(avg(length(text)) - quantile_cont(length(text), 0.5), 6) AS mean_less_median, count(*) FILTER (length(text) > 2000) AS over_2000,
-  round(avg(h AND b AND s)::DOUBLE, 9) AS is_md, round(avg(h OR b OR s)::DOUBLE, 9) AS is_md_loose, round(avg(b)::DOUBLE, 9) AS is_md_list, round(avg(s)::DOUBLE, 9) AS is_md_bold, round(avg(h OR b OR s)::DOUBLE - avg(h AND b AND s)::DOUBLE, 9) AS md_delta
-  FROM (SELECT doc_id, source, text, regexp_matches(text, '(?m)^#{1,6} ')::INT::BOOLEAN AS h, regexp_matches(text, '(?m)^\\s*(?:[-*+]|[0-9]+[.)]) ') AS b, regexp_matches(text, '\\*\\*[^*\\n]+\\*\\*') AS s FROM documents) LEFT JOIN labels USING (doc_id) GROUP BY source""".replace("avg(h AND b AND s)", "avg((h AND b AND s)::INT)").replace("avg(h OR b OR s)", "avg((h OR b OR s)::INT)").replace("avg(b)", "avg(b::INT)").replace("avg(s)", "avg(s::INT)"))
+  round(avg((h AND b AND s)::INT), 9) AS is_md, round(avg((h OR b OR s)::INT), 9) AS is_md_loose, round(avg(b::INT), 9) AS is_md_list, round(avg(s::INT), 9) AS is_md_bold, round(avg((h OR b OR s)::INT) - avg((h AND b AND s)::INT), 9) AS md_delta
+  FROM (SELECT doc_id, source, text, regexp_matches(text, '(?m)^#{1,6} ') AS h, regexp_matches(text, '(?m)^\\s*(?:[-*+]|[0-9]+[.)]) ') AS b, regexp_matches(text, '\\*\\*[^*\\n]+\\*\\*') AS s FROM documents) LEFT JOIN labels USING (doc_id) GROUP BY source""")
 def extended_report(spark, sf):
     """Ratios of scores, lengths and layout, a row a source."""
     rows = _t(spark, sf, "documents").select("doc_id", "source", "text").join(_t(spark, sf, "labels"), "doc_id", "left")
