@@ -72,7 +72,15 @@ def queries() -> dict:
 _EXACT = """WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS t FROM documents)
   SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size, doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM n"""
 
+_TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+_RANKED = f"""WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_TERMS} AS w FROM documents), h AS (SELECT *, len(w) AS n FROM d WHERE len(w) > 0), s AS (SELECT count(*) AS docs, sum(n)::BIGINT AS l FROM h),
+  q AS (SELECT i, item_id, unnest(w) AS t FROM (SELECT item_id, row_number() OVER () AS i, {_TERMS} AS w FROM benchmark)),
+  p AS (SELECT r, doc_id, n, t, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(w) AS t FROM h) WHERE t IN (SELECT t FROM q) GROUP BY ALL), f AS (SELECT t, count(*) AS df FROM p GROUP BY t),
+  c AS (SELECT r, doc_id, t, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // l))) AS x FROM p JOIN f USING (t), s),
+  z AS (SELECT i, item_id, r, doc_id, sum(x)::BIGINT AS score FROM q JOIN c USING (t) GROUP BY ALL HAVING sum(x) > 0)
+  SELECT item_id, rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id)::INT AS rank FROM z) WHERE rank <= 10"""
+
 
 def oracle_sql() -> dict:
     """SQL of the queries that DuckDB can state over whole tables: of ``documents`` whose ids are theirs alone."""
-    return {"op6_exact_dedup": _EXACT}
+    return {"op6_exact_dedup": _EXACT, "op12_ranked_search": _RANKED}
