@@ -9,7 +9,9 @@ Windows are compared by 64-bit hashes within one text. Arrays of a text's words
 in its own row, so nothing is shuffled; sorting finds repeats in n log n.
 
 Defined cases: null has no words, counts 0, and fails; a text without lines that hold a word is
-rejected; other columns are not read.
+rejected; rows that repeat an id or a text are judged one by one, and alike; of equal lines and windows all but
+the first line, and every window, count; a text of any length is judged whole, in its row; an empty table
+gives no rows; other columns are not read.
 """
 
 from __future__ import annotations

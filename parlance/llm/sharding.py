@@ -7,8 +7,9 @@ ranges turn each record's place in its range into its place in the whole order,
 follows from the bytes before it: shard sizes differ by one record at most.
 
 Defined cases: a null or empty text has size 8; a null id sorts first; equal (text, id) rows stand
-next to each other in any order, which no output shows; an empty table gives no rows; other columns
-are not read.
+next to each other in any order, which no output shows; a text longer than a shard has one of its own
+size at least; ids are numbers, and one that is none is an error; an empty table gives no rows; other
+columns are not read.
 """
 
 from __future__ import annotations

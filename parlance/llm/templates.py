@@ -37,7 +37,7 @@ from parlance.llm.common import map_arrow, materialize, text_bytes
 
 DEPTH, ALIKE, LEAST_DOCS, SENT = 3, 0.6, 3, 1_000_000
 FIELD = b"<*>"
-_DIGIT = re.compile(rb"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*")
+_DIGIT = re.compile(rb"[0-9]")
 
 
 def _signed(x: int) -> int:
@@ -46,7 +46,8 @@ def _signed(x: int) -> int:
 
 def masked(line: bytes) -> list[bytes]:
     """A line's tokens with variable fields marked."""
-    return _DIGIT.sub(FIELD, line).split()
+    tokens = line.split()
+    return [FIELD if _DIGIT.search(t) else t for t in tokens] if _DIGIT.search(line) else tokens
 
 
 def leaf_of(tokens: list[bytes]) -> int:

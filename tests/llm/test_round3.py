@@ -354,3 +354,41 @@ def test_sets_of_places_miss_no_agreement():
         sets = templates._combinations(range(3, 3 + m), needed)
         agree = set(r.sample(range(3, 3 + m), needed))
         assert any(set(s) <= agree for s in sets)
+
+
+# --- very long texts ------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def long_rows(spark):
+    text = "Plain words stand here, one after the other, and say something new each time.\n"
+    big = "".join(f"{text[:-1]} number {i}\n" for i in range(12_000))  # a million characters
+    rows = [(1, big), (2, big + "tail"), (3, "x" * 1_000_000), (4, "short text of a few words"), (5, None)]
+    return spark.createDataFrame([(i, t, None) for i, t in rows], "doc_id long, text string, source string").repartition(2).cache()
+
+
+def test_long_texts_are_taken_whole(spark, long_rows):
+    from parlance.llm import bytecnn, lm, naming, nearness, packing, rules, sharding, templates
+
+    judged = {r.doc_id: r for r in rules.quality_rules(long_rows).collect()}
+    assert judged[1].n_words == 12_000 * 16 and judged[2].n_words == 12_000 * 16 + 1 and judged[3].n_words == 1 and judged[5].n_words == 0
+    shards = {r.doc_id: r for r in sharding.shard(long_rows).collect()}
+    assert shards[3].size == 1_000_008 and shards[5].size == 8 and len(shards) == 5
+    exact = {r.doc_id: r.keep_id for r in naming.exact_groups(long_rows).collect()}
+    assert exact == {1: 1, 2: 2, 3: 3, 4: 4, 5: 5}
+    near = {r.doc_id: r.component_id for r in nearness.near_groups(long_rows).collect()}
+    assert near == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
+    lines = {r.doc_id: r.n_lines for r in templates.recurring_lines(long_rows).collect()}
+    assert lines[1] == 12_001 and lines[3] == 1
+    assert packing.best_fit(long_rows).select("doc_id").distinct().count() == 5
+    scores = {r.doc_id: r.score for r in bytecnn.score(long_rows, bytecnn.Net().freeze()).collect()}
+    assert len(scores) == 5 and all(0 <= s <= 1 for s in scores.values())
+    assert lm.score_corpus(long_rows).count() == 5
+
+
+def test_long_texts_in_the_new_operators(spark, long_rows):
+    found = {r.doc_id: r for r in periods.periodic_runs(long_rows).collect()}
+    assert found[1].n_words == 12_000 * 16 and found[3].n_words == 1
+    items = spark.createDataFrame([(1, "number 11999 tail")], "item_id long, text string")
+    assert [r.doc_id for r in impacts.ranked(long_rows, items).orderBy("rank").collect()] == [2, 1]
+    assert toxicity.score(long_rows, toxicity.Model({"something$": 3.0}, rate=20.0)).filter("size(passages) >= 12000").count() == 2
