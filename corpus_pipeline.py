@@ -6,7 +6,8 @@ unchanged: the quality rules judge a document by its lines, and what they reject
 
 Both deduplications give each row a number of their own first, so rows that lack an id, or share one,
 are told apart: of each group of equal or near texts one row stays, with the smallest id, and every
-other row stays too.
+other row stays too. Null texts are empty: the rules reject them. A table without documents gives no
+bins, texts of any length are judged whole, and columns that bear the name of a helper are left alone.
 """
 
 from __future__ import annotations
