@@ -54,6 +54,7 @@ def write_arrays(df: DataFrame, path: str, k: int, order: list[str], name: str =
                 files.delete(target, False)
                 if not files.rename(held, target):
                     raise OSError(f"cannot move {held} to {target}")
+                files.delete(place(f".{target.getName()}.crc"), False)  # a local store's checksum, which it would show beside the file
     finally:
         files.delete(place(attempt), True)
 
