@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from parlance.functions import codec, logparse, text
+from parlance.functions import codec, literals, logparse, text
 from parlance.operators import align, curate, quality, report
 from parlance.operators.model_map import Limits, two_step
 from parlance.plans.catalogue import _PAIRS, _pairs, _t, query
@@ -166,3 +166,25 @@ def gate_bounds(spark, sf):
     messages = F.array(*[F.struct(F.lit(r).alias("role"), item(c).alias("content")) for r, c in said.items()]).cast(MESSAGES)
     rows = _t(spark, sf, "documents").select("doc_id", messages.alias("messages"), F.lit("brief").alias("owner"), F.lit("set").alias("dataset"), F.lit("s").alias("source"))
     return quality.judged(rows, quality.Gate(banned=(), persona_query=(), short_owners=("brief",))).select("doc_id", "verdict")
+
+
+@query("""SELECT doc_id, doc_id % 4 IN (0, 3) AS nested FROM documents""")
+def nested_lists(spark, sf):
+    """Whole texts in lists of lists, in lists of lists and strings, alone, and beside an empty one."""
+    k, said = F.col("doc_id") % 4, _literal(F.col("text"))
+    put = lambda a, b: F.concat(F.lit(a), said, F.lit(b))
+    value = F.when(k == 0, put("[[", "], ['x', [1]]]")).when(k == 1, put("[['x'], ", "]")).when(k == 2, said).otherwise(put("[[], [", "]]"))
+    return _t(spark, sf, "documents").select("doc_id", literals.nested_list(value).alias("nested"))
+
+
+_SAID = ("我只是一个语言模型", "我叫AI", "作为一名模型", "作为一位老师，我", "无法实时", "2022年的", "plain words", "没有任何情感", "截至目前2023年", "我是一名学生", "GPT4", "不能在这里联网")
+
+
+@query(f"""SELECT doc_id, doc_id % 12 NOT IN (6, 9) AS banned, CASE doc_id % 12 WHEN 0 THEN '我只是一个语言模型' WHEN 1 THEN '我叫AI' WHEN 2 THEN '作为一名模型' WHEN 3 THEN '作为一位老师' WHEN 4 THEN '无法实时' WHEN 5 THEN '2022年' WHEN 7 THEN '没有任何情感' WHEN 8 THEN '截至目前2023年'
+  WHEN 10 THEN 'GPT4' WHEN 11 THEN '不能在这里联网' END AS found FROM documents""")
+def persona_reasons(spark, sf):
+    """What the gate's own and fixed patterns find behind each text's letters, whatever stands before."""
+    k = F.col("doc_id") % len(_SAID)
+    said = F.concat(F.translate("text", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "n" * 52), F.lit("\n"), F.element_at(F.array(*[F.lit(x) for x in _SAID]), (k + 1).cast("int")))
+    found = quality.reason(said, quality.Gate().banned)
+    return _t(spark, sf, "documents").select("doc_id", found.isNotNull().alias("banned"), found.alias("found"))

@@ -184,3 +184,22 @@ def test_unlike_training_by_words(spark):
     assert sorted(r["id"] for r in align.unlike_training(df, training, "q", 80).collect()) == [2, 3, 4, 5, 6]
     assert sorted(r["id"] for r in align.unlike_training(df, training, "q", 70).collect()) == [3, 4, 5, 6]
     assert align.unlike_training(df, training, "q").columns == df.columns == align.unlike_training(df, training, "q", 80).columns
+
+
+def test_company_is_found_at_the_end_of_the_last_line(spark):
+    from parlance.operators import quality
+
+    values = ["很高兴的陪伴", "x\n有你陪伴真好", "陪伴很久很久很久很久很久", "陪伴\nno", "a 陪伴12345678", "a 陪伴123456789", "陪伴\n"]
+    slow = column(spark, values, lambda c: quality.reason(c, (r".*(陪伴).{0,8}$",)))
+    assert column(spark, values, lambda c: quality.reason(c, (rf"{quality.LINE}.*(陪伴).{{0,8}}$",))) == slow
+    assert slow == ["很高兴的陪伴", "有你陪伴真好", None, None, "a 陪伴12345678", None, "陪伴"]
+
+
+def test_gates_are_linear_in_a_line(spark):
+    import time
+
+    from parlance.operators import quality
+
+    began = time.time()
+    assert column(spark, ["n" * 300_000], lambda c: quality.reason(c, quality.Gate().banned)) == [None]
+    assert time.time() - began < 60
