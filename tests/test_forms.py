@@ -203,3 +203,18 @@ def test_gates_are_linear_in_a_line(spark):
     began = time.time()
     assert column(spark, ["n" * 300_000], lambda c: quality.reason(c, quality.Gate().banned)) == [None]
     assert time.time() - began < 60
+
+
+def test_clusters_through_bands(spark):
+    import numpy as np
+
+    from parlance.operators import distinct
+
+    r = np.random.default_rng(21)
+    base = r.normal(size=(60, 16))
+    v = np.concatenate([base, base + r.normal(scale=0.05, size=base.shape), base[:9] + r.normal(scale=0.05, size=(9, 16))])
+    df = spark.createDataFrame([(f"k{i:03d}", [float(x) for x in row]) for i, row in enumerate(v)], "id string, v array<double>")
+    exact, banded = (sorted(map(tuple, distinct.semantic_groups(df, "id", "v", 0.05, banded=b).collect())) for b in (False, True))
+    assert exact == banded and sum(x[2] for x in exact) == 60
+    pairs = {(p["a"], p["b"]) for p in distinct.similar_pairs(df, "id", "v", 0.95).collect()}
+    assert pairs == {(p["a"], p["b"]) for p in distinct.similar_pairs(df, "id", "v", 0.95, banded=True).collect()} and all(a < b for a, b in pairs)
