@@ -26,6 +26,7 @@ def corpus(spark, tmp_path_factory):
     docs = spark.createDataFrame([*rows, rows[5], (None, loose[0], "en", "s0", 9), (None, loose[1], "en", "s0", 9), (None, loose[1], "en", "s0", 9), (7, loose[2], "en", "s1", 9), (7, loose[3], "en", "s1", 9)], COLUMNS)
     docs.coalesce(2).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([(k, int("|" not in t and "*" not in t), 0) for k, t in enumerate(texts)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(k, texts[k]) for k in range(0, 60, 7)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     return folder
 
 
@@ -66,10 +67,18 @@ def test_stages_take_odd_and_empty_tables(spark, odd, corpus):
 
 def test_every_operator_is_registered():
     names = registry.queries()
-    assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 14)} | {"pipeline"}
 
 
-@pytest.mark.parametrize("name", sorted(n for n in registry.queries() if n.startswith("op")))
+def test_each_text_finds_itself_first(spark, corpus):
+    got = registry.queries()["op12_ranked_search"](spark, corpus)
+    first = {r["item_id"]: r["doc_id"] for r in got.filter("rank = 1").collect()}
+    assert first == {k: k for k in range(0, 60, 7)}
+    assert got.groupBy("item_id").count().filter("count > 10").isEmpty()
+
+
+#: The search gives a row an answer, all others a row a document.
+@pytest.mark.parametrize("name", sorted(n for n in registry.queries() if n.startswith("op") and not n.startswith("op12_")))
 def test_queries_run(spark, corpus, name):
     df = registry.queries()[name](spark, corpus)
     assert df.select(F.count_distinct("doc_id")).first()[0] == 71 and df.filter("doc_id is null").count() == 3
