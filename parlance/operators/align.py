@@ -54,23 +54,26 @@ def containing(items: DataFrame, docs: DataFrame, item_key: str, doc_key: str, t
     through whole. At most ``sent`` items, of ``SENT_BYTES`` in all, are sent to all tasks; more are shuffled."""
     words = lambda c: F.split(F.trim(c), " ")
     wanted = items.select(item_key, _plain(F.col(text)).alias("_item")).filter("length(_item) > 2")
-    wanted = wanted.withColumn("_n", F.least(F.size(words(F.col("_item"))), F.lit(width))).withColumn("_key", F.xxhash64(F.array_join(F.slice(words(F.col("_item")), F.lit(1), F.col("_n")), " ")))
-    wanted = materialize(wanted)
+    # Words are hashed once, windows from their words' hashes.
+    hashed = lambda c: F.transform(words(c), lambda w: F.xxhash64(w))
+    window = lambda h, i, k: F.xxhash64(*[F.get(h, i + j) for j in range(k)])
+    wanted = wanted.withColumn("_h", hashed(F.col("_item"))).withColumn("_n", F.least(F.size("_h"), F.lit(width)))
+    wanted = materialize(wanted.withColumn("_key", F.coalesce(*[F.when(F.col("_n") == k, window(F.col("_h"), F.lit(0), k)) for k in range(1, width + 1)])).drop("_h"))
     sizes = [r[0] for r in wanted.select("_n").distinct().collect()]  # width numbers at most
     if not sizes:
         return docs.select(doc_key).limit(0).join(items.select(item_key).limit(0), F.lit(True)).select(item_key, doc_key)
     n, size = wanted.agg(F.count(F.lit(1)), F.sum(F.octet_length("_item"))).first()
     few = F.broadcast if n <= sent and size <= SENT_BYTES else lambda df: df
-    held = docs.select(F.col(doc_key).alias("_doc_key"), words(_plain(F.col(text))).alias("_w"))
-    windows = lambda k: F.transform(F.sequence(F.lit(1), F.greatest(F.size("_w") - k + 1, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(F.col("_w"), i, F.lit(k)), " ")))
+    held = docs.select(F.col(doc_key).alias("_doc_key"), hashed(_plain(F.col(text))).alias("_w"))
+    windows = lambda k: F.transform(F.sequence(F.lit(0), F.greatest(F.size("_w") - k, F.lit(0))), lambda i: window(F.col("_w"), i, k))
     met = held.select("_doc_key", F.explode(F.array_distinct(F.flatten(F.array(*[windows(k) for k in sizes])))).alias("_key"))
     pairs = materialize(met.join(few(wanted.select("_key", item_key)), "_key").select(item_key, "_doc_key").distinct())
     # Candidates bring their texts, one of each document; pairs that are few go to the documents.
     near = pairs.join(few(wanted.select(F.col(item_key).alias("_i"), "_item")), F.col(item_key).eqNullSafe(F.col("_i"))).select(item_key, "_doc_key", "_item")
     total = pairs.count()
     near = F.broadcast(near) if total <= sent // 10 and total * (size // n + 1) <= SENT_BYTES else near
-    texts = docs.select(doc_key, _plain(F.col(text)).alias("_doc"))
-    return texts.join(near, F.col(doc_key).eqNullSafe(F.col("_doc_key"))).filter(F.contains("_doc", "_item")).select(item_key, doc_key).distinct()
+    texts = docs.select(doc_key, F.col(text).alias("_doc"))
+    return texts.join(near, F.col(doc_key).eqNullSafe(F.col("_doc_key"))).filter(F.contains(_plain(F.col("_doc")), F.col("_item"))).select(item_key, doc_key).distinct()
 
 
 def named_passages(names: Column, passages: Column) -> Column:
