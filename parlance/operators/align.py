@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parlance.scratch import materialize
+from parlance.workers import ship
 
 
 def with_responses(requests: DataFrame, responses: DataFrame, key: str = "row_id", mode: str = "id", prompt: str = "prompt") -> DataFrame:
@@ -92,57 +96,150 @@ def missing(wanted: DataFrame, have: DataFrame, key: list[str]) -> DataFrame:
     return wanted.join(have, key, "left_anti")
 
 
-def distinct_words(text: Column) -> Column:
-    """Each word of a text once, in lower case, without punctuation."""
-    return F.array_distinct(F.filter(F.split(F.lower(text), r"(?U)[\s\p{Punct}]+"), lambda w: w != ""))
+#: What stands between words: white space and marks of any script, or of ASCII only.
+MARKS, ASCII_MARKS = r"(?U)[\s\p{Punct}$+<=>^`|~]+", r"[\t\n\f\r !-/:-@\[-`{-~]+"
 
 
-def _by_rarity(sets: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """(id, n, at, word): of each set (id, w) the beginning, rarest words first, that one as near as
-    ``percent`` has to touch. Words that ``known`` (word, f) lacks come first, and match nothing."""
-    words = sets.select("id", F.size("w").alias("n"), F.explode("w").alias("word")).join(known, "word", "left")
-    ordered = words.groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "word"))).alias("o"))
-    begin = F.slice("o", F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / F.lit(100.0)).cast("int") + 1)
-    return ordered.select("id", "n", F.posexplode(begin).alias("at", "x")).filter("x.f > 0").select("id", "n", "at", "x.word")
+def _lower(text: Column) -> Column:
+    """Lower case, letter by letter, whatever stands beside one."""
+    return F.lower(F.translate(text, "Σİ", "σi"))
 
 
-def near_sets(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
+def distinct_words(text: Column, marks: str = MARKS) -> Column:
+    """Each word of a text once, in lower case, without punctuation."""
+    return F.array_distinct(F.filter(F.split(_lower(text), marks), lambda w: w != ""))
+
+
+#: Sets that the order of words is taken from, frequent words that are ranked, and fewest and most sets of a block.
+ORDERED, RANKED, SET_BLOCKS = 20_000, 1 << 16, (4_096, 131_072)
+
+
+def _beginnings(sets: DataFrame, marks: np.ndarray, ranks: np.ndarray, percent: int) -> DataFrame:
+    """(id, n, w): of each set (id, w as hashes) its size and its beginning, rarest words first, that one as near as
+    ``percent`` has to touch, and a tenth more."""
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(1)
+            flat, size = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+            rows = np.repeat(np.arange(len(size)), size)
+            at = np.minimum(np.searchsorted(marks, flat), max(len(marks) - 1, 0))
+            rank = np.where(marks[at] == flat, ranks[at], 0) if len(marks) else np.zeros(len(flat), np.int64)
+            flat = flat[np.lexsort((flat, rank, rows))]
+            begin = np.minimum(size, size - -(-size * percent // 100) + 1 + size // 10)
+            first = np.cumsum(size) - size
+            kept = flat[np.arange(len(flat)) - np.repeat(first, size) < np.repeat(begin, size)]
+            w = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(begin)], pa.int32()), pa.array(kept, pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int32()), w], names=["id", "n", "w"])
+
+    ship(sets.sparkSession)
+    return sets.select("id", "w").mapInArrow(run, "id long, n int, w array<int>")
+
+
+def _may_be_near(left: DataFrame, right: DataFrame, percent: int, first: bool = False) -> DataFrame:
+    """(a, b, more): candidates among beginnings (id, n, w) of sets. Cells of a block of either side, of sizes that may
+    be near, count common words in memory; pairs are formed only where so many beginnings' words are common that the
+    rest can suffice. ``first`` gives of each cell a left set's likeliest candidate only, and whether there are ``more``."""
+    # A class of sizes is a little wider than what sizes may differ by, so near sets are of one class or of two beside each other.
+    width = max(math.log(100 / percent), 0.1) * 1.001
+    kind = lambda: F.floor(F.log("n") / F.lit(width)).cast("int")
+    left, right = left.withColumn("own", kind()).withColumn("p", F.explode(F.sequence(F.col("own") - 1, F.col("own") + 1))), right.withColumn("p", kind())
+    counts = [dict(tuple(r) for r in x.groupBy("p").count().collect()) for x in (left, right)]  # a row a class of sizes
+    least, most = SET_BLOCKS
+    shape = [(p, *(-(-c[p] // min(most, max(least, sum(c.values()) // 16))) for c in counts)) for p in sorted(counts[0].keys() & counts[1].keys())]
+    tasks = max(1, sum(r * c for _, r, c in shape))
+    shape = left.sparkSession.createDataFrame(shape, "p int, rows int, cols int")
+    dealt = lambda x, own, other: x.join(F.broadcast(shape), "p").select("id", "n", "w", "p", F.pmod(F.xxhash64("id"), own).cast("int").alias(own[0]), F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other[0]))
+    cells = [dealt(left, "rows", "cols"), dealt(right, "cols", "rows")]
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("more", pa.bool_())])
+
+    def meet(one: pa.Table, two: pa.Table) -> pa.Table:
+        out = []
+        if len(one) and len(two):
+            one, two = one.combine_chunks(), two.combine_chunks()
+            (ids, n, w, at), (others, m, v, to) = ((x["id"].to_numpy(), x["n"].to_numpy().astype(np.int64), *_lists(x["w"])) for x in (one, two))
+            # For each word of the right block, the sets that begin with it.
+            order = np.argsort(v, kind="stable")
+            owner = np.repeat(np.arange(len(m), dtype=np.int32), np.diff(to))[order]
+            words, starts = np.unique(v[order], return_index=True)
+            ends = np.r_[starts[1:], len(v)]
+            open_m = m - np.diff(to)
+            place = np.minimum(np.searchsorted(words, w), len(words) - 1)
+            known = words[place] == w
+            for k in range(len(ids)):
+                here = place[at[k] : at[k + 1]][known[at[k] : at[k + 1]]]
+                if not len(here):
+                    continue
+                common = np.bincount(np.concatenate([owner[starts[x] : ends[x]] for x in here]))
+                some = np.flatnonzero(common)
+                size, free = m[some], np.maximum(n[k] - (at[k + 1] - at[k]), open_m[some])
+                fit = (np.minimum(size, n[k]) * 100 >= np.maximum(size, n[k]) * percent) & ((common[some] + free) * (100 + percent) >= (size + n[k]) * percent)
+                some = some[fit]
+                if len(some):
+                    best = some[[np.argmax(common[some])]] if first else some
+                    out.append((np.full(len(best), ids[k]), others[best], np.full(len(best), len(some) > 1)))
+        columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [[], [], []]
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    ship(left.sparkSession)
+    grouped = [c.repartition(tasks, "p", "r", "c").groupBy("p", "r", "c") for c in cells]
+    return grouped[0].cogroup(grouped[1]).applyInArrow(meet, "a long, b long, more boolean")
+
+
+def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of lists end to end, and where each list begins."""
+    lists = column.chunk(0) if column.num_chunks else pa.array([], column.type)
+    at = lists.offsets.to_numpy()
+    return lists.values.to_numpy()[at[0] : at[-1]], at - at[0]
+
+
+def near_sets(left: DataFrame, right: DataFrame, percent: int, first: bool = False) -> DataFrame:
     """(a, b): ids of sets of words (id, w) whose common words are ``percent`` per cent of all theirs or more. Exact.
-
-    Two such sets share a word of their beginnings, in one order of all words; rare words come first, by
-    the sets of ``right``. Pairs whose sizes differ too much, or that have too few words left after the
-    first common one, are not formed. What is left is compared whole. Empty sets are near to none."""
-    left, right = (materialize(x.filter(F.size("w") > 0).select("id", "w")) for x in (left, right))
-    known = materialize(right.select(F.explode("w").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("f")))
-    bounds = right.agg(F.min(F.size("w")).alias("lo"), F.max(F.size("w")).alias("hi")).first()
-    if bounds["lo"] is None:
+    With ``first`` a left set that is near to any has one or more of its pairs, not all.
+
+    Two such sets share words of their beginnings, in one order of all words; rare ones come first, by a sample
+    of ``right``: the order decides how many candidates there are, not what is found. Words go as hashes, and equal
+    hashes only make candidates. These are compared whole. Empty sets are near to none."""
+    left, right = (materialize(x.filter(F.size("w") > 0).select("id", F.monotonically_increasing_id().alias("_n"), "w")) for x in (left, right))
+    total = right.count()
+    if not total:
         return left.join(right, F.lit(False)).select(left["id"].alias("a"), right["id"].alias("b"))
-    # Sets of a size that none of the others comes near are left out before their words are dealt out.
-    fitting = left.filter((F.size("w") * 100 >= F.lit(bounds["lo"] * percent)) & (F.size("w") * percent <= F.lit(bounds["hi"] * 100)))
-    a = _by_rarity(fitting, known, percent).withColumnsRenamed({"id": "a", "n": "n", "at": "i"})
-    b = _by_rarity(right, known, percent).withColumnsRenamed({"id": "b", "n": "m", "at": "j"})
-    sizes = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
-    enough = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) * (100 + percent) >= (F.col("n") + F.col("m")) * percent
-    pairs = a.join(b, "word").filter(sizes & enough).select("a", "b").distinct()
-    whole = pairs.join(left.withColumnsRenamed({"id": "a", "w": "u"}), "a").join(right.withColumnsRenamed({"id": "b", "w": "v"}), "b")
-    common = F.size(F.array_intersect("u", "v"))
-    return whole.filter(common * 100 >= (F.size("u") + F.size("v") - common) * percent).select("a", "b")
-
-
-def unlike_training(df: DataFrame, training: DataFrame, text: str, percent: int | None = None) -> DataFrame:
+    hashed = lambda x: x.select(F.col("_n").alias("id"), F.transform("w", lambda c: F.hash(c)).alias("w"))
+    sample = hashed(right).filter(F.pmod(F.xxhash64("id"), F.lit(total)) < ORDERED).select(F.explode("w").alias("h")).groupBy("h").count()
+    often = sample.filter("count > 1").orderBy(F.desc("count"), "h").limit(RANKED).collect()  # of a bounded number of words
+    marks = np.array([r["h"] for r in often], np.int32)
+    order = np.argsort(marks)
+    ranks = np.array([r["count"] for r in often], np.int64)[order]
+    a, b = (materialize(_beginnings(hashed(x), marks[order], ranks, percent)) for x in (left, right))
+
+    def whole(pairs):
+        one, two = left.select(F.col("_n").alias("a"), F.col("id").alias("_a"), F.col("w").alias("u")), right.select(F.col("_n").alias("b"), F.col("id").alias("_b"), F.col("w").alias("v"))
+        common = F.size(F.array_intersect("u", "v"))
+        return pairs.join(one, "a").join(two, "b").filter(common * 100 >= (F.size("u") + F.size("v") - common) * percent).select("_a", "_b", "a")
+
+    if not first:
+        return whole(_may_be_near(a, b, percent)).select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    likely = materialize(_may_be_near(a, b, percent, first=True))
+    found = materialize(whole(likely))
+    left_over = materialize(a.join(likely.filter("more").select(F.col("a").alias("id")).distinct(), "id", "left_semi").join(found.select(F.col("a").alias("id")), "id", "left_anti"))
+    if not left_over.isEmpty():
+        found = found.union(whole(_may_be_near(left_over, b, percent)))
+    return found.select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+
+
+def unlike_training(df: DataFrame, training: DataFrame, text: str, percent: int | None = None, marks: str = MARKS) -> DataFrame:
     """Rows whose normalised text is not among the training queries; with ``percent``, rows whose words are
     not that near to any training query's (words in common by all words of the two, in per cent). Rows
-    without text are unlike."""
+    without text are unlike. ``marks`` is what normalising takes out."""
     if percent is None:
-        norm = lambda c: F.lower(F.regexp_replace(c, r"(?U)[\s\p{Punct}]+", ""))
+        norm = lambda c: _lower(F.regexp_replace(c, marks, ""))
         return df.withColumn("_n", norm(F.col(text))).join(training.select(norm(F.col(text)).alias("_n")).distinct(), "_n", "left_anti").drop("_n")
     # Equal sets of words are one set on either side.
-    words = F.sort_array(distinct_words(F.coalesce(F.col(text), F.lit(""))))
-    rows = materialize(df.withColumn("_w", words))
+    words = F.sort_array(distinct_words(F.coalesce(F.col(text), F.lit("")), marks))
     mark = lambda c: F.md5(F.concat_ws("\n", c))
     sets = lambda x: x.groupBy(mark(F.col("w")).alias("id")).agg(F.first("w").alias("w"))
-    near = near_sets(sets(rows.select(F.col("_w").alias("w"))), sets(training.select(words.alias("w"))), percent).select(F.col("a").alias("_id")).distinct()
-    return rows.withColumn("_id", mark(F.col("_w"))).join(near, "_id", "left_anti").drop("_id", "_w")
+    near = near_sets(sets(df.select(words.alias("w"))), sets(training.select(words.alias("w"))), percent, first=True).select(F.col("a").alias("_id")).distinct()
+    return df.withColumn("_id", mark(words)).join(near, "_id", "left_anti").drop("_id")
 
 
 def fuzzy(a: DataFrame, b: DataFrame, key: str, least: int = 80, block: int | None = 2) -> DataFrame:

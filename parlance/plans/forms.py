@@ -92,7 +92,7 @@ _WORDS = "list_sort(list_distinct(list_filter(regexp_split_to_array(lower(text),
 def unlike_by_words(spark, sf):
     """Documents whose words are unlike those of every text that one source, taken as training set, holds."""
     d = _t(spark, sf, "documents")
-    return align.unlike_training(d.filter("source <> 'src0'").select("doc_id", "text"), d.filter("source = 'src0'").select("text"), "text", 60).select("doc_id")
+    return align.unlike_training(d.filter("source <> 'src0'").select("doc_id", "text"), d.filter("source = 'src0'").select("text"), "text", 60, align.ASCII_MARKS).select("doc_id")
 
 
 # --- models, offline ------------------------------------------------------------------------------

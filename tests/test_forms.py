@@ -186,6 +186,51 @@ def test_unlike_training_by_words(spark):
     assert align.unlike_training(df, training, "q").columns == df.columns == align.unlike_training(df, training, "q", 80).columns
 
 
+def _beside_sql(spark, tmp_path, name, **tables):
+    """A query's rows, and those of its SQL, over small tables."""
+    duckdb = pytest.importorskip("duckdb")
+    from parlance.plans import catalogue
+
+    con = duckdb.connect()
+    for table, df in tables.items():
+        df.coalesce(1).write.parquet(f"{tmp_path}/{table}.parquet")
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    return sorted(map(tuple, catalogue.queries()[name](spark, str(tmp_path)).collect())), sorted(con.sql(catalogue.oracle_sql()[name]).fetchall())
+
+
+def test_unlike_training_takes_out_what_its_sql_takes_out(spark, tmp_path):
+    texts = ["ab", "a b", "a=b", "a$b", "a、b", "a\u3000b", "a\x0bb", None, "", "ΟΔΟΣ", "οδος", "οδοσ", "İx", "ix"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got, want = _beside_sql(spark, tmp_path, "unlike_training", documents=docs, benchmark=spark.createDataFrame([(1, "A.B"), (2, "ΟΔΟΣ!"), (3, "IX")], "item_id long, text string"))
+    assert got == want and [x for x, in got] == [4, 5, 6, 8, 10]
+
+
+def test_unlike_by_words_parts_words_as_its_sql_does(spark, tmp_path):
+    rows = [(1, "src1", "a=b c d"), (2, "src1", "a b c、d"), (3, "src1", None), (4, "src0", "a b c d"), (5, "src1", "x y z")]
+    got, want = _beside_sql(spark, tmp_path, "unlike_by_words", documents=spark.createDataFrame(rows, "doc_id long, source string, text string"))
+    assert got == want == [(2,), (3,), (5,)]
+
+
+@pytest.mark.parametrize("percent", [35, 60, 85])
+def test_near_sets_form_few_pairs_of_texts_alike_in_frequent_words_only(spark, percent, monkeypatch):
+    """Sets that share a frequent word of their beginnings, but too few words in all, are no candidates; a set with any near one is found."""
+    r = random.Random(percent)
+    word = lambda: f"w{int(r.paretovariate(0.5)) % 400}"
+    sets = [sorted({word() for _ in range(40)}) for _ in range(300)]
+    sets += [[*s[2:], "new"] for s in sets[:30]] + [s[:-1] for s in sets[:30]]
+    r.shuffle(sets)
+    a, b = sets[::2], sets[1::2]
+    want = {(i, j) for i, x in enumerate(a) for j, y in enumerate(b) if 100 * len({*x} & {*y}) >= percent * len({*x} | {*y})}
+    left, right = (spark.createDataFrame(list(enumerate(v)), "id int, w array<string>") for v in (a, b))
+    formed, whole = [], align._may_be_near
+    monkeypatch.setattr(align, "_may_be_near", lambda *x, **y: formed.append(whole(*x, **y).count()) or whole(*x, **y))
+    monkeypatch.setattr(align, "SET_BLOCKS", (16, 64))  # many cells
+    assert {tuple(p) for p in align.near_sets(left, right, percent).collect()} == want and want
+    assert percent < 60 or formed[0] < 2 * len(want) + 200
+    some = {tuple(p) for p in align.near_sets(left, right, percent, first=True).collect()}
+    assert some <= want and {x for x, _ in some} == {x for x, _ in want}
+
+
 def test_company_is_found_at_the_end_of_the_last_line(spark):
     from parlance.operators import quality
 
