@@ -299,6 +299,29 @@ def test_bands_recall(spark):
     assert distinct.similar_links(df.limit(0), "id", "v", 0.9).count() == 0
 
 
+def test_links_miss_no_pair_at_the_threshold(spark):
+    r = np.random.default_rng(15)
+    base = _unit_rows(r, 3000, 24)
+    side = r.normal(size=base.shape)
+    side -= (side * base).sum(axis=1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    v = np.concatenate([base, 0.93001 * base + np.sqrt(1 - 0.93001**2) * side])
+    df = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(v)], "id int, v array<double>")
+    want = (v @ v.T >= 0.93).sum(axis=1) - 1
+    assert {x["id"]: x["links"] for x in distinct.similar_links(df, "id", "v", 0.93).collect()} == dict(enumerate(want.tolist()))
+
+
+def test_a_row_is_sent_to_few_blocks(spark, monkeypatch):
+    """Rounds of linkage send a row to as many blocks as the machines need, not to one for each so many rows."""
+    v = _unit_rows(np.random.default_rng(16), 150, 6, np.ones(6))
+    rows = spark.createDataFrame([(0, i, [float(x) for x in row], 1.0) for i, row in enumerate(v)], "g long, c long, total array<double>, size double")
+    sent, cells = [], distinct._in_cells
+    monkeypatch.setattr(distinct, "_in_cells", lambda dealt, *x: sent.append(dealt.count()) or cells(dealt, *x))
+    near = {x["c"]: x["other"] for x in distinct._nearest(rows, 5).collect()}
+    far = np.round(1 - v @ v.T, 12) + 9 * np.eye(150)
+    assert near == dict(enumerate(far.argmin(axis=1).tolist())) and sent == [150 * distinct.BLOCKS]
+
+
 def test_band_plan():
     bands, bits = distinct.band_plan(0.9, 10**9)
     assert bits == 24 and bands < 100  # rows are sent to their buckets, not to all blocks
