@@ -268,7 +268,7 @@ def json_arrays(spark, sf):
     """Whole texts through seven files of one JSON array each, and back."""
     path = _folder(spark)
     writers.write_arrays(_t(spark, sf, "documents").select("doc_id", "text"), path, 7, ["doc_id"])
-    return readers.read_table(spark, f"{path}/*.json", "doc_id long, text string").select("doc_id", F.md5("text").alias("text_md5"))
+    return readers.read_arrays(spark, f"{path}/*.json", "doc_id long, text string").select("doc_id", F.md5("text").alias("text_md5"))
 
 
 @query("""SELECT turn, count(*) AS n FROM conversations WHERE role = 'user' GROUP BY turn""")

@@ -28,6 +28,14 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
     raise ValueError(f"no reader for .{kind}")
 
 
+def read_arrays(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON arrays of a record a line, as ``writers.write_arrays`` leaves them. A file is read in as many pieces as
+    the store gives, where ``read_table`` has one task parse it whole; for arrays laid out in any other way that is the
+    reader. A line that is no record is an error."""
+    lines = spark.read.text(path).select(F.regexp_replace("value", r"^\[$|^\]$|^ +|,$", "").alias("value")).filter("value <> ''")
+    return lines.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+
+
 def read_csv(spark: SparkSession, path: str | list[str], schema=None, blanks: bool = False) -> DataFrame:
     """Quoted fields may hold newlines; nameless index columns go; ``blanks`` keeps empty strings."""
     reader = spark.read.schema(schema) if schema is not None else spark.read

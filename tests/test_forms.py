@@ -263,3 +263,25 @@ def test_clusters_through_bands(spark):
     assert exact == banded and sum(x[2] for x in exact) == 60
     pairs = {(p["a"], p["b"]) for p in distinct.similar_pairs(df, "id", "v", 0.95).collect()}
     assert pairs == {(p["a"], p["b"]) for p in distinct.similar_pairs(df, "id", "v", 0.95, banded=True).collect()} and all(a < b for a, b in pairs)
+
+
+def test_arrays_are_read_line_by_line(spark, tmp_path):
+    """Files are read in pieces: one task need not parse a whole file."""
+    path = f"file://{tmp_path}/arrays"
+    df = spark.range(2000).withColumn("s", F.when(F.col("id") % 3 > 0, F.concat(F.lit(" [,\n]\" , "), F.repeat(F.lit("x,"), 50))))
+    writers.write_arrays(df, path, 2, ["id"])
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40k")
+    try:
+        got = readers.read_arrays(spark, f"{path}/*.json", "id long, s string")
+        assert got.rdd.getNumPartitions() > 4 and sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+
+
+def test_an_encoder_gets_texts_by_their_bytes(spark):
+    from parlance.operators import model_map
+
+    df = spark.createDataFrame([(k, "x" * n) for k, n in enumerate([0, 5, 900_000, 900_000, 2_500_000, 1])] + [(6, None)], "id long, t string").coalesce(1)
+    sizes = {r["id"]: r["vector"] for r in model_map.embed(df, lambda: lambda texts: [[float(sum(map(len, texts)))] for _ in texts], "t", "id").collect()}
+    assert sizes == {0: [900_005.0], 1: [900_005.0], 2: [900_005.0], 3: [900_000.0], 4: [2_500_000.0], 5: [1.0]}
