@@ -15,7 +15,10 @@ from dataclasses import dataclass, field
 from threading import Lock
 from typing import Protocol
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -193,16 +196,24 @@ def service_body(query: Column, observation: Column, reply: Column, kind: str |
     return F.to_json(F.struct(*fields))
 
 
+#: Bytes of texts that an encoder gets at once, beside its number of rows; a longer text is alone.
+AT_ONCE = 1 << 20
+
+
 def embed(df: DataFrame, make: Callable[[], Callable[[list[str]], list[list[float]]]], text: str, key: str, batch: int = 64) -> DataFrame:
     """(key, vector) by an encoder that is loaded once a partition."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = make()
-        for frame in frames:
-            texts = frame[text].tolist()
-            vectors = [v for s in range(0, len(texts), batch) for v in encode(texts[s : s + batch])]
-            yield pd.DataFrame({key: frame[key], "vector": vectors})
+        for rows in batches:
+            # Texts become strings a few at a time: of the others a task holds what Arrow brought.
+            size, start = np.asarray(pc.binary_length(rows.column(1)), np.int64), 0
+            while start < len(size):
+                n = max(1, int(np.searchsorted(np.cumsum(size[start : start + batch]), AT_ONCE, side="right")))
+                vectors = pa.array([list(v) for v in encode(rows.column(1).slice(start, n).to_pylist())], pa.list_(pa.float32()))
+                yield pa.RecordBatch.from_arrays([rows.column(0).slice(start, n), vectors], names=[key, "vector"])
+                start += n
 
     ship(df.sparkSession)
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, text).filter(F.col(text).isNotNull()).mapInPandas(run, f"`{key}` {kind}, vector array<float>")
+    return df.select(key, F.col(text).cast("string").alias(text)).filter(F.col(text).isNotNull()).mapInArrow(run, f"`{key}` {kind}, vector array<float>")
