@@ -250,6 +250,47 @@ def test_gates_are_linear_in_a_line(spark):
     assert time.time() - began < 60
 
 
+def _plainly(patterns):
+    """The same patterns, all tried at every place."""
+    from parlance.operators import quality
+
+    return "(?iu)(" + "|".join(p.replace(quality.LINE, r"(?<![^\n\r\u0085\u2028\u2029])") for p in patterns) + ")"
+
+
+def test_gates_find_what_all_patterns_at_every_place_find(spark):
+    from parlance.operators import quality
+
+    odd = ("a?b", "(x|y*)z", "[ab]c|cb", "[^a]q", r"\bkin", "^so", "k|kin", "(?:Σ|ß)s", "i{0}n", "ſt", "\u0130x", "é+", "(a|)d", "{0}", "(e)(f)", "b[c[de]|]f", "🙂+n", r"\|a", "-z", "f(?=a)")
+    sets = (quality.Gate().banned, quality.ASKED, odd[:8], odd[8:13] + odd[14:], odd[::-1][:5], (r"(a)(b)\2", "b"), ("a(?s).b", "B"), ("n",))
+    r = random.Random(5)
+    words = [w for p in quality.WORDS + quality.ASKED for w in (p, p[:-1], p.upper())] + ["我只是一个", "作为一名", "模型", "没有任何", "感情", "截止到", "2023年", "为止", "陪伴", "不能在", "联网", "对不起", "as an AI model"]
+    marks = list("\n\r \u0085\u2028nN.-|1") + ["\r\n"]
+    texts = ["".join(r.choice(words if r.random() < 0.25 else marks) for _ in range(r.randrange(1, 25))) for _ in range(1500)]
+    texts += ["".join(r.choice("abcdefiknoqstxyzBSIKNÉéſıİ\u212aΣσςßẞ🙂|- \n") for _ in range(r.randrange(0, 9))) for _ in range(3000)]
+    for patterns in sets:
+        want = column(spark, texts, lambda c, p=patterns: F.nullif(F.regexp_extract(c, _plainly(p), 0), F.lit("")))
+        assert column(spark, texts, lambda c, p=patterns: quality.reason(c, p)) == want
+        assert any(want)
+
+
+def test_gates_try_few_patterns_at_a_place(spark):
+    import time
+
+    from parlance.operators import quality
+
+    values = ["nnn nn, nnnnnn n. nnnn\n" * 40_000]
+
+    def seconds(f):
+        began = time.time()
+        assert column(spark, values, f) == [None]
+        return time.time() - began
+
+    banned = quality.Gate().banned
+    ways = (lambda c: quality.reason(c, banned), lambda c: F.nullif(F.regexp_extract(c, _plainly(banned), 0), F.lit("")))
+    few, all_ = (min(seconds(f) for _ in range(2)) for f in ways)
+    assert 3 * few < all_
+
+
 def test_clusters_through_bands(spark):
     import numpy as np
 
