@@ -47,8 +47,10 @@ GROUP, GROUPS = 256, 1 << 14
 #: Tokens a training step, steps whose tokens are mixed, fewest tokens trained on, fewest a task, and most tasks.
 STEP, MIXED, DRAWS, TASK_TOKENS, TASKS = 4096, 64, 1_000_000, 500_000, 64
 RATE = 0.07
-#: Tokens scored at once, and rows of class scores held at once.
-AT_ONCE, ROWS = 32_768, 1024
+#: Tokens scored at once, rows of scores held at once, and classes whose exponentials are.
+AT_ONCE, ROWS, PART = 262_144, 256, 128
+#: Exponents up to which the product of two exponentials of 32 bits, and their sum, stay in range.
+SAFE = 40
 FREQUENT, LONGEST = 1 << 19, 64
 #: Bytes of text cut into words at once.
 SLICE = 8_000_000
@@ -89,25 +91,48 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """In place."""
-    np.negative(x, out=x)
-    np.minimum(x, 80, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
+    """In place, so much at once as a core's cache holds."""
+    flat = x.reshape(-1)
+    with np.errstate(over="ignore"):
+        for k in range(0, len(flat), 1 << 14):
+            v = flat[k : k + (1 << 14)]
+            np.negative(v, out=v)
+            np.exp(v, out=v)
+            v += 1
+            np.reciprocal(v, out=v)
+    return x
 
 
 def _runs(ordered: np.ndarray) -> np.ndarray:
     """Where runs of equal numbers begin."""
-    return np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    new = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
+def _run_sums(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The rows of each run added up: of short runs, which are most, all second rows at once, and so on."""
+    if len(rows) > 8 * len(first):
+        return np.add.reduceat(rows, first, axis=0)
+    n, out = np.full(len(first), len(rows)), rows.take(first, axis=0)
+    n[:-1] = first[1:]
+    n -= first
+    for k in range(1, 4):
+        at = np.flatnonzero((n > k) & (n <= 4))
+        out[at] += rows.take(first[at] + k, axis=0)
+    long = np.flatnonzero(n > 4)
+    if len(long):
+        size = n[long]
+        out[long] = np.add.reduceat(rows.take(np.flatnonzero(np.repeat(n > 4, n)), axis=0), np.cumsum(size) - size, axis=0)
+    return out
 
 
 def _sums(which: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct numbers, and the rows of each added up."""
     order = np.argsort(which)
-    which = which[order]
+    which = which.take(order)
     first = _runs(which)
-    return which[first], np.add.reduceat(rows[order], first, axis=0)
+    return which[first], _run_sums(rows.take(order, axis=0), first)
 
 
 class LogBilinear:
@@ -136,26 +161,30 @@ class LogBilinear:
 
     def _move(self, name: str, which: np.ndarray, g: np.ndarray) -> None:
         """Adagrad on some rows, each named once."""
-        seen = self.seen[name][which] + (np.einsum("ij,ij->i", g, g) / SIZE if g.ndim > 1 else g * g)
+        seen = self.seen[name].take(which) + (np.einsum("ij,ij->i", g, g) / SIZE if g.ndim > 1 else g * g)
         self.seen[name][which] = seen
         by = RATE / np.sqrt(seen)
-        self.p[name][which] -= by[:, None] * g if g.ndim > 1 else by * g
+        self.p[name][which] = self.p[name].take(which, axis=0) - (by[:, None] * g if g.ndim > 1 else by * g)
 
     def step(self, second: np.ndarray, first: np.ndarray, w: np.ndarray, r: np.random.Generator) -> None:
         """One move on the noise-contrastive losses of classes and of outputs within them."""
         order = np.argsort(w)
-        second, first, w = second[order], first[order], w[order]
-        p, c = self.p, self.kind[w]
-        r1, r2 = p["R"][first], p["R"][second]
+        second, first, w = second.take(order), first.take(order), w.take(order)
+        p, c = self.p, self.kind.take(w)
+        r1, r2 = p["R"].take(first, axis=0), p["R"].take(second, axis=0)
         hidden = r1 @ p["C1"] + r2 @ p["C2"]
         # Classes, against shared noise.
         drawn = np.minimum(np.searchsorted(self.class_run, r.random(SHARED) * self.class_run[-1]), len(self.class_noise) - 1)
-        own = p["K"][c]
-        good = _sigmoid(np.einsum("ij,ij->i", hidden, own) + p["a"][c] - self.class_bar[c]) - 1
-        bad = _sigmoid(hidden @ p["K"][drawn].T + (p["a"][drawn] - self.class_bar[drawn]))
-        dh = good[:, None] * own + bad @ p["K"][drawn]
+        own, over = p["K"].take(c, axis=0), p["a"] - self.class_bar
+        good = _sigmoid(np.einsum("ij,ij->i", hidden, own) + over.take(c)) - 1
+        bad = hidden @ p["K"][drawn].T
+        bad += over[drawn]
+        bad = _sigmoid(bad)
+        dh = good[:, None] * own
+        dh += bad @ p["K"][drawn]
         runs = _runs(c)
-        at, g, gb = np.r_[c[runs], drawn], np.r_[np.add.reduceat(good[:, None] * hidden, runs), bad.T @ hidden], np.r_[np.add.reduceat(good, runs), bad.sum(axis=0)]
+        pairs = (c[runs], drawn), (_run_sums(good[:, None] * hidden, runs), bad.T @ hidden), (np.add.reduceat(good, runs), bad.sum(axis=0))
+        at, g, gb = (np.concatenate(x) for x in pairs)
         # Outputs within classes of several, against noise of their class.
         m = int(np.searchsorted(w, self.heads))
         if m < len(w):
@@ -164,48 +193,83 @@ class LogBilinear:
             kinds, which = cs[runs], np.repeat(np.arange(len(runs)), np.diff(np.r_[runs, len(cs)]))
             u = self.run[self.starts[kinds]][:, None] + self.class_noise[kinds][:, None] * r.random((len(kinds), NOISE))
             others = np.clip(np.searchsorted(self.run, u, side="right") - 1, self.starts[kinds][:, None], self.starts[kinds + 1][:, None] - 1)
-            q, qn = p["Q"][ws], p["Q"][others]
-            yes = _sigmoid(np.einsum("ij,ij->i", h, q) + p["b"][ws] - self.bar[ws]) - 1
-            no = np.empty((len(ws), NOISE), np.float32)
-            gn = np.empty((len(kinds), NOISE, SIZE), np.float32)
-            back = yes[:, None] * q
-            bias = (p["b"][others] - self.bar[others])[which]
+            q, qn = p["Q"].take(ws, axis=0), p["Q"][others]
+            yes = _sigmoid(np.einsum("ij,ij->i", h, q) + p["b"].take(ws) - self.bar.take(ws)) - 1
+            gn, gnb = np.empty((len(kinds), NOISE, SIZE), np.float32), np.empty((len(kinds), NOISE), np.float32)
+            back = dh[m:]
+            back += yes[:, None] * q
+            bias = p["b"][others] - self.bar[others]
             for k in range(NOISE):
-                qk = qn[which, k]
-                no[:, k] = _sigmoid(np.einsum("ij,ij->i", h, qk) + bias[:, k])
-                back += no[:, k : k + 1] * qk
-                gn[:, k] = np.add.reduceat(no[:, k : k + 1] * h, runs)
-            dh[m:] += back
-            gnb = np.add.reduceat(no, runs)
+                qk = qn[:, k].take(which, axis=0)
+                no = _sigmoid(np.einsum("ij,ij->i", h, qk) + bias[:, k].take(which))
+                qk *= no[:, None]
+                back += qk
+                gn[:, k], gnb[:, k] = _run_sums(no[:, None] * h, runs), np.add.reduceat(no, runs)
             runs = _runs(ws)
-            self._move("Q", ws[runs], np.add.reduceat(yes[:, None] * h, runs))
+            self._move("Q", ws[runs], _run_sums(yes[:, None] * h, runs))
             self._move("b", ws[runs], np.add.reduceat(yes, runs))
             self._move("Q", *_sums(others.ravel(), gn.reshape(-1, SIZE)))
             self._move("b", *_sums(others.ravel(), gnb.ravel()))
         self._move("K", *_sums(at, g))
         self._move("a", *_sums(at, gb))
-        both = np.r_[dh @ p["C1"].T, dh @ p["C2"].T]
+        both = np.concatenate([dh @ p["C1"].T, dh @ p["C2"].T])
         for name, x in (("C1", r1), ("C2", r2)):
             g = x.T @ dh
             self.seen[name] += g * g
             p[name] -= 0.2 * RATE * g / np.sqrt(self.seen[name])
-        self._move("R", *_sums(np.r_[first, second], both))
+        self._move("R", *_sums(np.concatenate([first, second]), both))
+
+    def _class_log_sums(self, second: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """The logarithm of each context's sum of exponentials of class scores. A score is a part of the one token and a part of
+        the other, so exponentials are taken once a distinct token and place, and the sum is a product of two rows of them."""
+        p, n = self.p, len(self.kind)
+        pairs, context = np.unique(first * n + second, return_inverse=True)
+        f, s = np.divmod(pairs, n)
+        ones, f = f[_runs(f)], np.cumsum(np.r_[False, f[1:] != f[:-1]])
+        twos, s = np.unique(s, return_inverse=True)
+        left, right = p["R"].take(ones, axis=0) @ p["C1"], p["R"].take(twos, axis=0) @ p["C2"]
+        sums, far = np.zeros(len(pairs), np.float32), (np.zeros(len(ones), bool), np.zeros(len(twos), bool))
+        for k in range(0, len(p["K"]), PART):
+            turned = np.ascontiguousarray(p["K"][k : k + PART].T)
+            parts = [left @ turned + p["a"][k : k + PART], right @ turned]
+            for x, out in zip(parts, far, strict=True):
+                if not (x.max() < SAFE and x.min() > -SAFE):
+                    out |= ~(np.abs(x).max(axis=1) < SAFE)
+                with np.errstate(over="ignore"):
+                    for a in range(0, len(x), ROWS):
+                        np.exp(x[a : a + ROWS], out=x[a : a + ROWS])
+            unit = np.ones(turned.shape[1], np.float32)
+            for a in range(0, len(pairs), ROWS):
+                x = parts[0].take(f[a : a + ROWS], axis=0)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    x *= parts[1].take(s[a : a + ROWS], axis=0)
+                    sums[a : a + ROWS] += x @ unit
+        with np.errstate(divide="ignore", invalid="ignore"):
+            out = np.log(sums)
+        # Beyond what products of two hold the whole scores are taken.
+        direct = np.flatnonzero(far[0].take(f) | far[1].take(s))
+        if len(direct):
+            hidden = np.ones((len(direct), SIZE + 1), np.float32)
+            hidden[:, :SIZE] = left[f[direct]] + right[s[direct]]
+            out[direct] = _log_sums(hidden, np.c_[p["K"], p["a"]].T)
+        return out.take(context)
 
     def log10(self, second: np.ndarray, first: np.ndarray, w: np.ndarray) -> np.ndarray:
         """log10 P(output | two tokens before); each context's probabilities add up to one."""
         p, out = self.p, np.empty(len(w))
         classes, outputs = np.c_[p["K"], p["a"]], np.c_[p["Q"], p["b"]]
-        turned = np.ascontiguousarray(classes.T)
         for k in range(0, len(w), AT_ONCE):
+            one, two = first[k : k + AT_ONCE], second[k : k + AT_ONCE]
             order = np.argsort(w[k : k + AT_ONCE])
-            v = w[k : k + AT_ONCE][order]
+            v = w[k : k + AT_ONCE].take(order)
             # A last element of one, against which the biases stand.
-            hidden, c = np.ones((len(v), SIZE + 1), np.float32), self.kind[v]
-            hidden[:, :SIZE] = p["R"][first[k : k + AT_ONCE][order]] @ p["C1"] + p["R"][second[k : k + AT_ONCE][order]] @ p["C2"]
-            part = np.einsum("ij,ij->i", hidden, classes[c]) - _log_sums(hidden, turned)
+            hidden, c = np.ones((len(v), SIZE + 1), np.float32), self.kind.take(v)
+            hidden[:, :SIZE] = p["R"].take(one.take(order), axis=0) @ p["C1"]
+            hidden[:, :SIZE] += p["R"].take(two.take(order), axis=0) @ p["C2"]
+            part = np.einsum("ij,ij->i", hidden, classes.take(c, axis=0)) - self._class_log_sums(two, one).take(order)
             m = int(np.searchsorted(v, self.heads))
             if m < len(v):
-                part[m:] += np.einsum("ij,ij->i", hidden[m:], outputs[v[m:]])
+                part[m:] += np.einsum("ij,ij->i", hidden[m:], outputs.take(v[m:], axis=0))
                 runs = m + _runs(c[m:])
                 for a, b in zip(runs.tolist(), [*runs[1:].tolist(), len(v)], strict=True):
                     part[a:b] -= _log_sums(hidden[a:b], outputs[self.starts[c[a]] : self.starts[c[a] + 1]].T)
@@ -219,9 +283,10 @@ def _log_sums(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     for s in range(0, len(left), ROWS):
         scores = left[s : s + ROWS] @ right
         with np.errstate(over="ignore", divide="ignore"):
-            sums = np.log(np.exp(scores) @ ones)
+            sums = np.log(np.exp(scores, out=scores) @ ones)
         if not np.isfinite(sums).all():
             # Beyond what the numbers hold each row's largest is taken off first.
+            scores = left[s : s + ROWS] @ right
             top = scores.max(axis=1)
             sums = top + np.log(np.exp(scores - top[:, None]) @ ones)
         out[s : s + ROWS] = sums
@@ -299,11 +364,11 @@ def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _texts(lists: pa.Array):
-    """(numbers end to end, where each text begins) of runs of texts of about 16 * AT_ONCE numbers."""
+    """(numbers end to end, where each text begins) of runs of texts of about 2 * AT_ONCE numbers."""
     flat, starts = _flat(lists)
     a = 0
     while a < len(lists):
-        b = max(a + 1, int(np.searchsorted(starts, starts[a] + 16 * AT_ONCE, side="right")) - 1)
+        b = max(a + 1, int(np.searchsorted(starts, starts[a] + 2 * AT_ONCE, side="right")) - 1)
         yield flat[starts[a] : starts[b]], starts[a : b + 1] - starts[a]
         a = b
 

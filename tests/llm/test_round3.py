@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from parlance.llm import impacts, periods, registry, toxicity
+from parlance.llm import impacts, lm, periods, registry, toxicity
 from tests.llm.conftest import ODD, WORD
 
 SF = "/root/testdata/sf0.001"
@@ -392,3 +392,50 @@ def test_long_texts_in_the_new_operators(spark, long_rows):
     items = spark.createDataFrame([(1, "number 11999 tail")], "item_id long, text string")
     assert [r.doc_id for r in impacts.ranked(long_rows, items).orderBy("rank").collect()] == [2, 1]
     assert toxicity.score(long_rows, toxicity.Model({"something$": 3.0}, rate=20.0)).filter("size(passages) >= 12000").count() == 2
+
+
+# --- language model -------------------------------------------------------------------------------
+
+
+def directly(model, second, first, w):
+    """log10 of probabilities, each from its own exponentials in double precision."""
+    p = {k: v.astype(np.float64) for k, v in model.p.items()}
+    out = []
+    for s, f, o in zip(second, first, w, strict=True):
+        hidden, c = p["R"][f] @ p["C1"] + p["R"][s] @ p["C2"], model.kind[o]
+        classes, own = p["K"] @ hidden + p["a"], slice(model.starts[c], model.starts[c + 1])
+        inside = p["Q"][own] @ hidden + p["b"][own]
+        out.append(classes[c] - np.logaddexp.reduce(classes) + inside[o - model.starts[c]] - np.logaddexp.reduce(inside))
+    return np.array(out) / math.log(10)
+
+
+@pytest.mark.parametrize("wide", [1, 300])
+def test_log_bilinear_scores_are_normalised_directly(wide, monkeypatch):
+    """Also where the products of exponentials would leave what 32 bits hold."""
+    monkeypatch.setattr(lm, "AT_ONCE", 700)
+    monkeypatch.setattr(lm, "PART", 50)
+    r = np.random.default_rng(4)
+    model = lm.LogBilinear(np.sort(r.pareto(1, 900))[::-1] + 0.5)
+    model.p["R"][::3] *= wide
+    model.p["K"] *= 5
+    second, first, w = r.integers(0, 900, (3, 2000))
+    assert np.allclose(model.log10(second, first, w), directly(model, second, first, w), rtol=1e-4, atol=1e-4)
+
+
+def test_log_bilinear_takes_exponentials_of_tokens_not_of_places(monkeypatch):
+    r = np.random.default_rng(4)
+    model = lm.LogBilinear(np.sort(r.pareto(1, 3000))[::-1] + 0.5)
+    second, first, w = np.minimum(r.zipf(1.3, (3, 200_000)), 3000) - 1
+    w = w % lm.HEADS
+    taken, whole = [], np.exp
+    monkeypatch.setattr(lm.np, "exp", lambda x, **k: taken.append(x.size) or whole(x, **k))
+    model.log10(second, first, w)
+    assert sum(taken) < len(w) * len(model.class_noise) / 4
+
+
+def test_run_sums():
+    r = np.random.default_rng(4)
+    for n in (1, 2, 50, 400):
+        which = np.sort(r.zipf(1.5, n) % 40)
+        first, rows = lm._runs(which), r.normal(size=(n, 3))
+        assert np.allclose(lm._run_sums(rows, first), np.add.reduceat(rows, first, axis=0))
