@@ -322,6 +322,63 @@ def test_a_row_is_sent_to_few_blocks(spark, monkeypatch):
     assert near == dict(enumerate(far.argmin(axis=1).tolist())) and sent == [150 * distinct.BLOCKS]
 
 
+def test_chains_take_few_rounds(spark, monkeypatch):
+    """Of a chain with growing steps one pair merges in a round of mutual neighbours; it is linked as a whole."""
+    angle = np.cumsum(0.02 * 1.05 ** np.arange(24))
+    v = np.zeros((96, 8))
+    for k in range(4):
+        v[24 * k : 24 * k + 24, 2 * k], v[24 * k : 24 * k + 24, 2 * k + 1] = np.cos(angle), np.sin(angle)
+    rounds, nearest = [], distinct._nearest
+    monkeypatch.setattr(distinct, "_nearest", lambda *x: rounds.append(1) or nearest(*x))
+    df = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(v)], "id int, v array<double>")
+    groups = {x["id"]: x["cluster"] for x in distinct.semantic_groups(df, "id", "v", 1.1, linked=30).collect()}
+    assert groups == dict(enumerate(_naive_linkage(v, 1.1).tolist())) and len(rounds) <= 6
+
+
+@pytest.mark.parametrize("linked", [12, 40])
+def test_rounds_of_trees_like_naive(spark, linked):
+    r = np.random.default_rng(17)
+    v = _unit_rows(r, 120, 6)
+    df = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(v)], "id int, v array<double>")
+    groups = {x["id"]: x["cluster"] for x in distinct.semantic_groups(df, "id", "v", 0.5, linked=linked).collect()}
+    assert groups == dict(enumerate(_naive_linkage(v, 0.5).tolist()))
+
+
+def test_linkage_up_to_what_is_nearer_elsewhere():
+    """Groups linked apart as far as they may be, then all: the same clusters; the caller's sizes stay as they are."""
+    r = np.random.default_rng(18)
+    for _ in range(30):
+        v, g, most = _unit_rows(r, 40, 5, np.full(5, 0.3)), r.integers(0, 3, 40), 0.3
+        label, ones, names = np.arange(40), np.ones(40), []
+        beyond = np.where(g[:, None] == g, np.inf, 1 - v @ v.T).min(axis=1)
+        for k in range(3):
+            at = np.flatnonzero(g == k)
+            sizes = ones[: len(at)]
+            own, left = distinct._linkage(v[at], most, sizes, beyond[at])
+            label[at] = at[own]
+            names += at[left].tolist()
+        names = np.sort(names).astype(int)
+        again = distinct.average_linkage(np.array([v[label == x].sum(axis=0) for x in names]).reshape(len(names), 5), most, np.array([(label == x).sum() for x in names]))
+        up = dict(zip(names.tolist(), names[again].tolist(), strict=True))
+        assert [up.get(x, x) for x in label.tolist()] == distinct.average_linkage(v, most).tolist() and (ones == 1).all()
+
+
+def test_nearest_by_half_the_width(monkeypatch):
+    monkeypatch.setattr(distinct, "_STEP", 16)
+    monkeypatch.setattr(distinct, "_TILE", 32)
+    r = np.random.default_rng(19)
+    m, n = _unit_rows(r, 70, 9), _unit_rows(r, 150, 9)
+    n[100:] = n[40]  # copies: the first of them
+    for own, apart in ((False, None), (True, None), (True, (np.arange(150) // 7 * 7, np.arange(150) // 7 * 7 + 7))):
+        one = n if own else m
+        far = np.round(1 - one @ n.T, 12)
+        if own:
+            begin, end = apart or (np.arange(150), np.arange(150) + 1)
+            far[(np.arange(150) >= begin[:, None]) & (np.arange(150) < end[:, None])] = np.inf
+        for (place, least), want in zip(distinct._closest(one, n, own, apart), (far, far.T), strict=False):
+            assert np.allclose(least, want.min(axis=1), atol=1e-11) and np.allclose(want[np.arange(len(want)), place], least, atol=1e-11)
+
+
 def test_band_plan():
     bands, bits = distinct.band_plan(0.9, 10**9)
     assert bits == 24 and bands < 100  # rows are sent to their buckets, not to all blocks
