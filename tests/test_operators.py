@@ -379,6 +379,27 @@ def test_nearest_by_half_the_width(monkeypatch):
             assert np.allclose(least, want.min(axis=1), atol=1e-11) and np.allclose(want[np.arange(len(want)), place], least, atol=1e-11)
 
 
+def test_runs_of_near_rows_meet_by_their_first(spark):
+    """Rows near their neighbours are not all multiplied with all others, and no pair is missed."""
+    r = np.random.default_rng(20)
+    base = _unit_rows(r, 400, 64)
+    v = np.repeat(base, 4, axis=0) + np.where(np.arange(1600)[:, None] % 4, r.normal(scale=0.015, size=(1600, 64)), 0)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    want = {(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(v @ v.T >= 0.93, 1)), strict=True)}
+    places = [np.stack(x) for x in distinct._met(v, v, 0.93, True)]
+    met = set(map(tuple, np.sort(np.concatenate(places, axis=1), axis=0).T.tolist()))
+    assert want <= met and len(met) == sum(p.shape[1] for p in places) < 10_000  # of 1,279,200 pairs
+    df = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(v)], "id int, v array<double>")
+    assert {(x["a"], x["b"]) for x in distinct.similar_pairs(df, "id", "v", 0.93).collect()} == want
+    assert len(distinct._runs(v, 0.93)[0]) < 500 and len(distinct._runs(v, 0.35)[0]) == 1600
+
+
+def test_unit_vectors(spark):
+    df = spark.createDataFrame([(0, [3.0, 4.0]), (1, [0.0, 0.0]), (2, None), (3, [])], "id int, v array<float>")
+    got = {x["id"]: x["u"] for x in df.select("id", distinct.unit(df.v).alias("u")).collect()}
+    assert got == {0: [0.6, 0.8], 1: [0.0, 0.0], 2: None, 3: []}
+
+
 def test_band_plan():
     bands, bits = distinct.band_plan(0.9, 10**9)
     assert bits == 24 and bands < 100  # rows are sent to their buckets, not to all blocks
